@@ -20,9 +20,9 @@ def max_year_cursor(records: DataFrame, by: Sequence[str] = ("indicator_id",), p
 
 
 def last_time_cursor(payload="payload") -> Column:
-    """Last element of ``hourly.time`` as text (not the maximum); NULL when missing, empty or not an array."""
-    last = F.try_element_at(json_array(payload, "$.hourly.time"), F.lit(-1))
-    return F.when(last.isNotNull(), F.coalesce(json_scalar(last), F.to_json(last)))
+    """Last element of ``hourly.time`` as text (not the maximum); NULL when missing, empty, not an
+    array, or when the last element is JSON null or not a scalar."""
+    return json_scalar(F.try_element_at(json_array(payload, "$.hourly.time"), F.lit(-1)))
 
 
 def run_metrics(df: DataFrame, by: Sequence[str]) -> DataFrame:

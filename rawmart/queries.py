@@ -11,8 +11,28 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rawmart.plans import zones
+from pyspark.sql import Column
+
+from rawmart import schemas as S
+from rawmart.functions import (
+    day_of,
+    is_array,
+    is_object,
+    json_scalar,
+    json_text,
+    local_ts_to_utc,
+    parse_once,
+    safe_double,
+    safe_long,
+    truthy,
+    year_bucket,
+)
+from rawmart.operators.cursors import last_time_cursor, max_year_cursor
+from rawmart.operators.merge import merge_plan
+from rawmart.plans import consume, zones
 from rawmart.sources import driver_tables as D
+from rawmart.sources.bodies import page_cut, unwrap_pages
+from rawmart.sources.config_text import id_list, parse_locations, request_window
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -35,6 +55,7 @@ _IND_TYPED = """
 ind AS (
   SELECT
     event_id,
+    ts,
     event_type AS requested_id,
     'U' || lpad(CAST(user_id AS VARCHAR), 5, '0') AS country_iso3,
     CASE WHEN event_id % 31 = 0 THEN NULL ELSE 'User ' || CAST(user_id AS VARCHAR) END AS country_name,
@@ -77,5 +98,709 @@ def stg_indicator_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zones.stg_indicator_source(_raw_indicator(spark, sf_dir))
 
 
-__all__ = ["QUERIES", "ORACLE", "F"]
-FLAGSHIP = "stg_indicator_latest"
+
+# ---------------------------------------------------------------- scalar JSON functions
+
+
+def _events_json(spark: SparkSession, sf_dir: str, node: Column) -> DataFrame:
+    """events + a JSON document ``{"n": <node>}`` parsed once (node NULL = key missing)."""
+    ev = D.table(spark, sf_dir, "events")
+    doc = F.concat(F.lit("{"), F.concat_ws(",", F.lit('"id":0'), F.concat(F.lit('"n":'), node)), F.lit("}"))
+    return parse_once(ev.select("event_id", "user_id", "value", doc.alias("doc")), "doc", strict=True)
+
+
+@register(
+    "json_path_scalar",
+    """SELECT event_id, json_extract_string(props, '$.k') AS k_text,
+              CAST(json_extract_string(props, '$.k') AS BIGINT) AS k
+       FROM events""",
+)
+def json_path_scalar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = parse_once(D.table(spark, sf_dir, "events").select("event_id", "props"), "props", strict=True)
+    return ev.select("event_id", json_scalar("payload", "$.k").alias("k_text")).select(
+        "event_id", "k_text", safe_long("k_text").alias("k")
+    )
+
+
+_NODE_KINDS = """CASE event_id % 6 WHEN 0 THEN 'object' WHEN 1 THEN 'array' WHEN 2 THEN 'null'
+                 WHEN 3 THEN 'missing' WHEN 4 THEN 'string' ELSE 'number' END"""
+
+
+@register(
+    "json_nonscalar_null",
+    f"""SELECT event_id,
+              CASE event_id % 6 WHEN 4 THEN 's' || CAST(user_id AS VARCHAR)
+                                WHEN 5 THEN CAST(user_id AS VARCHAR) END AS node_text,
+              event_id % 6 = 0 AS node_is_object,
+              event_id % 6 = 1 AS node_is_array
+       FROM events""",
+)
+def json_nonscalar_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    uid = F.col("user_id").cast("string")
+    m = F.col("event_id") % 6
+    node = (
+        F.when(m == 0, F.concat(F.lit('{"a":'), uid, F.lit("}")))
+        .when(m == 1, F.concat(F.lit("["), uid, F.lit("]")))
+        .when(m == 2, F.lit("null"))
+        .when(m == 4, F.concat(F.lit('"s'), uid, F.lit('"')))
+        .when(m == 5, uid)
+    )
+    df = _events_json(spark, sf_dir, node)
+    return df.select(
+        "event_id",
+        json_scalar("payload", "$.n").alias("node_text"),
+        is_object("payload", "$.n").alias("node_is_object"),
+        is_array("payload", "$.n").alias("node_is_array"),
+    )
+
+
+@register(
+    "safe_casts",
+    """SELECT event_id, txt AS cast_text,
+              CASE WHEN m IN (0, 1, 2) THEN user_id END AS as_long,
+              CASE WHEN m IN (0, 1, 2) THEN CAST(user_id AS DOUBLE)
+                   WHEN m = 3 THEN user_id + 0.5
+                   WHEN m = 6 THEN CAST(user_id * 100 AS DOUBLE)
+                   WHEN m = 7 THEN value END AS as_double
+       FROM (SELECT event_id, user_id, value, event_id % 8 AS m,
+                    CASE event_id % 8 WHEN 0 THEN CAST(user_id AS VARCHAR)
+                                      WHEN 1 THEN ' ' || CAST(user_id AS VARCHAR) || ' '
+                                      WHEN 2 THEN '+' || CAST(user_id AS VARCHAR)
+                                      WHEN 3 THEN CAST(user_id AS VARCHAR) || '.5'
+                                      WHEN 4 THEN '0x' || CAST(user_id AS VARCHAR)
+                                      WHEN 5 THEN ''
+                                      WHEN 6 THEN CAST(user_id AS VARCHAR) || 'e2'
+                                      ELSE CAST(value AS VARCHAR) END AS txt
+             FROM events)""",
+)
+def safe_casts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E4/E5 on text shapes derived from events: integers with blanks/sign, decimals, hex, empty,
+    exponents and the events' own decimal values."""
+    ev = D.table(spark, sf_dir, "events")
+    uid = F.col("user_id").cast("string")
+    m = F.col("event_id") % 8
+    txt = (
+        F.when(m == 0, uid)
+        .when(m == 1, F.concat(F.lit(" "), uid, F.lit(" ")))
+        .when(m == 2, F.concat(F.lit("+"), uid))
+        .when(m == 3, F.concat(uid, F.lit(".5")))
+        .when(m == 4, F.concat(F.lit("0x"), uid))
+        .when(m == 5, F.lit(""))
+        .when(m == 6, F.concat(uid, F.lit("e2")))
+        .otherwise(F.col("value").cast("string"))
+    )
+    df = ev.select("event_id", txt.alias("cast_text"))
+    # the decimal text of a double: a whole number like 12.0 keeps its '.0', so it is not an integer
+    return df.select("event_id", "cast_text", safe_long("cast_text").alias("as_long"), safe_double("cast_text").alias("as_double"))
+
+
+@register(
+    "truthy_filter",
+    """SELECT event_id, event_id % 12 AS kind FROM events
+       WHERE event_id % 12 IN (3, 7, 11) OR (event_id % 12 = 10 AND value <> 0)""",
+)
+def truthy_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Python truthiness of 12 JSON node shapes; keeps the truthy ones."""
+    m = F.col("event_id") % 12
+    node = (
+        F.when(m == 0, F.lit("0"))
+        .when(m == 1, F.lit("0.0"))
+        .when(m == 2, F.lit('""'))
+        .when(m == 3, F.lit('"0"'))
+        .when(m == 4, F.lit("[]"))
+        .when(m == 5, F.lit("{}"))
+        .when(m == 6, F.lit("false"))
+        .when(m == 7, F.lit("true"))
+        .when(m == 8, F.lit("null"))
+        .when(m == 10, F.col("value").cast("string"))
+        .when(m == 11, F.lit('"x"'))
+    )
+    df = _events_json(spark, sf_dir, node)
+    return df.where(truthy("payload", "$.n")).select("event_id", (F.col("event_id") % 12).alias("kind"))
+
+
+# ---------------------------------------------------------------- time and buckets
+
+
+@register(
+    "parse_local_ts",
+    f"""SELECT event_id,
+              CASE WHEN event_id % 9 = 0 THEN NULL
+                   ELSE timezone('UTC', timezone('{D.HOURLY_TZ}', date_trunc('minute', ts))) END AS utc_ts,
+              CASE WHEN event_id % 9 = 0 THEN NULL
+                   ELSE CAST(timezone('UTC', timezone('{D.HOURLY_TZ}', date_trunc('minute', ts))) AS DATE) END AS utc_date
+       FROM events""",
+)
+def parse_local_ts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Local wall-time text (every 9th with seconds, which the format rejects) -> UTC instant and day."""
+    ev = D.table(spark, sf_dir, "events")
+    text = F.when(F.col("event_id") % 9 == 0, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")).otherwise(
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm")
+    )
+    utc = local_ts_to_utc(text, D.HOURLY_TZ)
+    return ev.select("event_id", utc.alias("utc_ts")).select("event_id", "utc_ts", day_of("utc_ts").alias("utc_date"))
+
+
+@register(
+    "year_bucket",
+    """SELECT o_orderkey, y AS year,
+              CASE WHEN y < 1900 THEN 0 WHEN y >= 2200 THEN 301 ELSE y - 1899 END AS year_bucket
+       FROM (SELECT o_orderkey, CAST(year(o_orderdate) + o_orderkey % 420 - 210 AS BIGINT) AS y FROM orders)""",
+)
+def year_bucket_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Range buckets over 1900..2200 step 1 on order years shifted to span both edges."""
+    o = D.table(spark, sf_dir, "orders")
+    y = (F.year("o_orderdate") + F.col("o_orderkey") % 420 - 210).cast("bigint")
+    return o.select("o_orderkey", y.alias("year")).select("o_orderkey", "year", year_bucket("year").alias("year_bucket"))
+
+
+@register(
+    "archive_window",
+    """SELECT o_orderkey, CAST(o_orderdate AS DATE) - CAST(greatest(o_orderkey % 10 - 1, 0) AS INTEGER) AS start_date,
+              CAST(o_orderdate AS DATE) AS end_date
+       FROM orders""",
+)
+def archive_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archive request window ending at the order date, 0..9 days long."""
+    o = D.table(spark, sf_dir, "orders")
+    start, end = request_window(F.to_date("o_orderdate"), (F.col("o_orderkey") % 10).cast("int"))
+    return o.select("o_orderkey", start.alias("start_date"), end.alias("end_date"))
+
+
+# ---------------------------------------------------------------- configuration text
+
+
+@register(
+    "id_list",
+    """SELECT event_id, 0 AS pos, event_type AS id FROM events
+       UNION ALL
+       SELECT event_id, 1 AS pos, CAST(user_id AS VARCHAR) AS id FROM events""",
+)
+def id_list_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Comma lists with blanks and empty entries -> trimmed ids."""
+    ev = D.table(spark, sf_dir, "events")
+    text = F.concat(F.lit(" "), F.col("event_type"), F.lit(" ,, "), F.col("user_id").cast("string"), F.lit(" , "))
+    return ev.select("event_id", F.posexplode(id_list(text)).alias("pos", "id"))
+
+
+def _location_values() -> str:
+    rows = []
+    for part in D.location_spec().split(";"):
+        lid, lat, lon = part.split(":")
+        rows.append(f"('{lid}', CAST({lat} AS DOUBLE), CAST({lon} AS DOUBLE))")
+    return "(VALUES " + ", ".join(rows) + ") AS loc(location_id, latitude, longitude)"
+
+
+# ---------------------------------------------------------------- paged bodies
+
+_PAGES = f"""
+pg AS (
+  SELECT DISTINCT o_orderpriority AS indicator_id, CAST(floor(o_orderkey / {D.PAGE_SIZE}) + 1 AS INTEGER) AS page_no
+  FROM orders
+),
+flags AS (
+  SELECT indicator_id, page_no,
+         (indicator_id = '{D.EMPTY_PAGE[0]}' AND page_no = {D.EMPTY_PAGE[1]})
+           OR (indicator_id = '{D.BAD_ENVELOPE_PAGE[0]}' AND page_no = {D.BAD_ENVELOPE_PAGE[1]}) AS is_empty,
+         CASE WHEN indicator_id = '{D.NO_PAGES_INDICATOR}' THEN page_no
+              WHEN indicator_id = '{D.TEXT_PAGES[0]}' THEN {D.TEXT_PAGES[1]}
+              ELSE 1000000 END AS pages
+  FROM pg
+),
+nonempty AS (
+  -- a page whose every order key is a multiple of 13 would be empty too
+  SELECT o_orderpriority AS indicator_id, CAST(floor(o_orderkey / {D.PAGE_SIZE}) + 1 AS INTEGER) AS page_no
+  FROM orders WHERE o_orderkey % 13 <> 0 GROUP BY 1, 2
+),
+stops AS (
+  SELECT f.indicator_id,
+         min(CASE WHEN f.is_empty OR n.page_no IS NULL THEN f.page_no - 1
+                  WHEN f.page_no >= f.pages THEN f.page_no END) AS stop_at
+  FROM flags f LEFT JOIN nonempty n USING (indicator_id, page_no)
+  GROUP BY f.indicator_id
+),
+gaps AS (
+  SELECT indicator_id, min(c) - 1 AS gap_at FROM (
+    SELECT indicator_id, page_no + 1 AS c FROM pg
+    UNION SELECT DISTINCT indicator_id, 1 FROM pg
+  ) cand
+  WHERE NOT EXISTS (SELECT 1 FROM pg p WHERE p.indicator_id = cand.indicator_id AND p.page_no = cand.c)
+  GROUP BY indicator_id
+),
+cut AS (
+  SELECT g.indicator_id, least(g.gap_at, coalesce(s.stop_at, g.gap_at)) AS last_page
+  FROM gaps g LEFT JOIN stops s USING (indicator_id)
+)"""
+
+
+@register("page_cut", f"WITH {_PAGES}\nSELECT 'run_0001' AS extract_run_id, indicator_id, last_page FROM cut")
+def page_cut_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Last page kept per (run, indicator): empty page, pages reached (number or text),
+    pages missing, and a bad envelope all end the page run."""
+    return page_cut(D.indicator_bodies(D.table(spark, sf_dir, "orders")))
+
+
+_UNWRAPPED = f"""
+WITH {_PAGES},
+rec AS (
+  SELECT o.o_orderpriority AS indicator_id, CAST(floor(o.o_orderkey / {D.PAGE_SIZE}) + 1 AS INTEGER) AS page_no,
+         'C' || CAST(o.o_custkey AS VARCHAR) AS country_iso3, CAST(year(o.o_orderdate) AS VARCHAR) AS date_text,
+         o.o_totalprice AS value_num, o.o_orderkey AS order_key
+  FROM orders o JOIN cut c ON c.indicator_id = o.o_orderpriority
+  WHERE o.o_orderkey % 13 <> 0 AND floor(o.o_orderkey / {D.PAGE_SIZE}) + 1 <= c.last_page
+)"""
+
+
+@register("unwrap_pages", _UNWRAPPED + "\nSELECT * FROM rec")
+def unwrap_pages_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Captured pages -> object records of the kept pages; non-objects dropped silently."""
+    recs = unwrap_pages(D.indicator_bodies(D.table(spark, sf_dir, "orders")))
+    return recs.select(
+        "indicator_id",
+        "page_no",
+        json_scalar("payload", "$.countryiso3code").alias("country_iso3"),
+        json_scalar("payload", "$.date").alias("date_text"),
+        safe_double(json_scalar("payload", "$.value")).alias("value_num"),
+        safe_long(json_scalar("payload", "$.order_key")).alias("order_key"),
+    )
+
+
+@register(
+    "cursor_year",
+    f"""WITH {_IND_TYPED.strip()}
+       SELECT requested_id AS indicator_id, max(date_text) AS max_cursor_value
+       FROM ind
+       WHERE NOT (event_id % 23 <> 0 AND event_id % 53 <> 0 AND event_id % 47 = 0)
+       GROUP BY requested_id""",
+)
+def cursor_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G1: text maximum of truthy ``date`` per requested indicator, over every record (valid or not)."""
+    return max_year_cursor(D.indicator_records(D.table(spark, sf_dir, "events")))
+
+
+# ---------------------------------------------------------------- indicator validity
+
+
+@register(
+    "indicator_valid",
+    f"""WITH {_IND_TYPED.strip()}
+       SELECT requested_id AS indicator_id, extract_run_id, ingested_at, '' AS source_file,
+              country_iso3, date_text
+       FROM ind WHERE is_valid""",
+)
+def indicator_valid_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = _raw_indicator(spark, sf_dir)
+    return raw.select(
+        "indicator_id",
+        "extract_run_id",
+        "ingested_at",
+        "source_file",
+        json_scalar("payload", "$.countryiso3code").alias("country_iso3"),
+        json_scalar("payload", "$.date").alias("date_text"),
+    )
+
+
+@register(
+    "indicator_dead",
+    """SELECT 'world_bank' AS source_name, 'invalid_indicator_record' AS reason,
+              lpad(CAST(event_id AS VARCHAR), 10, '0') AS extract_run_id,
+              CAST(CAST(ts AS DATE) AS TIMESTAMP) AS ingested_at,
+              event_type AS context_indicator_id,
+              CASE WHEN event_id % 41 = 0 THEN 'empty_iso3' WHEN event_id % 43 = 0 THEN 'no_iso3'
+                   WHEN event_id % 37 = 0 THEN 'country_text' ELSE 'date_zero' END AS fault
+       FROM events
+       WHERE event_id % 41 = 0 OR event_id % 43 = 0 OR event_id % 37 = 0
+          OR (event_id % 23 <> 0 AND event_id % 53 <> 0 AND event_id % 47 = 0)""",
+)
+def indicator_dead_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, dead = zones.indicator_batch(D.indicator_records(D.table(spark, sf_dir, "events")))
+    p = "payload"
+    fault = (
+        F.when(json_scalar(p, "$.countryiso3code") == "", F.lit("empty_iso3"))
+        .when(json_text(p, "$.countryiso3code").isNull(), F.lit("no_iso3"))
+        .when(~is_object(p, "$.country"), F.lit("country_text"))
+        .otherwise(F.lit("date_zero"))
+    )
+    return dead.select(
+        "source_name",
+        "reason",
+        "extract_run_id",
+        "ingested_at",
+        F.col("context")["indicator_id"].alias("context_indicator_id"),
+        fault.alias("fault"),
+    )
+
+
+@register(
+    "indicator_rejects",
+    f"""WITH {_IND_TYPED.strip()}
+       SELECT 'non_integer_year' AS reason, country_iso3, indicator_id, date_text, ingested_at, extract_run_id
+       FROM ind WHERE is_valid AND year IS NULL""",
+)
+def indicator_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Valid records that cannot reach staging (``2020Q1``-style dates), made visible."""
+    return zones.stg_indicator_rejects(_raw_indicator(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- hourly path
+
+_SPLIT = "2024-01-16"  # merge queries: rows landed before this day form one side, the rest the other
+
+_HOURLY = f"""
+hel AS (
+  SELECT 'L' || lpad(CAST(user_id % {D.N_LOCATIONS} AS VARCHAR), 2, '0') AS location_id,
+         CASE WHEN event_id % 2 = 0 THEN 'archive' ELSE 'forecast' END AS source_variant,
+         CAST(ts AS DATE) AS day, CAST(floor(event_id / {D.HOURLY_BUCKET}) AS BIGINT) AS bucket,
+         user_id % {D.N_LOCATIONS} AS loc_no, ts, event_id, value, user_id, props
+  FROM events
+),
+hb AS (
+  SELECT *,
+         row_number() OVER (PARTITION BY location_id, source_variant, day, bucket ORDER BY ts) - 1 AS pos,
+         count(*) OVER (PARTITION BY location_id, source_variant, day, bucket) AS n,
+         (bucket + loc_no) % 17 = 0 AS no_hourly,
+         (bucket + loc_no) % 13 = 0 AS short_precip,
+         (bucket + loc_no) % 11 = 0 AS no_wind,
+         strftime(day, '%Y%m%d') || '_' || lpad(CAST(bucket AS VARCHAR), 4, '0') AS extract_run_id,
+         CAST(day + INTERVAL 1 DAY AS TIMESTAMP) AS ingested_at
+  FROM hel
+),
+hrow AS (
+  SELECT location_id, source_variant, extract_run_id, ingested_at, pos, ts, event_id, n,
+         NOT (no_hourly OR short_precip OR no_wind) AS body_valid,
+         CASE WHEN event_id % 41 = 0 THEN strftime(ts, '%Y-%m-%d %H:%M') ELSE strftime(ts, '%Y-%m-%dT%H:00') END AS time_text,
+         CASE WHEN event_id % 37 = 0 THEN NULL ELSE value END AS temperature_2m,
+         CASE WHEN short_precip AND pos = n - 1 THEN NULL
+              ELSE CAST(json_extract_string(props, '$.k') AS DOUBLE) END AS precipitation,
+         CASE WHEN no_wind OR event_id % 43 = 0 THEN NULL ELSE CAST(user_id % 40 AS DOUBLE) + 0.5 END AS wind_speed_10m,
+         CASE WHEN event_id % 41 = 0 THEN NULL
+              ELSE timezone('UTC', timezone('{D.HOURLY_TZ}', date_trunc('hour', ts))) END AS timestamp
+  FROM hb
+  WHERE NOT no_hourly AND event_id % 31 <> 0
+),
+loc AS (SELECT * FROM {_location_values()}),
+hstg_all AS (
+  SELECT r.location_id, l.latitude, l.longitude, r.timestamp, r.temperature_2m, r.precipitation, r.wind_speed_10m,
+         r.ingested_at, r.extract_run_id, r.source_variant, r.pos
+  FROM hrow r JOIN loc l USING (location_id)
+  WHERE r.body_valid AND r.timestamp IS NOT NULL
+)"""
+
+
+def _latest_hourly_sql(where: str = "TRUE") -> str:
+    return f"""
+  SELECT location_id, latitude, longitude, timestamp, temperature_2m, precipitation, wind_speed_10m, ingested_at, extract_run_id
+  FROM (
+    SELECT *, row_number() OVER (PARTITION BY location_id, timestamp
+              ORDER BY ingested_at DESC, extract_run_id DESC, (source_variant = 'archive') DESC, pos DESC) AS rn
+    FROM hstg_all WHERE {where}
+  ) WHERE rn = 1"""
+
+
+_HSTG = f"WITH {_HOURLY},\nhstg AS ({_latest_hourly_sql()})"
+
+
+def _locations(spark: SparkSession) -> DataFrame:
+    """Configured locations parsed from configuration text (a handful of rows: broadcast)."""
+    spec = spark.range(1).select(F.lit(D.location_spec()).alias("spec"))
+    return parse_locations(spec)
+
+
+def _hourly_batch(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    payloads = D.hourly_payloads(D.table(spark, sf_dir, "events"))
+    return zones.hourly_batch(payloads, _locations(spark))
+
+
+@register(
+    "array_align",
+    f"""WITH {_HOURLY}
+       SELECT location_id, source_variant, extract_run_id, pos, time_text, temperature_2m, precipitation, wind_speed_10m
+       FROM hrow""",
+)
+def array_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every captured payload (no validity gate) aligned by time offset; a short
+    precipitation array and a missing wind array give NULLs; null times drop without shifting."""
+    payloads = D.hourly_payloads(D.table(spark, sf_dir, "events"))
+    rows = zones.hourly_rows(payloads.withColumn("latitude", F.lit(0.0)).withColumn("longitude", F.lit(0.0)), D.HOURLY_TZ)
+    return rows.select(
+        "location_id", "source_variant", "extract_run_id", "pos", "time_text", "temperature_2m", "precipitation", "wind_speed_10m"
+    )
+
+
+@register(
+    "locations_parse",
+    f"SELECT * FROM {_location_values()}",
+)
+def locations_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The location configuration text of the derived data -> typed rows."""
+    return _locations(spark)
+
+
+_HBODY = f"""
+WITH {_HOURLY},
+body AS (
+  SELECT location_id, source_variant, extract_run_id, ingested_at, count(*) AS n_times,
+         bool_and(NOT (no_hourly OR short_precip OR no_wind)) AS body_valid
+  FROM hb GROUP BY location_id, source_variant, extract_run_id, ingested_at
+)"""
+
+
+@register(
+    "hourly_valid",
+    _HBODY
+    + """
+SELECT b.location_id, l.latitude, l.longitude, b.source_variant, b.extract_run_id, b.ingested_at, b.n_times
+FROM body b JOIN loc l USING (location_id) WHERE b.body_valid""",
+)
+def hourly_valid_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Valid payloads with configured coordinates."""
+    raw, _ = _hourly_batch(spark, sf_dir)
+    return raw.select(
+        "location_id",
+        "latitude",
+        "longitude",
+        "source_variant",
+        "extract_run_id",
+        "ingested_at",
+        F.size(F.try_variant_get("payload", "$.hourly.time", "array<variant>")).cast("bigint").alias("n_times"),
+    )
+
+
+@register(
+    "hourly_dead",
+    _HBODY
+    + """
+SELECT 'open_meteo' AS source_name, 'invalid_' || source_variant || '_payload' AS reason,
+       extract_run_id, ingested_at, location_id AS context_location_id
+FROM body WHERE NOT body_valid""",
+)
+def hourly_dead_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payloads failing the shape gate -> dead letters with the variant in the reason."""
+    _, dead = _hourly_batch(spark, sf_dir)
+    return dead.select(
+        "source_name", "reason", "extract_run_id", "ingested_at", F.col("context")["location_id"].alias("context_location_id")
+    )
+
+
+@register(
+    "cursor_last_time",
+    f"""WITH {_HOURLY}
+       SELECT location_id, source_variant, extract_run_id,
+              CASE WHEN no_hourly OR event_id % 31 = 0 THEN NULL
+                   WHEN event_id % 41 = 0 THEN strftime(ts, '%Y-%m-%d %H:%M')
+                   ELSE strftime(ts, '%Y-%m-%dT%H:00') END AS last_time
+       FROM hb WHERE pos = n - 1""",
+)
+def cursor_last_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last element of ``hourly.time`` per payload (not the maximum)."""
+    payloads = D.hourly_payloads(D.table(spark, sf_dir, "events"))
+    return payloads.select("location_id", "source_variant", "extract_run_id", last_time_cursor("payload").alias("last_time"))
+
+
+def _stg_hourly(spark: SparkSession, sf_dir: str, where=None) -> DataFrame:
+    raw, _ = _hourly_batch(spark, sf_dir)
+    if where is not None:
+        raw = raw.where(where)
+    return zones.stg_hourly_source(raw, D.HOURLY_TZ)
+
+
+@register("stg_hourly_latest", _HSTG + "\nSELECT * FROM hstg")
+def stg_hourly_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Valid payloads -> aligned rows -> local hour to UTC -> latest per (location, hour)."""
+    return _stg_hourly(spark, sf_dir)
+
+
+@register(
+    "hourly_rejects",
+    f"""WITH {_HOURLY}
+       SELECT 'bad_time' AS reason, location_id, time_text, pos, ingested_at, extract_run_id
+       FROM hrow WHERE body_valid AND timestamp IS NULL""",
+)
+def hourly_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Time elements that are present but not local ``yyyy-MM-ddTHH:mm`` go to rejects, not staging."""
+    raw, _ = _hourly_batch(spark, sf_dir)
+    return zones.stg_hourly_rejects(raw, D.HOURLY_TZ)
+
+
+# ---------------------------------------------------------------- merge
+
+_IND_SIDES = f"""
+WITH {_IND_TYPED.strip()},
+side AS (
+  SELECT *, ts < TIMESTAMP '{_SPLIT}' AS early FROM ind WHERE is_valid AND year IS NOT NULL
+),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY early, country_iso3, indicator_id, year
+                               ORDER BY ingested_at DESC, extract_run_id DESC) AS rn
+  FROM side
+),
+t AS (SELECT country_iso3, country_name, indicator_id, indicator_name, year, value_num, ingested_at, extract_run_id
+      FROM ranked WHERE rn = 1 AND NOT early),
+s AS (SELECT country_iso3, country_name, indicator_id, indicator_name, year, value_num, ingested_at, extract_run_id
+      FROM ranked WHERE rn = 1 AND early)
+SELECT * FROM t WHERE NOT EXISTS (
+  SELECT 1 FROM s WHERE s.country_iso3 = t.country_iso3 AND s.indicator_id = t.indicator_id AND s.year = t.year)
+UNION ALL SELECT * FROM s"""
+
+
+def _ind_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    raw = _raw_indicator(spark, sf_dir)
+    early = F.col("ingested_at") < F.lit(_SPLIT).cast("timestamp_ntz")
+    late_stg = zones.stg_indicator_source(raw.where(~early))
+    early_stg = zones.stg_indicator_source(raw.where(early))
+    return late_stg, early_stg
+
+
+@register("merge_indicator", _IND_SIDES)
+def merge_indicator(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """target = staging of the later days, source = staging of the earlier days, no recency
+    guard: every matched row is replaced by the (older) source row, unmatched target rows stay."""
+    target, source = _ind_sides(spark, sf_dir)
+    return merge_plan(target, source, S.INDICATOR_KEYS)
+
+
+@register("merge_twice", _IND_SIDES)
+def merge_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M3: merging the same source twice gives the same table as merging it once."""
+    target, source = _ind_sides(spark, sf_dir)
+    once = merge_plan(target, source, S.INDICATOR_KEYS)
+    return merge_plan(once, source, S.INDICATOR_KEYS)
+
+
+@register("merge_guarded", _STG_IND + "\nSELECT * FROM stg")
+def merge_guarded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With the recency guard an older source never overwrites; the result equals staging of all rows."""
+    target, source = _ind_sides(spark, sf_dir)
+    return merge_plan(target, source, S.INDICATOR_KEYS, recency=["ingested_at", "extract_run_id"])
+
+
+@register(
+    "merge_hourly",
+    f"""WITH {_HOURLY},
+t AS ({_latest_hourly_sql(f"ingested_at >= TIMESTAMP '{_SPLIT}'")}),
+s AS ({_latest_hourly_sql(f"ingested_at < TIMESTAMP '{_SPLIT}'")})
+SELECT * FROM t WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.location_id = t.location_id AND s.timestamp = t.timestamp)
+UNION ALL SELECT * FROM s""",
+)
+def merge_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1/J7 on the hourly staging key (location, timestamp)."""
+    early = F.col("ingested_at") < F.lit(_SPLIT).cast("timestamp_ntz")
+    target = _stg_hourly(spark, sf_dir, ~early)
+    source = _stg_hourly(spark, sf_dir, early)
+    return merge_plan(target, source, S.HOURLY_KEYS)
+
+
+# ---------------------------------------------------------------- marts and consumers
+
+
+@register(
+    "mart_indicator_year",
+    _STG_IND + "\nSELECT country_iso3, country_name, indicator_id, indicator_name, year, value_num FROM stg",
+)
+def mart_indicator_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return zones.mart_indicator_source(zones.stg_indicator_source(_raw_indicator(spark, sf_dir)))
+
+
+_MART_H = _HSTG + ",\nmart AS (SELECT location_id, timestamp, temperature_2m, precipitation, wind_speed_10m FROM hstg)"
+
+
+@register("mart_hourly", _MART_H + "\nSELECT * FROM mart")
+def mart_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flagship: captured hourly bodies -> validity split -> aligned, typed rows -> staging -> mart."""
+    return zones.mart_hourly_source(_stg_hourly(spark, sf_dir))
+
+
+@register(
+    "kpi_latest",
+    _STG_IND
+    + """
+SELECT country_iso3, indicator_id, year, value_num FROM (
+  SELECT *, row_number() OVER (PARTITION BY country_iso3, indicator_id ORDER BY year DESC) AS rn
+  FROM stg WHERE value_num IS NOT NULL) WHERE rn = 1""",
+)
+def kpi_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Latest known value per country and indicator."""
+    return consume.latest_value(mart_indicator_year(spark, sf_dir))
+
+
+@register("annual_series", _STG_IND + "\nSELECT country_iso3, indicator_id, year, value_num FROM stg")
+def annual_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Yearly series (no filter: every country and indicator)."""
+    return consume.annual_series(mart_indicator_year(spark, sf_dir))
+
+
+@register("hourly_series", _MART_H + "\nSELECT * FROM mart")
+def hourly_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly series over every location and the whole time range."""
+    return consume.hourly_series(mart_hourly(spark, sf_dir))
+
+
+@register(
+    "chart_feed",
+    _MART_H
+    + """
+SELECT location_id, timestamp, 'temperature_2m' AS measure, temperature_2m AS value FROM mart
+UNION ALL SELECT location_id, timestamp, 'precipitation', precipitation FROM mart
+UNION ALL SELECT location_id, timestamp, 'wind_speed_10m', wind_speed_10m FROM mart""",
+)
+def chart_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C4: long form per measure for the three charts."""
+    return consume.chart_feed(mart_hourly(spark, sf_dir))
+
+
+_AS_OF = "2024-01-31 12:00:00"
+
+
+@register(
+    "freshness",
+    f"""WITH {_IND_TYPED.strip()}, {_HOURLY},
+last AS (
+  SELECT 'world_bank' AS source, max(ingested_at) AS last_ingested_at FROM ind WHERE is_valid
+  UNION ALL
+  SELECT 'open_meteo', max(ingested_at) FROM hb WHERE NOT (no_hourly OR short_precip OR no_wind)
+)
+SELECT source, last_ingested_at,
+       (epoch_us(TIMESTAMP '{_AS_OF}') - epoch_us(last_ingested_at)) / 3.6e9 AS age_hours,
+       last_ingested_at IS NULL OR (epoch_us(TIMESTAMP '{_AS_OF}') - epoch_us(last_ingested_at)) / 3.6e9 > 24 AS is_stale
+FROM last""",
+)
+def freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Last landing per source against an as-of time with a 24 h limit."""
+    raw_h, _ = _hourly_batch(spark, sf_dir)
+    return consume.freshness({"world_bank": _raw_indicator(spark, sf_dir), "open_meteo": raw_h}, _AS_OF, 24)
+
+
+@register(
+    "reject_summary",
+    f"""WITH {_IND_TYPED.strip()}, {_HOURLY.strip()},
+body AS (SELECT DISTINCT location_id, source_variant, extract_run_id, (no_hourly OR short_precip OR no_wind) AS bad FROM hb)
+SELECT 'world_bank' AS source_name, 'invalid_indicator_record' AS reason, count(*) AS rejected FROM ind WHERE NOT is_valid
+UNION ALL
+SELECT 'open_meteo', 'invalid_' || source_variant || '_payload', count(*) FROM body WHERE bad GROUP BY source_variant""",
+)
+def reject_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dead letters of both sources counted by reason."""
+    _, dead_i = zones.indicator_batch(D.indicator_records(D.table(spark, sf_dir, "events")))
+    _, dead_h = _hourly_batch(spark, sf_dir)
+    return consume.reject_summary(dead_i.unionByName(dead_h))
+
+
+@register(
+    "run_metrics",
+    f"""WITH {_IND_TYPED.strip()}, {_HOURLY.strip()},
+body AS (SELECT DISTINCT location_id, source_variant, extract_run_id, (no_hourly OR short_precip OR no_wind) AS bad FROM hb)
+SELECT 'world_bank' AS source_name, requested_id AS entity, count(*) AS records FROM ind WHERE is_valid GROUP BY requested_id
+UNION ALL
+SELECT 'open_meteo', location_id, count(*) FROM body WHERE NOT bad GROUP BY location_id""",
+)
+def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Valid records per indicator and valid payloads per location."""
+    from rawmart.operators.cursors import run_metrics as metrics
+
+    raw_i = _raw_indicator(spark, sf_dir).select(F.lit("world_bank").alias("source_name"), F.col("indicator_id").alias("entity"))
+    raw_h, _ = _hourly_batch(spark, sf_dir)
+    raw_h = raw_h.select(F.lit("open_meteo").alias("source_name"), F.col("location_id").alias("entity"))
+    return metrics(raw_i.unionByName(raw_h), ["source_name", "entity"])
+
+
+FLAGSHIP = "mart_hourly"
