@@ -55,7 +55,10 @@ class RunResult:
     steps: list[str] = field(default_factory=list)
 
 
-def _stamp(df: DataFrame, run_id: str, ingested_at: str) -> DataFrame:
+def _stamp(df: DataFrame, run_id: str | None, ingested_at: str | None) -> DataFrame:
+    # bodies captured with their own run stamps keep them (run_id None)
+    if run_id is None:
+        return df
     # One run id and one ingestion time per run, fixed on the driver (never current_timestamp per query)
     return df.withColumn("extract_run_id", F.lit(run_id)).withColumn(
         "ingested_at", F.lit(ingested_at).cast("timestamp_ntz")
@@ -66,8 +69,8 @@ def build_batches(
     indicator_bodies: DataFrame | None,
     hourly_bodies: DataFrame | None,
     locations: DataFrame,
-    run_id: str,
-    ingested_at: str,
+    run_id: str | None,
+    ingested_at: str | None,
     enabled_variants: Sequence[str] = ("archive", "forecast"),
     measures: Sequence[str] = DEFAULT_MEASURES,
 ) -> dict[str, tuple[DataFrame, DataFrame]]:
@@ -168,8 +171,8 @@ def run_job(
     indicator_bodies: DataFrame | None,
     hourly_bodies: DataFrame | None,
     locations: DataFrame,
-    run_id: str,
-    ingested_at: str,
+    run_id: str | None,
+    ingested_at: str | None,
     tz: str = "UTC",
     incremental: bool = True,
 ) -> RunResult:
@@ -178,12 +181,14 @@ def run_job(
     batches = build_batches(indicator_bodies, hourly_bodies, locations, run_id, ingested_at)
     landed_sources = []
     for prefix, (raw, dead) in batches.items():
-        if land_batch(spark, z, prefix, raw, dead, run_id, ingested_at):
+        label_run = run_id or "captured"
+        label_at = ingested_at or "captured"
+        if land_batch(spark, z, prefix, raw, dead, label_run, label_at):
             landed_sources.append(prefix)
             result.landed.append(prefix)
     if not landed_sources:
         return result
-    steps = step_functions(spark, z, tz, run_id if incremental else None)
+    steps = step_functions(spark, z, tz, run_id if (incremental and run_id is not None) else None)
     skip = set()
     if "world_bank_indicator" not in landed_sources and not _exists(spark, z.raw_indicator):
         skip |= {"010_stg_indicator", "020_mart_indicator"}

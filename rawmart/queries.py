@@ -803,4 +803,157 @@ def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics(raw_i.unionByName(raw_h), ["source_name", "entity"])
 
 
+
+# ---------------------------------------------------------------- landing, raw zone, dead letters
+
+_LANDED_AT = "2024-02-01T00:00:00+00:00"
+_LANDING_FILE = "world_bank_indicator_run_0001_2024-02-01T00-00-00+00-00.jsonl"
+
+
+def _scratch(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the shared checkpoint folder (never a machine-local temp folder)."""
+    import uuid
+
+    from rawmart.session import scratch_path
+
+    return scratch_path(spark, f"queries/{name}/{uuid.uuid4().hex}")
+
+
+@register(
+    "raw_roundtrip",
+    f"""WITH {_IND_TYPED.strip()}
+       SELECT requested_id AS indicator_id, 'run_0001' AS extract_run_id, ingested_at,
+              '{_LANDING_FILE}' AS source_file, country_iso3, date_text
+       FROM ind WHERE is_valid""",
+)
+def raw_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Valid raw rows of one run -> newline JSON in ``extract_run_id=`` folders
+    (nulls written, payload as nested JSON) -> read back with the fixed raw schema."""
+    from rawmart.sources.landing import land_jsonl, landing_name, read_landed
+
+    raw = _raw_indicator(spark, sf_dir).withColumn("extract_run_id", F.lit(D.RUN_ID))
+    path = _scratch(spark, "raw_roundtrip")
+    land_jsonl(raw, path, source_file=landing_name("world_bank_indicator", D.RUN_ID, _LANDED_AT))
+    back = read_landed(spark, path, S.RAW_INDICATOR, corrupt_column=None)
+    return back.select(
+        "indicator_id",
+        "extract_run_id",
+        "ingested_at",
+        "source_file",
+        json_scalar("payload", "$.countryiso3code").alias("country_iso3"),
+        json_scalar("payload", "$.date").alias("date_text"),
+    )
+
+
+@register(
+    "drift_read",
+    """SELECT CASE WHEN event_id % 50 = 0 THEN NULL ELSE event_type END AS indicator_id,
+              CASE WHEN event_id % 50 = 0 OR event_id % 7 = 0 THEN NULL ELSE 'f' || CAST(event_id % 3 AS VARCHAR) END AS source_file,
+              CASE WHEN event_id % 50 = 0 THEN NULL ELSE event_id END AS payload_id,
+              CASE WHEN event_id % 50 = 0 THEN 'not json ' || CAST(event_id AS VARCHAR) END AS corrupt_line
+       FROM events""",
+)
+def drift_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3: landed lines with an extra top-level field (ignored), a missing field (NULL), drift inside
+    the payload (kept by VARIANT) and broken lines (kept in the corrupt column, no failure)."""
+    from rawmart.sources.landing import read_landed
+
+    ev = D.table(spark, sf_dir, "events")
+    eid = F.col("event_id").cast("string")
+    src = F.when(F.col("event_id") % 7 == 0, F.lit(None)).otherwise(F.concat(F.lit('"f'), (F.col("event_id") % 3).cast("string"), F.lit('"')))
+    line = F.when(F.col("event_id") % 50 == 0, F.concat(F.lit("not json "), eid)).otherwise(
+        F.concat(
+            F.lit('{"indicator_id":"'), F.col("event_type"), F.lit('","unexpected":'), eid,
+            F.lit(',"payload":{"id":'), eid, F.lit(',"new_field":[1,2]}'),
+            F.when(src.isNotNull(), F.concat(F.lit(',"source_file":'), src)).otherwise(F.lit("")),
+            F.lit("}"),
+        )
+    )
+    path = _scratch(spark, "drift_read")
+    ev.select(line.alias("value")).write.text(path)
+    back = read_landed(spark, path, S.RAW_INDICATOR)
+    return back.select(
+        "indicator_id",
+        "source_file",
+        safe_long(json_scalar("payload", "$.id")).alias("payload_id"),
+        F.col("_corrupt").alias("corrupt_line"),
+    )
+
+
+@register(
+    "dead_letter_sink",
+    f"""WITH {_IND_TYPED.strip()}, {_HOURLY.strip()},
+body AS (SELECT DISTINCT location_id, source_variant, extract_run_id, (no_hourly OR short_precip OR no_wind) AS bad FROM hb)
+SELECT 'world_bank' AS source_name, 'invalid_indicator_record' AS reason, count(*) AS rejected,
+       count(DISTINCT extract_run_id) AS runs FROM ind WHERE NOT is_valid
+UNION ALL
+SELECT 'open_meteo', 'invalid_' || source_variant || '_payload', count(*), count(DISTINCT extract_run_id)
+FROM body WHERE bad GROUP BY source_variant""",
+)
+def dead_letter_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dead letters of both sources -> JSONL sink (one folder per source and run) -> read back."""
+    from rawmart.sources.landing import read_dead_letters, write_dead_letters
+
+    _, dead_i = zones.indicator_batch(D.indicator_records(D.table(spark, sf_dir, "events")))
+    _, dead_h = _hourly_batch(spark, sf_dir)
+    path = _scratch(spark, "dead_letter_sink")
+    write_dead_letters(dead_i.unionByName(dead_h), path)
+    back = read_dead_letters(spark, path)
+    return back.groupBy("source_name", "reason").agg(
+        F.count(F.lit(1)).alias("rejected"), F.countDistinct("extract_run_id").alias("runs")
+    )
+
+
+# ---------------------------------------------------------------- streaming
+
+
+@register("stream_merge", _STG_IND + "\nSELECT * FROM stg")
+def stream_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw rows landed as several files -> availableNow file stream -> foreachBatch upsert with the
+    recency guard into a partitioned staging table; the table equals staging over all rows."""
+    from rawmart.sources.landing import land_jsonl
+    from rawmart.streaming import stream_upsert
+
+    base = _scratch(spark, "stream_merge")
+    raw = _raw_indicator(spark, sf_dir)
+    # newest rows first in file order, so later micro-batches bring older rows the guard must refuse
+    land_jsonl(raw.repartitionByRange(4, F.col("ingested_at").desc()), f"{base}/landing", by_run=False)
+    stream_upsert(
+        spark,
+        f"{base}/landing",
+        S.RAW_INDICATOR,
+        zones.stg_indicator_source,
+        f"{base}/stg",
+        S.INDICATOR_KEYS,
+        [S.INDICATOR_PART],
+        lambda df: zones.with_partition(df, "indicator"),
+        f"{base}/_checkpoint",
+        max_files_per_trigger=1,
+    )
+    return spark.read.parquet(f"{base}/stg").select(*S.STG_INDICATOR.fieldNames())
+
+
+# ---------------------------------------------------------------- one run end to end
+
+
+@register("full_run", _MART_H + "\nSELECT * FROM mart")
+def full_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O1: both sources built, landed (dead letters, landing JSONL, raw zone), then staging and mart
+    upserts in order; the result is the weather mart read back from its partitioned table."""
+    from rawmart.plans.job import Zones, run_job
+
+    z = Zones(_scratch(spark, "full_run"))
+    run_job(
+        spark,
+        z,
+        D.indicator_bodies(D.table(spark, sf_dir, "orders")),
+        D.hourly_bodies(D.table(spark, sf_dir, "events")),
+        _locations(spark),
+        run_id=None,
+        ingested_at=None,
+        tz=D.HOURLY_TZ,
+    )
+    return spark.read.parquet(z.mart_hourly).select(*S.MART_HOURLY.fieldNames())
+
+
 FLAGSHIP = "mart_hourly"

@@ -14,28 +14,27 @@ def landing_name(prefix: str, extract_run_id: str, labelled_at_iso: str) -> str:
     return f"{prefix}_{extract_run_id}_{labelled_at_iso.replace(':', '-')}.jsonl"
 
 
-def land_jsonl(df: DataFrame, path: str, source_file: str | None = None, mode: str = "append") -> None:
-    """Write rows as newline JSON under ``path/extract_run_id=<run>/`` (one folder per run).
+def land_jsonl(
+    df: DataFrame, path: str, source_file: str | None = None, mode: str = "append", by_run: bool = True
+) -> None:
+    """Write rows as newline JSON under ``path/extract_run_id=<run>/`` (one folder per run, or flat).
 
     NULL fields are written (``ignoreNullFields=false``); the VARIANT payload is written as nested JSON.
     ``mode`` is the write disposition: append (default), overwrite or errorifexists.
     """
     out = df if source_file is None else df.withColumn("source_file", F.lit(source_file))
-    (
-        out.write.mode(mode)
-        .option("ignoreNullFields", "false")
-        .option("compression", "none")
-        .partitionBy("extract_run_id")
-        .json(path)
-    )
+    writer = out.write.mode(mode).option("ignoreNullFields", "false").option("compression", "none")
+    if by_run:
+        writer = writer.partitionBy("extract_run_id")
+    writer.json(path)
 
 
 def read_landed(spark: SparkSession, path: str, schema: StructType, corrupt_column: str | None = "_corrupt") -> DataFrame:
     """Read landed JSON with an explicit schema: unknown top-level fields are ignored, missing ones are
     NULL, drift inside ``payload`` is kept by the VARIANT type, and unreadable lines land in
-    ``corrupt_column`` instead of failing the load. ``extract_run_id`` comes back from the folder name."""
-    fields = [f for f in schema.fields if f.name != "extract_run_id"]
-    read_schema = StructType(fields)
+    ``corrupt_column`` instead of failing the load. In a run-partitioned layout ``extract_run_id``
+    comes back from the folder name with the schema's type (no partition type inference)."""
+    read_schema = StructType(list(schema.fields))
     reader = spark.read
     if corrupt_column:
         read_schema = read_schema.add(corrupt_column, "string")
@@ -56,5 +55,5 @@ def write_dead_letters(dead: DataFrame, path: str) -> None:
 
 
 def read_dead_letters(spark: SparkSession, path: str) -> DataFrame:
-    fields = [f for f in DEAD_LETTER.fields if f.name not in ("source_name", "extract_run_id")]
-    return spark.read.schema(StructType(fields)).json(path)
+    """Dead letters back from the sink; partition folders give ``source_name`` and ``extract_run_id`` as text."""
+    return spark.read.schema(DEAD_LETTER).json(path)
