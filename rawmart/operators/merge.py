@@ -34,12 +34,12 @@ def merge_plan(
     src = source.select(*cols)
     if recency is None:
         # left_anti + union: one shuffle of each side on the key; both sides are key-unique, so no hot key
-        keep = target.join(src.select(*keys).where(_not_null(keys)), list(keys), "left_anti")
+        keep = target.join(src.select(*keys).where(_not_null(keys)), list(keys), "left_anti").select(*cols)
         return keep.unionByName(src)
     both = target.withColumn("_side", F.lit(0)).unionByName(src.withColumn("_side", F.lit(1)))
     nulls = both.where(~_not_null(keys))
     ranked = latest_per_key(both.where(_not_null(keys)), keys, [*recency, "_side"])
-    return ranked.unionByName(nulls).drop("_side")
+    return ranked.unionByName(nulls).select(*cols)
 
 
 def _not_null(keys: Sequence[str]):
