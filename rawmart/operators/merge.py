@@ -72,7 +72,10 @@ def merge_upsert(
     if not touched:
         return 0
     existing = _read_existing(spark, path, source)
-    if existing is not None:
+    if existing is not None and len(partition_by) == 1 and all(v[0] is not None for v in touched):
+        # one literal IN list: a PartitionFilter, so only the touched folders are listed and read
+        merged = merge_plan(existing.where(F.col(partition_by[0]).isin([v[0] for v in touched])), source, keys, recency)
+    elif existing is not None:
         cond = F.lit(False)
         for values in touched:
             part = F.lit(True)

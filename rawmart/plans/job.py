@@ -79,10 +79,10 @@ def build_batches(
     if indicator_bodies is not None:
         bodies = _stamp(indicator_bodies, run_id, ingested_at)
         records = unwrap_pages(bodies, carry=("ingested_at",))
-        out["world_bank_indicator"] = zones.indicator_batch(records)
+        out["world_bank_indicator"] = zones.indicator_batch(records, materialize=True)
     if hourly_bodies is not None:
         payloads = parse_once(_stamp(hourly_bodies, run_id, ingested_at), "body")
-        out["open_meteo_response"] = zones.hourly_batch(payloads, locations, enabled_variants, measures)
+        out["open_meteo_response"] = zones.hourly_batch(payloads, locations, enabled_variants, measures, materialize=True)
     return out
 
 
@@ -110,26 +110,31 @@ def land_batch(
     return True
 
 
-def _raw_since(spark: SparkSession, path: str, schema, run_id: str | None) -> DataFrame:
+def _raw_since(spark: SparkSession, path: str, schema, run_id: str | None, ingested_at: str | None) -> DataFrame:
+    """Raw rows to stage: one run's rows (its ingest-day partition only) or, with no run, all of raw."""
     df = spark.read.schema(schema.add(S.RAW_PART, "date")).parquet(path)
     if run_id is not None:
+        if ingested_at is not None:
+            df = df.where(F.col(S.RAW_PART) == F.to_date(F.lit(ingested_at).cast("timestamp_ntz")))
         df = df.where(F.col("extract_run_id") == run_id)
     return df
 
 
-def step_functions(spark: SparkSession, z: Zones, tz: str, run_id: str | None) -> dict[str, Callable[[], None]]:
+def step_functions(
+    spark: SparkSession, z: Zones, tz: str, run_id: str | None, ingested_at: str | None = None
+) -> dict[str, Callable[[], None]]:
     """The ordered transform steps (staging before mart). ``run_id`` limits staging to one run's raw
     rows (incremental, guarded by recency); ``None`` rescans all raw rows as the reference does."""
     from copy import deepcopy
 
     def stg_indicator():
-        raw = _raw_since(spark, z.raw_indicator, deepcopy(S.RAW_INDICATOR), run_id)
+        raw = _raw_since(spark, z.raw_indicator, deepcopy(S.RAW_INDICATOR), run_id, ingested_at)
         src = zones.with_partition(zones.stg_indicator_source(raw), "indicator")
         merge_upsert(spark, z.stg_indicator, src, S.INDICATOR_KEYS, [S.INDICATOR_PART], ["country_iso3", "indicator_id"],
                      recency=("ingested_at", "extract_run_id"))
 
     def stg_hourly():
-        raw = _raw_since(spark, z.raw_hourly, deepcopy(S.RAW_HOURLY), run_id)
+        raw = _raw_since(spark, z.raw_hourly, deepcopy(S.RAW_HOURLY), run_id, ingested_at)
         src = zones.with_partition(zones.stg_hourly_source(raw, tz), "hourly")
         merge_upsert(spark, z.stg_hourly, src, S.HOURLY_KEYS, [S.HOURLY_PART], ["location_id"],
                      recency=("ingested_at", "extract_run_id"))
@@ -188,7 +193,8 @@ def run_job(
             result.landed.append(prefix)
     if not landed_sources:
         return result
-    steps = step_functions(spark, z, tz, run_id if (incremental and run_id is not None) else None)
+    inc = incremental and run_id is not None
+    steps = step_functions(spark, z, tz, run_id if inc else None, ingested_at if inc else None)
     skip = set()
     if "world_bank_indicator" not in landed_sources and not _exists(spark, z.raw_indicator):
         skip |= {"010_stg_indicator", "020_mart_indicator"}

@@ -20,12 +20,12 @@ from rawmart.operators.quality import DEFAULT_MEASURES, dead_letter, hourly_vali
 # ---------------------------------------------------------------- raw batches
 
 
-def indicator_batch(records: DataFrame, source_file: str = "") -> tuple[DataFrame, DataFrame]:
+def indicator_batch(records: DataFrame, source_file: str = "", materialize: bool = False) -> tuple[DataFrame, DataFrame]:
     """Unwrapped indicator records -> ``(raw rows, dead letters)``.
 
     ``records``: ``indicator_id`` (the requested id), ``payload`` VARIANT, ``ingested_at``, ``extract_run_id``.
     """
-    valid, bad = split_valid(records, indicator_valid("payload"))
+    valid, bad = split_valid(records, indicator_valid("payload"), materialize)
     raw = valid.select(
         "ingested_at",
         "extract_run_id",
@@ -43,6 +43,7 @@ def hourly_batch(
     enabled_variants: Sequence[str] = ("archive", "forecast"),
     measures: Sequence[str] = DEFAULT_MEASURES,
     source_file: str = "",
+    materialize: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Captured hourly payloads -> ``(raw rows, dead letters)``.
 
@@ -52,7 +53,7 @@ def hourly_batch(
     """
     picked = payloads.where(F.col("source_variant").isin(list(enabled_variants)))
     located = picked.join(F.broadcast(locations), "location_id", "inner")
-    valid, bad = split_valid(located, hourly_valid("payload", measures))
+    valid, bad = split_valid(located, hourly_valid("payload", measures), materialize)
     raw = valid.select(
         "ingested_at",
         "extract_run_id",
