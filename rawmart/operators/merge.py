@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rawmart.operators.latest import latest_per_key
+from rawmart.session import materialize
 
 
 def merge_plan(
@@ -57,41 +58,49 @@ def merge_upsert(
     partition_by: Sequence[str],
     cluster_by: Sequence[str] = (),
     recency: Sequence[str] | None = None,
-) -> int:
+) -> list[tuple]:
     """Upsert ``source`` into the Parquet table at ``path``, partitioned by ``partition_by``.
 
-    1. the touched partition values are collected (bounded by the partition count, not the rows);
-    2. only those target partitions are read (a literal ``isin`` becomes a PartitionFilter);
-    3. ``merge_plan`` over them; the result is checkpointed to the shared checkpoint folder so the
-       overwrite never reads the files it replaces, and a lost executor recomputes from there;
-    4. dynamic partition overwrite replaces exactly the touched partitions.
+    1. the source is written once under the shared checkpoint folder (computed once, however
+       expensive its staging logic) and the touched partition values are read from it (bounded by
+       the partition count, not the rows);
+    2. only those target partitions are read (a literal ``IN`` list becomes a PartitionFilter);
+    3. ``merge_plan`` over them, written once more under the checkpoint folder so the overwrite never
+       reads the files it replaces, and a lost executor recomputes from there;
+    4. dynamic partition overwrite replaces exactly the touched partitions, each written by tasks
+       of bounded size (``rebalance`` splits a hot partition) and sorted by the cluster keys.
 
-    Returns the number of touched partitions. Not atomic across partitions (plain files).
+    Returns the touched partition values. Not atomic across partitions (plain files).
     """
-    touched = [tuple(r) for r in source.select(*partition_by).distinct().collect()]
+    src = materialize(source, "upsert_source")
+    touched = [tuple(r) for r in src.select(*partition_by).distinct().collect()]
     if not touched:
-        return 0
-    existing = _read_existing(spark, path, source)
-    if existing is not None and len(partition_by) == 1 and all(v[0] is not None for v in touched):
-        # one literal IN list: a PartitionFilter, so only the touched folders are listed and read
-        merged = merge_plan(existing.where(F.col(partition_by[0]).isin([v[0] for v in touched])), source, keys, recency)
-    elif existing is not None:
-        cond = F.lit(False)
-        for values in touched:
-            part = F.lit(True)
-            for col, val in zip(partition_by, values):
-                part = part & (F.col(col).isNull() if val is None else F.col(col) == F.lit(val))
-            cond = cond | part
-        merged = merge_plan(existing.where(cond), source, keys, recency)
+        return []
+    existing = _read_existing(spark, path, src)
+    if existing is not None:
+        merged = merge_plan(existing.where(partition_filter(partition_by, touched)), src, keys, recency)
+        merged = materialize(merged, "upsert_result")
     else:
-        merged = source
-    merged = merged.checkpoint(eager=True)
+        merged = src
     writer_df = merged.hint("rebalance", *partition_by)
     if cluster_by:
         writer_df = writer_df.sortWithinPartitions(*partition_by, *cluster_by)
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     writer_df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-    return len(touched)
+    return touched
+
+
+def partition_filter(partition_by: Sequence[str], touched: Sequence[tuple]):
+    """Predicate selecting exactly the given partition values (literal, so it prunes folders)."""
+    if len(partition_by) == 1 and all(v[0] is not None for v in touched):
+        return F.col(partition_by[0]).isin([v[0] for v in touched])
+    cond = F.lit(False)
+    for values in touched:
+        part = F.lit(True)
+        for col, val in zip(partition_by, values):
+            part = part & (F.col(col).isNull() if val is None else F.col(col) == F.lit(val))
+        cond = cond | part
+    return cond
 
 
 def _read_existing(spark: SparkSession, path: str, like: DataFrame) -> DataFrame | None:

@@ -38,13 +38,15 @@ def split_valid(df: DataFrame, valid: Column, materialize: bool = False) -> tupl
     """Evaluate ``valid`` once into a column and return ``(valid_rows, rejected_rows)``.
 
     ``valid`` must never be NULL (use the helpers above), so every input row lands on exactly one side.
-    With ``materialize`` the flagged rows are checkpointed to the shared checkpoint folder first, so
+    With ``materialize`` the flagged rows are written once under the shared checkpoint folder, so
     the emptiness gates and both writes read them back instead of parsing the bodies again, and a
     lost executor recomputes nothing upstream.
     """
     flagged = df.withColumn("_valid", valid)
     if materialize:
-        flagged = flagged.checkpoint(eager=True)
+        from rawmart.session import materialize as _materialize
+
+        flagged = _materialize(flagged, "batch")
     return (
         flagged.where(F.col("_valid")).drop("_valid"),
         flagged.where(~F.col("_valid")).drop("_valid"),

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from rawmart import schemas as S
 from rawmart.functions import parse_once
-from rawmart.operators.merge import merge_upsert
+from rawmart.operators.merge import merge_upsert, partition_filter
 from rawmart.operators.quality import DEFAULT_MEASURES
 from rawmart.plans import zones
 from rawmart.sources.bodies import unwrap_pages
@@ -127,25 +127,43 @@ def step_functions(
     rows (incremental, guarded by recency); ``None`` rescans all raw rows as the reference does."""
     from copy import deepcopy
 
+    touched: dict[str, list[tuple] | None] = {"indicator": None, "hourly": None}
+
     def stg_indicator():
         raw = _raw_since(spark, z.raw_indicator, deepcopy(S.RAW_INDICATOR), run_id, ingested_at)
         src = zones.with_partition(zones.stg_indicator_source(raw), "indicator")
-        merge_upsert(spark, z.stg_indicator, src, S.INDICATOR_KEYS, [S.INDICATOR_PART], ["country_iso3", "indicator_id"],
-                     recency=("ingested_at", "extract_run_id"))
+        touched["indicator"] = merge_upsert(
+            spark, z.stg_indicator, src, S.INDICATOR_KEYS, [S.INDICATOR_PART], ["country_iso3", "indicator_id"],
+            recency=("ingested_at", "extract_run_id"),
+        )
 
     def stg_hourly():
         raw = _raw_since(spark, z.raw_hourly, deepcopy(S.RAW_HOURLY), run_id, ingested_at)
         src = zones.with_partition(zones.stg_hourly_source(raw, tz), "hourly")
-        merge_upsert(spark, z.stg_hourly, src, S.HOURLY_KEYS, [S.HOURLY_PART], ["location_id"],
-                     recency=("ingested_at", "extract_run_id"))
+        touched["hourly"] = merge_upsert(
+            spark, z.stg_hourly, src, S.HOURLY_KEYS, [S.HOURLY_PART], ["location_id"],
+            recency=("ingested_at", "extract_run_id"),
+        )
+
+    def _staging(path: str, part: str, kind: str) -> DataFrame:
+        # the mart is partitioned like staging, so only the staging partitions this run touched can
+        # change mart rows; without a staging step in this run, rebuild from all of staging
+        stg = spark.read.parquet(path)
+        if touched[kind] is not None:
+            stg = stg.where(partition_filter([part], touched[kind]))
+        return stg
 
     def mart_indicator():
-        stg = spark.read.parquet(z.stg_indicator)
+        if touched["indicator"] == []:
+            return
+        stg = _staging(z.stg_indicator, S.INDICATOR_PART, "indicator")
         src = zones.with_partition(zones.mart_indicator_source(stg), "indicator")
         merge_upsert(spark, z.mart_indicator, src, S.INDICATOR_KEYS, [S.INDICATOR_PART], ["country_iso3", "indicator_id"])
 
     def mart_hourly():
-        stg = spark.read.parquet(z.stg_hourly)
+        if touched["hourly"] == []:
+            return
+        stg = _staging(z.stg_hourly, S.HOURLY_PART, "hourly")
         src = zones.with_partition(zones.mart_hourly_source(stg), "hourly")
         merge_upsert(spark, z.mart_hourly, src, S.HOURLY_KEYS, [S.HOURLY_PART], ["location_id"])
 

@@ -68,4 +68,18 @@ def is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
 
-__all__ = ["build_session", "configure", "checkpoint_dir", "scratch_path", "is_local"]
+__all__ = ["build_session", "configure", "checkpoint_dir", "scratch_path", "is_local", "materialize"]
+
+
+def materialize(df, name: str):
+    """Cut lineage: write ``df`` once as Parquet under the shared checkpoint folder and read it back.
+
+    One pass over the input (an eager ``DataFrame.checkpoint`` on an uncached plan computes it twice),
+    columnar, and on the shared file system, so a lost executor recomputes nothing upstream.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    path = scratch_path(spark, f"materialized/{name}/{uuid.uuid4().hex}")
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

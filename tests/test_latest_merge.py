@@ -133,8 +133,8 @@ def test_merge_upsert_rewrites_only_touched_partitions(spark, scratch):
     first = zones.with_partition(_stg(spark, [("GBR", "UK", "I", "x", 2020, 1.0, T1, "a"), ("GBR", "UK", "I", "x", 1999, 5.0, T1, "a")]), "indicator")
     merge_upsert(spark, path, first, S.INDICATOR_KEYS, [S.INDICATOR_PART])
     second = zones.with_partition(_stg(spark, [("GBR", "UK", "I", "x", 2020, 2.0, T2, "b")]), "indicator")
-    n = merge_upsert(spark, path, second, S.INDICATOR_KEYS, [S.INDICATOR_PART])
-    assert n == 1
+    touched = merge_upsert(spark, path, second, S.INDICATOR_KEYS, [S.INDICATOR_PART])
+    assert touched == [(121,)]
     got = rows(spark.read.parquet(path), "year", "value_num", S.INDICATOR_PART)
     assert got == [(1999, 5.0, 100), (2020, 2.0, 121)]
     # rerun is a no-op on the result
