@@ -18,7 +18,9 @@ REQUIRED_CONF = {
 }
 
 
-def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "rawmart") -> SparkSession:
+def build_session(
+    master: str = "local[*]", shuffle_partitions: int = 8, app: str = "rawmart", conf: dict | None = None
+) -> SparkSession:
     """Local session for tests and the bench. On a cluster, use the cluster's session and call ``configure``."""
     builder = (
         SparkSession.builder.master(master)
@@ -28,7 +30,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "8g")
     )
-    for key, value in REQUIRED_CONF.items():
+    for key, value in {**REQUIRED_CONF, **(conf or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

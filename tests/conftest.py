@@ -10,7 +10,10 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark():
     from rawmart.session import build_session
 
-    s = build_session("local[4]", shuffle_partitions=4, app="rawmart-tests")
+    import tempfile
+
+    wh = tempfile.mkdtemp(prefix="rawmart-wh-")
+    s = build_session("local[4]", shuffle_partitions=4, app="rawmart-tests", conf={"spark.sql.warehouse.dir": wh})
     yield s
     s.stop()
 

@@ -49,3 +49,33 @@ def test_partition_filter_on_mart_series(spark, tmp_path):
     df = consume.hourly_series(spark.read.parquet(path), ["L01"], "2024-01-05 00:00:00", "2024-01-06 00:00:00")
     plan = _plan(df)
     assert "PartitionFilters: [isnotnull(event_date" in plan and "PushedFilters: [IsNotNull(location_id)" in plan
+
+
+def test_zone_ddl(spark, tmp_path):
+    from rawmart.plans.zones import create_zone_tables
+
+    made = create_zone_tables(spark, str(tmp_path / "wh"), raw_db="t_raw", stg_db="t_stg", mart_db="t_mart")
+    assert len(made) == 6
+    cols = [c.name for c in spark.catalog.listColumns("t_stg.stg_open_meteo_hourly")]
+    assert cols[-1] == "event_date" and "timestamp" in cols
+    part = [c.name for c in spark.catalog.listColumns("t_mart.country_indicator_year") if c.isPartition]
+    assert part == ["year_bucket"]
+    # idempotent
+    create_zone_tables(spark, str(tmp_path / "wh"), raw_db="t_raw", stg_db="t_stg", mart_db="t_mart")
+
+
+def test_upsert_reads_only_touched_partitions(spark, tmp_path):
+    from datetime import datetime
+
+    from pyspark.sql import functions as F
+
+    from rawmart import schemas as S
+    from rawmart.operators.merge import partition_filter
+    from rawmart.plans import zones
+
+    t = datetime(2024, 1, 1)
+    df = spark.createDataFrame([("A", "n", "I", "x", y, 1.0, t, "r") for y in (1990, 2000, 2010)], S.STG_INDICATOR)
+    path = str(tmp_path / "stg")
+    zones.with_partition(df, "indicator").write.partitionBy("year_bucket").parquet(path)
+    plan = _plan(spark.read.parquet(path).where(partition_filter(["year_bucket"], [(101,)])))
+    assert "PartitionFilters: [isnotnull(year_bucket" in plan and "= 101)" in plan
