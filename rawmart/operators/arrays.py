@@ -38,7 +38,7 @@ def align_arrays(
     )
     out = exploded.select(
         *keep,
-        F.col("pos"),
+        F.col("pos").cast("bigint").alias("pos"),  # INT64 offset, as WITH OFFSET
         json_scalar("_elem").alias(driver_name),
         *[json_scalar(F.get(F.col(f"_m_{name}"), F.col("pos"))).alias(name) for name in measure_paths],
     )
