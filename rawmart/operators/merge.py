@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rawmart.operators.latest import latest_per_key
-from rawmart.session import materialize
+from rawmart.session import materialize, release
 
 
 def merge_plan(
@@ -75,6 +75,7 @@ def merge_upsert(
     src = materialize(source, "upsert_source")
     touched = [tuple(r) for r in src.select(*partition_by).distinct().collect()]
     if not touched:
+        release(src)
         return []
     existing = _read_existing(spark, path, src)
     if existing is not None:
@@ -87,6 +88,7 @@ def merge_upsert(
         writer_df = writer_df.sortWithinPartitions(*partition_by, *cluster_by)
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     writer_df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    release(src, merged)
     return touched
 
 

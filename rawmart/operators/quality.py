@@ -47,10 +47,12 @@ def split_valid(df: DataFrame, valid: Column, materialize: bool = False) -> tupl
         from rawmart.session import materialize as _materialize
 
         flagged = _materialize(flagged, "batch")
-    return (
-        flagged.where(F.col("_valid")).drop("_valid"),
-        flagged.where(~F.col("_valid")).drop("_valid"),
-    )
+    valid_rows = flagged.where(F.col("_valid")).drop("_valid")
+    rejected = flagged.where(~F.col("_valid")).drop("_valid")
+    if materialize:
+        # let the caller release the scratch table once both sides are written
+        valid_rows._rawmart_scratch = rejected._rawmart_scratch = getattr(flagged, "_rawmart_scratch", None)
+    return valid_rows, rejected
 
 
 def dead_letter(

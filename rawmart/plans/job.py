@@ -19,6 +19,7 @@ from rawmart.functions import parse_once
 from rawmart.operators.merge import merge_upsert, partition_filter
 from rawmart.operators.quality import DEFAULT_MEASURES
 from rawmart.plans import zones
+from rawmart.session import release
 from rawmart.sources.bodies import unwrap_pages
 from rawmart.sources.landing import land_jsonl, landing_name, write_dead_letters
 
@@ -209,6 +210,7 @@ def run_job(
         if land_batch(spark, z, prefix, raw, dead, label_run, label_at):
             landed_sources.append(prefix)
             result.landed.append(prefix)
+        release(raw)
     if not landed_sources:
         return result
     inc = incremental and run_id is not None

@@ -34,6 +34,7 @@ def indicator_batch(records: DataFrame, source_file: str = "", materialize: bool
         "payload",
     )
     dead = dead_letter(bad, "world_bank", "invalid_indicator_record", {"indicator_id": "indicator_id"})
+    raw._rawmart_scratch = getattr(valid, "_rawmart_scratch", None)
     return raw, dead
 
 
@@ -66,6 +67,7 @@ def hourly_batch(
     )
     reason = F.concat(F.lit("invalid_"), F.col("source_variant"), F.lit("_payload"))
     dead = dead_letter(bad, "open_meteo", reason, {"location_id": "location_id"})
+    raw._rawmart_scratch = getattr(valid, "_rawmart_scratch", None)
     return raw, dead
 
 

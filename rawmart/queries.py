@@ -529,11 +529,21 @@ def array_align(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "locations_parse",
-    f"SELECT * FROM {_location_values()}",
+    f"""SELECT loc.location_id, loc.latitude, loc.longitude, count(*) AS specs
+       FROM events e JOIN {_location_values()}
+         ON loc.location_id = 'L' || lpad(CAST(e.user_id % {D.N_LOCATIONS} AS VARCHAR), 2, '0')
+       GROUP BY 1, 2, 3""",
 )
 def locations_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The location configuration text of the derived data -> typed rows."""
-    return _locations(spark)
+    """One location text per event (``id:lat:lon`` with blank and empty entries around it) ->
+    typed rows -> how many texts named each location."""
+    ev = D.table(spark, sf_dir, "events")
+    i = F.col("user_id") % D.N_LOCATIONS
+    lat = (F.lit(40.0) + i * 0.5).cast("string")
+    lon = (F.lit(-10.0) + i * 1.25).cast("string")
+    spec = F.concat(F.lit(" ; "), D.location_of_user(), F.lit(":"), lat, F.lit(":"), lon, F.lit(" ;;"))
+    locs = parse_locations(ev.select(spec.alias("spec")))
+    return locs.groupBy("location_id", "latitude", "longitude").agg(F.count(F.lit(1)).alias("specs"))
 
 
 _HBODY = f"""

@@ -70,7 +70,7 @@ def is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
 
-__all__ = ["build_session", "configure", "checkpoint_dir", "scratch_path", "is_local", "materialize"]
+__all__ = ["build_session", "configure", "checkpoint_dir", "scratch_path", "is_local", "materialize", "release"]
 
 
 def materialize(df, name: str):
@@ -84,4 +84,18 @@ def materialize(df, name: str):
     spark = df.sparkSession
     path = scratch_path(spark, f"materialized/{name}/{uuid.uuid4().hex}")
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._rawmart_scratch = path
+    return out
+
+
+def release(*dfs) -> None:
+    """Delete the scratch tables behind materialized DataFrames once every write that reads them is done."""
+    for df in dfs:
+        path = getattr(df, "_rawmart_scratch", None)
+        if not path:
+            continue
+        spark = df.sparkSession
+        jvm = spark.sparkContext._jvm
+        jpath = jvm.org.apache.hadoop.fs.Path(path)
+        jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jpath, True)
