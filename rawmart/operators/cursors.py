@@ -28,3 +28,21 @@ def last_time_cursor(payload="payload") -> Column:
 def run_metrics(df: DataFrame, by: Sequence[str]) -> DataFrame:
     """Row count per group (logged run metrics become a DataFrame)."""
     return df.groupBy(*by).agg(F.count(F.lit(1)).alias("records"))
+
+
+def high_water(df: DataFrame, by: Sequence[str] = (), column: str = "ingested_at") -> DataFrame:
+    """Largest ``column`` seen so far (per group): the incremental read starts after it."""
+    return df.groupBy(*by).agg(F.max(column).alias("high_water"))
+
+
+def newer_than(raw: DataFrame, mark, column: str = "ingested_at") -> DataFrame:
+    """Rows strictly after the high-water mark (everything when the mark is NULL).
+
+    ``mark`` is a value or a one-row ``high_water`` DataFrame; it is read as one value on the driver
+    and applied as a literal, so the filter reaches the scan (and prunes ingest-day partitions).
+    """
+    if isinstance(mark, DataFrame):
+        mark = mark.select("high_water").first()[0]
+    if mark is None:
+        return raw
+    return raw.where(F.col(column) > F.lit(mark))

@@ -966,4 +966,38 @@ def full_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(z.mart_hourly).select(*S.MART_HOURLY.fieldNames())
 
 
+@register(
+    "request_params",
+    f"""SELECT DISTINCT l.location_id, l.latitude, l.longitude,
+              'temperature_2m,precipitation,wind_speed_10m' AS hourly, '{D.HOURLY_TZ}' AS timezone,
+              strftime(CAST(e.ts AS DATE) - 6, '%Y-%m-%d') AS start_date, strftime(CAST(e.ts AS DATE), '%Y-%m-%d') AS end_date
+       FROM events e JOIN {_location_values()}
+         ON l.location_id = 'L' || lpad(CAST(e.user_id % {D.N_LOCATIONS} AS VARCHAR), 2, '0')""".replace(
+        "AS loc(", "AS l("
+    ),
+)
+def request_params_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One 7-day archive request per location and event day, variables comma-joined
+    from the configured list."""
+    from rawmart.sources.config_text import request_params
+
+    ev = D.table(spark, sf_dir, "events").select(D.location_of_user().alias("location_id"), F.to_date("ts").alias("day"))
+    located = ev.join(F.broadcast(_locations(spark)), "location_id").distinct()
+    variables = id_list(F.lit(" temperature_2m, precipitation ,,wind_speed_10m "))
+    return request_params(located, variables, D.HOURLY_TZ, F.col("day"), 7).drop("day").distinct()
+
+
+@register("incremental_merge", _STG_IND + "\nSELECT * FROM stg")
+def incremental_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staging holds the early days; only raw rows after its high-water mark are staged and
+    merged with the recency guard; the result equals staging over everything."""
+    from rawmart.operators.cursors import high_water, newer_than
+
+    raw = _raw_indicator(spark, sf_dir)
+    early = F.col("ingested_at") < F.lit(_SPLIT).cast("timestamp_ntz")
+    target = zones.stg_indicator_source(raw.where(early))
+    fresh = newer_than(raw, high_water(target))
+    return merge_plan(target, zones.stg_indicator_source(fresh), S.INDICATOR_KEYS, recency=["ingested_at", "extract_run_id"])
+
+
 FLAGSHIP = "mart_hourly"

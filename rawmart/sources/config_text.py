@@ -44,3 +44,16 @@ def request_window(end_date, days) -> tuple[Column, Column]:
     end = _col(end_date)
     n = _col(days) if not isinstance(days, int) else F.lit(days)
     return F.date_sub(end, F.greatest(n - 1, F.lit(0))), end
+
+
+def request_params(locations: DataFrame, variables: Column, tz: str, end_date: Column, days: int) -> DataFrame:
+    """Archive request per location (P10, E13, E17): coordinates, comma-joined hourly variables,
+    time zone and the inclusive date window ending at ``end_date``."""
+    start, end = request_window(end_date, days)
+    return locations.select(
+        "*",
+        F.array_join(variables, ",").alias("hourly"),
+        F.lit(tz).alias("timezone"),
+        F.date_format(start, "yyyy-MM-dd").alias("start_date"),
+        F.date_format(end, "yyyy-MM-dd").alias("end_date"),
+    )
