@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from rawmart.functions import parse_once
-from rawmart.operators.quality import hourly_valid, indicator_valid, split_valid
+from rawmart.operators.quality import hourly_valid, indicator_valid
 from rawmart.plans import zones
 from rawmart.sources.landing import land_jsonl, read_landed
 from rawmart import schemas as S
