@@ -43,7 +43,8 @@ def page_cut(bodies: DataFrame, keys: Sequence[str] = PAGE_KEYS) -> DataFrame:
         *keys,
         F.col("page_no"),
         F.coalesce(F.try_variant_get("_v", "$[0].pages", "int"), F.col("page_no")).alias("_pages"),
-        F.coalesce(F.size(F.filter(_records(), lambda r: is_object(r))), F.lit(0)).alias("_n"),
+        # explicit NULL branch: size(NULL) is NULL under ANSI but -1 without it
+        F.when(_records().isNull(), F.lit(0)).otherwise(F.size(F.filter(_records(), lambda r: is_object(r)))).alias("_n"),
     )
     stop = page_meta.select(
         *keys,

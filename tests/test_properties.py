@@ -112,3 +112,14 @@ def test_write_dispositions(spark, tmp_path):
     assert spark.read.json(path).count() == 1
     with pytest.raises(Exception):
         land_jsonl(df, path, mode="errorifexists")
+
+
+def test_results_do_not_depend_on_ansi_mode(spark):
+    names = ["page_cut", "unwrap_pages", "hourly_valid", "stg_indicator_latest", "truthy_filter"]
+    base = {n: rows(_q(n)(spark, SF)) for n in names}
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        for n in names:
+            assert rows(_q(n)(spark, SF)) == base[n], n
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
