@@ -65,20 +65,36 @@ def page_cut(bodies: DataFrame, keys: Sequence[str] = PAGE_KEYS) -> DataFrame:
     )
 
 
+# Broadcast the per-(run, indicator) cut only up to this many rows (about 100 bytes each).
+CUT_BROADCAST_ROWS = 1_000_000
+
+
 def unwrap_pages(
     bodies: DataFrame,
     keys: Sequence[str] = PAGE_KEYS,
     carry: Sequence[str] = ("ingested_at",),
     apply_stop_rule: bool = True,
+    broadcast_rows: int | None = CUT_BROADCAST_ROWS,
 ) -> DataFrame:
     """One row per object record of the kept pages: ``*keys, *carry, page_no, rec_pos, payload (VARIANT)``.
 
     Non-object records and malformed envelopes are dropped silently, as the extractor does.
     The stop rule is applied per page (one row per body) before the explode.
+
+    The cut has one row per (run, indicator). It is written once under the shared checkpoint folder
+    and counted; within ``broadcast_rows`` it is broadcast, so the bodies are never shuffled (a plain
+    join would shuffle every body by (run, indicator), a key one indicator can dominate). Beyond the
+    limit it is a regular join, where AQE splits a skewed indicator.
     """
     pages = bodies
     if apply_stop_rule:
         cut = page_cut(bodies, keys)
+        if broadcast_rows is not None:
+            from rawmart.session import materialize
+
+            cut = materialize(cut, "page_cut")
+            if cut.count() <= broadcast_rows:
+                cut = F.broadcast(cut)
         pages = bodies.join(cut, list(keys), "inner").where(F.col("page_no") <= F.col("last_page"))
     parsed = _parsed(pages)
     exploded = parsed.select(*keys, *carry, "page_no", F.posexplode(_records()).alias("rec_pos", "payload"))
