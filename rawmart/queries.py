@@ -1000,4 +1000,45 @@ def incremental_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge_plan(target, zones.stg_indicator_source(fresh), S.INDICATOR_KEYS, recency=["ingested_at", "extract_run_id"])
 
 
+@register(
+    "day_bucket",
+    """SELECT event_id, CAST(ts AS DATE) AS event_date,
+              CASE WHEN ts < TIMESTAMP '2024-01-16' THEN 0 ELSE 1 END AS half
+       FROM events""",
+)
+def day_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """UTC calendar day of each instant (the hourly tables' partition column)."""
+    ev = D.table(spark, sf_dir, "events")
+    half = F.when(F.col("ts") < F.lit(_SPLIT).cast("timestamp_ntz"), 0).otherwise(1)
+    return ev.select("event_id", day_of("ts").alias("event_date"), half.alias("half"))
+
+
+@register(
+    "array_null_time",
+    f"""WITH {_HOURLY}
+       SELECT location_id, source_variant, extract_run_id,
+              count(*) AS n_times,
+              count(*) FILTER (WHERE event_id % 31 <> 0) AS n_rows,
+              max(CASE WHEN event_id % 31 <> 0 THEN pos END) AS last_pos
+       FROM hb WHERE NOT no_hourly
+       GROUP BY location_id, source_variant, extract_run_id""",
+)
+def array_null_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Null time elements are dropped after the offset is taken, so kept rows keep their
+    positions: per payload, array length vs rows produced and the last kept offset."""
+    payloads = D.hourly_payloads(D.table(spark, sf_dir, "events"))
+    sizes = payloads.select(
+        "location_id", "source_variant", "extract_run_id",
+        F.size(F.try_variant_get("payload", "$.hourly.time", "array<variant>")).cast("bigint").alias("n_times"),
+    ).where(F.col("n_times") >= 0)
+    aligned = zones.hourly_rows(payloads.withColumn("latitude", F.lit(0.0)).withColumn("longitude", F.lit(0.0)), D.HOURLY_TZ)
+    per_body = aligned.groupBy("location_id", "source_variant", "extract_run_id").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.max("pos").alias("last_pos")
+    )
+    keys = ["location_id", "source_variant", "extract_run_id"]
+    return sizes.join(per_body, keys, "left").select(
+        *keys, "n_times", F.coalesce("n_rows", F.lit(0)).alias("n_rows"), "last_pos"
+    )
+
+
 FLAGSHIP = "mart_hourly"
