@@ -106,8 +106,17 @@ def partition_filter(partition_by: Sequence[str], touched: Sequence[tuple]):
 
 
 def _read_existing(spark: SparkSession, path: str, like: DataFrame) -> DataFrame | None:
-    try:
-        df = spark.read.schema(like.schema).parquet(path)
-    except Exception:  # no table yet
+    """The target table, or None when its folder does not exist yet.
+
+    Only a missing folder means "no table": any other read error propagates, because treating it as
+    an empty target would overwrite the touched partitions with the source rows alone.
+    """
+    if not path_exists(spark, path):
         return None
-    return df.select(*like.columns)
+    return spark.read.schema(like.schema).parquet(path).select(*like.columns)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    jpath = jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(jpath)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from rawmart import schemas as S
 from rawmart.functions import parse_once
-from rawmart.operators.merge import merge_upsert, partition_filter
+from rawmart.operators.merge import merge_upsert, partition_filter, path_exists
 from rawmart.operators.quality import DEFAULT_MEASURES
 from rawmart.plans import zones
 from rawmart.session import release
@@ -225,7 +225,4 @@ def run_job(
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(jpath)
+    return path_exists(spark, path)
