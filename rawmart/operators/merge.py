@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rawmart.operators.latest import latest_per_key
-from rawmart.session import materialize, release
+from rawmart.session import materialize, partition_values, release
 
 
 def merge_plan(
@@ -61,9 +61,9 @@ def merge_upsert(
 ) -> list[tuple]:
     """Upsert ``source`` into the Parquet table at ``path``, partitioned by ``partition_by``.
 
-    1. the source is written once under the shared checkpoint folder (computed once, however
-       expensive its staging logic) and the touched partition values are read from it (bounded by
-       the partition count, not the rows);
+    1. the source is written once under the shared checkpoint folder, in the target's partition
+       folders (computed once, however expensive its staging logic); the touched partition values
+       come from that file listing (bounded by the partition count, no Spark job);
     2. only those target partitions are read (a literal ``IN`` list becomes a PartitionFilter);
     3. ``merge_plan`` over them, written once more under the checkpoint folder so the overwrite never
        reads the files it replaces, and a lost executor recomputes from there;
@@ -72,8 +72,8 @@ def merge_upsert(
 
     Returns the touched partition values. Not atomic across partitions (plain files).
     """
-    src = materialize(source, "upsert_source")
-    touched = [tuple(r) for r in src.select(*partition_by).distinct().collect()]
+    src = materialize(source, "upsert_source", partition_by)
+    touched = partition_values(src, partition_by)
     if not touched:
         release(src)
         return []

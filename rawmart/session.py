@@ -70,25 +70,56 @@ def is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
 
-__all__ = ["build_session", "configure", "checkpoint_dir", "scratch_path", "is_local", "materialize", "release"]
+__all__ = ["build_session", "configure", "checkpoint_dir", "scratch_path", "is_local", "materialize", "partition_values", "release"]
 
 
-def materialize(df, name: str):
+def materialize(df, name: str, partition_by=()):
     """Cut lineage: write ``df`` once as Parquet under the shared checkpoint folder and read it back.
 
     One pass over the input (an eager ``DataFrame.checkpoint`` on an uncached plan computes it twice),
     columnar, and on the shared file system, so a lost executor recomputes nothing upstream.
+    With ``partition_by`` the scratch table is laid out in partition folders (see ``partition_values``).
     """
     import uuid
 
     spark = df.sparkSession
     path = scratch_path(spark, f"materialized/{name}/{uuid.uuid4().hex}")
-    df.write.mode("errorifexists").parquet(path)
+    writer = df.write.mode("errorifexists")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._rawmart_scratch = path
     return out
 
 
+def partition_values(df, partition_by) -> list[tuple]:
+    """Distinct partition values of a partitioned file table, from its file listing (no Spark job).
+
+    Bounded by the number of partition folders, not by rows. Values are typed by the schema.
+    """
+    import datetime
+    from urllib.parse import unquote
+
+    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    seen = set()
+    for f in df.inputFiles():
+        parts = dict(seg.split("=", 1) for seg in f.split("/") if "=" in seg)
+        values = []
+        for col in partition_by:
+            raw = parts[col]
+            if raw == "__HIVE_DEFAULT_PARTITION__":
+                values.append(None)
+            elif types[col] in ("int", "bigint", "smallint", "tinyint"):
+                values.append(int(raw))
+            elif types[col] == "date":
+                values.append(datetime.date.fromisoformat(unquote(raw)))
+            else:
+                values.append(unquote(raw))
+        seen.add(tuple(values))
+    return sorted(seen, key=lambda t: tuple((v is None, v) for v in t))
+
+
 def release(*dfs) -> None:
     """Delete the scratch tables behind materialized DataFrames once every write that reads them is done."""
     for df in dfs:
