@@ -132,18 +132,18 @@ def step_functions(
 
     def stg_indicator():
         raw = _raw_since(spark, z.raw_indicator, deepcopy(S.RAW_INDICATOR), run_id, ingested_at)
-        src = zones.with_partition(zones.stg_indicator_source(raw), "indicator")
+        src = zones.with_partition(zones.stg_indicator_source(raw, keep_order=True), "indicator")
         touched["indicator"] = merge_upsert(
             spark, z.stg_indicator, src, S.INDICATOR_KEYS, [S.INDICATOR_PART], ["country_iso3", "indicator_id"],
-            recency=("ingested_at", "extract_run_id"),
+            recency=(zones.ORDER_COL,),
         )
 
     def stg_hourly():
         raw = _raw_since(spark, z.raw_hourly, deepcopy(S.RAW_HOURLY), run_id, ingested_at)
-        src = zones.with_partition(zones.stg_hourly_source(raw, tz), "hourly")
+        src = zones.with_partition(zones.stg_hourly_source(raw, tz, keep_order=True), "hourly")
         touched["hourly"] = merge_upsert(
             spark, z.stg_hourly, src, S.HOURLY_KEYS, [S.HOURLY_PART], ["location_id"],
-            recency=("ingested_at", "extract_run_id"),
+            recency=(zones.ORDER_COL,),
         )
 
     def _staging(path: str, part: str, kind: str) -> DataFrame:

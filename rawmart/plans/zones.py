@@ -110,16 +110,25 @@ def indicator_typed(raw: DataFrame) -> DataFrame:
     )
 
 
-def stg_indicator_source(raw: DataFrame) -> DataFrame:
-    """Raw indicator rows -> latest staging row per (country_iso3, indicator_id, year)."""
+ORDER_COL = "_order"  # the full staging order key as one orderable struct (see ``keep_order``)
+
+
+def stg_indicator_source(raw: DataFrame, keep_order: bool = False) -> DataFrame:
+    """Raw indicator rows -> latest staging row per (country_iso3, indicator_id, year).
+
+    With ``keep_order`` the row keeps ``_order`` = (ingested_at, extract_run_id, digest): merging
+    batches with ``recency=[ORDER_COL]`` then gives exactly the all-at-once result, whatever the split.
+    """
     typed = indicator_typed(raw).where(
         F.col("country_iso3").isNotNull()
         & F.col("indicator_id").isNotNull()
         & F.col("_date").isNotNull()
         & F.col("year").isNotNull()
     )
-    latest = latest_per_key(typed, S.INDICATOR_KEYS, ["ingested_at", "extract_run_id", "_digest"])
-    return latest.select(*S.STG_INDICATOR.fieldNames())
+    order = ["ingested_at", "extract_run_id", "_digest"]
+    latest = latest_per_key(typed, S.INDICATOR_KEYS, order)
+    extra = [F.struct(*order).alias(ORDER_COL)] if keep_order else []
+    return latest.select(*S.STG_INDICATOR.fieldNames(), *extra)
 
 
 def stg_indicator_rejects(raw: DataFrame) -> DataFrame:
@@ -164,22 +173,22 @@ def hourly_rows(raw: DataFrame, tz: str, measures: Sequence[str] = DEFAULT_MEASU
     )
 
 
-def stg_hourly_source(raw: DataFrame, tz: str, measures: Sequence[str] = DEFAULT_MEASURES, strict: bool = False) -> DataFrame:
+def stg_hourly_source(
+    raw: DataFrame, tz: str, measures: Sequence[str] = DEFAULT_MEASURES, strict: bool = False, keep_order: bool = False
+) -> DataFrame:
     """Raw hourly rows -> latest staging row per (location_id, timestamp).
 
     Ties inside one run (archive and forecast covering one hour, or two local hours mapping to one
     instant) are broken by archive first, then payload digest, then the later array position.
+    With ``keep_order`` the row keeps that whole order key as ``_order``, so an archive row staged
+    in one micro-batch still beats a forecast row of the same run arriving in a later one.
     """
     rows = hourly_rows(raw, tz, measures, strict).where(F.col("timestamp").isNotNull())
-    order = [
-        "ingested_at",
-        "extract_run_id",
-        (F.col("source_variant") == "archive").desc(),
-        "_digest",
-        "pos",
-    ]
+    rows = rows.withColumn("_archive", F.col("source_variant") == "archive")
+    order = ["ingested_at", "extract_run_id", "_archive", "_digest", "pos"]
     latest = latest_per_key(rows, S.HOURLY_KEYS, order, drop_null_keys=True)
-    return latest.select(*S.STG_HOURLY.fieldNames())
+    extra = [F.struct(*order).alias(ORDER_COL)] if keep_order else []
+    return latest.select(*S.STG_HOURLY.fieldNames(), *extra)
 
 
 def stg_hourly_rejects(raw: DataFrame, tz: str, measures: Sequence[str] = DEFAULT_MEASURES) -> DataFrame:
@@ -196,14 +205,18 @@ def stg_hourly_rejects(raw: DataFrame, tz: str, measures: Sequence[str] = DEFAUL
 # ---------------------------------------------------------------- marts
 
 
+def _stg_order(stg: DataFrame) -> list[str]:
+    return [ORDER_COL] if ORDER_COL in stg.columns else ["ingested_at", "extract_run_id"]
+
+
 def mart_indicator_source(stg: DataFrame) -> DataFrame:
     """Staging -> mart rows (lineage dropped); the window protects against non-unique staging."""
-    latest = latest_per_key(stg, S.INDICATOR_KEYS, ["ingested_at", "extract_run_id"])
+    latest = latest_per_key(stg, S.INDICATOR_KEYS, _stg_order(stg))
     return latest.select(*S.MART_INDICATOR.fieldNames())
 
 
 def mart_hourly_source(stg: DataFrame) -> DataFrame:
-    latest = latest_per_key(stg, S.HOURLY_KEYS, ["ingested_at", "extract_run_id"])
+    latest = latest_per_key(stg, S.HOURLY_KEYS, _stg_order(stg))
     return latest.select(*S.MART_HOURLY.fieldNames())
 
 

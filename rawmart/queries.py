@@ -653,11 +653,11 @@ SELECT * FROM t WHERE NOT EXISTS (
 UNION ALL SELECT * FROM s"""
 
 
-def _ind_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def _ind_sides(spark: SparkSession, sf_dir: str, keep_order: bool = False) -> tuple[DataFrame, DataFrame]:
     raw = _raw_indicator(spark, sf_dir)
     early = F.col("ingested_at") < F.lit(_SPLIT).cast("timestamp_ntz")
-    late_stg = zones.stg_indicator_source(raw.where(~early))
-    early_stg = zones.stg_indicator_source(raw.where(early))
+    late_stg = zones.stg_indicator_source(raw.where(~early), keep_order)
+    early_stg = zones.stg_indicator_source(raw.where(early), keep_order)
     return late_stg, early_stg
 
 
@@ -680,8 +680,9 @@ def merge_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("merge_guarded", _STG_IND + "\nSELECT * FROM stg")
 def merge_guarded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """With the recency guard an older source never overwrites; the result equals staging of all rows."""
-    target, source = _ind_sides(spark, sf_dir)
-    return merge_plan(target, source, S.INDICATOR_KEYS, recency=["ingested_at", "extract_run_id"])
+    target, source = _ind_sides(spark, sf_dir, keep_order=True)
+    merged = merge_plan(target, source, S.INDICATOR_KEYS, recency=[zones.ORDER_COL])
+    return merged.select(*S.STG_INDICATOR.fieldNames())
 
 
 @register(
@@ -932,7 +933,7 @@ def stream_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark,
         f"{base}/landing",
         S.RAW_INDICATOR,
-        zones.stg_indicator_source,
+        lambda b: zones.stg_indicator_source(b, keep_order=True),
         f"{base}/stg",
         S.INDICATOR_KEYS,
         [S.INDICATOR_PART],
@@ -995,9 +996,10 @@ def incremental_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     raw = _raw_indicator(spark, sf_dir)
     early = F.col("ingested_at") < F.lit(_SPLIT).cast("timestamp_ntz")
-    target = zones.stg_indicator_source(raw.where(early))
+    target = zones.stg_indicator_source(raw.where(early), keep_order=True)
     fresh = newer_than(raw, high_water(target))
-    return merge_plan(target, zones.stg_indicator_source(fresh), S.INDICATOR_KEYS, recency=["ingested_at", "extract_run_id"])
+    merged = merge_plan(target, zones.stg_indicator_source(fresh, keep_order=True), S.INDICATOR_KEYS, recency=[zones.ORDER_COL])
+    return merged.select(*S.STG_INDICATOR.fieldNames())
 
 
 @register(

@@ -26,7 +26,7 @@ def stream_upsert(
     partition_by: Sequence[str],
     with_partition: Callable[[DataFrame], DataFrame],
     checkpoint_location: str,
-    recency: Sequence[str] = ("ingested_at", "extract_run_id"),
+    recency: Sequence[str] = ("_order",),
     max_files_per_trigger: int | None = None,
 ) -> int:
     """Run the landing -> staging upsert until all landed files are processed; returns batches run."""

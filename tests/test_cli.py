@@ -48,3 +48,38 @@ def test_cli_forecast_only(spark, tmp_path):
           "--locations", "london:51.5072:-0.1276", "--disable-archive", "--run-id", "r1",
           "--ingested-at", "2025-01-02T00:00:00"], spark=spark)
     assert rows(spark.read.parquet(f"{zones}/mart/weather_hourly"), "temperature_2m") == [(3.8,), (9.9,)]
+
+
+def test_body_table_reader_json_and_parquet(spark, tmp_path):
+    from datetime import datetime
+
+    from rawmart import schemas as S
+    from rawmart.sources.captured import read_body_table
+
+    df = spark.createDataFrame([("SP.POP.TOTL", 1, P1, "r1", datetime(2025, 1, 1), "extra")],
+                               "indicator_id string, page_no int, body string, extract_run_id string, ingested_at timestamp_ntz, other string")
+    df.write.json(str(tmp_path / "j"))
+    df.write.parquet(str(tmp_path / "p"))
+    for fmt, sub in (("json", "j"), ("parquet", "p")):
+        got = read_body_table(spark, str(tmp_path / sub), S.INDICATOR_BODY, fmt)
+        assert got.columns == S.INDICATOR_BODY.fieldNames()
+        assert rows(got, "indicator_id", "page_no", "body") == [("SP.POP.TOTL", 1, P1)]
+
+
+def test_hourly_stream_equals_batch(spark, tmp_path):
+    from rawmart import schemas as S
+    from rawmart.plans import zones
+    from rawmart.queries import QUERIES, _hourly_batch
+    from rawmart.sources import driver_tables as D
+    from rawmart.sources.landing import land_jsonl
+    from rawmart.streaming import stream_upsert
+
+    sf = "/root/testdata/sf0.001"
+    raw, _ = _hourly_batch(spark, sf)
+    base = str(tmp_path)
+    land_jsonl(raw.repartition(3), f"{base}/landing", by_run=False)
+    stream_upsert(spark, f"{base}/landing", S.RAW_HOURLY, lambda b: zones.stg_hourly_source(b, D.HOURLY_TZ, keep_order=True),
+                  f"{base}/stg", S.HOURLY_KEYS, [S.HOURLY_PART], lambda d: zones.with_partition(d, "hourly"),
+                  f"{base}/_ckpt", max_files_per_trigger=1)
+    got = rows(spark.read.parquet(f"{base}/stg").select(*S.STG_HOURLY.fieldNames()))
+    assert got == rows(QUERIES["stg_hourly_latest"](spark, sf))

@@ -75,7 +75,7 @@ def test_stream_replay_is_harmless(spark, tmp_path):
     base = str(tmp_path)
 
     def run():
-        stream_upsert(spark, f"{base}/landing", S.RAW_INDICATOR, zones.stg_indicator_source, f"{base}/stg",
+        stream_upsert(spark, f"{base}/landing", S.RAW_INDICATOR, lambda b: zones.stg_indicator_source(b, keep_order=True), f"{base}/stg",
                       S.INDICATOR_KEYS, [S.INDICATOR_PART], lambda d: zones.with_partition(d, "indicator"),
                       f"{base}/_ckpt", max_files_per_trigger=2)
         return rows(spark.read.parquet(f"{base}/stg").select(*S.STG_INDICATOR.fieldNames()))
