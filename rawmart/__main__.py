@@ -43,6 +43,7 @@ def main(argv=None, spark: SparkSession | None = None):
     from rawmart.sources.config_text import parse_locations
 
     args = parse_args(argv)
+    validate(args)
     spark = spark or SparkSession.builder.appName("rawmart").getOrCreate()
     configure(spark)
     run_id = args.run_id or uuid.uuid4().hex
@@ -75,6 +76,23 @@ def main(argv=None, spark: SparkSession | None = None):
     return result
 
 
+def validate(args) -> None:
+    """Fail before any Spark work on configuration errors."""
+    from zoneinfo import ZoneInfo
+
+    if not (args.indicator_bodies or args.hourly_bodies):
+        raise ValueError("give --indicator-bodies and/or --hourly-bodies")
+    if args.hourly_bodies:
+        if not [p for p in args.locations.split(";") if p.strip()]:
+            raise ValueError("--locations must name at least one location for hourly bodies")
+        if args.disable_archive and args.disable_forecast:
+            raise ValueError("archive and forecast are both disabled")
+    try:
+        ZoneInfo(args.tz)
+    except Exception as ex:  # noqa: BLE001
+        raise ValueError(f"unknown time zone {args.tz!r}") from ex
+
+
 def _sql_text(s: str) -> str:
     return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 

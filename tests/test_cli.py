@@ -83,3 +83,17 @@ def test_hourly_stream_equals_batch(spark, tmp_path):
                   f"{base}/_ckpt", max_files_per_trigger=1)
     got = rows(spark.read.parquet(f"{base}/stg").select(*S.STG_HOURLY.fieldNames()))
     assert got == rows(QUERIES["stg_hourly_latest"](spark, sf))
+
+
+def test_cli_rejects_bad_settings():
+    import pytest
+
+    from rawmart.__main__ import parse_args, validate
+
+    for argv in (["--zones", "z"],
+                 ["--zones", "z", "--hourly-bodies", "h"],
+                 ["--zones", "z", "--hourly-bodies", "h", "--locations", "a:1:2", "--tz", "Mars/Base"],
+                 ["--zones", "z", "--hourly-bodies", "h", "--locations", "a:1:2", "--disable-archive", "--disable-forecast"]):
+        with pytest.raises(ValueError):
+            validate(parse_args(argv))
+    validate(parse_args(["--zones", "z", "--indicator-bodies", "i"]))
