@@ -8,11 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pyspark.sql import Column
-
 from rawmart import schemas as S
 from rawmart.functions import (
     day_of,
@@ -50,7 +48,7 @@ def register(name: str, sql: str | None = None):
 
 # ---------------------------------------------------------------- shared oracle fragments
 
-# indicator records derived from events, typed, valid ones only (mirrors driver_tables.indicator_record_json)
+# indicator records derived from events, typed, with their validity (the rules of driver_tables.indicator_record_json)
 _IND_TYPED = """
 ind AS (
   SELECT
