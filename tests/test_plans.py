@@ -79,3 +79,18 @@ def test_upsert_reads_only_touched_partitions(spark, tmp_path):
     zones.with_partition(df, "indicator").write.partitionBy("year_bucket").parquet(path)
     plan = _plan(spark.read.parquet(path).where(partition_filter(["year_bucket"], [(101,)])))
     assert "PartitionFilters: [isnotnull(year_bucket" in plan and "= 101)" in plan
+
+
+def test_annual_series_filters_reach_the_scan(spark, tmp_path):
+    from rawmart.plans import consume, zones
+    from rawmart.queries import QUERIES
+
+    mart = zones.with_partition(QUERIES["mart_indicator_year"](spark, SF), "indicator")
+    path = str(tmp_path / "m")
+    mart.write.partitionBy("year_bucket").parquet(path)
+    df = consume.annual_series(spark.read.parquet(path), countries=["U00001"], indicators=["click"])
+    plan = _plan(df)
+    assert "PushedFilters: [IsNotNull(country_iso3), IsNotNull(indicator_id), In(country_iso3" in plan or (
+        "In(country_iso3, [U00001])" in plan or "EqualTo(country_iso3,U00001)" in plan
+    ), plan
+    assert "ReadSchema: struct<country_iso3:string,indicator_id:string,year:bigint,value_num:double>" in plan
