@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from rawmart.functions.patterns import INTEGER_TEXT, LOCAL_MINUTE_TEXT, NUMBER_TEXT
+from rawmart.fixed import INTEGER_TEXT, LOCAL_MINUTE_TEXT, NUMBER_TEXT, YEAR_RANGE
 
 
 def _col(c) -> Column:
@@ -104,7 +104,7 @@ def local_ts_to_utc(text, tz: str, strict: bool = False) -> Column:
     return utc
 
 
-def year_bucket(year, lo: int = 1900, hi: int = 2200, step: int = 1) -> Column:
+def year_bucket(year, lo: int = YEAR_RANGE[0], hi: int = YEAR_RANGE[1], step: int = YEAR_RANGE[2]) -> Column:
     """RANGE_BUCKET(year, GENERATE_ARRAY(lo, hi, step)): 0 below ``lo``, 1.. inside, one catch-all above."""
     n = (hi - lo) // step
     return F.width_bucket(_col(year), F.lit(lo), F.lit(lo + n * step), F.lit(n))

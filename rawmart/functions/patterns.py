@@ -1,6 +1,3 @@
-"""Fixed text patterns (values, not logic)."""
+"""Text patterns of the safe casts and the local time format (fixed values live in ``rawmart.fixed``)."""
 
-# Accepted text shapes for the safe casts and the local time format.
-INTEGER_TEXT = r"^\s*[+-]?[0-9]+\s*$"
-NUMBER_TEXT = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
-LOCAL_MINUTE_TEXT = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}$"
+from rawmart.fixed import INTEGER_TEXT, LOCAL_MINUTE_TEXT, NUMBER_TEXT  # noqa: F401

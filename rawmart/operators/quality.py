@@ -7,10 +7,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rawmart.fixed import MEASURES
 from rawmart.functions import is_object, json_array, truthy
 
-# The three hourly measures the staging table stores.
-DEFAULT_MEASURES = ("temperature_2m", "precipitation", "wind_speed_10m")
+DEFAULT_MEASURES = MEASURES
 
 
 def indicator_valid(payload="payload") -> Column:

@@ -14,6 +14,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rawmart import fixed as X
 from rawmart import schemas as S
 from rawmart.functions import parse_once
 from rawmart.operators.merge import merge_upsert, partition_filter, path_exists
@@ -41,12 +42,12 @@ class Zones:
     def dead_letters(self) -> str:
         return self.path("dead_letter")
 
-    raw_indicator = property(lambda self: self.path("raw/world_bank_indicator"))
-    raw_hourly = property(lambda self: self.path("raw/open_meteo_response"))
-    stg_indicator = property(lambda self: self.path("staging/stg_world_bank_indicator"))
-    stg_hourly = property(lambda self: self.path("staging/stg_open_meteo_hourly"))
-    mart_indicator = property(lambda self: self.path("mart/country_indicator_year"))
-    mart_hourly = property(lambda self: self.path("mart/weather_hourly"))
+    raw_indicator = property(lambda self: self.path(f"raw/{X.RAW_INDICATOR_TABLE}"))
+    raw_hourly = property(lambda self: self.path(f"raw/{X.RAW_HOURLY_TABLE}"))
+    stg_indicator = property(lambda self: self.path(f"staging/{X.STG_INDICATOR_TABLE}"))
+    stg_hourly = property(lambda self: self.path(f"staging/{X.STG_HOURLY_TABLE}"))
+    mart_indicator = property(lambda self: self.path(f"mart/{X.MART_INDICATOR_TABLE}"))
+    mart_hourly = property(lambda self: self.path(f"mart/{X.MART_HOURLY_TABLE}"))
 
 
 @dataclass
@@ -72,7 +73,7 @@ def build_batches(
     locations: DataFrame,
     run_id: str | None,
     ingested_at: str | None,
-    enabled_variants: Sequence[str] = ("archive", "forecast"),
+    enabled_variants: Sequence[str] = X.VARIANTS,
     measures: Sequence[str] = DEFAULT_MEASURES,
 ) -> dict[str, tuple[DataFrame, DataFrame]]:
     """O2/O3: both sources are built before anything is landed (a failing source aborts the run)."""
@@ -80,10 +81,10 @@ def build_batches(
     if indicator_bodies is not None:
         bodies = _stamp(indicator_bodies, run_id, ingested_at)
         records = unwrap_pages(bodies, carry=("ingested_at",))
-        out["world_bank_indicator"] = zones.indicator_batch(records, materialize=True)
+        out[X.RAW_INDICATOR_TABLE] = zones.indicator_batch(records, materialize=True)
     if hourly_bodies is not None:
         payloads = parse_once(_stamp(hourly_bodies, run_id, ingested_at), "body")
-        out["open_meteo_response"] = zones.hourly_batch(payloads, locations, enabled_variants, measures, materialize=True)
+        out[X.RAW_HOURLY_TABLE] = zones.hourly_batch(payloads, locations, enabled_variants, measures, materialize=True)
     return out
 
 
@@ -99,8 +100,8 @@ def land_batch(
     land_jsonl(raw, f"{z.landing}/{prefix}", source_file=name)
     # raw zone: append, partitioned by ingest day, clustered by (entity, run)
     landed = zones.with_ingest_date(raw.withColumn("source_file", F.lit(name)))
-    entity = "indicator_id" if prefix == "world_bank_indicator" else "location_id"
-    path = z.raw_indicator if prefix == "world_bank_indicator" else z.raw_hourly
+    entity = "indicator_id" if prefix == X.RAW_INDICATOR_TABLE else "location_id"
+    path = z.raw_indicator if prefix == X.RAW_INDICATOR_TABLE else z.raw_hourly
     (
         landed.hint("rebalance", S.RAW_PART)
         .sortWithinPartitions(S.RAW_PART, entity, "extract_run_id")
@@ -216,9 +217,9 @@ def run_job(
     inc = incremental and run_id is not None
     steps = step_functions(spark, z, tz, run_id if inc else None, ingested_at if inc else None)
     skip = set()
-    if "world_bank_indicator" not in landed_sources and not _exists(spark, z.raw_indicator):
+    if X.RAW_INDICATOR_TABLE not in landed_sources and not _exists(spark, z.raw_indicator):
         skip |= {"010_stg_indicator", "020_mart_indicator"}
-    if "open_meteo_response" not in landed_sources and not _exists(spark, z.raw_hourly):
+    if X.RAW_HOURLY_TABLE not in landed_sources and not _exists(spark, z.raw_hourly):
         skip |= {"011_stg_hourly", "021_mart_hourly"}
     result.steps = run_steps(steps, exclude=skip)
     return result

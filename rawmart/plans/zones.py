@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rawmart import fixed as X
 from rawmart import schemas as S
 from rawmart.functions import day_of, json_scalar, local_ts_to_utc, safe_double, safe_long, year_bucket
 from rawmart.operators.arrays import align_arrays
@@ -33,7 +34,7 @@ def indicator_batch(records: DataFrame, source_file: str = "", materialize: bool
         "indicator_id",
         "payload",
     )
-    dead = dead_letter(bad, "world_bank", "invalid_indicator_record", {"indicator_id": "indicator_id"})
+    dead = dead_letter(bad, X.INDICATOR_SOURCE, X.INDICATOR_REASON, {"indicator_id": "indicator_id"})
     raw._rawmart_scratch = getattr(valid, "_rawmart_scratch", None)
     return raw, dead
 
@@ -41,7 +42,7 @@ def indicator_batch(records: DataFrame, source_file: str = "", materialize: bool
 def hourly_batch(
     payloads: DataFrame,
     locations: DataFrame,
-    enabled_variants: Sequence[str] = ("archive", "forecast"),
+    enabled_variants: Sequence[str] = X.VARIANTS,
     measures: Sequence[str] = DEFAULT_MEASURES,
     source_file: str = "",
     materialize: bool = False,
@@ -65,8 +66,8 @@ def hourly_batch(
         "source_variant",
         "payload",
     )
-    reason = F.concat(F.lit("invalid_"), F.col("source_variant"), F.lit("_payload"))
-    dead = dead_letter(bad, "open_meteo", reason, {"location_id": "location_id"})
+    reason = F.concat(F.lit(X.HOURLY_REASON_PREFIX), F.col("source_variant"), F.lit(X.HOURLY_REASON_SUFFIX))
+    dead = dead_letter(bad, X.HOURLY_SOURCE, reason, {"location_id": "location_id"})
     raw._rawmart_scratch = getattr(valid, "_rawmart_scratch", None)
     return raw, dead
 
@@ -234,12 +235,12 @@ def create_zone_tables(spark: SparkSession, base: str, raw_db: str = "raw", stg_
     """Create the three namespaces and six tables if absent (Parquet, partitioned; clustering is done
     at write time by sorting within partitions). Returns table name -> location."""
     layout = {
-        f"{raw_db}.world_bank_indicator": (S.RAW_INDICATOR, S.RAW_PART, "DATE"),
-        f"{raw_db}.open_meteo_response": (S.RAW_HOURLY, S.RAW_PART, "DATE"),
-        f"{stg_db}.stg_world_bank_indicator": (S.STG_INDICATOR, S.INDICATOR_PART, "INT"),
-        f"{stg_db}.stg_open_meteo_hourly": (S.STG_HOURLY, S.HOURLY_PART, "DATE"),
-        f"{mart_db}.country_indicator_year": (S.MART_INDICATOR, S.INDICATOR_PART, "INT"),
-        f"{mart_db}.weather_hourly": (S.MART_HOURLY, S.HOURLY_PART, "DATE"),
+        f"{raw_db}.{X.RAW_INDICATOR_TABLE}": (S.RAW_INDICATOR, S.RAW_PART, "DATE"),
+        f"{raw_db}.{X.RAW_HOURLY_TABLE}": (S.RAW_HOURLY, S.RAW_PART, "DATE"),
+        f"{stg_db}.{X.STG_INDICATOR_TABLE}": (S.STG_INDICATOR, S.INDICATOR_PART, "INT"),
+        f"{stg_db}.{X.STG_HOURLY_TABLE}": (S.STG_HOURLY, S.HOURLY_PART, "DATE"),
+        f"{mart_db}.{X.MART_INDICATOR_TABLE}": (S.MART_INDICATOR, S.INDICATOR_PART, "INT"),
+        f"{mart_db}.{X.MART_HOURLY_TABLE}": (S.MART_HOURLY, S.HOURLY_PART, "DATE"),
     }
     for db in (raw_db, stg_db, mart_db):
         spark.sql("CREATE DATABASE IF NOT EXISTS IDENTIFIER(:db)", args={"db": db})
