@@ -29,3 +29,7 @@ YEAR_RANGE = (1900, 2200, 1)
 INTEGER_TEXT = r"^\s*[+-]?[0-9]+\s*$"
 NUMBER_TEXT = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 LOCAL_MINUTE_TEXT = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}$"
+
+# Landing file name, with ':' of the ISO time written as '-'.
+LANDING_NAME = "{prefix}_{run}_{at}.jsonl"
+LANDING_TIME_REPLACE = (":", "-")

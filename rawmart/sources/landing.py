@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from rawmart.fixed import LANDING_NAME, LANDING_TIME_REPLACE
 from rawmart.schemas import DEAD_LETTER
 
 
 def landing_name(prefix: str, extract_run_id: str, labelled_at_iso: str) -> str:
     """``<prefix>_<run>_<iso with ':' -> '-'>.jsonl``; recorded in ``source_file`` of every landed row."""
-    return f"{prefix}_{extract_run_id}_{labelled_at_iso.replace(':', '-')}.jsonl"
+    return LANDING_NAME.format(prefix=prefix, run=extract_run_id, at=labelled_at_iso.replace(*LANDING_TIME_REPLACE))
 
 
 def land_jsonl(
