@@ -12,14 +12,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rawmart.functions import is_object, json_array
+from rawmart.functions import is_object, json_array, parse_once
 
 PAGE_KEYS = ("extract_run_id", "indicator_id")
 
 
 def _parsed(bodies: DataFrame) -> DataFrame:
-    # try_parse_json: a body that is not JSON becomes NULL and yields no records, never a failure
-    return bodies.withColumn("_v", F.try_parse_json("body"))
+    # a body that is not JSON becomes NULL and yields no records, never a failure
+    return parse_once(bodies, "body", out="_v")
 
 
 def _records(v: str = "_v"):
@@ -35,34 +35,34 @@ def page_cut(bodies: DataFrame, keys: Sequence[str] = PAGE_KEYS) -> DataFrame:
     page whose number reaches ``metadata.pages`` (text or number; missing -> the page itself), and
     a gap in the captured pages ends the run of pages too.
 
-    Computed with aggregates and an anti join, never a window: a hot indicator with millions of
-    pages is spread over many tasks and pre-aggregated before each shuffle.
+    One pass over the bodies emits three small rows per page: the page itself (present, with its
+    stop value) and the candidates ``page + 1`` and ``1`` for "first missing page". Two aggregations
+    follow, both combined map-side: per (keys, page) and per keys. No window and no join, so an
+    indicator holding a third of all pages is spread over many tasks.
     """
-    parsed = _parsed(bodies)
-    page_meta = parsed.select(
+    parsed = _parsed(bodies.select(*keys, "page_no", "body"))
+    pages = F.coalesce(F.try_variant_get("_v", "$[0].pages", "int"), F.col("page_no"))
+    # explicit NULL branch: size(NULL) is NULL under ANSI but -1 without it
+    n_objects = F.when(_records().isNull(), F.lit(0)).otherwise(F.size(F.filter(_records(), lambda r: is_object(r))))
+    stop = F.when(n_objects == 0, F.col("page_no") - 1).when(F.col("page_no") >= pages, F.col("page_no"))
+    row = "struct<page_no:int,present:int,cand:int,stop:int>"
+    rows = parsed.select(
         *keys,
-        F.col("page_no"),
-        F.coalesce(F.try_variant_get("_v", "$[0].pages", "int"), F.col("page_no")).alias("_pages"),
-        # explicit NULL branch: size(NULL) is NULL under ANSI but -1 without it
-        F.when(_records().isNull(), F.lit(0)).otherwise(F.size(F.filter(_records(), lambda r: is_object(r)))).alias("_n"),
-    )
-    stop = page_meta.select(
-        *keys,
-        F.when(F.col("_n") == 0, F.col("page_no") - 1)
-        .when(F.col("page_no") >= F.col("_pages"), F.col("page_no"))
-        .alias("_stop"),
-    )
-    present = page_meta.select(*keys, "page_no").distinct()
-    # first page number that was never captured: min over {1} u {p + 1} minus the captured set
-    candidates = present.select(*keys, (F.col("page_no") + 1).alias("page_no")).unionByName(
-        present.select(*keys, F.lit(1).alias("page_no"))
-    )
-    missing = candidates.join(present, [*keys, "page_no"], "left_anti")
-    gap = missing.groupBy(*keys).agg((F.min("page_no") - 1).alias("_gap"))
-    stops = stop.groupBy(*keys).agg(F.min("_stop").alias("_stop"))
-    return gap.join(stops, list(keys), "left").select(
-        *keys, F.least(F.col("_gap"), F.coalesce(F.col("_stop"), F.col("_gap"))).alias("last_page")
+        F.explode(
+            F.array(
+                F.struct(F.col("page_no"), F.lit(1), F.lit(0), stop).cast(row),
+                F.struct(F.col("page_no") + 1, F.lit(0), F.lit(1), F.lit(None)).cast(row),
+                F.struct(F.lit(1), F.lit(0), F.lit(1), F.lit(None)).cast(row),
+            )
+        ).alias("r"),
+    ).select(*keys, "r.*")
+    per_page = rows.groupBy(*keys, "page_no").agg(
+        F.max("present").alias("present"), F.max("cand").alias("cand"), F.min("stop").alias("stop")
     )
+    missing = F.when((F.col("cand") == 1) & (F.col("present") == 0), F.col("page_no"))
+    per_key = per_page.groupBy(*keys).agg(F.min(missing).alias("_missing"), F.min("stop").alias("_stop"))
+    gap = F.col("_missing") - 1
+    return per_key.select(*keys, F.least(gap, F.coalesce(F.col("_stop"), gap)).alias("last_page"))
 
 
 # Broadcast the per-(run, indicator) cut only up to this many rows (about 100 bytes each).
