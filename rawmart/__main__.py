@@ -73,6 +73,8 @@ def main(argv=None, spark: SparkSession | None = None):
         incremental=not args.full_rescan,
     )
     print(f"run {run_id}: landed={result.landed} steps={result.steps}")
+    for (source, entity, outcome), n in sorted(result.metrics.items()):
+        print(f"  {source} {entity} {outcome}: {n}")
     return result
 
 

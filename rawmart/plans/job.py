@@ -55,6 +55,8 @@ class RunResult:
     landed: list[str] = field(default_factory=list)
     dead_letter_batches: list[str] = field(default_factory=list)
     steps: list[str] = field(default_factory=list)
+    # (source table, entity, outcome) -> rows; one entry per requested indicator / location and variant
+    metrics: dict[tuple[str, str, str], int] = field(default_factory=dict)
 
 
 def _stamp(df: DataFrame, run_id: str | None, ingested_at: str | None) -> DataFrame:
@@ -88,6 +90,23 @@ def build_batches(
     return out
 
 
+def batch_metrics(prefix: str, raw: DataFrame, dead: DataFrame) -> dict[tuple[str, str, str], int]:
+    """Valid and dead-lettered rows per requested indicator or per location and variant.
+
+    One small aggregate over the written batch; the result has one row per configured entity.
+    """
+    if prefix == X.RAW_INDICATOR_TABLE:
+        valid_entity, dead_entity = F.col("indicator_id"), F.col("context")["indicator_id"]
+    else:
+        valid_entity = F.concat_ws("/", "location_id", "source_variant")
+        dead_entity = F.concat_ws("/", F.col("context")["location_id"], F.regexp_extract("reason", "^invalid_(.*)_payload$", 1))
+    both = raw.select(valid_entity.alias("entity"), F.lit("valid").alias("outcome")).unionByName(
+        dead.select(dead_entity.alias("entity"), F.lit("dead_letter").alias("outcome"))
+    )
+    counts = both.groupBy("entity", "outcome").count().collect()
+    return {(prefix, r["entity"], r["outcome"]): r["count"] for r in counts}
+
+
 def land_batch(
     spark: SparkSession, z: Zones, prefix: str, raw: DataFrame, dead: DataFrame, run_id: str, label_iso: str
 ) -> bool:
@@ -208,6 +227,7 @@ def run_job(
     for prefix, (raw, dead) in batches.items():
         label_run = run_id or "captured"
         label_at = ingested_at or "captured"
+        result.metrics.update(batch_metrics(prefix, raw, dead))
         if land_batch(spark, z, prefix, raw, dead, label_run, label_at):
             landed_sources.append(prefix)
             result.landed.append(prefix)

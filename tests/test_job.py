@@ -41,6 +41,7 @@ def test_dead_letters_only(spark, scratch):
     res = run_job(spark, z, None, _hour(spark, '{"hourly":{"time":["2025-01-01T00:00"],"temperature_2m":[4.1]}}'),
                   _locs(spark), "run1", "2025-01-02T00:00:00")
     assert res.landed == [] and res.steps == []
+    assert res.metrics == {("open_meteo_response", "london/archive", "dead_letter"): 1}
     assert _exists(z.dead_letters) and not _exists(z.landing)
 
 
@@ -49,6 +50,7 @@ def test_full_run_and_rerun_is_idempotent(spark, scratch):
     args = (_ind(spark, P1), _hour(spark, H), _locs(spark))
     res = run_job(spark, z, *args, "run1", "2025-01-02T00:00:00")
     assert res.landed == ["world_bank_indicator", "open_meteo_response"]
+    assert res.metrics == {("world_bank_indicator", "SP.POP.TOTL", "valid"): 1, ("open_meteo_response", "london/archive", "valid"): 1}
     assert res.steps == ["010_stg_indicator", "011_stg_hourly", "020_mart_indicator", "021_mart_hourly"]
     first = (rows(spark.read.parquet(z.mart_indicator)), rows(spark.read.parquet(z.mart_hourly)))
     # a second run with the same data (new run id, later time) gives the same marts
