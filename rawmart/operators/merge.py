@@ -28,8 +28,9 @@ def merge_plan(
     source match are kept (nothing is deleted); a matched row is replaced whole, NULLs included.
     Rows with a NULL key never match, as in SQL, so they are inserted again.
 
-    With ``recency`` (e.g. ``["ingested_at", "extract_run_id"]``) a matched target row is replaced only
-    when the source row is not older: the guard an incremental or streaming source needs.
+    With ``recency`` (the staging ``_order`` struct, or e.g. ``["ingested_at", "extract_run_id"]``) a
+    matched target row is replaced only when the source row is not older: the guard an incremental
+    or streaming source needs. A union and one ``latest_per_key`` then replace the anti join.
     """
     cols = target.columns
     src = source.select(*cols)
