@@ -23,9 +23,12 @@ def _parsed(bodies: DataFrame) -> DataFrame:
 
 
 def _records(v: str = "_v"):
-    """Records array of a ``[metadata, records]`` envelope; NULL for any other shape."""
-    root_ok = F.size(json_array(v, "$")) >= 2
-    return F.when(root_ok, json_array(v, "$[1]"))
+    """Records array of a ``[metadata, records]`` envelope; NULL for any other shape.
+
+    ``$[1]`` resolves only when the root is an array of at least two elements, so no separate root
+    test (which would copy the whole body into an array) is needed.
+    """
+    return json_array(v, "$[1]")
 
 
 def page_cut(bodies: DataFrame, keys: Sequence[str] = PAGE_KEYS) -> DataFrame:
