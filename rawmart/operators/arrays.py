@@ -24,22 +24,26 @@ def align_arrays(
     rows with a NULL/empty driver array vanish; a measure that is missing, shorter, or holds a
     non-scalar at the offset gives NULL; measure elements past the driver's end are ignored; driver
     elements that are not non-null scalars are dropped after the offset is taken. No join is
-    needed: ``get(array, pos)`` is NULL out of range and on a NULL array.
+    needed: the arrays are zipped (missing ones as empty arrays) and exploded with their offset.
     """
+    names = list(measure_paths)
+    empty = F.array().cast("array<variant>")
+    # zip first, so each exploded row carries only its own elements; carrying the whole measure
+    # arrays past the explode is cheap only while whole-stage codegen keeps them as variables (a
+    # fallback or a row copy would copy every array once per element)
     arrays = df.select(
         *keep,
-        json_array(payload, driver_path).alias("_drv"),
-        *[json_array(payload, p).alias(f"_m_{name}") for name, p in measure_paths.items()],
-    )
-    exploded = arrays.select(
-        *keep,
-        *[F.col(f"_m_{name}") for name in measure_paths],
-        F.posexplode("_drv").alias("pos", "_elem"),
+        F.coalesce(json_array(payload, driver_path), empty).alias("_drv"),
+        *[F.coalesce(json_array(payload, p), empty).alias(f"_m_{name}") for name, p in measure_paths.items()],
     )
+    zipped = F.arrays_zip(F.col("_drv"), *[F.col(f"_m_{name}") for name in names])
+    exploded = arrays.select(*keep, F.posexplode(zipped).alias("pos", "_e"))
     out = exploded.select(
         *keep,
         F.col("pos").cast("bigint").alias("pos"),  # INT64 offset, as WITH OFFSET
-        json_scalar("_elem").alias(driver_name),
-        *[json_scalar(F.get(F.col(f"_m_{name}"), F.col("pos"))).alias(name) for name in measure_paths],
+        json_scalar(F.col("_e")["_drv"]).alias(driver_name),
+        *[json_scalar(F.col("_e")[f"_m_{name}"]).alias(name) for name in names],
     )
+    # rows past the driver's end (a longer measure) and null/non-scalar driver elements drop here;
+    # a missing or shorter measure pads with NULL, as the LEFT JOIN on the offset does
     return out.where(F.col(driver_name).isNotNull())

@@ -140,3 +140,22 @@ def test_merge_upsert_rewrites_only_touched_partitions(spark, scratch):
     # rerun is a no-op on the result
     merge_upsert(spark, path, second, S.INDICATOR_KEYS, [S.INDICATOR_PART])
     assert rows(spark.read.parquet(path), "year", "value_num", S.INDICATOR_PART) == got
+
+
+def test_measure_longer_than_time_is_ignored(spark):
+    # The driver array decides the rows; extra measure values are ignored
+    raw = _hourly_raw(spark, [(_h(["2025-01-01T00:00"], [1, 2, 3], pre=[7, 8], wind=[9]), "archive", T1, "r")])
+    got = rows(zones.hourly_rows(raw, "UTC"), "pos", "temperature_2m", "precipitation", "wind_speed_10m")
+    assert got == [(0, 1.0, 7.0, 9.0)]
+
+
+def test_year_long_payload(spark):
+    # 8,760 hourly elements in one payload (a year of hours)
+    from datetime import timedelta
+
+    start = datetime(2024, 1, 1)
+    times = [(start + timedelta(hours=i)).strftime("%Y-%m-%dT%H:%M") for i in range(8760)]
+    raw = _hourly_raw(spark, [(_h(times, list(range(8760))), "archive", T1, "r")])
+    stg = zones.stg_hourly_source(raw, "UTC")
+    agg = stg.agg(F.count("*").alias("n"), F.sum("temperature_2m").alias("s")).first()
+    assert (agg.n, agg.s) == (8760, float(sum(range(8760))))
