@@ -15,6 +15,8 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # rebalance before partitioned writes splits a hot partition (one day, one year) into many tasks
+    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }
 
 
