@@ -58,7 +58,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not current:
         current = tempfile.mkdtemp(prefix="rawmart-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
+    if spark.sparkContext.getCheckpointDir() is None:
+        # each call makes a fresh sub-folder, so set it once per context
+        spark.sparkContext.setCheckpointDir(current)
     return current
 
 
