@@ -64,7 +64,8 @@ def freshness(tables: dict[str, DataFrame], as_of, max_age_hours: float) -> Data
     for p in parts[1:]:
         out = out.unionByName(p)
     as_of_ts = F.lit(as_of).cast("timestamp_ntz")
-    age = (F.unix_micros(as_of_ts.cast("timestamp")) - F.unix_micros(F.col("last_ingested_at").cast("timestamp"))) / 3.6e9
+    # difference of two UTC wall times, computed without the session zone (no DST shift)
+    age = F.timestamp_diff("MICROSECOND", F.col("last_ingested_at"), as_of_ts) / 3.6e9
     return out.select(
         "source",
         "last_ingested_at",

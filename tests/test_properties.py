@@ -123,3 +123,17 @@ def test_results_do_not_depend_on_ansi_mode(spark):
             assert rows(_q(n)(spark, SF)) == base[n], n
     finally:
         spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
+def test_freshness_age_ignores_session_dst(spark):
+    from datetime import datetime
+
+    from rawmart.plans import consume
+
+    df = spark.createDataFrame([(datetime(2024, 3, 9, 12),)], "ingested_at timestamp_ntz")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        r = consume.freshness({"s": df}, "2024-03-10 12:00:00", 23.5).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert (r.age_hours, r.is_stale) == (24.0, True)
