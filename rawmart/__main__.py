@@ -32,6 +32,7 @@ def parse_args(argv=None):
     p.add_argument("--run-id")
     p.add_argument("--ingested-at", help="ISO UTC time of this run")
     p.add_argument("--full-rescan", action="store_true", help="stage all raw rows instead of this run's")
+    p.add_argument("--ui", action="store_true", help="keep the Spark web UI on (off by default)")
     return p.parse_args(argv)
 
 
@@ -44,7 +45,11 @@ def main(argv=None, spark: SparkSession | None = None):
 
     args = parse_args(argv)
     validate(args)
-    spark = spark or SparkSession.builder.appName("rawmart").getOrCreate()
+    if spark is None:
+        builder = SparkSession.builder.appName("rawmart")
+        if not args.ui:
+            builder = builder.config("spark.ui.enabled", "false")
+        spark = builder.getOrCreate()
     configure(spark)
     run_id = args.run_id or uuid.uuid4().hex
     ingested_at = args.ingested_at or datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%S")
