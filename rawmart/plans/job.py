@@ -20,7 +20,7 @@ from rawmart.functions import parse_once
 from rawmart.operators.merge import merge_upsert, partition_filter, path_exists
 from rawmart.operators.quality import DEFAULT_MEASURES
 from rawmart.plans import zones
-from rawmart.session import release
+from rawmart.session import release_since, scratch_mark
 from rawmart.sources.bodies import unwrap_pages
 from rawmart.sources.landing import land_jsonl, landing_name, write_dead_letters
 
@@ -82,6 +82,8 @@ def build_batches(
     out = {}
     if indicator_bodies is not None:
         bodies = _stamp(indicator_bodies, run_id, ingested_at)
+        # bodies are parsed once (the unwrap writes the records); the validated batch is written once
+        # more so the emptiness gates, metrics and three landing writes read it without re-joining the cut
         records = unwrap_pages(bodies, carry=("ingested_at",))
         out[X.RAW_INDICATOR_TABLE] = zones.indicator_batch(records, materialize=True)
     if hourly_bodies is not None:
@@ -222,6 +224,7 @@ def run_job(
 ) -> RunResult:
     """O1: one run end to end. Staging and mart steps only run when some valid rows landed."""
     result = RunResult()
+    mark = scratch_mark()
     batches = build_batches(indicator_bodies, hourly_bodies, locations, run_id, ingested_at)
     landed_sources = []
     for prefix, (raw, dead) in batches.items():
@@ -231,7 +234,8 @@ def run_job(
         if land_batch(spark, z, prefix, raw, dead, label_run, label_at):
             landed_sources.append(prefix)
             result.landed.append(prefix)
-        release(raw)
+    # the batches are landed: their scratch tables (unwrapped records, page cut, validated batch) go
+    release_since(spark, mark)
     if not landed_sources:
         return result
     inc = incremental and run_id is not None

@@ -74,7 +74,7 @@ def is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
 
-__all__ = ["build_session", "configure", "checkpoint_dir", "scratch_path", "is_local", "materialize", "partition_values", "release"]
+__all__ = ["build_session", "configure", "checkpoint_dir", "scratch_path", "is_local", "materialize", "partition_values", "release", "scratch_mark", "release_since"]
 
 
 def materialize(df, name: str, partition_by=()):
@@ -94,9 +94,28 @@ def materialize(df, name: str, partition_by=()):
     writer.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._rawmart_scratch = path
+    _CREATED.append(path)
     return out
 
 
+_CREATED: list[str] = []  # scratch tables written by ``materialize`` in this process, in order
+
+
+def scratch_mark() -> int:
+    """A mark to release, later, every scratch table written after it (``release_since``)."""
+    return len(_CREATED)
+
+
+def release_since(spark, mark: int) -> None:
+    """Delete the scratch tables written since ``mark`` (once nothing reads them any more)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in _CREATED[mark:]:
+        jpath = jvm.org.apache.hadoop.fs.Path(path)
+        jpath.getFileSystem(conf).delete(jpath, True)
+    del _CREATED[mark:]
+
+
 def partition_values(df, partition_by) -> list[tuple]:
     """Distinct partition values of a partitioned file table, from its file listing (no Spark job).
 

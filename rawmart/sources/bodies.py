@@ -38,22 +38,29 @@ def page_cut(bodies: DataFrame, keys: Sequence[str] = PAGE_KEYS) -> DataFrame:
     page whose number reaches ``metadata.pages`` (text or number; missing -> the page itself), and
     a gap in the captured pages ends the run of pages too.
 
-    One pass over the bodies emits three small rows per page: the page itself (present, with its
-    stop value) and the candidates ``page + 1`` and ``1`` for "first missing page". Two aggregations
-    follow, both combined map-side: per (keys, page) and per keys. No window and no join, so an
-    indicator holding a third of all pages is spread over many tasks.
+    One pass over the bodies, then ``_cut``'s two map-side-combined aggregations.
     """
     parsed = _parsed(bodies.select(*keys, "page_no", "body"))
     pages = F.coalesce(F.try_variant_get("_v", "$[0].pages", "int"), F.col("page_no"))
     # explicit NULL branch: size(NULL) is NULL under ANSI but -1 without it
     n_objects = F.when(_records().isNull(), F.lit(0)).otherwise(F.size(F.filter(_records(), lambda r: is_object(r))))
     stop = F.when(n_objects == 0, F.col("page_no") - 1).when(F.col("page_no") >= pages, F.col("page_no"))
+    return _cut(parsed.select(*keys, F.col("page_no"), stop.alias("_stop")), keys)
+
+
+def _cut(pages: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``pages``: one row per present page (or per record of it) with ``page_no`` and ``_stop``.
+
+    Emits the page itself (present, with its stop value) and the candidates ``page + 1`` and ``1``
+    for "first missing page", then two aggregations, both combined map-side: per (keys, page) and per
+    keys. No window and no join, so an indicator holding a third of all pages spreads over many tasks.
+    """
     row = "struct<page_no:int,present:int,cand:int,stop:int>"
-    rows = parsed.select(
+    rows = pages.select(
         *keys,
         F.explode(
             F.array(
-                F.struct(F.col("page_no"), F.lit(1), F.lit(0), stop).cast(row),
+                F.struct(F.col("page_no"), F.lit(1), F.lit(0), F.col("_stop")).cast(row),
                 F.struct(F.col("page_no") + 1, F.lit(0), F.lit(1), F.lit(None)).cast(row),
                 F.struct(F.lit(1), F.lit(0), F.lit(1), F.lit(None)).cast(row),
             )
@@ -82,23 +89,33 @@ def unwrap_pages(
     """One row per object record of the kept pages: ``*keys, *carry, page_no, rec_pos, payload (VARIANT)``.
 
     Non-object records and malformed envelopes are dropped silently, as the extractor does.
-    The stop rule is applied per page (one row per body) before the explode.
 
-    The cut has one row per (run, indicator). It is written once under the shared checkpoint folder
-    and counted; within ``broadcast_rows`` it is broadcast, so the bodies are never shuffled (a plain
-    join would shuffle every body by (run, indicator), a key one indicator can dominate). Beyond the
-    limit it is a regular join, where AQE splits a skewed indicator.
+    Each body is parsed once: the records are exploded with their page's ``pages`` value and written
+    once under the shared checkpoint folder; the stop rule is then computed from two small columns
+    of that table (an empty or malformed page has no records, so it ends the page run like a gap,
+    which is exactly "stop before an empty page"). The cut has one row per (run, indicator); it is
+    written, counted and, within ``broadcast_rows``, broadcast, so records are never shuffled by a key
+    one indicator can dominate; beyond the limit it is a regular join with AQE skew splitting.
+    With ``broadcast_rows=None`` nothing is written and the cut comes from a second pass over the bodies.
     """
-    pages = bodies
-    if apply_stop_rule:
+    parsed = _parsed(bodies)
+    pages_meta = F.coalesce(F.try_variant_get("_v", "$[0].pages", "int"), F.col("page_no"))
+    exploded = parsed.select(
+        *keys, *carry, "page_no", pages_meta.alias("_pages"), F.posexplode(_records()).alias("rec_pos", "payload")
+    ).where(is_object("payload"))
+    out_cols = [*keys, *carry, "page_no", "rec_pos", "payload"]
+    if not apply_stop_rule:
+        return exploded.select(*out_cols)
+    if broadcast_rows is None:
         cut = page_cut(bodies, keys)
-        if broadcast_rows is not None:
-            from rawmart.session import materialize
-
-            cut = materialize(cut, "page_cut")
-            if cut.count() <= broadcast_rows:
-                cut = F.broadcast(cut)
-        pages = bodies.join(cut, list(keys), "inner").where(F.col("page_no") <= F.col("last_page"))
-    parsed = _parsed(pages)
-    exploded = parsed.select(*keys, *carry, "page_no", F.posexplode(_records()).alias("rec_pos", "payload"))
-    return exploded.where(is_object("payload"))
+        return exploded.join(cut, list(keys), "inner").where(F.col("page_no") <= F.col("last_page")).select(*out_cols)
+    from rawmart.session import materialize
+
+    recs = materialize(exploded, "unwrapped")
+    stop = F.when(F.col("page_no") >= F.col("_pages"), F.col("page_no"))
+    cut = materialize(_cut(recs.select(*keys, "page_no", stop.alias("_stop")), keys), "page_cut")
+    if cut.count() <= broadcast_rows:
+        cut = F.broadcast(cut)
+    kept = recs.join(cut, list(keys), "inner").where(F.col("page_no") <= F.col("last_page")).select(*out_cols)
+    kept._rawmart_scratch = recs._rawmart_scratch
+    return kept
