@@ -20,7 +20,7 @@ from rawmart.functions import parse_once
 from rawmart.operators.merge import merge_upsert, partition_filter, path_exists
 from rawmart.operators.quality import DEFAULT_MEASURES
 from rawmart.plans import zones
-from rawmart.session import release_since, scratch_mark
+from rawmart.session import SHREDDED_VARIANT_WRITE, release_since, scratch_mark, session_conf
 from rawmart.sources.bodies import unwrap_pages
 from rawmart.sources.landing import land_jsonl, landing_name, write_dead_letters
 
@@ -123,13 +123,14 @@ def land_batch(
     landed = zones.with_ingest_date(raw.withColumn("source_file", F.lit(name)))
     entity = "indicator_id" if prefix == X.RAW_INDICATOR_TABLE else "location_id"
     path = z.raw_indicator if prefix == X.RAW_INDICATOR_TABLE else z.raw_hourly
-    (
-        landed.hint("rebalance", S.RAW_PART)
-        .sortWithinPartitions(S.RAW_PART, entity, "extract_run_id")
-        .write.mode("append")
-        .partitionBy(S.RAW_PART)
-        .parquet(path)
-    )
+    with session_conf(spark, SHREDDED_VARIANT_WRITE):
+        (
+            landed.hint("rebalance", S.RAW_PART)
+            .sortWithinPartitions(S.RAW_PART, entity, "extract_run_id")
+            .write.mode("append")
+            .partitionBy(S.RAW_PART)
+            .parquet(path)
+        )
     return True
 
 
