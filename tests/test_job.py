@@ -72,3 +72,17 @@ def test_incremental_older_run_does_not_overwrite(spark, scratch):
     run_job(spark, z, _ind(spark, new), None, _locs(spark), "run2", "2025-01-03T00:00:00")
     run_job(spark, z, _ind(spark, P1), None, _locs(spark), "run1", "2025-01-02T00:00:00")
     assert rows(spark.read.parquet(z.mart_indicator), "value_num") == [(2.0,)]
+
+
+def test_raw_zone_payload_is_shredded(spark, scratch):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    z = Zones(scratch)
+    run_job(spark, z, _ind(spark, P1), None, _locs(spark), "run1", "2025-01-02T00:00:00")
+    f = glob.glob(f"{z.raw_indicator}/*/*.parquet")[0]
+    paths = [c.path for c in pq.ParquetFile(f).schema]
+    assert any(p.startswith("payload.typed_value.countryiso3code") for p in paths)
+    # the setting was only for that write
+    assert spark.conf.get("spark.sql.variant.writeShredding.enabled", None) in (None, "false")
