@@ -7,6 +7,8 @@ Everything is DataFrame code on built-in Spark functions. Sub-packages:
 * ``operators``  quality split, latest-per-key, array alignment, upsert (merge), cursors
 * ``plans``      zone steps (raw, staging, mart), consumer queries, the run orchestration
 * ``streaming``  availableNow file stream into the upsert
-"""
 
-__all__ = ["session"]
+``rawmart.session`` holds the session settings and scratch handling, ``rawmart.fixed`` the values the
+results share with the reference job, ``rawmart.queries`` the registered queries with their oracles,
+and ``python -m rawmart`` runs one ingestion run as a job.
+"""

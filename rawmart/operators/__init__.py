@@ -1,5 +1,11 @@
 from rawmart.operators.arrays import align_arrays  # noqa: F401
-from rawmart.operators.cursors import last_time_cursor, max_year_cursor, run_metrics  # noqa: F401
+from rawmart.operators.cursors import (  # noqa: F401
+    high_water,
+    last_time_cursor,
+    max_year_cursor,
+    newer_than,
+    run_metrics,
+)
 from rawmart.operators.latest import latest_per_key  # noqa: F401
 from rawmart.operators.merge import merge_plan, merge_upsert  # noqa: F401
 from rawmart.operators.quality import (  # noqa: F401
