@@ -16,11 +16,16 @@ from rawmart.operators.latest import latest_per_key
 from rawmart.session import materialize, partition_values, release
 
 
+# Broadcast the source keys of an upsert only up to this many rows (counted exactly first).
+KEY_BROADCAST_ROWS = 2_000_000
+
+
 def merge_plan(
     target: DataFrame,
     source: DataFrame,
     keys: Sequence[str],
     recency: Sequence[str] | None = None,
+    broadcast_keys: bool = False,
 ) -> DataFrame:
     """Rows of ``target`` after ``MERGE ... WHEN MATCHED UPDATE (all non-keys) WHEN NOT MATCHED INSERT``.
 
@@ -31,9 +36,22 @@ def merge_plan(
     With ``recency`` (the staging ``_order`` struct, or e.g. ``["ingested_at", "extract_run_id"]``) a
     matched target row is replaced only when the source row is not older: the guard an incremental
     or streaming source needs. A union and one ``latest_per_key`` then replace the anti join.
+
+    ``broadcast_keys`` (only for a source whose size was checked): the source keys are broadcast, so
+    target rows without a match pass through with no shuffle at all and only matched target rows
+    meet the source in the recency window.
     """
     cols = target.columns
     src = source.select(*cols)
+    if broadcast_keys:
+        src_keys = F.broadcast(src.select(*keys).where(_not_null(keys)))
+        unmatched = target.join(src_keys, list(keys), "left_anti").select(*cols)
+        if recency is None:
+            return unmatched.unionByName(src)
+        matched = target.join(src_keys, list(keys), "left_semi").select(*cols)
+        both = matched.withColumn("_side", F.lit(0)).unionByName(src.where(_not_null(keys)).withColumn("_side", F.lit(1)))
+        winners = latest_per_key(both, keys, [*recency, "_side"]).select(*cols)
+        return unmatched.unionByName(winners).unionByName(src.where(~_not_null(keys)))
     if recency is None:
         # left_anti + union: one shuffle of each side on the key; both sides are key-unique, so no hot key
         keep = target.join(src.select(*keys).where(_not_null(keys)), list(keys), "left_anti").select(*cols)
@@ -80,7 +98,8 @@ def merge_upsert(
         return []
     existing = _read_existing(spark, path, src)
     if existing is not None:
-        merged = merge_plan(existing.where(partition_filter(partition_by, touched)), src, keys, recency)
+        small = src.count() <= KEY_BROADCAST_ROWS  # exact, from the written source's Parquet footers
+        merged = merge_plan(existing.where(partition_filter(partition_by, touched)), src, keys, recency, small)
         merged = materialize(merged, "upsert_result")
     else:
         merged = src

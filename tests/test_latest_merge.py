@@ -159,3 +159,16 @@ def test_year_long_payload(spark):
     stg = zones.stg_hourly_source(raw, "UTC")
     agg = stg.agg(F.count("*").alias("n"), F.sum("temperature_2m").alias("s")).first()
     assert (agg.n, agg.s) == (8760, float(sum(range(8760))))
+
+
+def test_broadcast_key_merge_equals_shuffled_merge(spark):
+    t = _stg(spark, [("GBR", "UK", "I", "x", 2020, 1.0, T2, "b"), ("FRA", "FR", "I", "x", 2020, 2.0, T1, "a"),
+                     (None, "NA", "I", "x", 2020, 0.0, T1, "a")])
+    s = _stg(spark, [("GBR", "UK", "I", "x", 2020, 9.0, T1, "a"), ("FRA", "FR", "I", "x", 2020, 3.0, T2, "c"),
+                     ("USA", "US", "I", "x", 2020, 4.0, T2, "c"), (None, "NB", "I", "x", 2021, 5.0, T2, "c")])
+    for recency in (None, ["ingested_at", "extract_run_id"]):
+        a = rows(merge_plan(t, s, S.INDICATOR_KEYS, recency))
+        b = rows(merge_plan(t, s, S.INDICATOR_KEYS, recency, broadcast_keys=True))
+        assert a == b, recency
+    plan = merge_plan(t, s, S.INDICATOR_KEYS, ["ingested_at", "extract_run_id"], broadcast_keys=True)
+    assert "BroadcastHashJoin" in plan._jdf.queryExecution().executedPlan().toString()
