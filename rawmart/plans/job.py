@@ -110,12 +110,24 @@ def batch_metrics(prefix: str, raw: DataFrame, dead: DataFrame) -> dict[tuple[st
 
 
 def land_batch(
-    spark: SparkSession, z: Zones, prefix: str, raw: DataFrame, dead: DataFrame, run_id: str, label_iso: str
+    spark: SparkSession,
+    z: Zones,
+    prefix: str,
+    raw: DataFrame,
+    dead: DataFrame,
+    run_id: str,
+    label_iso: str,
+    has_raw: bool | None = None,
+    has_dead: bool | None = None,
 ) -> bool:
-    """Dead letters first (even with no valid rows), then raw JSONL + raw table when not empty."""
-    if not dead.isEmpty():
+    """Dead letters first (even with no valid rows), then raw JSONL + raw table when not empty.
+
+    ``has_raw`` / ``has_dead`` may come from counts already taken (``batch_metrics``); otherwise an
+    ``isEmpty`` check decides.
+    """
+    if (not dead.isEmpty()) if has_dead is None else has_dead:
         write_dead_letters(dead, z.dead_letters)
-    if raw.isEmpty():
+    if raw.isEmpty() if has_raw is None else not has_raw:
         return False
     name = landing_name(prefix, run_id, label_iso)
     land_jsonl(raw, f"{z.landing}/{prefix}", source_file=name)
@@ -231,8 +243,11 @@ def run_job(
     for prefix, (raw, dead) in batches.items():
         label_run = run_id or "captured"
         label_at = ingested_at or "captured"
-        result.metrics.update(batch_metrics(prefix, raw, dead))
-        if land_batch(spark, z, prefix, raw, dead, label_run, label_at):
+        counts = batch_metrics(prefix, raw, dead)
+        result.metrics.update(counts)
+        has_raw = any(n > 0 for (_, _, outcome), n in counts.items() if outcome == "valid")
+        has_dead = any(n > 0 for (_, _, outcome), n in counts.items() if outcome == "dead_letter")
+        if land_batch(spark, z, prefix, raw, dead, label_run, label_at, has_raw, has_dead):
             landed_sources.append(prefix)
             result.landed.append(prefix)
     # the batches are landed: their scratch tables (unwrapped records, page cut, validated batch) go
