@@ -83,7 +83,7 @@ def build_batches(
     if indicator_bodies is not None:
         bodies = _stamp(indicator_bodies, run_id, ingested_at)
         # bodies are parsed once (the unwrap writes the records); the validated batch is written once
-        # more so the emptiness gates, metrics and three landing writes read it without re-joining the cut
+        # more so the metrics (which also decide the landing gates) and three landing writes read it directly
         records = unwrap_pages(bodies, carry=("ingested_at",))
         out[X.RAW_INDICATOR_TABLE] = zones.indicator_batch(records, materialize=True)
     if hourly_bodies is not None:
