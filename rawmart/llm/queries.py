@@ -5,10 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import license_scan, pii, sharding
+from . import langid, license_scan, pii, sharding
 from .text import documents
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    remainder = F.crc32(F.col("doc_id").cast("string")) % 3
+    model = langid.fit(docs.where((remainder != 1) & F.col("lang").isNotNull()))
+    found = langid.identify(docs, model)
+    return found.select("doc_id", (remainder == 1).alias("held_out"), "lang_pred", "score", F.size("spans").cast("long").alias("n_spans"))
+
+
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = license_scan.scan_licenses(documents(spark, sf_dir))
     base = F.filter("spans", lambda s: s["base"])
@@ -39,6 +47,7 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_language_id": op2_language_id,
     "op3_license_scan": op3_license_scan,
     "op8_histogram_sort": op8_histogram_sort,
     "op9_pii": op9_pii,
