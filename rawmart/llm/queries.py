@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, license_scan, pii, sharding
+from . import langid, license_scan, pii, sentence_pieces, sharding
 from .text import documents
 
+#: place of the vocabulary file; a parameter of the queries that need it
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
 
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
@@ -46,11 +49,18 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.select("doc_id", *[count(k) for k in pii.BASE_KINDS], F.sha2(pii.joined(base), 256).alias("base_sha256"), pii.joined(F.col("spans")).alias("spans"))
 
 
+def op10_sentence_pieces(spark: SparkSession, sf_dir: str, model_path: str = PIECE_MODEL) -> DataFrame:
+    encoded = sentence_pieces.encode(documents(spark, sf_dir), model_path)
+    decoded = sentence_pieces.decode(encoded, model_path)
+    return decoded.select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"), F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"))
+
+
 QUERIES = {
     "op2_language_id": op2_language_id,
     "op3_license_scan": op3_license_scan,
     "op8_histogram_sort": op8_histogram_sort,
     "op9_pii": op9_pii,
+    "op10_sentence_pieces": op10_sentence_pieces,
 }
 
 ORACLE: dict[str, str] = {}
