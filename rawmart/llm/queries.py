@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, license_scan, pii, sentence_pieces, sharding
+from . import decontam, langid, license_scan, pii, sentence_pieces, sharding
 from .text import documents
 
 #: place of the vocabulary file; a parameter of the queries that need it
@@ -36,6 +36,10 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.find_leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op8_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.histogram_shards(documents(spark, sf_dir), 8).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
@@ -58,6 +62,7 @@ def op10_sentence_pieces(spark: SparkSession, sf_dir: str, model_path: str = PIE
 QUERIES = {
     "op2_language_id": op2_language_id,
     "op3_license_scan": op3_license_scan,
+    "op7_decontamination": op7_decontamination,
     "op8_histogram_sort": op8_histogram_sort,
     "op9_pii": op9_pii,
     "op10_sentence_pieces": op10_sentence_pieces,
