@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, license_scan, pii, sentence_pieces, sharding
+from . import decontam, hyperminhash, langid, license_scan, pii, sentence_pieces, sharding
 from .text import documents
 
 #: place of the vocabulary file; a parameter of the queries that need it
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
 
+def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hyperminhash.near_duplicates(documents(spark, sf_dir), k=3, percent=85)
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     remainder = F.crc32(F.col("doc_id").cast("string")) % 3
@@ -60,6 +64,7 @@ def op10_sentence_pieces(spark: SparkSession, sf_dir: str, model_path: str = PIE
 
 
 QUERIES = {
+    "op1_minhash": op1_minhash,
     "op2_language_id": op2_language_id,
     "op3_license_scan": op3_license_scan,
     "op7_decontamination": op7_decontamination,
