@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, hyperminhash, langid, license_scan, pii, sentence_pieces, sharding
+from . import decontam, hyperminhash, langid, license_scan, pii, sentence_pieces, sharding, substring_dedup
 from .text import documents
 
 #: place of the vocabulary file; a parameter of the queries that need it
@@ -40,6 +40,10 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.dedup_windows(documents(spark, sf_dir), 50)
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.find_leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
@@ -67,6 +71,7 @@ QUERIES = {
     "op1_minhash": op1_minhash,
     "op2_language_id": op2_language_id,
     "op3_license_scan": op3_license_scan,
+    "op5_substring_dedup": op5_substring_dedup,
     "op7_decontamination": op7_decontamination,
     "op8_histogram_sort": op8_histogram_sort,
     "op9_pii": op9_pii,
