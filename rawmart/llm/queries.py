@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, hyperminhash, langid, license_scan, pii, sentence_pieces, sharding, substring_dedup
+from . import decontam, hyperminhash, knn, langid, license_scan, pii, sentence_pieces, sharding, substring_dedup
 from .text import documents
 
 #: place of the vocabulary file; a parameter of the queries that need it
@@ -40,6 +40,10 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return knn.top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), lambda i: i % 50 == 0, k=5)
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.dedup_windows(documents(spark, sf_dir), 50)
 
@@ -71,6 +75,7 @@ QUERIES = {
     "op1_minhash": op1_minhash,
     "op2_language_id": op2_language_id,
     "op3_license_scan": op3_license_scan,
+    "op4_top_k": op4_top_k,
     "op5_substring_dedup": op5_substring_dedup,
     "op7_decontamination": op7_decontamination,
     "op8_histogram_sort": op8_histogram_sort,
@@ -78,4 +83,18 @@ QUERIES = {
     "op10_sentence_pieces": op10_sentence_pieces,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op4_top_k": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), s AS (
+            SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.e, v.e)::BIGINT AS score
+            FROM v q JOIN v ON q.vec_id <> v.vec_id AND q.vec_id % 50 = 0
+        ), r AS (
+            SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank FROM s
+        )
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+    """,
+}
