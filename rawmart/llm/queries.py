@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, hyperminhash, knn, langid, license_scan, pii, sentence_pieces, sharding, substring_dedup
+from . import decontam, hyperminhash, knn, langid, license_scan, pii, sentence_pieces, sharding, substring_dedup, suffix_index
 from .text import documents
 
 #: place of the vocabulary file; a parameter of the queries that need it
@@ -48,6 +48,10 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.dedup_windows(documents(spark, sf_dir), 50)
 
 
+def op6_suffix_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_index.dedup_bytes(documents(spark, sf_dir), 50)
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.find_leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
@@ -77,6 +81,7 @@ QUERIES = {
     "op3_license_scan": op3_license_scan,
     "op4_top_k": op4_top_k,
     "op5_substring_dedup": op5_substring_dedup,
+    "op6_suffix_index": op6_suffix_index,
     "op7_decontamination": op7_decontamination,
     "op8_histogram_sort": op8_histogram_sort,
     "op9_pii": op9_pii,
