@@ -1,19 +1,78 @@
-"""Corpus pipeline: documents through the training-data operators, one stage after another."""
+"""Corpus pipeline: documents through five of the training-data operators, one stage after another.
+
+Each stage takes what its predecessor kept, with the columns of ``documents``, and returns the same columns; the last one returns
+the sampled ids and the decoded text.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from rawmart.llm import decontam, hyperminhash, langid, pii, sentence_pieces
+from rawmart.llm.queries import PIECE_MODEL
+from rawmart.llm.text import documents, scratch
+
+#: least share of a text's letters that its main language has
+MIN_LANGUAGE_SHARE = 0.4
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejects documents without text or letters, and those of which no language has MIN_LANGUAGE_SHARE of the letters."""
+    model = langid.fit(docs)
+    tagged = langid.tag(docs, model)
+    return tagged.where((F.col("lang_pred") != "und") & (F.col("score") >= MIN_LANGUAGE_SHARE)).select(*docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document with the smallest id of each group (5-word shingles, similarity 0.8); rows with a null id stay.
+
+    What goes is written as a table of ids first: a small one is then broadcast by its size, a large one joined by a shuffle.
+    """
+    found = scratch(hyperminhash.near_duplicates(docs, k=5, percent=80).select("doc_id", "kept"), "near-duplicates")
+    repeated = scratch(found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated-ids")
+    gone = found.where(~F.col("kept")).select("doc_id")
+    one = docs.join(scratch(gone.unionByName(repeated), "gone"), "doc_id", "left_anti").select(*docs.columns)
+    if repeated.isEmpty():
+        return one
+    kept = repeated.join(gone, "doc_id", "left_anti")
+    return one.unionByName(docs.join(kept, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"]))
+
+
+def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that hold a benchmark item, or one with other values."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    leaks = scratch(decontam.find_leaks(docs, benchmark).select("doc_id").distinct(), "leaking-ids")
+    return docs.join(leaks, "doc_id", "left_anti").select(*docs.columns)
+
+
+def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replaces personal data by its kind; n_chars follows the text."""
+    clean = pii.redacted(docs)
+    return clean.withColumn("n_chars", F.coalesce(F.char_length("text").cast("long"), "n_chars")).select(*docs.columns)
+
+
+def encode_and_decode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    encoded = sentence_pieces.encode(docs, PIECE_MODEL)
+    decoded = sentence_pieces.decode(encoded, PIECE_MODEL)
+    return decoded.select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids", F.col("decoded").alias("text"), F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"))
 
-from rawmart.llm.text import documents
 
-STAGES: list[tuple] = []
+STAGES = [
+    ("language_id", identify_language),
+    ("minhash", drop_near_duplicates),
+    ("decontamination", drop_benchmark_leaks),
+    ("pii", redact_personal_data),
+    ("sentence_pieces", encode_and_decode),
+]
 
 #: stages with trained models and samplers can't be expressed in SQL; tests hold them against brute force
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the table ``documents``, each one's result written as Parquet and read by the next."""
     docs = documents(spark, sf_dir)
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = scratch(stage(spark, docs, sf_dir), f"stage-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -249,3 +249,24 @@ def identify(docs: DataFrame, model: LanguageModel, penalty: float = 12.0, id_co
     schema = arrow_schema(ddl)
     found = rows.mapInArrow(lambda b: _label(b, schema, model, penalty), ddl)
     return found.select(F.col("id").alias("doc_id"), F.col("lang").alias("lang_pred"), "score", "spans")
+
+
+def tag(docs: DataFrame, model: LanguageModel, penalty: float = 12.0, text_col: str = "text") -> DataFrame:
+    """All rows and columns of ``docs``, by position, then lang_pred and score as in ``identify``."""
+    names = docs.columns
+    flat = docs.toDF(*[f"_c{i}" for i in range(len(names))])
+    at = names.index(text_col)
+    inner = pa.schema([("id", pa.int32()), ("lang", pa.string()), ("score", pa.float64()), ("spans", pa.list_(pa.struct([("lang", pa.string()), ("first", pa.int32()), ("last", pa.int32())])))])
+    ddl = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in flat.schema), "lang_pred string", "score double"])
+    schema = arrow_schema(ddl)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            text = pa.RecordBatch.from_arrays([pa.array(np.arange(rows.num_rows, dtype=np.int32)), rows.column(at)], ["id", "text"])
+            done = 0
+            for found in _label(iter([text]), inner, model, penalty):
+                own = rows.slice(done, found.num_rows)
+                done += found.num_rows
+                yield pa.RecordBatch.from_arrays([*own.columns, found.column("lang"), found.column("score")], schema=schema)
+
+    return flat.mapInArrow(run, ddl).toDF(*names, "lang_pred", "score")

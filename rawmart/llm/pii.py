@@ -107,6 +107,13 @@ def _score(text: Column, span: Column) -> Column:
     return F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), score)), 2)
 
 
+def _with_found(rows: DataFrame) -> DataFrame:
+    """``rows`` with the confirmed spans of column ``text`` as column ``found``."""
+    rows = rows.withColumns({f"m_{k}": _matches(F.col("text"), k) for k in KINDS})
+    rows = rows.withColumn("found", F.array_sort(F.concat(*[_spans(F.col("text"), k, F.col(f"m_{k}")) for k in KINDS])))
+    return rows.drop(*[f"m_{k}" for k in KINDS])
+
+
 def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False) -> DataFrame:
     """Row for each row of ``docs``: doc_id, spans (array of kind, start, stop, value, score; by start, then kind).
 
@@ -116,8 +123,7 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = pick(docs, id=id_col, text=text_col).select(F.col("id").alias("doc_id"), text.alias("text"))
-    found = rows.withColumns({f"m_{k}": _matches(F.col("text"), k) for k in KINDS})
-    found = found.withColumn("found", F.array_sort(F.concat(*[_spans(F.col("text"), k, F.col(f"m_{k}")) for k in KINDS])))
+    found = _with_found(rows)
     kinds = F.array(*[F.lit(k) for k in KINDS])
     spans = F.transform("found", lambda s: F.struct(kinds[s["rank"]].alias("kind"), s["start"].alias("start"), s["stop"].alias("stop"), s["value"].alias("value"), _score(F.col("text"), s).alias("score")))
     return found.select("doc_id", *(["text"] if with_text else []), spans.alias("spans"))
@@ -128,6 +134,17 @@ def joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["stop"].cast("string"))), ",")
 
 
+def redacted(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """All rows and columns of ``docs``, by position, with the spans in the text column replaced by their kinds; null texts stay null."""
+    names = docs.columns
+    flat = docs.toDF(*["text" if i == names.index(text_col) else f"_c{i}" for i in range(len(names))])
+    found = _with_found(flat)
+    kinds = F.array(*[F.lit(k) for k in KINDS])
+    spans = F.transform(F.coalesce("found", F.array().cast(found.schema["found"].dataType)), lambda s: F.struct(kinds[s["rank"]].alias("kind"), s["start"].alias("start"), s["stop"].alias("stop")))
+    found = found.withColumn("found", spans).withColumn("text", redact(F.col("text"), F.col("found")))
+    return found.drop("found").toDF(*names)
+
+
 def redact(text: Column, spans: Column) -> Column:
     """The text with each span replaced by its kind in square brackets; of spans that overlap, the first one in order names the whole."""
     zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
