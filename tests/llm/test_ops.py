@@ -1,0 +1,259 @@
+import llm_brute as brute
+import numpy as np
+import pytest
+from conftest import EDGE, SF
+from pyspark.sql import functions as F
+
+from rawmart.llm import decontam, knn, langid, license_scan, pii, queries, sentence_pieces, sharding
+from rawmart.llm.text import pick
+
+MODEL = queries.PIECE_MODEL
+TEXT = dict(EDGE)
+
+
+# ---------------------------------------------------------------- language
+def test_held_out_accuracy(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = queries.op2_language_id(spark, "/root/testdata/sf0.01").where("held_out").join(docs.select("doc_id", "lang"), "doc_id")
+    n, right = got.agg(F.count("*"), F.sum((F.col("lang") == F.col("lang_pred")).cast("int"))).first()
+    assert n > 250 and right / n >= 0.98
+
+
+def test_language_edge_rows(edge, small):
+    model = langid.fit(small)
+    got = {r["doc_id"]: r for r in langid.identify(edge, model).collect()}
+    for i, text in EDGE:
+        if not any(c.isalpha() for c in text or ""):
+            assert (got[i]["lang_pred"], got[i]["score"], got[i]["spans"]) == ("und", 0.0, [])
+        else:
+            assert got[i]["lang_pred"] in model.langs and 0 < got[i]["score"] <= 1
+    tagged = langid.tag(edge, model)
+    assert tagged.columns[:-2] == edge.columns
+    assert tagged.count() == edge.count()
+
+
+def test_language_spans_of_a_mixed_text(spark, small):
+    model = langid.fit(small)
+    en, de = (small.where(f"lang = '{x}' and length(text) > 800").orderBy("doc_id").first()["text"][:800] for x in ("en", "de"))
+    spans = langid.identify(spark.createDataFrame([(1, en + " " + de)], "doc_id long, text string"), model).first()["spans"]
+    assert spans[0]["lang"] == "en" and spans[-1]["lang"] == "de" and len(spans) <= 4
+
+
+def test_no_labels_gives_und(empty, small):
+    model = langid.fit(empty)
+    assert {r["lang_pred"] for r in langid.identify(small, model).collect()} == {"und"}
+    assert langid.identify(empty, langid.fit(small)).count() == 0
+
+
+def test_script_narrows_candidates(spark):
+    docs = spark.createDataFrame([("ru", "привет мир как дела"), ("en", "hello world how are you")], "lang string, text string")
+    model = langid.fit(docs)
+    got = langid.identify(spark.createDataFrame([(1, "совсем другие слова"), (2, "quite other words")], "doc_id long, text string"), model)
+    assert [r["lang_pred"] for r in got.orderBy("doc_id").collect()] == ["ru", "en"]
+
+
+def test_viterbi_matches_brute_force():
+    import itertools
+
+    rng = np.random.default_rng(2)
+    for n in (1, 2, 5, 7):
+        s = rng.normal(size=(n, 3))
+        best = max(itertools.product(range(3), repeat=n), key=lambda p: sum(s[i, x] for i, x in enumerate(p)) - 1.0 * sum(a != b for a, b in itertools.pairwise(p)))
+        assert tuple(langid.viterbi(s, np.array([0, n]), 1.0)) == best
+
+
+# ---------------------------------------------------------------- licenses, personal data
+def test_base_licenses_match_brute_force(spark, edge):
+    for docs in (spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), edge):
+        got = license_scan.scan_licenses(docs)
+        base = F.filter("spans", lambda s: s["base"])
+        got = got.select("doc_id", "n_words", F.size(base), F.array_min(F.transform(base, lambda s: s["first"])), F.array_max(F.transform(base, lambda s: s["first"])), F.array_join(F.array_sort(F.array_distinct(F.transform(base, lambda s: s["label"]))), ","))
+        texts = {r["doc_id"]: r["text"] for r in pick(docs, doc_id="doc_id", text="text").collect()}
+        for r in got.collect():
+            assert tuple(r)[1:] == brute.licenses(texts[r["doc_id"]])
+
+
+def test_a_template_with_a_word_too_many_is_found(spark):
+    text = "Permission is hereby granted, free of any charge, to any person obtaining a copy of this software"
+    got = license_scan.scan_licenses(spark.createDataFrame([(1, text), (2, "the software is free of charge")], "doc_id long, text string"), min_share=0.75)
+    assert [[s["label"] for s in r["spans"]] for r in got.orderBy("doc_id").collect()] == [["mit"], []]
+
+
+def test_pii_matches_brute_force(spark, edge):
+    for docs in (spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), edge):
+        texts = {r["doc_id"]: r["text"] for r in pick(docs, doc_id="doc_id", text="text").collect()}
+        got = pii.find_pii(docs).withColumn("base", F.filter("spans", lambda s: s["kind"].isin(*pii.BASE_KINDS)))
+        count = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k))
+        for r in got.select("doc_id", *[count(k) for k in pii.BASE_KINDS], F.sha2(pii.joined(F.col("base")), 256)).collect():
+            assert tuple(r)[1:] == brute.pii(texts[r["doc_id"]])
+
+
+def test_pii_of_tricky_texts(spark):
+    texts = ["x@y.com.%z@w.org a@b c@d.e_f@g.h", "1.2.3.4.5.6.7.8 0001.2.3.4 1.2.3.256", "+49 (30) 123-456 78. +1 2", "4539148803436467 4539148803436468 0 1", "é@x.yz a@b.cé", "@@@ ++1 2345678901", "5" * 20]
+    got = pii.find_pii(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id")
+    for r in got.select(F.sha2(pii.joined(F.filter("spans", lambda s: s["kind"].isin(*pii.BASE_KINDS))), 256).alias("h"), "doc_id").collect():
+        assert r["h"] == brute.pii(texts[r["doc_id"]])[-1]
+
+
+def test_pii_adds_accounts_scores_and_redacts(spark, edge):
+    row = pii.find_pii(edge).where("doc_id = 13").first()
+    assert [s["kind"] for s in row["spans"]] == ["email", "phone", "ip", "card", "iban"]
+    text = TEXT[13]
+    assert all(text[s["start"] : s["stop"]] == s["value"] and 0 <= s["score"] <= 1 for s in row["spans"])
+    clean = pii.redacted(edge)
+    assert clean.columns == edge.columns
+    out = {r[0]: r[1] for r in clean.collect()}
+    assert out[13] == "mail [email] or [phone] from [ip] and 300.1.1.1, card [card], iban [iban]"
+    assert out[1] is None and out[2] == "" and out[16] == TEXT[16]
+    assert pii.find_pii(spark.createDataFrame([(1, "GB82 WEST 1234 5698 7654 33")], "doc_id long, text string")).first()["spans"] == []
+
+
+# ---------------------------------------------------------------- sharding
+@pytest.mark.parametrize("source", ["edge", "small"])
+def test_shards_are_whole_balanced_and_gapless(request, source):
+    docs = request.getfixturevalue(source)
+    rows = sharding.histogram_shards(docs, 8).collect()
+    want = sorted((len((r[1] or "").encode()) + 1, brute.crc(r[1] or "")) for r in docs.select(docs.columns[0] if source == "small" else "doc_id", "text").collect()) if source == "small" else None
+    if want:
+        assert sorted((r["size"], r["text_crc32"]) for r in rows) == want
+    assert len(rows) == docs.count()
+    total, most = sum(r["size"] for r in rows), max(r["size"] for r in rows)
+    for s in range(8):
+        own = [r for r in rows if r["shard"] == s]
+        assert sorted(r["slot"] for r in own) == list(range(len(own)))
+        assert abs(sum(r["size"] for r in own) - total / 8) <= 2 * most
+
+
+def test_a_large_group_of_equal_texts_is_split_evenly(spark):
+    rows = [(i, "same text") for i in range(1000)] + [(1000 + i, f"text {i}") for i in range(1000)]
+    got = sharding.histogram_shards(spark.createDataFrame(rows, "doc_id long, text string"), 8)
+    sizes = [r["s"] for r in got.groupBy("shard").agg(F.sum("size").alias("s")).collect()]
+    assert len(sizes) == 8 and max(sizes) - min(sizes) <= 40
+    spread = got.join(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id").where("text <> 'same text'").groupBy("text").agg(F.countDistinct("shard").alias("n"))
+    assert spread.where("n > 1").count() == 0
+
+
+def test_sharding_of_no_rows_and_repeated_rows(spark, empty):
+    assert sharding.histogram_shards(empty, 8).count() == 0
+    got = sharding.histogram_shards(spark.createDataFrame([(1, "a")] * 30, "doc_id long, text string"), 4)
+    assert len({(r["shard"], r["slot"]) for r in got.collect()}) == 30
+
+
+# ---------------------------------------------------------------- top-k
+def _brute_top_k(rows, every, k, scale=256):
+    import math
+
+    v = {i: [math.floor(scale * float(x)) for x in e] for i, e in rows}
+    dot = lambda a, b: sum(x * y for x, y in zip(a, b, strict=False))
+    out = []
+    for q in v:
+        if q % every == 0:
+            best = sorted(((-dot(v[q], x), i) for i, x in v.items() if i != q))[:k]
+            out += [(q, rank, i, -s) for rank, (s, i) in enumerate(best, 1)]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("pivots", [1, 7, 128])
+def test_top_k_matches_brute_force(spark, pivots):
+    e = spark.read.parquet(f"{SF}/embeddings.parquet")
+    got = knn.top_k(e, lambda i: i % 50 == 0, 5, pivots=pivots)
+    assert sorted(map(tuple, got.collect())) == _brute_top_k([(r["vec_id"], r["embedding"]) for r in e.collect()], 50, 5)
+
+
+def test_top_k_edge_rows(spark, monkeypatch):
+    monkeypatch.setattr(knn, "BLOCK_ROWS", 10)
+    monkeypatch.setattr(knn, "BLOCK_QUERIES", 3)
+    nan, inf = float("nan"), float("inf")
+    good = [(i, [1.0, 0.5, -0.25]) for i in range(60)] + [(100 + i, [float(i), -1.0, 2.0]) for i in range(10)]
+    bad = [(200, None), (201, [None, 1.0, 1.0]), (202, [nan, 1.0, 1.0]), (203, [inf, 1.0, 1.0]), (None, [1.0, 1.0, 1.0])]
+    e = spark.createDataFrame([(i, v, "x") for i, v in good + bad], "vec_id long, embedding array<float>, VEC_ID string")
+    assert sorted(map(tuple, knn.top_k(e, lambda i: i % 10 == 0, 5, pivots=4).collect())) == _brute_top_k(good, 10, 5)
+    assert knn.top_k(e.where("false"), lambda i: i % 10 == 0, 5).count() == 0
+    three = spark.createDataFrame([(0, [1.0]), (1, [2.0]), (2, [])], "vec_id long, embedding array<double>")
+    assert sorted(map(tuple, knn.top_k(three, lambda i: i == 0, 5).collect())) == [(0, 1, 1, 131072), (0, 2, 2, 0)]
+
+
+# ---------------------------------------------------------------- decontamination
+ITEM = "A train leaves Berlin with 5 wagons and travels 120 km before it picks up 5 more wagons near the old harbour station"
+
+
+def _leaks(spark, docs, items):
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    b = spark.createDataFrame(items, "item_id long, text string")
+    return {(r["doc_id"], r["item_id"]): r["kind"] for r in decontam.find_leaks(d, b).collect()}
+
+
+def test_exact_and_changed_questions_are_found(spark):
+    changed = ITEM.replace("Berlin", "Paris").replace("5", "7").replace("120", "300")
+    inconsistent = ITEM.replace("with 5", "with 7")
+    docs = [(1, "Some words first. " + ITEM + ". And more."), (2, changed), (3, inconsistent), (4, ITEM.lower().replace("berlin", "Berlin")), (5, "A train leaves the station with many wagons"), (6, None), (7, "")]
+    got = _leaks(spark, docs, [(10, ITEM), (11, None), (12, ""), (13, "5 7 9")])
+    assert got == {(1, 10): "exact", (2, 10): "changed", (4, 10): "exact"}
+
+
+def test_short_items_and_repeated_rows(spark):
+    got = _leaks(spark, [(1, "we say purple monkey dishwasher often"), (1, "we say purple monkey dishwasher often"), (2, "purple monkey")], [(5, "purple monkey dishwasher"), (5, "purple monkey dishwasher")])
+    assert got == {(1, 5): "exact"}
+
+
+def test_leaks_of_the_table_match_whole_items(spark):
+    docs = {r["doc_id"]: brute.ALNUM_WORD.findall(r["text"].lower()) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
+    items = {r["item_id"]: brute.ALNUM_WORD.findall(r["text"].lower()) for r in spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet").collect()}
+    flat = {i: " ".join(w) for i, w in docs.items()}
+    want = {(d, i) for i, w in items.items() for d, t in flat.items() if " ".join(w) in t}
+    got = {(r["doc_id"], r["item_id"]) for r in queries.op7_decontamination(spark, "/root/testdata/sf0.01").collect()}
+    assert got == want
+
+
+def test_decontamination_of_edge_rows(spark, edge, empty):
+    items = spark.createDataFrame([(1, TEXT[6])], "item_id long, text string")
+    assert {r["doc_id"] for r in decontam.find_leaks(edge, items).collect()} >= {6, 7, 8, None}
+    assert decontam.find_leaks(empty, items).count() == 0
+    assert decontam.find_leaks(edge, items.where("false")).count() == 0
+
+
+# ---------------------------------------------------------------- pieces
+def test_round_trip_and_reproducible_samples(spark, edge, small):
+    for docs in (edge, small):
+        encoded = sentence_pieces.encode(docs, MODEL)
+        got = sentence_pieces.decode(encoded, MODEL)
+        assert got.where(~F.col("decoded").eqNullSafe(F.col("text"))).count() == 0
+        again = sentence_pieces.encode(docs.repartition(3), MODEL)
+        key = lambda df: sorted((str(r["doc_id"]), r["text"] or "", r["ids"] or []) for r in df.collect())
+        assert key(encoded) == key(again)
+    ids = {r["doc_id"]: r["ids"] for r in sentence_pieces.encode(edge, MODEL).collect()}
+    assert ids[1] is None and ids[2] == [] and ids[6] != ids[7]
+    assert {r["doc_id"]: r["ids"] for r in sentence_pieces.encode(edge, MODEL, seed=1).collect()} != ids
+
+
+def test_samples_follow_the_path_probabilities():
+    with open(MODEL, "rb") as f:
+        p = sentence_pieces._pieces(f.read(), 1.0)
+    word = b" the"
+    data, size = np.frombuffer(word, np.uint8), np.array([len(word)])
+    begin, end, ids = sentence_pieces._edges(p, data, size)
+    paths = {}
+
+    def walk(at, path, weight):
+        if at == len(word):
+            paths[tuple(path)] = np.exp(weight)
+        for b, e, i in zip(begin, end, ids, strict=True):
+            if b == at:
+                walk(e, [*path, int(i)], weight + p.weight[i])
+
+    walk(0, [], 0.0)
+    total = sum(paths.values())
+    n = 20000
+    lattice = sentence_pieces.Lattice(p, data, size)
+    seeds = sentence_pieces.mix(np.arange(n, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    got, counts = lattice.sample(np.zeros(n, np.int64), np.full(n, len(word)), seeds)
+    seen = {}
+    at = 0
+    for c in counts:
+        key = tuple(int(x) for x in got[at : at + c])
+        seen[key] = seen.get(key, 0) + 1
+        at += c
+    assert set(seen) <= set(paths)
+    for path, weight in paths.items():
+        share = weight / total
+        assert abs(seen.get(path, 0) / n - share) < 5 * np.sqrt(share * (1 - share) / n) + 1e-4
