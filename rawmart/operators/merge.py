@@ -7,26 +7,18 @@ merge key (true for all four zone tables: year bucket of ``year``, day of ``time
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rawmart.operators.latest import latest_per_key
-from rawmart.session import materialize, partition_values, release
+from rawmart.session import delete_path, list_names, materialize, partition_values, path_exists, scratch_scope, session_conf
 
+DYNAMIC = {"spark.sql.sources.partitionOverwriteMode": "dynamic"}
 
-# Broadcast the source keys of an upsert only up to this many rows (counted exactly first).
-KEY_BROADCAST_ROWS = 2_000_000
 
-
-def merge_plan(
-    target: DataFrame,
-    source: DataFrame,
-    keys: Sequence[str],
-    recency: Sequence[str] | None = None,
-    broadcast_keys: bool = False,
-) -> DataFrame:
+def merge_plan(target: DataFrame, source: DataFrame, keys: Sequence[str], recency: Sequence[str] | None = None) -> DataFrame:
     """Rows of ``target`` after ``MERGE ... WHEN MATCHED UPDATE (all non-keys) WHEN NOT MATCHED INSERT``.
 
     ``source`` must already be unique per key (run ``latest_per_key`` first). Target rows without a
@@ -35,31 +27,24 @@ def merge_plan(
 
     With ``recency`` (the staging ``_order`` struct, or e.g. ``["ingested_at", "extract_run_id"]``) a
     matched target row is replaced only when the source row is not older: the guard an incremental
-    or streaming source needs. A union and one ``latest_per_key`` then replace the anti join.
+    or streaming source needs.
 
-    ``broadcast_keys`` (only for a source whose size was checked): the source keys are broadcast, so
-    target rows without a match pass through with no shuffle at all and only matched target rows
-    meet the source in the recency window.
+    Only keys and recency values of the source meet the target, and both sides are key-unique, so there is
+    no hot key. Spark broadcasts the source keys by their size in bytes (a written source has an exact one);
+    target rows are then not shuffled at all.
     """
     cols = target.columns
     src = source.select(*cols)
-    if broadcast_keys:
-        src_keys = F.broadcast(src.select(*keys).where(_not_null(keys)))
-        unmatched = target.join(src_keys, list(keys), "left_anti").select(*cols)
-        if recency is None:
-            return unmatched.unionByName(src)
-        matched = target.join(src_keys, list(keys), "left_semi").select(*cols)
-        both = matched.withColumn("_side", F.lit(0)).unionByName(src.where(_not_null(keys)).withColumn("_side", F.lit(1)))
-        winners = latest_per_key(both, keys, [*recency, "_side"]).select(*cols)
-        return unmatched.unionByName(winners).unionByName(src.where(~_not_null(keys)))
+    on = list(keys)
     if recency is None:
-        # left_anti + union: one shuffle of each side on the key; both sides are key-unique, so no hot key
-        keep = target.join(src.select(*keys).where(_not_null(keys)), list(keys), "left_anti").select(*cols)
+        keep = target.join(src.select(*keys).where(_not_null(keys)), on, "left_anti").select(*cols)
         return keep.unionByName(src)
-    both = target.withColumn("_side", F.lit(0)).unionByName(src.withColumn("_side", F.lit(1)))
-    nulls = both.where(~_not_null(keys))
-    ranked = latest_per_key(both.where(_not_null(keys)), keys, [*recency, "_side"])
-    return ranked.unionByName(nulls).select(*cols)
+    order = F.struct(*recency)
+    theirs = src.where(_not_null(keys)).select(*keys, order.alias("_theirs"))
+    met = target.join(theirs, on, "left").withColumn("_newer", F.col("_theirs").isNotNull() & (order > F.col("_theirs")))
+    keep = met.where(F.col("_theirs").isNull() | F.col("_newer")).select(*cols)
+    refused = met.where("_newer").select(*keys)  # source keys whose target row is newer: at most the source's rows
+    return keep.unionByName(src.join(refused, on, "left_anti").select(*cols))
 
 
 def _not_null(keys: Sequence[str]):
@@ -80,38 +65,67 @@ def merge_upsert(
 ) -> list[tuple]:
     """Upsert ``source`` into the Parquet table at ``path``, partitioned by ``partition_by``.
 
-    1. the source is written once under the shared checkpoint folder, in the target's partition
-       folders (computed once, however expensive its staging logic); the touched partition values
-       come from that file listing (bounded by the partition count, no Spark job);
-    2. only those target partitions are read (a literal ``IN`` list becomes a PartitionFilter);
-    3. ``merge_plan`` over them, written once more under the checkpoint folder so the overwrite never
-       reads the files it replaces, and a lost executor recomputes from there;
-    4. dynamic partition overwrite replaces exactly the touched partitions, each written by tasks
-       of bounded size (``rebalance`` splits a hot partition) and sorted by the cluster keys.
-
-    Returns the touched partition values. Not atomic across partitions (plain files).
+    1. an earlier upsert that was killed while it replaced partitions is finished first (``recover``);
+    2. the source is written once as scratch (computed once, however expensive its staging logic); an
+       aggregate over it gives the touched partition values (one row per partition);
+    3. only those target partitions are read (a literal ``IN`` list becomes a PartitionFilter), merged, and
+       the result is written to a journal folder beside the table;
+    4. dynamic partition overwrite replaces exactly the touched partitions from the journal, each written
+       by tasks of bounded size (``rebalance`` splits a hot partition) and sorted by the cluster keys; the
+       journal is deleted last.
+
+    Returns the touched partition values. A kill before the journal is complete leaves the table as it was;
+    a kill after that is repaired by the next upsert or by ``recover``.
     """
-    src = materialize(source, "upsert_source", partition_by)
-    touched = partition_values(src, partition_by)
-    if not touched:
-        release(src)
-        return []
-    existing = _read_existing(spark, path, src)
-    if existing is not None:
-        small = src.count() <= KEY_BROADCAST_ROWS  # exact, from the written source's Parquet footers
-        merged = merge_plan(existing.where(partition_filter(partition_by, touched)), src, keys, recency, small)
-        merged = materialize(merged, "upsert_result")
-    else:
-        merged = src
-    writer_df = merged.hint("rebalance", *partition_by)
-    if cluster_by:
-        writer_df = writer_df.sortWithinPartitions(*partition_by, *cluster_by)
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    writer_df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-    release(src, merged)
+    recover(spark, path, partition_by, cluster_by)
+    with scratch_scope(spark):
+        src = materialize(source, "upsert_source")
+        touched = partition_values(src, partition_by)
+        if not touched:
+            return []
+        existing = _read_existing(spark, path, src)
+        if existing is None:
+            overwrite_partitions(spark, path, src, partition_by, cluster_by)
+            return touched
+        merged = merge_plan(existing.where(partition_filter(partition_by, touched)), src, keys, recency)
+        journal = f"{_journal(path)}/{uuid.uuid4().hex}"
+        merged.write.mode("errorifexists").parquet(journal)
+    _apply(spark, path, journal, merged.schema, partition_by, cluster_by)
     return touched
 
 
+def _journal(path: str) -> str:
+    return f"{path.rstrip('/')}.journal"
+
+
+def _apply(spark: SparkSession, path: str, journal: str, schema, partition_by: Sequence[str], cluster_by: Sequence[str]) -> None:
+    overwrite_partitions(spark, path, spark.read.schema(schema).parquet(journal), partition_by, cluster_by)
+    delete_path(spark, journal)
+
+
+def recover(spark: SparkSession, path: str, partition_by: Sequence[str], cluster_by: Sequence[str] = ()) -> int:
+    """Finish upserts that were killed half-way: complete journals are applied again (which changes nothing
+    that was already written), incomplete ones dropped. Returns how many were applied."""
+    applied = 0
+    for name in list_names(spark, _journal(path)):
+        journal = f"{_journal(path)}/{name}"
+        if path_exists(spark, f"{journal}/_SUCCESS"):
+            _apply(spark, path, journal, spark.read.parquet(journal).schema, partition_by, cluster_by)
+            applied += 1
+        else:
+            delete_path(spark, journal)
+    return applied
+
+
+def overwrite_partitions(spark: SparkSession, path: str, rows: DataFrame, partition_by: Sequence[str], cluster_by: Sequence[str] = ()) -> None:
+    """Replace exactly the partitions that ``rows`` has; ``rows`` must not read the table."""
+    out = rows.hint("rebalance", *partition_by)
+    if cluster_by:
+        out = out.sortWithinPartitions(*partition_by, *cluster_by)
+    with session_conf(spark, DYNAMIC):
+        out.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+
+
 def partition_filter(partition_by: Sequence[str], touched: Sequence[tuple]):
     """Predicate selecting exactly the given partition values (literal, so it prunes folders)."""
     if len(partition_by) == 1 and all(v[0] is not None for v in touched):
@@ -134,9 +148,3 @@ def _read_existing(spark: SparkSession, path: str, like: DataFrame) -> DataFrame
     if not path_exists(spark, path):
         return None
     return spark.read.schema(like.schema).parquet(path).select(*like.columns)
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(jpath)

@@ -51,9 +51,6 @@ def split_valid(df: DataFrame, valid: Column, materialize: bool = False) -> tupl
         flagged = _materialize(flagged, "batch")
     valid_rows = flagged.where(F.col("_valid")).drop("_valid")
     rejected = flagged.where(~F.col("_valid")).drop("_valid")
-    if materialize:
-        # let the caller release the scratch table once both sides are written
-        valid_rows._rawmart_scratch = rejected._rawmart_scratch = getattr(flagged, "_rawmart_scratch", None)
     return valid_rows, rejected
 
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -51,11 +54,14 @@ def configure(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must be set by the cluster (a shared file system). Only when it is unset
-    (local tests) do we point it at a fresh local scratch folder.
+    On a cluster this must be set by the cluster (a shared file system): a machine-local folder would lose
+    intermediate tables, so an unset folder raises there. Only on a local master (tests) a fresh local
+    scratch folder is set.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not is_local(spark):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="rawmart-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -71,11 +77,56 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    """Whether driver and executors are one process (``local-cluster`` has executors of its own)."""
+    return re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master) is not None
 
 
-__all__ = ["build_session", "configure", "checkpoint_dir", "scratch_path", "is_local", "materialize", "partition_values", "release", "scratch_mark", "release_since", "session_conf",
-           "SHREDDED_VARIANT_WRITE"]
+def _hadoop(spark: SparkSession, path: str):
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, jpath = _hadoop(spark, path)
+    return fs.exists(jpath)
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the direct children of a folder; empty when it does not exist."""
+    fs, jpath = _hadoop(spark, path)
+    return sorted(st.getPath().getName() for st in fs.listStatus(jpath)) if fs.exists(jpath) else []
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, jpath = _hadoop(spark, path)
+    fs.delete(jpath, True)
+
+
+def delete_at_exit(spark: SparkSession, path: str) -> str:
+    """Scratch whose reader is not known (a query's lazy result) goes when the application ends."""
+    fs, jpath = _hadoop(spark, path)
+    fs.deleteOnExit(jpath)
+    return path
+
+
+# scratch tables of the innermost open scope of this thread of control
+_SCOPE: ContextVar[list[str] | None] = ContextVar("rawmart_scratch", default=None)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Scratch tables written inside belong to this scope and are deleted when it ends, also after a failure.
+
+    Scopes nest, and scopes of concurrent runs (threads) don't see each other.
+    """
+    token = _SCOPE.set([])
+    try:
+        yield
+    finally:
+        paths = _SCOPE.get()
+        _SCOPE.reset(token)
+        for path in paths:
+            delete_path(spark, path)
 
 
 def materialize(df, name: str, partition_by=()):
@@ -83,77 +134,29 @@ def materialize(df, name: str, partition_by=()):
 
     One pass over the input (an eager ``DataFrame.checkpoint`` on an uncached plan computes it twice),
     columnar, and on the shared file system, so a lost executor recomputes nothing upstream.
-    With ``partition_by`` the scratch table is laid out in partition folders (see ``partition_values``).
+    With ``partition_by`` the scratch table is laid out in partition folders, each written by tasks of
+    bounded size. Deleted with the open ``scratch_scope``, else at the end of the application.
     """
     import uuid
 
     spark = df.sparkSession
     path = scratch_path(spark, f"materialized/{name}/{uuid.uuid4().hex}")
-    writer = df.write.mode("errorifexists")
+    scope = _SCOPE.get()
+    if scope is None:
+        delete_at_exit(spark, path)
+    else:
+        scope.append(path)
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._rawmart_scratch = path
-    _CREATED.append(path)
-    return out
-
-
-_CREATED: list[str] = []  # scratch tables written by ``materialize`` in this process, in order
-
-
-def scratch_mark() -> int:
-    """A mark to release, later, every scratch table written after it (``release_since``)."""
-    return len(_CREATED)
-
-
-def release_since(spark, mark: int) -> None:
-    """Delete the scratch tables written since ``mark`` (once nothing reads them any more)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for path in _CREATED[mark:]:
-        jpath = jvm.org.apache.hadoop.fs.Path(path)
-        jpath.getFileSystem(conf).delete(jpath, True)
-    del _CREATED[mark:]
+        df.hint("rebalance", *partition_by).write.mode("errorifexists").partitionBy(*partition_by).parquet(path)
+    else:
+        df.write.mode("errorifexists").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def partition_values(df, partition_by) -> list[tuple]:
-    """Distinct partition values of a partitioned file table, from its file listing (no Spark job).
-
-    Bounded by the number of partition folders, not by rows. Values are typed by the schema.
-    """
-    import datetime
-    from urllib.parse import unquote
-
-    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    seen = set()
-    for f in df.inputFiles():
-        parts = dict(seg.split("=", 1) for seg in f.split("/") if "=" in seg)
-        values = []
-        for col in partition_by:
-            raw = parts[col]
-            if raw == "__HIVE_DEFAULT_PARTITION__":
-                values.append(None)
-            elif types[col] in ("int", "bigint", "smallint", "tinyint"):
-                values.append(int(raw))
-            elif types[col] == "date":
-                values.append(datetime.date.fromisoformat(unquote(raw)))
-            else:
-                values.append(unquote(raw))
-        seen.add(tuple(values))
-    return sorted(seen, key=lambda t: tuple((v is None, v) for v in t))
-
-
-def release(*dfs) -> None:
-    """Delete the scratch tables behind materialized DataFrames once every write that reads them is done."""
-    for df in dfs:
-        path = getattr(df, "_rawmart_scratch", None)
-        if not path:
-            continue
-        spark = df.sparkSession
-        jvm = spark.sparkContext._jvm
-        jpath = jvm.org.apache.hadoop.fs.Path(path)
-        jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jpath, True)
+    """Distinct partition values of a table, by an aggregate that is combined in the tasks (one row per partition)."""
+    found = [tuple(r) for r in df.select(*partition_by).distinct().collect()]
+    return sorted(found, key=lambda t: tuple((v is None, v) for v in t))
 
 
 class session_conf:

@@ -13,7 +13,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from rawmart.operators.merge import merge_upsert
+from rawmart.operators.merge import merge_upsert, overwrite_partitions, partition_filter
+from rawmart.schemas import RAW_PART
 
 
 def stream_upsert(
@@ -28,8 +29,19 @@ def stream_upsert(
     checkpoint_location: str,
     recency: Sequence[str] = ("_order",),
     max_files_per_trigger: int | None = None,
+    cluster_by: Sequence[str] = (),
+    raw_path: str | None = None,
+    raw_part: Callable[[DataFrame], DataFrame] | None = None,
+    mart_path: str | None = None,
+    to_mart: Callable[[DataFrame], DataFrame] | None = None,
 ) -> int:
-    """Run the landing -> staging upsert until all landed files are processed; returns batches run."""
+    """Run the landing -> staging upsert until all landed files are processed; returns batches run.
+
+    With ``raw_path`` each batch is also kept in the raw zone, in a folder of its own that a replay of the
+    batch overwrites, partitioned by ``raw_part``'s column. With ``mart_path`` the partitions that the batch
+    touched are rebuilt in the mart from staging, so staging and mart agree after every batch; a replay
+    rebuilds them again.
+    """
     reader = spark.readStream.schema(landing_schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
@@ -37,8 +49,12 @@ def stream_upsert(
     batches = []
 
     def upsert(batch: DataFrame, epoch_id: int) -> None:
-        staged = to_staging(batch)
-        merge_upsert(spark, target_path, with_partition(staged), keys, partition_by, recency=recency)
+        if raw_path is not None:
+            raw_part(batch).write.mode("overwrite").partitionBy(RAW_PART).parquet(f"{raw_path}/batch={epoch_id}")
+        touched = merge_upsert(spark, target_path, with_partition(to_staging(batch)), keys, partition_by, cluster_by, recency=recency)
+        if mart_path is not None and touched:
+            staging = spark.read.parquet(target_path).where(partition_filter(partition_by, touched))
+            overwrite_partitions(spark, mart_path, with_partition(to_mart(staging)), partition_by, cluster_by)
         batches.append(epoch_id)
 
     query = (

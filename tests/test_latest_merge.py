@@ -1,5 +1,6 @@
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
@@ -8,6 +9,7 @@ from rawmart.functions import parse_once
 from rawmart.operators.latest import latest_per_key
 from rawmart.operators.merge import merge_plan, merge_upsert
 from rawmart.plans import zones
+from rawmart.session import session_conf
 
 T1, T2 = datetime(2024, 1, 1), datetime(2024, 1, 2)
 REC = '{{"countryiso3code":"GBR","country":{{"value":"UK"}},"indicator":{{"id":"I"}},"date":"2020","value":{v}}}'
@@ -161,14 +163,71 @@ def test_year_long_payload(spark):
     assert (agg.n, agg.s) == (8760, float(sum(range(8760))))
 
 
-def test_broadcast_key_merge_equals_shuffled_merge(spark):
+def test_small_source_keys_are_broadcast_and_give_the_shuffled_result(spark):
     t = _stg(spark, [("GBR", "UK", "I", "x", 2020, 1.0, T2, "b"), ("FRA", "FR", "I", "x", 2020, 2.0, T1, "a"),
                      (None, "NA", "I", "x", 2020, 0.0, T1, "a")])
     s = _stg(spark, [("GBR", "UK", "I", "x", 2020, 9.0, T1, "a"), ("FRA", "FR", "I", "x", 2020, 3.0, T2, "c"),
                      ("USA", "US", "I", "x", 2020, 4.0, T2, "c"), (None, "NB", "I", "x", 2021, 5.0, T2, "c")])
     for recency in (None, ["ingested_at", "extract_run_id"]):
-        a = rows(merge_plan(t, s, S.INDICATOR_KEYS, recency))
-        b = rows(merge_plan(t, s, S.INDICATOR_KEYS, recency, broadcast_keys=True))
-        assert a == b, recency
-    plan = merge_plan(t, s, S.INDICATOR_KEYS, ["ingested_at", "extract_run_id"], broadcast_keys=True)
-    assert "BroadcastHashJoin" in plan._jdf.queryExecution().executedPlan().toString()
+        plan = merge_plan(t, s, S.INDICATOR_KEYS, recency)
+        a = rows(plan)
+        assert "BroadcastHashJoin" in plan._jdf.queryExecution().executedPlan().toString()
+        with session_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+            assert rows(merge_plan(t, s, S.INDICATOR_KEYS, recency)) == a, recency
+    assert ("GBR", "UK", "I", "x", 2020, 1.0, T2, "b") in a  # the older source row is refused
+
+
+def _upsert_tables(spark, scratch):
+    path = f"{scratch}/stg"
+    one = zones.with_partition(_stg(spark, [("GBR", "UK", "I", "x", 2020, 1.0, T1, "a"), ("FRA", "FR", "I", "x", 2020, 2.0, T1, "a")]), "indicator")
+    two = zones.with_partition(_stg(spark, [("GBR", "UK", "I", "x", 2020, 7.0, T2, "b")]), "indicator")
+    merge_upsert(spark, path, one, S.INDICATOR_KEYS, [S.INDICATOR_PART], recency=["ingested_at", "extract_run_id"])
+    return path, two
+
+
+def test_a_kill_inside_the_overwrite_is_repaired(spark, scratch, monkeypatch):
+    import shutil
+
+    from rawmart.operators import merge
+
+    path, two = _upsert_tables(spark, scratch)
+
+    def killed(spark, path, rows, part, cluster=()):
+        shutil.rmtree(f"{path}/{S.INDICATOR_PART}=121")  # the old partition is gone, the new one not there yet
+        raise RuntimeError("killed")
+
+    with monkeypatch.context() as m:
+        m.setattr(merge, "overwrite_partitions", killed)
+        with pytest.raises(RuntimeError):
+            merge_upsert(spark, path, two, S.INDICATOR_KEYS, [S.INDICATOR_PART], recency=["ingested_at", "extract_run_id"])
+    assert merge.recover(spark, path, [S.INDICATOR_PART]) == 1
+    want = [("FRA", 2.0), ("GBR", 7.0)]
+    assert rows(spark.read.parquet(path), "country_iso3", "value_num") == want
+    merge_upsert(spark, path, two, S.INDICATOR_KEYS, [S.INDICATOR_PART], recency=["ingested_at", "extract_run_id"])  # a replay
+    assert rows(spark.read.parquet(path), "country_iso3", "value_num") == want
+
+
+def test_a_kill_before_the_journal_is_complete_changes_nothing(spark, scratch):
+    import os
+
+    from rawmart.operators import merge
+
+    path, two = _upsert_tables(spark, scratch)
+    os.makedirs(f"{path}.journal/half")
+    assert merge.recover(spark, path, [S.INDICATOR_PART]) == 0
+    assert os.listdir(f"{path}.journal") == []
+    merge_upsert(spark, path, two, S.INDICATOR_KEYS, [S.INDICATOR_PART], recency=["ingested_at", "extract_run_id"])
+    assert rows(spark.read.parquet(path), "country_iso3", "value_num") == [("FRA", 2.0), ("GBR", 7.0)]
+
+
+def test_upsert_leaves_no_scratch_also_after_a_failure(spark, scratch):
+    import os
+
+    from rawmart.session import scratch_path
+
+    base = scratch_path(spark, "materialized/upsert_source").removeprefix("file:")
+    before = set(os.listdir(base)) if os.path.exists(base) else set()
+    path, two = _upsert_tables(spark, scratch)
+    with pytest.raises(Exception, match="no_such"):
+        merge_upsert(spark, path, two, ["no_such"], [S.INDICATOR_PART])
+    assert set(os.listdir(base)) == before
