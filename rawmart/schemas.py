@@ -1,6 +1,7 @@
 """Table schemas of the zones (raw, staging, mart) and of the captured inputs."""
 
 from pyspark.sql.types import (
+    BooleanType,
     DoubleType,
     IntegerType,
     LongType,
@@ -12,6 +13,8 @@ from pyspark.sql.types import (
     VariantType,
 )
 
+from rawmart.fixed import MEASURES
+
 TS = TimestampNTZType()  # UTC instants, independent of the session time zone
 
 
@@ -70,25 +73,23 @@ STG_INDICATOR = _s(
     ("ingested_at", TS),
     ("extract_run_id", StringType()),
 )
-STG_HOURLY = _s(
-    ("location_id", StringType()),
-    ("latitude", DoubleType()),
-    ("longitude", DoubleType()),
-    ("timestamp", TS),
-    ("temperature_2m", DoubleType()),
-    ("precipitation", DoubleType()),
-    ("wind_speed_10m", DoubleType()),
-    ("ingested_at", TS),
-    ("extract_run_id", StringType()),
-)
 MART_INDICATOR = _s(*[(f.name, f.dataType) for f in STG_INDICATOR.fields if f.name not in ("ingested_at", "extract_run_id")])
-MART_HOURLY = _s(
-    *[
-        (f.name, f.dataType)
-        for f in STG_HOURLY.fields
-        if f.name not in ("ingested_at", "extract_run_id", "latitude", "longitude")
-    ]
-)
+_LINEAGE = (("ingested_at", TS), ("extract_run_id", StringType()))
+
+
+def stg_hourly(measures=MEASURES) -> StructType:
+    place = (("location_id", StringType()), ("latitude", DoubleType()), ("longitude", DoubleType()), ("timestamp", TS))
+    return _s(*place, *[(m, DoubleType()) for m in measures], *_LINEAGE)
+
+
+def mart_hourly(measures=MEASURES) -> StructType:
+    return _s(("location_id", StringType()), ("timestamp", TS), *[(m, DoubleType()) for m in measures])
+
+
+STG_HOURLY, MART_HOURLY = stg_hourly(), mart_hourly()
+# the staging order key as the files of the staging tables carry it (zones.ORDER_COL)
+INDICATOR_ORDER = _s(*_LINEAGE, ("_digest", LongType()))
+HOURLY_ORDER = _s(*_LINEAGE, ("_archive", BooleanType()), ("_digest", LongType()), ("pos", IntegerType()))
 
 # merge keys, partition and cluster columns per table
 INDICATOR_KEYS = ("country_iso3", "indicator_id", "year")

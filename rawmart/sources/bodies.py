@@ -9,10 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rawmart.functions import is_object, json_array, parse_once
+from rawmart.functions import is_array, is_object, json_array, json_type, parse_once
+from rawmart.session import materialize
 
 PAGE_KEYS = ("extract_run_id", "indicator_id")
 
@@ -31,17 +32,39 @@ def _records(v: str = "_v"):
     return json_array(v, "$[1]")
 
 
+def _pages_value() -> Column:
+    """Number of pages the metadata names; the page itself when the field is missing; NULL when it is there but no integer."""
+    named = json_type("_v", "$[0].pages").isNotNull()
+    return F.when(named, F.try_variant_get("_v", "$[0].pages", "int")).otherwise(F.col("page_no"))
+
+
+def page_errors(bodies: DataFrame, keys: Sequence[str] = PAGE_KEYS, carry: Sequence[str] = ("ingested_at",)) -> DataFrame:
+    """Captured pages that can't be used as they are: ``*keys, *carry, page_no, reason, body``.
+
+    ``page_not_json``: the text is not JSON, so its records are lost and the run of pages ends before it.
+    ``bad_pages_value``: ``pages`` is there but no integer, so the page can't end the run of pages.
+    """
+    cols = [*keys, *carry, "page_no"]
+    parsed = parse_once(bodies, "body", out="_v", keep=[*cols, "body"])
+    return parsed.select(*cols, _page_error().alias("reason"), "body").where(F.col("reason").isNotNull())
+
+
+def _page_error() -> Column:
+    bad_value = is_array("_v") & _pages_value().isNull()
+    return F.when(F.col("body").isNotNull() & F.col("_v").isNull(), "page_not_json").when(bad_value, "bad_pages_value")
+
+
 def page_cut(bodies: DataFrame, keys: Sequence[str] = PAGE_KEYS) -> DataFrame:
     """Last page to keep per ``keys`` under the extractor's stop rule.
 
     Pages are requested 1, 2, 3, ...: stop before an empty page (no object records), stop after a
-    page whose number reaches ``metadata.pages`` (text or number; missing -> the page itself), and
-    a gap in the captured pages ends the run of pages too.
+    page whose number reaches ``metadata.pages`` (text or number; missing -> the page itself; no
+    integer -> it ends nothing, see ``page_errors``), and a gap in the captured pages ends the run of pages too.
 
     One pass over the bodies, then ``_cut``'s two map-side-combined aggregations.
     """
     parsed = _parsed(bodies.select(*keys, "page_no", "body"))
-    pages = F.coalesce(F.try_variant_get("_v", "$[0].pages", "int"), F.col("page_no"))
+    pages = _pages_value()
     # explicit NULL branch: size(NULL) is NULL under ANSI but -1 without it
     n_objects = F.when(_records().isNull(), F.lit(0)).otherwise(F.size(F.filter(_records(), lambda r: is_object(r))))
     stop = F.when(n_objects == 0, F.col("page_no") - 1).when(F.col("page_no") >= pages, F.col("page_no"))
@@ -75,47 +98,51 @@ def _cut(pages: DataFrame, keys: Sequence[str]) -> DataFrame:
     return per_key.select(*keys, F.least(gap, F.coalesce(F.col("_stop"), gap)).alias("last_page"))
 
 
-# Broadcast the per-(run, indicator) cut only up to this many rows (about 100 bytes each).
-CUT_BROADCAST_ROWS = 1_000_000
-
-
 def unwrap_pages(
     bodies: DataFrame,
     keys: Sequence[str] = PAGE_KEYS,
     carry: Sequence[str] = ("ingested_at",),
     apply_stop_rule: bool = True,
-    broadcast_rows: int | None = CUT_BROADCAST_ROWS,
 ) -> DataFrame:
     """One row per object record of the kept pages: ``*keys, *carry, page_no, rec_pos, payload (VARIANT)``.
 
-    Non-object records and malformed envelopes are dropped silently, as the extractor does.
+    Non-object records and malformed envelopes are dropped silently, as the extractor does (``page_errors``
+    shows pages that are broken).
 
     Each body is parsed once: the records are exploded with their page's ``pages`` value and written
     once under the shared checkpoint folder; the stop rule is then computed from two small columns
     of that table (an empty or malformed page has no records, so it ends the page run like a gap,
-    which is exactly "stop before an empty page"). The cut has one row per (run, indicator); it is
-    written, counted and, within ``broadcast_rows``, broadcast, so records are never shuffled by a key
-    one indicator can dominate; beyond the limit it is a regular join with AQE skew splitting.
-    With ``broadcast_rows=None`` nothing is written and the cut comes from a second pass over the bodies.
+    which is exactly "stop before an empty page"). The kept pages are written as a table of
+    (run, indicator, page) and joined on all three, so an indicator with very many records is no hot key;
+    Spark broadcasts them if the written table is small in bytes.
     """
-    parsed = _parsed(bodies)
-    pages_meta = F.coalesce(F.try_variant_get("_v", "$[0].pages", "int"), F.col("page_no"))
-    exploded = parsed.select(
-        *keys, *carry, "page_no", pages_meta.alias("_pages"), F.posexplode(_records()).alias("rec_pos", "payload")
-    ).where(is_object("payload"))
-    out_cols = [*keys, *carry, "page_no", "rec_pos", "payload"]
     if not apply_stop_rule:
-        return exploded.select(*out_cols)
-    if broadcast_rows is None:
-        cut = page_cut(bodies, keys)
-        return exploded.join(cut, list(keys), "inner").where(F.col("page_no") <= F.col("last_page")).select(*out_cols)
-    from rawmart.session import materialize
+        return _exploded(bodies, keys, carry).where("_ok").select(*keys, *carry, "page_no", "rec_pos", "payload")
+    return unwrap_with_errors(bodies, keys, carry)[0]
+
 
-    recs = materialize(exploded, "unwrapped")
+def _exploded(bodies: DataFrame, keys: Sequence[str], carry: Sequence[str]) -> DataFrame:
+    """The records of all pages (``_ok``), and a row with ``reason`` and ``body`` for each broken page."""
+    cols = [*keys, *carry, "page_no"]
+    parsed = parse_once(bodies, "body", out="_v", keep=[*cols, "body"])
+    rows = parsed.select(
+        *cols, _pages_value().alias("_pages"), _page_error().alias("reason"), "body", F.posexplode_outer(_records()).alias("rec_pos", "payload")
+    )
+    first = F.coalesce("rec_pos", F.lit(0)) == 0
+    reason = F.when(first, F.col("reason"))
+    rows = rows.withColumns({"_ok": is_object("payload"), "reason": reason, "body": F.when(reason.isNotNull(), F.col("body"))})
+    return rows.where("_ok or reason is not null")
+
+
+def unwrap_with_errors(
+    bodies: DataFrame, keys: Sequence[str] = PAGE_KEYS, carry: Sequence[str] = ("ingested_at",)
+) -> tuple[DataFrame, DataFrame]:
+    """``unwrap_pages`` and ``page_errors`` from one parse of each body."""
+    table = materialize(_exploded(bodies, keys, carry), "unwrapped")
+    recs = table.where("_ok")
     stop = F.when(F.col("page_no") >= F.col("_pages"), F.col("page_no"))
-    cut = materialize(_cut(recs.select(*keys, "page_no", stop.alias("_stop")), keys), "page_cut")
-    if cut.count() <= broadcast_rows:
-        cut = F.broadcast(cut)
-    kept = recs.join(cut, list(keys), "inner").where(F.col("page_no") <= F.col("last_page")).select(*out_cols)
-    kept._rawmart_scratch = recs._rawmart_scratch
-    return kept
+    pages = recs.groupBy(*keys, "page_no").agg(F.min(stop).alias("_stop"))
+    cut = _cut(pages, keys)
+    kept = materialize(pages.join(cut, list(keys)).where(F.col("page_no") <= F.col("last_page")).select(*keys, "page_no"), "kept_pages")
+    out = recs.join(kept, [*keys, "page_no"], "left_semi").select(*keys, *carry, "page_no", "rec_pos", "payload")
+    return out, table.where("reason is not null").select(*keys, *carry, "page_no", "reason", "body")

@@ -17,15 +17,17 @@ from pyspark.sql import functions as F
 from rawmart.functions import parse_once
 
 # Fixed values of the derivation (the oracle SQL repeats them).
-PAGE_SIZE = 100  # orders per captured page: page_no = o_orderkey div 100 + 1
+PAGE_SIZE = 100  # orders per captured page: page_no = (o_orderkey mod 5000) div 100 + 1
 HOURLY_BUCKET = 1600  # events per hourly bucket: body = (location, variant, day, event_id div 1600)
-N_LOCATIONS = 16  # location_id = 'L' || lpad(user_id % 16, 2, '0')
+USERS_PER_LOCATION = 4  # location_id = 'L' || lpad(user_id div 4, 6, '0'): locations grow with the users
+RUN_ORDERS = 5000  # order keys of one captured run: up to 50 pages for each priority
+FAULTY_RUNS = 4  # every fourth run has the page faults below, so a fixed share of the pages is cut
 HOURLY_TZ = "America/New_York"  # local wall time of the hourly payloads
 EMPTY_PAGE = ("3-MEDIUM", 40)  # all records non-objects -> stop before this page
-BAD_ENVELOPE_PAGE = ("2-HIGH", 120)  # body is an object, not [metadata, records]
+BAD_ENVELOPE_PAGE = ("2-HIGH", 30)  # body is an object, not [metadata, records]
 NO_PAGES_INDICATOR = "4-NOT SPECIFIED"  # metadata without "pages" -> stop after page 1
 TEXT_PAGES = ("5-LOW", "25")  # "pages" given as text
-RUN_ID = "run_0001"
+RUN_ID = "run_0001"  # of the queries that land one run
 RUN_TS = "2024-02-01 00:00:00"
 
 
@@ -110,6 +112,18 @@ def indicator_records(events: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- paged bodies (orders)
 
 
+def _run_number() -> Column:
+    return F.floor(F.col("o_orderkey") / RUN_ORDERS)
+
+
+def _page() -> Column:
+    return (F.floor((F.col("o_orderkey") % RUN_ORDERS) / PAGE_SIZE) + 1).cast("int")
+
+
+def _faulty() -> Column:
+    return _run_number() % FAULTY_RUNS == 0
+
+
 def order_record_json(orders: DataFrame) -> Column:
     """One record per order; every 13th order key is a bare number (a non-object record)."""
     key = F.col("o_orderkey").cast("string")
@@ -121,28 +135,27 @@ def order_record_json(orders: DataFrame) -> Column:
         ("value", F.col("o_totalprice").cast("string")),
         ("order_key", key),
     )
-    page = F.floor(F.col("o_orderkey") / PAGE_SIZE) + 1
-    empty = (F.col("o_orderpriority") == EMPTY_PAGE[0]) & (page == EMPTY_PAGE[1])
+    empty = (F.col("o_orderpriority") == EMPTY_PAGE[0]) & (_page() == EMPTY_PAGE[1]) & _faulty()
     return F.when((F.col("o_orderkey") % 13 == 0) | empty, key).otherwise(rec)
 
 
 def indicator_bodies(orders: DataFrame) -> DataFrame:
-    """Captured World Bank-style pages: ``indicator_id, page_no, body, extract_run_id, ingested_at``.
+    """Captured paged responses: ``indicator_id, page_no, body, extract_run_id, ingested_at``.
 
-    indicator <- o_orderpriority, page <- o_orderkey div PAGE_SIZE + 1 (so at most PAGE_SIZE records
-    per body). One run. Metadata faults per indicator are listed in the module constants.
+    indicator <- o_orderpriority, run <- o_orderkey div RUN_ORDERS, page <- (o_orderkey mod RUN_ORDERS) div PAGE_SIZE + 1
+    (so at most PAGE_SIZE records per body). The faults of the module constants are in every FAULTY_RUNS-th run.
     """
-    page = (F.floor(F.col("o_orderkey") / PAGE_SIZE) + 1).cast("int")
     recs = orders.select(
         F.col("o_orderpriority").alias("indicator_id"),
-        page.alias("page_no"),
+        _run_number().alias("run"),
+        _page().alias("page_no"),
         F.struct(F.col("o_orderkey"), order_record_json(orders).alias("j")).alias("r"),
     )
-    pages = recs.groupBy("indicator_id", "page_no").agg(F.array_sort(F.collect_list("r")).alias("rs"))
-    ind = F.col("indicator_id")
+    pages = recs.groupBy("indicator_id", "run", "page_no").agg(F.array_sort(F.collect_list("r")).alias("rs"))
+    ind, faulty = F.col("indicator_id"), F.col("run") % FAULTY_RUNS == 0
     pages_field = (
-        F.when(ind == NO_PAGES_INDICATOR, F.lit(None))
-        .when(ind == TEXT_PAGES[0], F.lit(f'"{TEXT_PAGES[1]}"'))
+        F.when((ind == NO_PAGES_INDICATOR) & faulty, F.lit(None))
+        .when((ind == TEXT_PAGES[0]) & faulty, F.lit(f'"{TEXT_PAGES[1]}"'))
         .otherwise(F.lit("1000000"))
     )
     meta = _obj(
@@ -152,31 +165,67 @@ def indicator_bodies(orders: DataFrame) -> DataFrame:
     )
     records = F.concat(F.lit("["), F.array_join(F.transform("rs", lambda r: r["j"]), ","), F.lit("]"))
     body = F.when(
-        (ind == BAD_ENVELOPE_PAGE[0]) & (F.col("page_no") == BAD_ENVELOPE_PAGE[1]), F.lit('{"message":"rate limited"}')
+        (ind == BAD_ENVELOPE_PAGE[0]) & (F.col("page_no") == BAD_ENVELOPE_PAGE[1]) & faulty, F.lit('{"message":"rate limited"}')
     ).otherwise(F.concat(F.lit("["), meta, F.lit(","), records, F.lit("]")))
     return pages.select(
         "indicator_id",
         "page_no",
         body.alias("body"),
-        F.lit(RUN_ID).alias("extract_run_id"),
+        F.concat(F.lit("run_"), F.lpad(F.col("run").cast("string"), 6, "0")).alias("extract_run_id"),
         F.lit(RUN_TS).cast("timestamp_ntz").alias("ingested_at"),
     )
 
 
+def event_bodies(events: DataFrame) -> DataFrame:
+    """Captured indicator responses of one run a day, of one page each: as ``indicator_bodies``.
+
+    run <- day of ts, requested id <- event_type and user_id div USERS_PER_LOCATION, country <- user, year <- 2000 + hour. The
+    value follows from user, hour and day, so records of one key in one run are equal. event_id %43: no iso3 (a dead
+    letter); %23: date "yyyyQ1" (a reject); requests of a group divisible by 7 on days divisible by 5: ``pages`` is no integer.
+    """
+    user, hour, day = F.col("user_id"), F.hour("ts"), F.dayofmonth("ts")
+    iso3 = F.when(_mod(43), F.lit(None)).otherwise(_q(F.concat(F.lit("U"), F.lpad(user.cast("string"), 5, "0"))))
+    record = _obj(
+        ("countryiso3code", iso3),
+        ("country", _obj(("value", _q(F.concat(F.lit("User "), user.cast("string")))))),
+        ("indicator", _obj(("id", _q(F.col("event_type"))), ("value", _q(F.concat(F.lit("Indicator "), F.col("event_type")))))),
+        ("date", _q(F.concat((hour + 2000).cast("string"), F.when(_mod(23), "Q1").otherwise("")))),
+        ("value", (user * 7 + hour * 3 + day).cast("string")),
+    )
+    group = F.floor(user / USERS_PER_LOCATION)
+    recs = events.select("event_type", group.alias("grp"), F.to_date("ts").alias("day"), F.struct("event_id", record.alias("j")).alias("r"))
+    pages = recs.groupBy("event_type", "grp", "day").agg(F.array_sort(F.collect_list("r")).alias("rs"))
+    bad = (F.col("grp") % 7 == 0) & (F.dayofmonth("day") % 5 == 0)
+    meta = F.when(bad, F.lit('{"page":1,"pages":"many"}')).otherwise(F.lit('{"page":1,"pages":1}'))
+    body = F.concat(F.lit("["), meta, F.lit(",["), F.array_join(F.transform("rs", lambda r: r["j"]), ","), F.lit("]]"))
+    return pages.select(
+        F.concat("event_type", F.lit("_"), F.col("grp").cast("string")).alias("indicator_id"),
+        F.lit(1).alias("page_no"),
+        body.alias("body"),
+        F.concat(F.lit("run_"), F.date_format("day", "yyyyMMdd")).alias("extract_run_id"),
+        F.date_add("day", 1).cast("timestamp_ntz").alias("ingested_at"),
+    )
+
+
 # ---------------------------------------------------------------- hourly bodies (events)
 
 
+def location_number() -> Column:
+    return F.floor(F.col("user_id") / USERS_PER_LOCATION)
+
+
 def location_of_user() -> Column:
-    return F.concat(F.lit("L"), F.lpad((F.col("user_id") % N_LOCATIONS).cast("string"), 2, "0"))
+    return F.concat(F.lit("L"), F.lpad(location_number().cast("string"), 6, "0"))
 
 
-def location_spec() -> str:
-    """Configuration text ``id:lat:lon;...`` for the derived locations (a rule, not a table)."""
-    return ";".join(f"L{i:02d}:{40 + i * 0.5}:{-10 + i * 1.25}" for i in range(N_LOCATIONS))
+def location_spec() -> Column:
+    """Configuration text ``id:lat:lon`` of a user's location (a rule, not a table)."""
+    i = location_number() % 64
+    return F.concat_ws(":", location_of_user(), (F.lit(40.0) + i * 0.5).cast("string"), (F.lit(-10.0) + i * 1.25).cast("string"))
 
 
 def hourly_bodies(events: DataFrame) -> DataFrame:
-    """Captured Open-Meteo-style payloads: ``location_id, source_variant, body, extract_run_id, ingested_at``.
+    """Captured hourly payloads: ``location_id, source_variant, body, extract_run_id, ingested_at``.
 
     body = (location, variant = even/odd event_id -> archive/forecast, day, event_id div HOURLY_BUCKET);
     elements are ordered by ts. time <- local hour of ts (``yyyy-MM-ddTHH:00``), temperature <- value,
@@ -185,7 +234,7 @@ def hourly_bodies(events: DataFrame) -> DataFrame:
     Body faults by (bucket + location number): %11 no wind array | %13 precipitation one short |
     %17 no ``hourly`` object. ingested_at = next day 00:00, run id = day || bucket.
     """
-    loc_no = F.col("user_id") % N_LOCATIONS
+    loc_no = location_number()
     bucket = F.floor(F.col("event_id") / HOURLY_BUCKET)
     time_json = (
         F.when(_mod(31), F.lit("null"))

@@ -16,14 +16,18 @@ def landing_name(prefix: str, extract_run_id: str, labelled_at_iso: str) -> str:
 
 
 def land_jsonl(
-    df: DataFrame, path: str, source_file: str | None = None, mode: str = "append", by_run: bool = True
+    df: DataFrame, path: str, source_file: str | None = None, mode: str = "append", by_run: bool = True, one_run: bool = False
 ) -> None:
     """Write rows as newline JSON under ``path/extract_run_id=<run>/`` (one folder per run, or flat).
 
     NULL fields are written (``ignoreNullFields=false``); the VARIANT payload is written as nested JSON.
-    ``mode`` is the write disposition: append (default), overwrite or errorifexists.
+    ``mode`` is the write disposition: append (default), overwrite or errorifexists. The rows of many runs
+    are first rebalanced by run, so the files number with the bytes and not with tasks times runs; ``one_run``
+    says that there is only one, which is written where its rows are, without a shuffle.
     """
     out = df if source_file is None else df.withColumn("source_file", F.lit(source_file))
+    if by_run and not one_run:
+        out = out.hint("rebalance", "extract_run_id")
     writer = out.write.mode(mode).option("ignoreNullFields", "false").option("compression", "none")
     if by_run:
         writer = writer.partitionBy("extract_run_id")
@@ -44,9 +48,10 @@ def read_landed(spark: SparkSession, path: str, schema: StructType, corrupt_colu
 
 
 def write_dead_letters(dead: DataFrame, path: str) -> None:
-    """Dead-letter sink: newline JSON, one folder per source and run."""
+    """Dead-letter sink: newline JSON, one folder per source and run; rebalanced, so files number with the bytes."""
     (
         dead.select(*DEAD_LETTER.fieldNames())
+        .hint("rebalance", "source_name", "extract_run_id")
         .write.mode("append")
         .option("ignoreNullFields", "false")
         .option("compression", "none")

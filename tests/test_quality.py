@@ -45,7 +45,7 @@ def test_split_is_a_partition_of_input(spark):
 
 
 def _hourly(spark, docs, variant="archive"):
-    df = spark.createDataFrame([(i, d, "london", variant, TS, "r1") for i, d in enumerate(docs)],
+    df = spark.createDataFrame([(i, d, "oslo", variant, TS, "r1") for i, d in enumerate(docs)],
                                "i int, j string, location_id string, source_variant string, ingested_at timestamp_ntz, extract_run_id string")
     return parse_once(df, "j", strict=True)
 
@@ -61,20 +61,20 @@ def test_hourly_validity_fixtures(spark):
         '{"hourly":{"time":[],"temperature_2m":[],"precipitation":[],"wind_speed_10m":[]}}',  # fx12 empty
         '{"hourly":{"time":"x","temperature_2m":[1],"precipitation":[1],"wind_speed_10m":[1]}}',  # fx12 not array
         '{"daily":{}}',  # fx12 hourly missing
-        '{"hourly":{"time":["2025-01-01T00:00"],"temperature_2m":[4.1]}}',  # reference test payload: dead letter
+        '{"hourly":{"time":["2031-07-04T06:00"],"precipitation":[0.75]}}',  # two measures missing
     ]
     df = _hourly(spark, docs).withColumn("ok", hourly_valid("payload"))
     assert [r.ok for r in df.orderBy("i").collect()] == [True, False, False, False, False, False, False]
 
 
 def test_hourly_dead_letter_reason_and_coordinates(spark):
-    locs = spark.createDataFrame([("london", 51.5072, -0.1276)], "location_id string, latitude double, longitude double")
+    locs = spark.createDataFrame([("oslo", 59.9139, 10.7522)], "location_id string, latitude double, longitude double")
     payloads = _hourly(spark, [H_OK, '{"daily":{}}'], "forecast")
     raw, dead = zones.hourly_batch(payloads, locs)
     r = raw.first()
-    assert (r.latitude, r.longitude, r.source_variant) == (51.5072, -0.1276, "forecast")
+    assert (r.latitude, r.longitude, r.source_variant) == (59.9139, 10.7522, "forecast")
     d = dead.first()
-    assert d.reason == "invalid_forecast_payload" and d.context == {"location_id": "london"}
+    assert d.reason == "invalid_forecast_payload" and d.context == {"location_id": "oslo", "source_variant": "forecast"}
     # switches (F8): forecast disabled -> nothing
     raw2, dead2 = zones.hourly_batch(payloads, locs, enabled_variants=("archive",))
     assert raw2.count() == 0 and dead2.count() == 0
