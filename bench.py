@@ -28,6 +28,9 @@ HEADLINE = [
     "reject_summary",
     "raw_roundtrip",
     "full_run",
+    "upsert_existing",
+    "run_repair",
+    "stream_merge_hourly",
 ]
 
 

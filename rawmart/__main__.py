@@ -2,11 +2,12 @@
 
     spark-submit -m rawmart --zones s3a://bucket/zones \
         --indicator-bodies s3a://bucket/captured/indicator --hourly-bodies s3a://bucket/captured/hourly \
-        --locations "london:51.5072:-0.1276;new_york:40.7128:-74.0060" --tz Europe/London
+        --locations "oslo:59.9139:10.7522;quito:-0.1807:-78.4678" --tz Europe/Oslo
 
 Bodies are either body tables (``--bodies-format parquet|json``) or one captured response per file
-(``--bodies-format files``, request in the folder names). Run id and ingestion time are fixed once on
-the driver (a fresh 32-hex id and the current UTC time unless given).
+(``--bodies-format files``, request in the folder names). Bodies that carry a run id and a capture time keep them;
+others get the run id and ingestion time that are fixed once on the driver (a fresh 32-hex id and the current UTC time
+with microseconds unless given).
 """
 
 from __future__ import annotations
@@ -30,14 +31,21 @@ def parse_args(argv=None):
     p.add_argument("--disable-archive", action="store_true")
     p.add_argument("--disable-forecast", action="store_true")
     p.add_argument("--run-id")
-    p.add_argument("--ingested-at", help="ISO UTC time of this run")
-    p.add_argument("--full-rescan", action="store_true", help="stage all raw rows instead of this run's")
+    p.add_argument("--ingested-at", help="ISO time of this run; an offset is converted to UTC, none means UTC")
+    p.add_argument("--full-rescan", action="store_true", help="stage all raw rows instead of those not staged yet")
+    p.add_argument("--indicators", default="", help="comma-separated indicator ids (default: all captured)")
+    p.add_argument("--measures", default="", help="comma-separated hourly measures (default: the standard three)")
+    p.add_argument("--steps", default="", help="comma-separated transform steps to run (default: all)")
+    p.add_argument("--exclude-steps", default="", help="comma-separated transform steps to leave out")
+    p.add_argument("--strict", action="store_true", help="fail on broken pages and bad local times instead of rejecting them")
+    p.add_argument("--namespace-prefix", help="prefix of the catalog namespaces raw, staging, mart (default: from --zones)")
     p.add_argument("--ui", action="store_true", help="keep the Spark web UI on (off by default)")
     return p.parse_args(argv)
 
 
 def main(argv=None, spark: SparkSession | None = None):
     from rawmart import schemas as S
+    from rawmart.fixed import MEASURES
     from rawmart.plans.job import Zones, run_job
     from rawmart.session import configure
     from rawmart.sources.captured import HOURLY_FILE_PARTS, INDICATOR_FILE_PARTS, read_body_files, read_body_table
@@ -52,7 +60,7 @@ def main(argv=None, spark: SparkSession | None = None):
         spark = builder.getOrCreate()
     configure(spark)
     run_id = args.run_id or uuid.uuid4().hex
-    ingested_at = args.ingested_at or datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%S")
+    ingested_at = utc_text(args.ingested_at)
 
     def bodies(path, schema, parts):
         if not path:
@@ -63,23 +71,18 @@ def main(argv=None, spark: SparkSession | None = None):
 
     indicator = bodies(args.indicator_bodies, S.INDICATOR_BODY, INDICATOR_FILE_PARTS)
     hourly = bodies(args.hourly_bodies, S.HOURLY_BODY, HOURLY_FILE_PARTS)
-    if indicator is not None:
-        indicator = indicator.select("indicator_id", "page_no", "body")
-    if hourly is not None:
-        hourly = hourly.select("location_id", "source_variant", "body")
     locations = parse_locations(spark.range(1).selectExpr(f"{_sql_text(args.locations)} AS spec"))
     variants = [v for v, off in (("archive", args.disable_archive), ("forecast", args.disable_forecast)) if not off]
-    if hourly is not None:
-        from pyspark.sql import functions as F
-
-        hourly = hourly.where(F.col("source_variant").isin(variants))
+    listed = lambda text: [x.strip() for x in text.split(",") if x.strip()] or None
     result = run_job(
-        spark, Zones(args.zones), indicator, hourly, locations, run_id, ingested_at, tz=args.tz,
-        incremental=not args.full_rescan,
+        spark, Zones(args.zones, args.namespace_prefix), indicator, hourly, locations, run_id, ingested_at, tz=args.tz,
+        incremental=not args.full_rescan, enabled_variants=variants, measures=listed(args.measures) or list(MEASURES),
+        indicator_ids=listed(args.indicators), strict=args.strict, steps=listed(args.steps), exclude=listed(args.exclude_steps) or (),
     )
     print(f"run {run_id}: landed={result.landed} steps={result.steps}")
     for (source, entity, outcome), n in sorted(result.metrics.items()):
-        print(f"  {source} {entity} {outcome}: {n}")
+        cursor = result.cursors.get((source, entity)) if outcome == "valid" else None
+        print(f"  {source} {entity} {outcome}: {n}" + (f" up to {cursor}" if cursor else ""))
     return result
 
 
@@ -100,6 +103,14 @@ def validate(args) -> None:
         raise ValueError(f"unknown time zone {args.tz!r}") from ex
 
 
+def utc_text(given: str | None) -> str:
+    """The run's time as ISO text in UTC without offset, to the microsecond."""
+    at = datetime.fromisoformat(given) if given else datetime.now(timezone.utc)
+    if at.tzinfo is not None:
+        at = at.astimezone(timezone.utc).replace(tzinfo=None)
+    return at.isoformat()
+
+
 def _sql_text(s: str) -> str:
     return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 

@@ -1,15 +1,20 @@
-"""One run as a dataflow.
+"""One run as a dataflow.
 
-Order, as in the reference run: build both batches -> land each (dead letters first, raw only when
-there are valid rows) -> staging and mart steps in order, only if some valid rows landed.
-Steps are plain Python functions over DataFrames, selected by name (``run_steps``), with settings
-passed as arguments instead of text templates.
+Order: zone tables first -> both batches built -> each landed (dead letters first, raw only when there are valid
+rows) -> staging and mart steps in order, only if some valid rows landed. Steps are plain Python functions over
+DataFrames, selected by name (``run_steps``), with settings passed as arguments instead of text templates.
+
+A batch is noted in the state folder before its raw rows are written, and noted as done after its marts are: whatever
+a failed run left in raw is staged by the next one, with the mart partitions it touches.
 """
 
 from __future__ import annotations
 
+import uuid
+import zlib
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass, field
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,19 +22,25 @@ from pyspark.sql import functions as F
 from rawmart import fixed as X
 from rawmart import schemas as S
 from rawmart.functions import parse_once
-from rawmart.operators.merge import merge_upsert, partition_filter, path_exists
+from rawmart.operators.cursors import last_time_cursor, max_year_cursor
+from rawmart.operators.merge import merge_upsert, overwrite_partitions, partition_filter
 from rawmart.operators.quality import DEFAULT_MEASURES
 from rawmart.plans import zones
-from rawmart.session import SHREDDED_VARIANT_WRITE, release_since, scratch_mark, session_conf
-from rawmart.sources.bodies import unwrap_pages
+from rawmart.session import SHREDDED_VARIANT_WRITE, path_exists, scratch_scope, session_conf
+from rawmart.sources.bodies import unwrap_with_errors
 from rawmart.sources.landing import land_jsonl, landing_name, write_dead_letters
 
 
 @dataclass
 class Zones:
-    """Folder layout of one deployment (any Hadoop path: shared file system or object store)."""
+    """Folder layout of one deployment (any Hadoop path: shared file system or object store).
+
+    ``prefix`` comes before the catalog's namespaces raw, staging and mart. Unless given it is made from ``base``, so
+    that several deployments can share a catalog.
+    """
 
     base: str
+    prefix: str | None = None
 
     def path(self, name: str) -> str:
         return f"{self.base.rstrip('/')}/{name}"
@@ -42,6 +53,22 @@ class Zones:
     def dead_letters(self) -> str:
         return self.path("dead_letter")
 
+    @property
+    def rejects(self) -> str:
+        return self.path("reject")
+
+    @property
+    def state(self) -> str:
+        return self.path("state")
+
+    @property
+    def namespace(self) -> str:
+        return f"z{zlib.crc32(self.base.rstrip('/').encode()):08x}_" if self.prefix is None else self.prefix
+
+    def table(self, folder: str) -> str:
+        """Catalog name of a folder such as ``mart/<table>``."""
+        return self.namespace + folder.replace("/", ".")
+
     raw_indicator = property(lambda self: self.path(f"raw/{X.RAW_INDICATOR_TABLE}"))
     raw_hourly = property(lambda self: self.path(f"raw/{X.RAW_HOURLY_TABLE}"))
     stg_indicator = property(lambda self: self.path(f"staging/{X.STG_INDICATOR_TABLE}"))
@@ -53,20 +80,27 @@ class Zones:
 @dataclass
 class RunResult:
     landed: list[str] = field(default_factory=list)
-    dead_letter_batches: list[str] = field(default_factory=list)
     steps: list[str] = field(default_factory=list)
     # (source table, entity, outcome) -> rows; one entry per requested indicator / location and variant
     metrics: dict[tuple[str, str, str], int] = field(default_factory=dict)
+    # (source table, entity) -> cursor text of this run's valid rows
+    cursors: dict[tuple[str, str], str] = field(default_factory=dict)
+
+
+@dataclass
+class Batch:
+    raw: DataFrame
+    dead: DataFrame
 
 
 def _stamp(df: DataFrame, run_id: str | None, ingested_at: str | None) -> DataFrame:
-    # bodies captured with their own run stamps keep them (run_id None)
-    if run_id is None:
-        return df
-    # One run id and one ingestion time per run, fixed on the driver (never current_timestamp per query)
-    return df.withColumn("extract_run_id", F.lit(run_id)).withColumn(
-        "ingested_at", F.lit(ingested_at).cast("timestamp_ntz")
-    )
+    """Bodies that carry their own run id and time keep them; others get this run's, fixed on the driver."""
+
+    def own(name: str, value, kind: str):
+        given = F.lit(value).cast(kind)
+        return F.coalesce(F.col(name), given) if name in df.columns else given
+
+    return df.withColumns({"extract_run_id": own("extract_run_id", run_id, "string"), "ingested_at": own("ingested_at", ingested_at, "timestamp_ntz")})
 
 
 def build_batches(
@@ -77,31 +111,42 @@ def build_batches(
     ingested_at: str | None,
     enabled_variants: Sequence[str] = X.VARIANTS,
     measures: Sequence[str] = DEFAULT_MEASURES,
-) -> dict[str, tuple[DataFrame, DataFrame]]:
-    """O2/O3: both sources are built before anything is landed (a failing source aborts the run)."""
+    indicator_ids: Sequence[str] | None = None,
+    strict: bool = False,
+) -> dict[str, Batch]:
+    """O2/O3: both sources are built before anything is landed (a failing source aborts the run).
+
+    ``indicator_ids`` limits the indicators, ``enabled_variants`` and ``measures`` the hourly side. With ``strict`` a
+    broken page fails the run; otherwise it is a dead letter.
+    """
     out = {}
     if indicator_bodies is not None:
         bodies = _stamp(indicator_bodies, run_id, ingested_at)
-        # bodies are parsed once (the unwrap writes the records); the validated batch is written once
-        # more so the metrics (which also decide the landing gates) and three landing writes read it directly
-        records = unwrap_pages(bodies, carry=("ingested_at",))
-        out[X.RAW_INDICATOR_TABLE] = zones.indicator_batch(records, materialize=True)
+        if indicator_ids is not None:
+            bodies = bodies.where(F.col("indicator_id").isin(list(indicator_ids)))
+        # each body is parsed once: the unwrap writes records and errors, and all that follows reads them
+        records, errors = unwrap_with_errors(bodies, carry=("ingested_at",))
+        if strict and (first := errors.first()) is not None:
+            raise ValueError(f"page {first['page_no']} of {first['indicator_id']}: {first['reason']}")
+        raw, dead = zones.indicator_batch(records)
+        out[X.RAW_INDICATOR_TABLE] = Batch(raw, dead.unionByName(zones.page_dead_letters(errors)))
     if hourly_bodies is not None:
-        payloads = parse_once(_stamp(hourly_bodies, run_id, ingested_at), "body")
-        out[X.RAW_HOURLY_TABLE] = zones.hourly_batch(payloads, locations, enabled_variants, measures, materialize=True)
+        stamped = _stamp(hourly_bodies, run_id, ingested_at)
+        payloads = parse_once(stamped, "body", keep=stamped.columns)
+        out[X.RAW_HOURLY_TABLE] = Batch(*zones.hourly_batch(payloads, locations, enabled_variants, measures, materialize=True))
     return out
 
 
 def batch_metrics(prefix: str, raw: DataFrame, dead: DataFrame) -> dict[tuple[str, str, str], int]:
     """Valid and dead-lettered rows per requested indicator or per location and variant.
 
-    One small aggregate over the written batch; the result has one row per configured entity.
+    One small aggregate; the result has one row per entity of the captured requests.
     """
     if prefix == X.RAW_INDICATOR_TABLE:
         valid_entity, dead_entity = F.col("indicator_id"), F.col("context")["indicator_id"]
     else:
         valid_entity = F.concat_ws("/", "location_id", "source_variant")
-        dead_entity = F.concat_ws("/", F.col("context")["location_id"], F.regexp_extract("reason", "^invalid_(.*)_payload$", 1))
+        dead_entity = F.concat_ws("/", F.col("context")["location_id"], F.col("context")["source_variant"])
     both = raw.select(valid_entity.alias("entity"), F.lit("valid").alias("outcome")).unionByName(
         dead.select(dead_entity.alias("entity"), F.lit("dead_letter").alias("outcome"))
     )
@@ -109,118 +154,146 @@ def batch_metrics(prefix: str, raw: DataFrame, dead: DataFrame) -> dict[tuple[st
     return {(prefix, r["entity"], r["outcome"]): r["count"] for r in counts}
 
 
-def land_batch(
-    spark: SparkSession,
-    z: Zones,
-    prefix: str,
-    raw: DataFrame,
-    dead: DataFrame,
-    run_id: str,
-    label_iso: str,
-    has_raw: bool | None = None,
-    has_dead: bool | None = None,
-) -> bool:
-    """Dead letters first (even with no valid rows), then raw JSONL + raw table when not empty.
-
-    ``has_raw`` / ``has_dead`` may come from counts already taken (``batch_metrics``); otherwise an
-    ``isEmpty`` check decides.
-    """
-    if (not dead.isEmpty()) if has_dead is None else has_dead:
-        write_dead_letters(dead, z.dead_letters)
-    if raw.isEmpty() if has_raw is None else not has_raw:
+def batch_cursors(prefix: str, raw: DataFrame) -> dict[tuple[str, str], str]:
+    """Greatest year text per indicator, or last time text of the newest payload per location and variant."""
+    if prefix == X.RAW_INDICATOR_TABLE:
+        found = max_year_cursor(raw).select(F.col("indicator_id").alias("entity"), F.col("max_cursor_value").alias("cursor"))
+    else:
+        newest = F.max(F.struct("ingested_at", last_time_cursor().alias("cursor")))
+        found = raw.groupBy(F.concat_ws("/", "location_id", "source_variant").alias("entity")).agg(newest.alias("n")).select("entity", "n.cursor")
+    return {(prefix, r["entity"]): r["cursor"] for r in found.collect()}
+
+
+# ---------------------------------------------------------------- state of landed batches
+
+_STATE = "id string, prefix string, source_file string, days array<date>, state string"
+
+
+def _note(spark: SparkSession, z: Zones, *rows: tuple) -> None:
+    spark.createDataFrame(list(rows), _STATE).coalesce(1).write.mode("append").json(z.state)
+
+
+def unfinished(spark: SparkSession, z: Zones) -> list:
+    """Noted batches that no run has taken to the marts: a row for each."""
+    if not path_exists(spark, z.state):
+        return []
+    notes = spark.read.schema(_STATE).json(z.state)
+    done = notes.where("state = 'done'").select("id")
+    return notes.where("state = 'landed'").join(done, "id", "left_anti").collect()
+
+
+def land_batch(spark: SparkSession, z: Zones, prefix: str, batch: Batch, run_id: str, label_iso: str, has_raw: bool, has_dead: bool) -> bool:
+    """Dead letters first (even with no valid rows), then raw JSONL + raw table when not empty."""
+    if has_dead:
+        write_dead_letters(batch.dead, z.dead_letters)
+    if not has_raw:
         return False
     name = landing_name(prefix, run_id, label_iso)
-    land_jsonl(raw, f"{z.landing}/{prefix}", source_file=name)
-    # raw zone: append, partitioned by ingest day, clustered by (entity, run)
-    landed = zones.with_ingest_date(raw.withColumn("source_file", F.lit(name)))
+    landed = zones.with_ingest_date(batch.raw.withColumn("source_file", F.lit(name)))
+    span = landed.groupBy(S.RAW_PART).agg(F.min("extract_run_id").alias("a"), F.max("extract_run_id").alias("b")).collect()
+    days = sorted(r[S.RAW_PART] for r in span if r[S.RAW_PART] is not None)
+    _note(spark, z, (uuid.uuid4().hex, prefix, name, days, "landed"))
+    one_run = len({r["a"] for r in span} | {r["b"] for r in span}) == 1
+    land_jsonl(batch.raw, f"{z.landing}/{prefix}", source_file=name, one_run=one_run)
+    # raw zone: append, partitioned by ingest day, clustered by (entity, run); one day's rows stay where they are
     entity = "indicator_id" if prefix == X.RAW_INDICATOR_TABLE else "location_id"
     path = z.raw_indicator if prefix == X.RAW_INDICATOR_TABLE else z.raw_hourly
+    rows = landed if len(span) == 1 else landed.hint("rebalance", S.RAW_PART)
     with session_conf(spark, SHREDDED_VARIANT_WRITE):
-        (
-            landed.hint("rebalance", S.RAW_PART)
-            .sortWithinPartitions(S.RAW_PART, entity, "extract_run_id")
-            .write.mode("append")
-            .partitionBy(S.RAW_PART)
-            .parquet(path)
-        )
+        rows.sortWithinPartitions(S.RAW_PART, entity, "extract_run_id").write.mode("append").partitionBy(S.RAW_PART).parquet(path)
+    zones.register_partitions(spark, z.table(f"raw/{prefix}"), S.RAW_PART, days)
     return True
 
 
-def _raw_since(spark: SparkSession, path: str, schema, run_id: str | None, ingested_at: str | None) -> DataFrame:
-    """Raw rows to stage: one run's rows (its ingest-day partition only) or, with no run, all of raw."""
-    df = spark.read.schema(schema.add(S.RAW_PART, "date")).parquet(path)
-    if run_id is not None:
-        if ingested_at is not None:
-            df = df.where(F.col(S.RAW_PART) == F.to_date(F.lit(ingested_at).cast("timestamp_ntz")))
-        df = df.where(F.col("extract_run_id") == run_id)
+def _raw_rows(spark: SparkSession, path: str, schema, files: Sequence[str] | None, days: Sequence[date]) -> DataFrame:
+    """Raw rows to stage: those of the named landing files (their ingest-day partitions only), or all of raw."""
+    df = spark.read.schema(type(schema)([*schema.fields]).add(S.RAW_PART, "date")).parquet(path)
+    if files is not None:
+        df = df.where(F.col(S.RAW_PART).isin(list(days)) & F.col("source_file").isin(list(files)))
     return df
 
 
 def step_functions(
-    spark: SparkSession, z: Zones, tz: str, run_id: str | None, ingested_at: str | None = None
+    spark: SparkSession,
+    z: Zones,
+    tz: str,
+    pending: Sequence | None = None,
+    measures: Sequence[str] = DEFAULT_MEASURES,
+    strict: bool = False,
+    rejects: bool = True,
 ) -> dict[str, Callable[[], None]]:
-    """The ordered transform steps (staging before mart). ``run_id`` limits staging to one run's raw
-    rows (incremental, guarded by recency); ``None`` rescans all raw rows as the reference does."""
-    from copy import deepcopy
+    """The ordered transform steps (staging before mart).
 
+    ``pending``: batches to stage (``unfinished``); ``None`` rescans all raw rows. Rows that can't reach staging go to the
+    reject sink, or fail the step when ``strict`` (a bad time). A mart is a projection of staging, so its touched
+    partitions are rebuilt from staging and replaced.
+    """
     touched: dict[str, list[tuple] | None] = {"indicator": None, "hourly": None}
 
+    def raw(prefix: str, path: str, schema) -> DataFrame:
+        own = None if pending is None else [p for p in pending if p["prefix"] == prefix]
+        files = None if own is None else sorted({p["source_file"] for p in own})
+        return _raw_rows(spark, path, schema, files, sorted({d for p in own or [] for d in p["days"]}))
+
+    def reject(found: DataFrame, source: str) -> None:
+        if rejects:
+            out = found.withColumn("source_name", F.lit(source)).hint("rebalance", "source_name", "extract_run_id")
+            out.write.mode("append").partitionBy("source_name", "extract_run_id").json(z.rejects)
+
+    def register(folder: str, part: str, kind: str) -> None:
+        zones.register_partitions(spark, z.table(folder), part, [t[0] for t in touched[kind] or []])
+
     def stg_indicator():
-        raw = _raw_since(spark, z.raw_indicator, deepcopy(S.RAW_INDICATOR), run_id, ingested_at)
-        src = zones.with_partition(zones.stg_indicator_source(raw, keep_order=True), "indicator")
+        rows = raw(X.RAW_INDICATOR_TABLE, z.raw_indicator, S.RAW_INDICATOR)
+        reject(zones.stg_indicator_rejects(rows), X.INDICATOR_SOURCE)
+        src = zones.with_partition(zones.stg_indicator_source(rows, keep_order=True), "indicator")
         touched["indicator"] = merge_upsert(
-            spark, z.stg_indicator, src, S.INDICATOR_KEYS, [S.INDICATOR_PART], ["country_iso3", "indicator_id"],
-            recency=(zones.ORDER_COL,),
+            spark, z.stg_indicator, src, S.INDICATOR_KEYS, [S.INDICATOR_PART], ["country_iso3", "indicator_id"], recency=(zones.ORDER_COL,)
         )
+        register(f"staging/{X.STG_INDICATOR_TABLE}", S.INDICATOR_PART, "indicator")
 
     def stg_hourly():
-        raw = _raw_since(spark, z.raw_hourly, deepcopy(S.RAW_HOURLY), run_id, ingested_at)
-        src = zones.with_partition(zones.stg_hourly_source(raw, tz, keep_order=True), "hourly")
+        rows = raw(X.RAW_HOURLY_TABLE, z.raw_hourly, S.RAW_HOURLY)
+        if not strict:
+            reject(zones.stg_hourly_rejects(rows, tz, measures), X.HOURLY_SOURCE)
+        src = zones.with_partition(zones.stg_hourly_source(rows, tz, measures, strict=strict, keep_order=True), "hourly")
         touched["hourly"] = merge_upsert(
-            spark, z.stg_hourly, src, S.HOURLY_KEYS, [S.HOURLY_PART], ["location_id"],
-            recency=(zones.ORDER_COL,),
+            spark, z.stg_hourly, src, S.HOURLY_KEYS, [S.HOURLY_PART], ["location_id"], recency=(zones.ORDER_COL,)
         )
+        register(f"staging/{X.STG_HOURLY_TABLE}", S.HOURLY_PART, "hourly")
 
-    def _staging(path: str, part: str, kind: str) -> DataFrame:
-        # the mart is partitioned like staging, so only the staging partitions this run touched can
-        # change mart rows; without a staging step in this run, rebuild from all of staging
-        stg = spark.read.parquet(path)
-        if touched[kind] is not None:
+    def mart(kind: str, stg_path: str, path: str, part: str, cluster: list[str], folder: str, source) -> None:
+        if touched[kind] == [] or not path_exists(spark, stg_path):
+            return
+        stg = spark.read.parquet(stg_path)
+        if touched[kind] is not None:  # without a staging step in this run, all of staging
             stg = stg.where(partition_filter([part], touched[kind]))
-        return stg
+        rows = zones.with_partition(source(stg), kind)
+        overwrite_partitions(spark, path, rows, [part], cluster)
+        if touched[kind] is None:
+            touched[kind] = [(r[0],) for r in spark.read.parquet(path).select(part).distinct().collect()]
+        register(folder, part, kind)
 
     def mart_indicator():
-        if touched["indicator"] == []:
-            return
-        stg = _staging(z.stg_indicator, S.INDICATOR_PART, "indicator")
-        src = zones.with_partition(zones.mart_indicator_source(stg), "indicator")
-        merge_upsert(spark, z.mart_indicator, src, S.INDICATOR_KEYS, [S.INDICATOR_PART], ["country_iso3", "indicator_id"])
+        mart("indicator", z.stg_indicator, z.mart_indicator, S.INDICATOR_PART, ["country_iso3", "indicator_id"], f"mart/{X.MART_INDICATOR_TABLE}", zones.mart_indicator_source)
 
     def mart_hourly():
-        if touched["hourly"] == []:
-            return
-        stg = _staging(z.stg_hourly, S.HOURLY_PART, "hourly")
-        src = zones.with_partition(zones.mart_hourly_source(stg), "hourly")
-        merge_upsert(spark, z.mart_hourly, src, S.HOURLY_KEYS, [S.HOURLY_PART], ["location_id"])
+        mart("hourly", z.stg_hourly, z.mart_hourly, S.HOURLY_PART, ["location_id"], f"mart/{X.MART_HOURLY_TABLE}", lambda stg: zones.mart_hourly_source(stg, measures))
 
-    return {
-        "010_stg_indicator": stg_indicator,
-        "011_stg_hourly": stg_hourly,
-        "020_mart_indicator": mart_indicator,
-        "021_mart_hourly": mart_hourly,
-    }
+    return {"stage_indicator": stg_indicator, "stage_hourly": stg_hourly, "mart_indicator": mart_indicator, "mart_hourly": mart_hourly}
 
 
 def run_steps(steps: dict[str, Callable[[], None]], names: Iterable[str] | None = None, exclude: Iterable[str] = ()) -> list[str]:
-    """Run steps in name order, or only the named ones, minus exclusions."""
-    chosen = sorted(steps) if names is None else list(names)
+    """Run the steps in their order, or only the named ones, minus exclusions. An unknown name raises."""
+    names = list(steps) if names is None else list(names)
     skip = set(exclude)
+    if unknown := (set(names) | skip) - set(steps):
+        raise ValueError(f"no such step: {sorted(unknown)}")
     ran = []
-    for name in chosen:
-        if name in skip:
-            continue
-        steps[name]()
-        ran.append(name)
+    for name in names:
+        if name not in skip:
+            steps[name]()
+            ran.append(name)
     return ran
 
 
@@ -234,36 +307,43 @@ def run_job(
     ingested_at: str | None,
     tz: str = "UTC",
     incremental: bool = True,
+    enabled_variants: Sequence[str] = X.VARIANTS,
+    measures: Sequence[str] = DEFAULT_MEASURES,
+    indicator_ids: Sequence[str] | None = None,
+    strict: bool = False,
+    steps: Iterable[str] | None = None,
+    exclude: Iterable[str] = (),
 ) -> RunResult:
-    """O1: one run end to end. Staging and mart steps only run when some valid rows landed."""
+    """O1: one run end to end. Staging and mart steps only run when some valid rows landed.
+
+    ``run_id`` and ``ingested_at`` (UTC) stamp bodies without stamps of their own. ``incremental`` stages every batch that no
+    run has taken to the marts yet, this one included; otherwise all of raw is staged again. ``steps`` and ``exclude`` choose
+    steps by name; a batch counts as done when both steps of its source ran.
+    """
     result = RunResult()
-    mark = scratch_mark()
-    batches = build_batches(indicator_bodies, hourly_bodies, locations, run_id, ingested_at)
-    landed_sources = []
-    for prefix, (raw, dead) in batches.items():
-        label_run = run_id or "captured"
-        label_at = ingested_at or "captured"
-        counts = batch_metrics(prefix, raw, dead)
-        result.metrics.update(counts)
-        has_raw = any(n > 0 for (_, _, outcome), n in counts.items() if outcome == "valid")
-        has_dead = any(n > 0 for (_, _, outcome), n in counts.items() if outcome == "dead_letter")
-        if land_batch(spark, z, prefix, raw, dead, label_run, label_at, has_raw, has_dead):
-            landed_sources.append(prefix)
-            result.landed.append(prefix)
-    # the batches are landed: their scratch tables (unwrapped records, page cut, validated batch) go
-    release_since(spark, mark)
-    if not landed_sources:
+    zones.create_zone_tables(spark, z.base, z.namespace, measures)
+    with scratch_scope(spark):
+        batches = build_batches(indicator_bodies, hourly_bodies, locations, run_id, ingested_at, enabled_variants, measures, indicator_ids, strict)
+        for prefix, batch in batches.items():
+            counts = batch_metrics(prefix, batch.raw, batch.dead)
+            result.metrics.update(counts)
+            outcomes = {outcome for _, _, outcome in counts}
+            label_run, label_at = (run_id, ingested_at) if run_id is not None else ("captured", uuid.uuid4().hex)
+            if land_batch(spark, z, prefix, batch, label_run, str(label_at), "valid" in outcomes, "dead_letter" in outcomes):
+                result.landed.append(prefix)
+                result.cursors.update(batch_cursors(prefix, batch.raw))
+    if not result.landed:
         return result
-    inc = incremental and run_id is not None
-    steps = step_functions(spark, z, tz, run_id if inc else None, ingested_at if inc else None)
-    skip = set()
-    if X.RAW_INDICATOR_TABLE not in landed_sources and not _exists(spark, z.raw_indicator):
-        skip |= {"010_stg_indicator", "020_mart_indicator"}
-    if X.RAW_HOURLY_TABLE not in landed_sources and not _exists(spark, z.raw_hourly):
-        skip |= {"011_stg_hourly", "021_mart_hourly"}
-    result.steps = run_steps(steps, exclude=skip)
+    pending = unfinished(spark, z)
+    chosen = pending if incremental else None
+    own = {X.RAW_INDICATOR_TABLE: ("stage_indicator", "mart_indicator"), X.RAW_HOURLY_TABLE: ("stage_hourly", "mart_hourly")}
+    skip = set(exclude)
+    for prefix, names in own.items():
+        missing = all(p["prefix"] != prefix for p in pending) if incremental else not path_exists(spark, z.path(f"raw/{prefix}"))
+        if missing:
+            skip |= set(names)
+    result.steps = run_steps(step_functions(spark, z, tz, chosen, measures, strict), steps, skip)
+    done = [(p["id"], p["prefix"], p["source_file"], p["days"], "done") for p in pending if set(own[p["prefix"]]) <= set(result.steps)]
+    if done:
+        _note(spark, z, *done)
     return result
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    return path_exists(spark, path)

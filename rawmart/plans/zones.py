@@ -35,7 +35,6 @@ def indicator_batch(records: DataFrame, source_file: str = "", materialize: bool
         "payload",
     )
     dead = dead_letter(bad, X.INDICATOR_SOURCE, X.INDICATOR_REASON, {"indicator_id": "indicator_id"})
-    raw._rawmart_scratch = getattr(valid, "_rawmart_scratch", None)
     return raw, dead
 
 
@@ -50,12 +49,14 @@ def hourly_batch(
     """Captured hourly payloads -> ``(raw rows, dead letters)``.
 
     ``payloads``: ``location_id, source_variant, payload VARIANT, ingested_at, extract_run_id``.
-    Coordinates come from configuration (inner join: a payload for an unknown location is not a
-    configured fetch). ``locations`` is configuration text parsed into rows, so it is broadcast.
+    Coordinates come from configuration; a payload for a location that isn't configured is a dead letter with
+    reason ``unknown_location``. ``locations`` is joined on its key; Spark broadcasts it if it is small in bytes.
+    A column ``body`` (the captured text) is kept in dead letters of payloads that are not JSON.
     """
     picked = payloads.where(F.col("source_variant").isin(list(enabled_variants)))
-    located = picked.join(F.broadcast(locations), "location_id", "inner")
-    valid, bad = split_valid(located, hourly_valid("payload", measures), materialize)
+    located = picked.join(locations.withColumn("_known", F.lit(True)), "location_id", "left")
+    known = F.coalesce("_known", F.lit(False))
+    valid, bad = split_valid(located, known & hourly_valid("payload", measures), materialize)
     raw = valid.select(
         "ingested_at",
         "extract_run_id",
@@ -67,11 +68,19 @@ def hourly_batch(
         "payload",
     )
     reason = F.concat(F.lit(X.HOURLY_REASON_PREFIX), F.col("source_variant"), F.lit(X.HOURLY_REASON_SUFFIX))
-    dead = dead_letter(bad, X.HOURLY_SOURCE, reason, {"location_id": "location_id"})
-    raw._rawmart_scratch = getattr(valid, "_rawmart_scratch", None)
+    reason = F.when(F.col("_known").isNull(), F.lit(UNKNOWN_LOCATION)).otherwise(reason)
+    evidence = F.coalesce("payload", F.col("body").cast("variant")) if "body" in bad.columns else F.col("payload")
+    context = {"location_id": "location_id", "source_variant": "source_variant"}
+    dead = dead_letter(bad.withColumn("payload", evidence), X.HOURLY_SOURCE, reason, context)
     return raw, dead
 
 
+def page_dead_letters(errors: DataFrame) -> DataFrame:
+    """Broken pages (``sources.bodies.page_errors``) as dead letters with the captured text as evidence."""
+    pages = errors.withColumn("payload", F.col("body").cast("variant"))
+    return dead_letter(pages, X.INDICATOR_SOURCE, F.col("reason"), {"indicator_id": "indicator_id", "page_no": F.col("page_no").cast("string")})
+
+
 def with_ingest_date(raw: DataFrame) -> DataFrame:
     """Raw partition column ``DATE(ingested_at)``."""
     return raw.withColumn(S.RAW_PART, day_of("ingested_at"))
@@ -111,6 +120,7 @@ def indicator_typed(raw: DataFrame) -> DataFrame:
     )
 
 
+UNKNOWN_LOCATION = "unknown_location"
 ORDER_COL = "_order"  # the full staging order key as one orderable struct (see ``keep_order``)
 
 
@@ -189,7 +199,7 @@ def stg_hourly_source(
     order = ["ingested_at", "extract_run_id", "_archive", "_digest", "pos"]
     latest = latest_per_key(rows, S.HOURLY_KEYS, order, drop_null_keys=True)
     extra = [F.struct(*order).alias(ORDER_COL)] if keep_order else []
-    return latest.select(*S.STG_HOURLY.fieldNames(), *extra)
+    return latest.select(*S.stg_hourly(measures).fieldNames(), *extra)
 
 
 def stg_hourly_rejects(raw: DataFrame, tz: str, measures: Sequence[str] = DEFAULT_MEASURES) -> DataFrame:
@@ -216,9 +226,9 @@ def mart_indicator_source(stg: DataFrame) -> DataFrame:
     return latest.select(*S.MART_INDICATOR.fieldNames())
 
 
-def mart_hourly_source(stg: DataFrame) -> DataFrame:
+def mart_hourly_source(stg: DataFrame, measures: Sequence[str] = DEFAULT_MEASURES) -> DataFrame:
     latest = latest_per_key(stg, S.HOURLY_KEYS, _stg_order(stg))
-    return latest.select(*S.MART_HOURLY.fieldNames())
+    return latest.select(*S.mart_hourly(measures).fieldNames())
 
 
 def with_partition(df: DataFrame, kind: str) -> DataFrame:
@@ -231,22 +241,37 @@ def with_partition(df: DataFrame, kind: str) -> DataFrame:
 # ---------------------------------------------------------------- DDL
 
 
-def create_zone_tables(spark: SparkSession, base: str, raw_db: str = "raw", stg_db: str = "staging", mart_db: str = "mart") -> dict[str, str]:
-    """Create the three namespaces and six tables if absent (Parquet, partitioned; clustering is done
-    at write time by sorting within partitions). Returns table name -> location."""
-    layout = {
-        f"{raw_db}.{X.RAW_INDICATOR_TABLE}": (S.RAW_INDICATOR, S.RAW_PART, "DATE"),
-        f"{raw_db}.{X.RAW_HOURLY_TABLE}": (S.RAW_HOURLY, S.RAW_PART, "DATE"),
-        f"{stg_db}.{X.STG_INDICATOR_TABLE}": (S.STG_INDICATOR, S.INDICATOR_PART, "INT"),
-        f"{stg_db}.{X.STG_HOURLY_TABLE}": (S.STG_HOURLY, S.HOURLY_PART, "DATE"),
-        f"{mart_db}.{X.MART_INDICATOR_TABLE}": (S.MART_INDICATOR, S.INDICATOR_PART, "INT"),
-        f"{mart_db}.{X.MART_HOURLY_TABLE}": (S.MART_HOURLY, S.HOURLY_PART, "DATE"),
+def table_layout(measures: Sequence[str] = DEFAULT_MEASURES) -> dict[str, tuple]:
+    """Folder below the zone base -> (schema as the files have it, partition column, its SQL type)."""
+
+    def with_order(schema, order):
+        return type(schema)([*schema.fields]).add(ORDER_COL, order)
+
+    return {
+        f"raw/{X.RAW_INDICATOR_TABLE}": (S.RAW_INDICATOR, S.RAW_PART, "DATE"),
+        f"raw/{X.RAW_HOURLY_TABLE}": (S.RAW_HOURLY, S.RAW_PART, "DATE"),
+        f"staging/{X.STG_INDICATOR_TABLE}": (with_order(S.STG_INDICATOR, S.INDICATOR_ORDER), S.INDICATOR_PART, "INT"),
+        f"staging/{X.STG_HOURLY_TABLE}": (with_order(S.stg_hourly(measures), S.HOURLY_ORDER), S.HOURLY_PART, "DATE"),
+        f"mart/{X.MART_INDICATOR_TABLE}": (S.MART_INDICATOR, S.INDICATOR_PART, "INT"),
+        f"mart/{X.MART_HOURLY_TABLE}": (S.mart_hourly(measures), S.HOURLY_PART, "DATE"),
     }
-    for db in (raw_db, stg_db, mart_db):
-        spark.sql("CREATE DATABASE IF NOT EXISTS IDENTIFIER(:db)", args={"db": db})
+
+
+def create_zone_tables(spark: SparkSession, base: str, prefix: str = "", measures: Sequence[str] = DEFAULT_MEASURES) -> dict[str, str]:
+    """Create the three namespaces (``<prefix>raw``, ``<prefix>staging``, ``<prefix>mart``) and six tables if absent
+    (Parquet, partitioned; clustering is done at write time by sorting within partitions).
+
+    Returns table name -> location. A table that is there already but lies elsewhere raises.
+    """
     out = {}
-    for name, (schema, part, part_type) in layout.items():
-        location = f"{base.rstrip('/')}/{name.replace('.', '/')}"
+    for folder, (schema, part, part_type) in table_layout(measures).items():
+        zone, table = folder.split("/")
+        name, location = f"{prefix}{zone}.{table}", f"{base.rstrip('/')}/{folder}"
+        spark.sql("CREATE DATABASE IF NOT EXISTS IDENTIFIER(:db)", args={"db": f"{prefix}{zone}"})
+        if spark.catalog.tableExists(name):
+            have = spark.sql("DESCRIBE TABLE EXTENDED IDENTIFIER(:t)", args={"t": name}).where("col_name = 'Location'").first()
+            if have is not None and have["data_type"].split(":")[-1].rstrip("/") != location.split(":")[-1].rstrip("/"):
+                raise ValueError(f"table {name} lies at {have['data_type']}, not at {location}")
         cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS IDENTIFIER(:t) ({cols}, `{part}` {part_type}) "
@@ -255,3 +280,12 @@ def create_zone_tables(spark: SparkSession, base: str, raw_db: str = "raw", stg_
         )
         out[name] = location
     return out
+
+
+def register_partitions(spark: SparkSession, table: str, part: str, values: Sequence) -> None:
+    """Make partitions that were written by path visible in the catalog table (those already known are kept)."""
+    values = [v for v in values if v is not None]
+    for i in range(0, len(values), 500):
+        specs = " ".join(f"PARTITION (`{part}`='{v}')" for v in values[i : i + 500])
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {specs}")
+    spark.catalog.refreshTable(table)

@@ -4,9 +4,9 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 
-P1 = '[{"page":1,"pages":2},[{"countryiso3code":"GBR","country":{"value":"UK"},"indicator":{"id":"SP.POP.TOTL"},"date":"2022","value":1}]]'
-P2 = '[{"page":2,"pages":2},[{"countryiso3code":"FRA","country":{"value":"FR"},"indicator":{"id":"SP.POP.TOTL"},"date":"2022","value":2}]]'
-H = '{"hourly":{"time":["2025-01-01T00:00","2025-01-01T01:00"],"temperature_2m":[4.1,3.8],"precipitation":[0,0.2],"wind_speed_10m":[3,4]}}'
+P1 = '[{"page":1,"pages":2},[{"countryiso3code":"NOR","country":{"value":"Norge"},"indicator":{"id":"AG.LND"},"date":"1998","value":17}]]'
+P2 = '[{"page":2,"pages":2},[{"countryiso3code":"ECU","country":{"value":"Quito"},"indicator":{"id":"AG.LND"},"date":"1998","value":5}]]'
+H = '{"hourly":{"time":["2031-07-04T06:00","2031-07-04T07:00"],"temperature_2m":[12.5,13.25],"precipitation":[0.75,0],"wind_speed_10m":[8,9]}}'
 
 
 def _write(base, rel, text):
@@ -20,34 +20,34 @@ def test_cli_run_from_captured_files(spark, tmp_path):
     from rawmart.__main__ import main
 
     cap = str(tmp_path / "captured")
-    _write(cap, "ind/indicator_id=SP.POP.TOTL/page_no=1/response.json", P1)
-    _write(cap, "ind/indicator_id=SP.POP.TOTL/page_no=2/response.json", P2)
-    _write(cap, "hour/location_id=london/source_variant=archive/response.json", H)
-    _write(cap, "hour/location_id=london/source_variant=forecast/response.json", H.replace("4.1", "9.9"))
+    _write(cap, "ind/indicator_id=AG.LND/page_no=1/response.json", P1)
+    _write(cap, "ind/indicator_id=AG.LND/page_no=2/response.json", P2)
+    _write(cap, "hour/location_id=oslo/source_variant=archive/response.json", H)
+    _write(cap, "hour/location_id=oslo/source_variant=forecast/response.json", H.replace("12.5", "21.5"))
     zones = str(tmp_path / "zones")
     res = main(
         ["--zones", zones, "--indicator-bodies", f"{cap}/ind", "--hourly-bodies", f"{cap}/hour",
-         "--bodies-format", "files", "--locations", "london:51.5072:-0.1276", "--tz", "Europe/London",
-         "--run-id", "r1", "--ingested-at", "2025-01-02T00:00:00"],
+         "--bodies-format", "files", "--locations", "oslo:59.9139:10.7522", "--tz", "Europe/Oslo",
+         "--run-id", "r1", "--ingested-at", "2031-07-02T00:00:00"],
         spark=spark,
     )
-    assert res.steps == ["010_stg_indicator", "011_stg_hourly", "020_mart_indicator", "021_mart_hourly"]
-    assert rows(spark.read.parquet(f"{zones}/mart/country_indicator_year"), "country_iso3", "value_num") == [("FRA", 2.0), ("GBR", 1.0)]
+    assert res.steps == ["stage_indicator", "stage_hourly", "mart_indicator", "mart_hourly"]
+    assert rows(spark.read.parquet(f"{zones}/mart/country_indicator_year"), "country_iso3", "value_num") == [("ECU", 5.0), ("NOR", 17.0)]
     # archive wins the tie with forecast inside one run
-    assert rows(spark.read.parquet(f"{zones}/mart/weather_hourly"), "temperature_2m") == [(3.8,), (4.1,)]
+    assert rows(spark.read.parquet(f"{zones}/mart/weather_hourly"), "temperature_2m") == [(12.5,), (13.25,)]
 
 
 def test_cli_forecast_only(spark, tmp_path):
     from rawmart.__main__ import main
 
     cap = str(tmp_path / "captured")
-    _write(cap, "hour/location_id=london/source_variant=archive/response.json", H)
-    _write(cap, "hour/location_id=london/source_variant=forecast/response.json", H.replace("4.1", "9.9"))
+    _write(cap, "hour/location_id=oslo/source_variant=archive/response.json", H)
+    _write(cap, "hour/location_id=oslo/source_variant=forecast/response.json", H.replace("12.5", "21.5"))
     zones = str(tmp_path / "zones")
     main(["--zones", zones, "--hourly-bodies", f"{cap}/hour", "--bodies-format", "files",
-          "--locations", "london:51.5072:-0.1276", "--disable-archive", "--run-id", "r1",
-          "--ingested-at", "2025-01-02T00:00:00"], spark=spark)
-    assert rows(spark.read.parquet(f"{zones}/mart/weather_hourly"), "temperature_2m") == [(3.8,), (9.9,)]
+          "--locations", "oslo:59.9139:10.7522", "--disable-archive", "--run-id", "r1",
+          "--ingested-at", "2031-07-02T00:00:00"], spark=spark)
+    assert rows(spark.read.parquet(f"{zones}/mart/weather_hourly"), "temperature_2m") == [(13.25,), (21.5,)]
 
 
 def test_body_table_reader_json_and_parquet(spark, tmp_path):
@@ -56,14 +56,14 @@ def test_body_table_reader_json_and_parquet(spark, tmp_path):
     from rawmart import schemas as S
     from rawmart.sources.captured import read_body_table
 
-    df = spark.createDataFrame([("SP.POP.TOTL", 1, P1, "r1", datetime(2025, 1, 1), "extra")],
+    df = spark.createDataFrame([("AG.LND", 1, P1, "r1", datetime(2025, 1, 1), "extra")],
                                "indicator_id string, page_no int, body string, extract_run_id string, ingested_at timestamp_ntz, other string")
     df.write.json(str(tmp_path / "j"))
     df.write.parquet(str(tmp_path / "p"))
     for fmt, sub in (("json", "j"), ("parquet", "p")):
         got = read_body_table(spark, str(tmp_path / sub), S.INDICATOR_BODY, fmt)
         assert got.columns == S.INDICATOR_BODY.fieldNames()
-        assert rows(got, "indicator_id", "page_no", "body") == [("SP.POP.TOTL", 1, P1)]
+        assert rows(got, "indicator_id", "page_no", "body") == [("AG.LND", 1, P1)]
 
 
 def test_hourly_stream_equals_batch(spark, tmp_path):

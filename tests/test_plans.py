@@ -54,14 +54,17 @@ def test_partition_filter_on_mart_series(spark, tmp_path):
 def test_zone_ddl(spark, tmp_path):
     from rawmart.plans.zones import create_zone_tables
 
-    made = create_zone_tables(spark, str(tmp_path / "wh"), raw_db="t_raw", stg_db="t_stg", mart_db="t_mart")
+    base = str(tmp_path / "wh")
+    made = create_zone_tables(spark, base, "t_")
     assert len(made) == 6
-    cols = [c.name for c in spark.catalog.listColumns("t_stg.stg_open_meteo_hourly")]
-    assert cols[-1] == "event_date" and "timestamp" in cols
+    cols = [c.name for c in spark.catalog.listColumns("t_staging.stg_open_meteo_hourly")]
+    assert cols[-2:] == ["_order", "event_date"] and "timestamp" in cols
     part = [c.name for c in spark.catalog.listColumns("t_mart.country_indicator_year") if c.isPartition]
     assert part == ["year_bucket"]
-    # idempotent
-    create_zone_tables(spark, str(tmp_path / "wh"), raw_db="t_raw", stg_db="t_stg", mart_db="t_mart")
+    # idempotent, but not for another place
+    create_zone_tables(spark, base, "t_")
+    with pytest.raises(ValueError, match="lies at"):
+        create_zone_tables(spark, str(tmp_path / "other"), "t_")
 
 
 def test_upsert_reads_only_touched_partitions(spark, tmp_path):

@@ -92,10 +92,10 @@ def test_run_steps_by_name_and_exclusion():
     from rawmart.plans.job import run_steps
 
     seen = []
-    steps = {n: (lambda n=n: seen.append(n)) for n in ["021_b", "010_a", "011_c", "001_ddl"]}
-    assert run_steps(steps, exclude={"001_ddl"}) == ["010_a", "011_c", "021_b"]
-    assert run_steps(steps, names=["021_b", "010_a"]) == ["021_b", "010_a"]
-    assert seen == ["010_a", "011_c", "021_b", "021_b", "010_a"]
+    steps = {n: (lambda n=n: seen.append(n)) for n in ["tables", "stage_a", "stage_c", "mart_b"]}
+    assert run_steps(steps, exclude={"tables"}) == ["stage_a", "stage_c", "mart_b"]  # in the order they are listed
+    assert run_steps(steps, names=["mart_b", "stage_a"]) == ["mart_b", "stage_a"]
+    assert seen == ["stage_a", "stage_c", "mart_b", "mart_b", "stage_a"]
 
 
 def test_write_dispositions(spark, tmp_path):
