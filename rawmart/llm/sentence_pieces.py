@@ -21,18 +21,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .text import Words, arrow_schema, batch, chunks, list_array, mix, pick, ranges, utf8, window_hash
+from .text import Words, arrow_schema, batch, bound_batches, chunks, list_array, mix, pick, ranges, utf8, window_hash
 
 _U = np.uint64
 _BYTE = np.uint8
 #: what stands for a space in pieces
 SPACE = "▁".encode()
+#: text bytes whose lattices are held at a time
+LATTICE_BYTES = 1 << 19
 
 
 class Pieces:
-    """A vocabulary as a byte trie (next state by state and byte; 0 is dead), with weights and bytes by id."""
+    """A vocabulary as a byte trie (next state by state and byte; 0 is dead), with weights and bytes by id.
 
-    def __init__(self, model: bytes, theta: float = 1.0):
+    Without ``theta`` only the bytes by id, which is what decoding needs.
+    """
+
+    def __init__(self, model: bytes, theta: float | None = 1.0):
         import sentencepiece
 
         p = sentencepiece.SentencePieceProcessor(model_proto=model)
@@ -52,6 +57,12 @@ class Pieces:
                 self.raw.append(piece)
                 if b" " not in piece.lstrip(b" ") or not piece.strip(b" "):
                     normal.append((piece, i))
+        sizes = np.array([len(x) for x in self.raw])
+        self.bytes = np.frombuffer(b"".join(self.raw), dtype=_BYTE)
+        self.at, self.size = np.cumsum(sizes) - sizes, sizes
+        self.longest = int(sizes.max()) + 1
+        if theta is None:
+            return
         order = sorted(range(len(normal)), key=lambda k: -p.get_score(normal[k][1]))
         self.weight = np.full(n, -theta * np.log(len(normal) + 1.0))
         for rank, k in enumerate(order, 1):
@@ -67,21 +78,18 @@ class Pieces:
                     ids.append(-1)
                 state = rows[state][c]
             ids[state] = i
-        self.next = np.zeros((len(rows), 256), dtype=np.int32)
+        self.next = np.zeros((len(rows), 256), dtype=np.uint16 if len(rows) < 1 << 16 else np.int32)
         for state, row in enumerate(rows):
             for c, to in row.items():
                 self.next[state, c] = to
         self.next = self.next.ravel()
         self.id = np.array(ids, dtype=np.int32)
-        sizes = np.array([len(x) for x in self.raw])
-        self.bytes = np.frombuffer(b"".join(self.raw), dtype=_BYTE)
-        self.at, self.size = np.cumsum(sizes) - sizes, sizes
 
 
-_loaded: dict[tuple[int, float], Pieces] = {}
+_loaded: dict[tuple[int, float | None], Pieces] = {}
 
 
-def _pieces(model: bytes, theta: float) -> Pieces:
+def _pieces(model: bytes, theta: float | None) -> Pieces:
     """Built once per worker process."""
     key = (hash(model), theta)
     if key not in _loaded:
@@ -105,14 +113,14 @@ def units(chunk) -> Words:
 def _edges(p: Pieces, data: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Edges (from, to, id) in the lattices of units whose bytes stand in ``data`` one after another; places are byte places, an end is the place behind."""
     n = len(data)
-    stop = np.repeat(np.cumsum(size), size)
-    at, here = np.arange(n), np.ones(n, dtype=np.int32)
+    stop = np.repeat(np.cumsum(size), size).astype(np.int32)
+    at, here = np.arange(n, dtype=np.int32), np.ones(n, dtype=np.int32)
     begin, end, ids = [], [], []
     single = np.zeros(n, dtype=bool)  # a character at this place is a piece of its own
     lead = np.where(data < 0x80, 1, np.where(data < 0xE0, 2, np.where(data < 0xF0, 3, 4)))
     k = 0
     while len(at):
-        here = p.next[here * 256 + data[at + k]]
+        here = p.next[here * 256 + data[at + k]].astype(np.int32)
         keep = here > 0
         at, here = at[keep], here[keep]
         found = p.id[here]
@@ -129,30 +137,30 @@ def _edges(p: Pieces, data: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, n
     char = np.cumsum((data & 0xC0) != 0x80) - 1
     if n:
         plain = single[start][np.maximum(char, 0)]
-    byte = np.flatnonzero(~plain)
+    byte = np.flatnonzero(~plain).astype(np.int32)
     return np.concatenate([*begin, byte]), np.concatenate([*end, byte + 1]), np.concatenate([*ids, p.byte_id[data[byte]]])
 
 
 class Lattice:
-    """Forward pass over distinct units: for each place, the edges into it and the running sum of their posterior probabilities."""
+    """Forward pass over distinct units: for each place, the edges into it and their posterior probabilities."""
 
     def __init__(self, p: Pieces, data: np.ndarray, size: np.ndarray):
-        begin, end, self.ids = _edges(p, data, size)
-        head = np.cumsum(size) - size
-        unit = np.repeat(np.arange(len(size)), size)
-        own = unit[begin]
+        begin, end, ids = _edges(p, data, size)
+        head = (np.cumsum(size) - size).astype(np.int32)
+        own = np.repeat(np.arange(len(size), dtype=np.int32), size)[begin]
         # nodes: a unit of k bytes has k + 1 of them
-        self.base = head + np.arange(len(size))
-        self.begin, node = begin + own, end + own
+        self.base = head + np.arange(len(size), dtype=np.int32)
+        total = len(data) + len(size)
         depth = end - head[own]
-        order = np.argsort(depth * (len(data) + len(size)) + node)
-        self.begin, node, depth, self.ids = self.begin[order], node[order], depth[order], self.ids[order]
+        # by depth, node and length, in the same order wherever the unit stands
+        order = np.argsort((depth.astype(np.int64) * total + end + own) * p.longest + (end - begin))
+        depth, node, self.begin, self.ids = depth[order], (end + own)[order], (begin + own)[order], ids[order]
+        del begin, end, own, order, ids
         weight = p.weight[self.ids]
-        total = len(data) + len(size)
         alpha = np.full(total, -np.inf)
         alpha[self.base] = 0.0
-        self.first, self.count = np.zeros(total, dtype=np.int64), np.zeros(total, dtype=np.int64)
-        share = np.zeros(len(node))
+        self.first, self.count = np.zeros(total, dtype=np.int32), np.zeros(total, dtype=np.int32)
+        self.share = np.zeros(len(node))
         cuts = np.flatnonzero(np.diff(depth, prepend=-1)) if len(depth) else np.zeros(0, int)
         for a, b in zip(cuts, [*cuts[1:], len(depth)], strict=True):
             here = node[a:b]
@@ -166,10 +174,8 @@ class Lattice:
             at = here[heads]
             with np.errstate(divide="ignore"):
                 alpha[at] = np.log(mass) + top[heads]
-            share[a:b] = value / np.repeat(np.maximum(mass, 1e-300), counts)
+            self.share[a:b] = value / np.repeat(np.maximum(mass, 1e-300), counts)
             self.first[at], self.count[at] = a + heads, counts
-        self.running = np.cumsum(share)  # every reached place adds 1
-        self.before = self.running - share
 
     def sample(self, unit: np.ndarray, size: np.ndarray, seed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """A path for each occurrence of a unit: ids in order, one occurrence after another, and how many each has."""
@@ -182,11 +188,11 @@ class Lattice:
             u = (mix(seed[who] + node.astype(_U) - goal[who].astype(_U)) >> _U(11)).astype(np.float64) * 2.0**-53
             lo = self.first[node]
             hi = lo + self.count[node] - 1
-            goal_sum = self.before[lo] + u * (self.running[hi] - self.before[lo])
             edge = lo.copy()
             late = np.flatnonzero(hi > lo)
             while len(late):  # a place has few edges
-                late = late[self.running[edge[late]] <= goal_sum[late]]
+                u[late] -= self.share[edge[late]]
+                late = late[u[late] >= 0]
                 edge[late] += 1
                 late = late[edge[late] < hi[late]]
             drawn.append(self.ids[edge])
@@ -210,7 +216,7 @@ def _encode(batches: Iterator[pa.RecordBatch], schema: pa.Schema, model: bytes,
         keys, key_offsets = utf8(rows.column("key"))
         hashes = window_hash(keys.astype(_U) + _U(1), key_offsets[:-1] - key_offsets[0], key_offsets[1:] - key_offsets[0]) if len(key_offsets) > 1 else np.zeros(0, _U)
         missing = np.asarray(rows.column("text").is_null())
-        for chunk in chunks(rows.column("text")):
+        for chunk in chunks(rows.column("text"), LATTICE_BYTES):
             own = units(chunk)
             size = own.ends - own.starts
             # two hashes tell units apart
@@ -231,7 +237,7 @@ def _encode(batches: Iterator[pa.RecordBatch], schema: pa.Schema, model: bytes,
 
 
 def _decode(batches: Iterator[pa.RecordBatch], schema: pa.Schema, model: bytes) -> Iterator[pa.RecordBatch]:
-    p = _pieces(model, 1.0)
+    p = _pieces(model, None)
     for rows in batches:
         for i in range(0, rows.num_rows, 256):
             part = rows.slice(i, 256)
@@ -252,7 +258,7 @@ def encode(docs: DataFrame, model_path: str, theta: float = 1.0, seed: int = 0,
     The draws are seeded by ``seed`` and the row's id, so repeated rows get the same ids. A null text gives null ids, an
     empty one no ids; a null id counts as a key of its own. A greater ``theta`` prefers frequent (and longer) pieces more.
     ``model_path`` is read by the driver; the tasks get its bytes (a vocabulary file, of bounded size). Whole texts are
-    encoded; memory holds the lattice of CHUNK_BYTES of text, or of the longest text.
+    encoded; memory holds the lattice of LATTICE_BYTES of text, or of the longest text.
     """
     with open(model_path, "rb") as f:
         model = f.read()
@@ -269,6 +275,7 @@ def decode(encoded: DataFrame, model_path: str, ids_col: str = "ids") -> DataFra
     """The rows of ``encoded`` with a column ``decoded``: the text of the ids. Null ids give null, no ids the empty text."""
     with open(model_path, "rb") as f:
         model = f.read()
+    bound_batches(encoded.sparkSession)
     names = encoded.columns
     plain = encoded.toDF(*["ids" if c == ids_col else f"_c{i}" for i, c in enumerate(names)])
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema) + ", decoded string"

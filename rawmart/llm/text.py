@@ -6,6 +6,8 @@ Slices hold about ``CHUNK_BYTES`` of text, or one text if that is longer, which
 
 from __future__ import annotations
 
+import gc
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -14,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rawmart.session import materialize
+from rawmart.session import delete_at_exit, delete_path, scratch_path
 
 CHUNK_BYTES = 2 << 20
 
@@ -29,14 +31,43 @@ def pick(df: DataFrame, **names: str) -> DataFrame:
 
     Extra columns whose names clash (also with other letter case) don't matter. A missing name raises ``ValueError``.
     """
+    bound_batches(df.sparkSession)
     at = {alias: df.columns.index(name) for alias, name in names.items()}
     flat = df.toDF(*[f"_c{i}" for i in range(len(df.columns))])
     return flat.select(*[F.col(f"_c{i}").alias(alias) for alias, i in at.items()])
 
 
-def scratch(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once as Parquet in the shared checkpoint folder and read back (lineage cut)."""
-    return materialize(df, f"llm-{name}")
+#: rows and bytes of the Arrow batches that tasks exchange with Python, whatever the length of texts
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20)}
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Set the session's Arrow batch bounds to BATCH: memory of Python workers then doesn't depend on the lengths of texts."""
+    for key, value in BATCH.items():
+        spark.conf.set(key, value)
+
+
+def scratch(df: DataFrame, name: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """``df`` written once as Parquet in the shared checkpoint folder and read back (lineage cut), in folders ``by`` columns.
+
+    The shuffle files of finished steps are garbage; a collection on the driver lets Spark's cleaner drop them, so the steps'
+    disk use doesn't add up.
+    """
+    spark = df.sparkSession
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    path = delete_at_exit(spark, scratch_path(spark, f"materialized/llm-{name}/{uuid.uuid4().hex}"))
+    (df.write.partitionBy(*by) if by else df.write).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch_folder = path
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    return out
+
+
+def drop(table: DataFrame, part: str = "") -> None:
+    """Delete a scratch table, or one of its folders (``column=value``), that nothing reads any more."""
+    delete_path(table.sparkSession, f"{table.scratch_folder}/{part}".rstrip("/"))
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
