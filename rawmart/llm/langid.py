@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .text import LOWER, arrow_schema, batch, byte_class, chunks, list_array, pick, words
+from .text import LOWER, arrow_schema, batch, bound_batches, byte_class, chunks, list_array, pick, words
 
 SLOT_BITS = 15
 SLOTS = 1 << SLOT_BITS
@@ -42,7 +42,7 @@ ASCII_LETTER = byte_class((0x41, 0x5A), (0x61, 0x7A))
 #: a language is a candidate for words of a script if it has this share of its words, or more, in it
 MIN_SCRIPT_SHARE = 0.01
 #: words whose scores are kept at a time
-VITERBI_WORDS = 4_000_000
+VITERBI_WORDS = 1_000_000
 
 _tables: list[np.ndarray] = []
 
@@ -187,11 +187,16 @@ def viterbi(scores: np.ndarray, first: np.ndarray, penalty: float) -> np.ndarray
     return label
 
 
-def _label(batches: Iterator[pa.RecordBatch], schema: pa.Schema, model: LanguageModel, penalty: float) -> Iterator[pa.RecordBatch]:
+_SPAN = "array<struct<lang:string,first:int,last:int>>"
+
+
+def _label(batches: Iterator[pa.RecordBatch], span_type: pa.DataType, model: LanguageModel, penalty: float, at: int) -> Iterator[tuple[pa.RecordBatch, pa.Array, np.ndarray, pa.Array]]:
+    """Rows (with the text as column number ``at``) with their language, score and spans; up to VITERBI_WORDS words step together."""
     langs = len(model.langs)
     name = np.array([*model.langs, "und"], dtype=object)
 
-    def result(ids: pa.Array, scores: np.ndarray, counts: np.ndarray, size: np.ndarray) -> pa.RecordBatch:
+    def flush(kept: list) -> Iterator[tuple]:
+        scores, counts, size = (np.concatenate([k[c] for k in kept]) for c in (1, 2, 3))
         first = np.concatenate([[0], np.cumsum(counts)])
         row = np.repeat(np.arange(len(counts)), counts)
         label = viterbi(scores, first, penalty)
@@ -205,35 +210,35 @@ def _label(batches: Iterator[pa.RecordBatch], schema: pa.Schema, model: Language
         tails = np.append(heads[1:], len(label))
         spans = pa.StructArray.from_arrays(
             [pa.array(name[label[heads]], pa.string()), pa.array(heads - first[row[heads]], pa.int32()), pa.array(tails - 1 - first[row[heads]], pa.int32())],
-            fields=list(schema.field("spans").type.value_type),
+            fields=list(span_type.value_type),
         )
-        spans = list_array(spans, np.bincount(row[heads], minlength=len(counts))).cast(schema.field("spans").type)
-        return batch(schema, id=ids, lang=pa.array(name[winner], pa.string()), score=score, spans=spans)
-
-    def flush(kept: list) -> pa.RecordBatch:
-        return result(pa.concat_arrays([k[0] for k in kept]), np.concatenate([k[1] for k in kept]), np.concatenate([k[2] for k in kept]), np.concatenate([k[3] for k in kept]))
-
-    for rows in batches:
-        kept, n = [], 0
-        ids = rows.column("id")
-        for chunk in chunks(rows.column("text")):
-            w = letter_words(chunk)
-            if langs:
-                scores = np.stack([np.add.reduceat(s[w.slots], w.heads) if len(w.heads) else np.zeros(0, np.float32) for s in model.scores], axis=1)
-                scores = np.where(model.allowed[w.script], scores, np.float32(-1e4))
-                scores -= scores.max(axis=1, keepdims=True) if len(scores) else 0
-            own = ids.slice(chunk.first, chunk.last - chunk.first)
+        spans = list_array(spans, np.bincount(row[heads], minlength=len(counts))).cast(span_type)
+        lang = pa.array(name[winner], pa.string())
+        done = 0
+        for rows, *_ in kept:
+            own = slice(done, done + rows.num_rows)
+            yield rows, lang.slice(done, rows.num_rows), score[own], spans.slice(done, rows.num_rows)
+            done += rows.num_rows
+
+    kept, n = [], 0
+    for whole in batches:
+        for chunk in chunks(whole.column(at)):
+            rows = whole.slice(chunk.first, chunk.last - chunk.first)
             if not langs:
-                m = len(own)
-                yield batch(schema, id=own, lang=pa.array(["und"] * m, pa.string()), score=np.zeros(m), spans=pa.array([[]] * m, schema.field("spans").type))
+                m = rows.num_rows
+                yield rows, pa.array(["und"] * m, pa.string()), np.zeros(m), pa.array([[]] * m, span_type)
                 continue
-            kept.append((own, scores, np.diff(w.first), w.size))
+            w = letter_words(chunk)
+            scores = np.stack([np.add.reduceat(s[w.slots], w.heads) if len(w.heads) else np.zeros(0, np.float32) for s in model.scores], axis=1)
+            scores = np.where(model.allowed[w.script], scores, np.float32(-1e4))
+            scores -= scores.max(axis=1, keepdims=True) if len(scores) else 0
+            kept.append((rows, scores, np.diff(w.first), w.size))
             n += len(scores)
             if n >= VITERBI_WORDS:
-                yield flush(kept)
+                yield from flush(kept)
                 kept, n = [], 0
-        if kept:
-            yield flush(kept)
+    if kept:
+        yield from flush(kept)
 
 
 def identify(docs: DataFrame, model: LanguageModel, penalty: float = 12.0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -245,28 +250,28 @@ def identify(docs: DataFrame, model: LanguageModel, penalty: float = 12.0, id_co
     VITERBI_WORDS words, are held at a time.
     """
     rows = pick(docs, id=id_col, text=text_col)
-    ddl = f"id {rows.schema['id'].dataType.simpleString()}, lang string, score double, spans array<struct<lang:string,first:int,last:int>>"
+    ddl = f"id {rows.schema['id'].dataType.simpleString()}, lang string, score double, spans {_SPAN}"
     schema = arrow_schema(ddl)
-    found = rows.mapInArrow(lambda b: _label(b, schema, model, penalty), ddl)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for own, lang, score, spans in _label(batches, schema.field("spans").type, model, penalty, 1):
+            yield batch(schema, id=own.column(0), lang=lang, score=score, spans=spans)
+
+    found = rows.mapInArrow(run, ddl)
     return found.select(F.col("id").alias("doc_id"), F.col("lang").alias("lang_pred"), "score", "spans")
 
 
 def tag(docs: DataFrame, model: LanguageModel, penalty: float = 12.0, text_col: str = "text") -> DataFrame:
     """All rows and columns of ``docs``, by position, then lang_pred and score as in ``identify``."""
+    bound_batches(docs.sparkSession)
     names = docs.columns
     flat = docs.toDF(*[f"_c{i}" for i in range(len(names))])
     at = names.index(text_col)
-    inner = pa.schema([("id", pa.int32()), ("lang", pa.string()), ("score", pa.float64()), ("spans", pa.list_(pa.struct([("lang", pa.string()), ("first", pa.int32()), ("last", pa.int32())])))])
     ddl = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in flat.schema), "lang_pred string", "score double"])
-    schema = arrow_schema(ddl)
+    schema, span_type = arrow_schema(ddl), arrow_schema(f"spans {_SPAN}").field("spans").type
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in batches:
-            text = pa.RecordBatch.from_arrays([pa.array(np.arange(rows.num_rows, dtype=np.int32)), rows.column(at)], ["id", "text"])
-            done = 0
-            for found in _label(iter([text]), inner, model, penalty):
-                own = rows.slice(done, found.num_rows)
-                done += found.num_rows
-                yield pa.RecordBatch.from_arrays([*own.columns, found.column("lang"), found.column("score")], schema=schema)
+        for own, lang, score, _ in _label(batches, span_type, model, penalty, at):
+            yield pa.RecordBatch.from_arrays([*own.columns, lang, pa.array(score)], schema=schema)
 
     return flat.mapInArrow(run, ddl).toDF(*names, "lang_pred", "score")
