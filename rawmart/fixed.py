@@ -27,6 +27,8 @@ YEAR_RANGE = (1900, 2200, 1)
 
 # Accepted text shapes for the safe casts and the local wall-time format.
 INTEGER_TEXT = r"^\s*[+-]?[0-9]+\s*$"
+HEX_TEXT = r"^\s*([+-]?)0[xX]([0-9a-fA-F]{1,16})\s*$"
+SPECIAL_NUMBER_TEXT = r"^\s*[+-]?([iI][nN][fF]([iI][nN][iI][tT][yY])?|[nN][aA][nN])\s*$"
 NUMBER_TEXT = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 LOCAL_MINUTE_TEXT = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}$"
 

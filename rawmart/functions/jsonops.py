@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from rawmart.fixed import INTEGER_TEXT, LOCAL_MINUTE_TEXT, NUMBER_TEXT, YEAR_RANGE
+from rawmart.fixed import HEX_TEXT, INTEGER_TEXT, LOCAL_MINUTE_TEXT, NUMBER_TEXT, SPECIAL_NUMBER_TEXT, YEAR_RANGE
 
 
 def _col(c) -> Column:
@@ -73,19 +73,24 @@ def truthy(v, path: str = "$") -> Column:
 
 
 def safe_long(text) -> Column:
-    """Text -> BIGINT or NULL: optional sign and digits, surrounding blanks allowed; decimals, hex and
-    exponents give NULL (SAFE_CAST AS INT64)."""
+    """Text -> BIGINT or NULL: optional sign and digits or ``0x`` hex digits, surrounding blanks allowed; decimals and
+    exponents give NULL, and so does what overflows (SAFE_CAST AS INT64, whose documentation takes hex text)."""
     t = _col(text)
-    return F.when(t.rlike(INTEGER_TEXT), F.trim(t).try_cast("bigint"))
+    digits = F.conv(F.regexp_extract(t, HEX_TEXT, 2), 16, 10)
+    hexed = F.concat(F.regexp_extract(t, HEX_TEXT, 1), digits).try_cast("bigint")
+    return F.when(t.rlike(INTEGER_TEXT), F.trim(t).try_cast("bigint")).when(t.rlike(HEX_TEXT), hexed)
 
 
 def safe_double(text) -> Column:
-    """Text -> DOUBLE or NULL for plain decimal / exponent numbers (SAFE_CAST AS FLOAT64).
+    """Text -> DOUBLE or NULL for decimal / exponent numbers, and inf, infinity and nan in any letter case with an
+    optional sign (SAFE_CAST AS FLOAT64, as its documentation has it).
 
-    Spark's own cast also accepts ``1.5d``, ``0x1p3``, ``nan`` and ``inf``; the pattern keeps those out.
+    Spark's own cast also accepts ``1.5d`` and ``0x1p3``; the patterns keep those out.
     """
     t = _col(text)
-    return F.when(t.rlike(NUMBER_TEXT), F.trim(t).try_cast("double"))
+    word = F.lower(F.trim(t))
+    special = F.when(word.endswith("nan"), F.lit(float("nan"))).when(word.startswith("-"), F.lit(float("-inf"))).otherwise(F.lit(float("inf")))
+    return F.when(t.rlike(NUMBER_TEXT), F.trim(t).try_cast("double")).when(t.rlike(SPECIAL_NUMBER_TEXT), special)
 
 
 def local_ts_to_utc(text, tz: str, strict: bool = False) -> Column:

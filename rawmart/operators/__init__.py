@@ -3,8 +3,8 @@ from rawmart.operators.cursors import (  # noqa: F401
     high_water,
     last_time_cursor,
     max_year_cursor,
-    newer_than,
     run_metrics,
+    unseen_runs,
 )
 from rawmart.operators.latest import latest_per_key  # noqa: F401
 from rawmart.operators.merge import merge_plan, merge_upsert  # noqa: F401

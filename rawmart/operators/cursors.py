@@ -31,18 +31,14 @@ def run_metrics(df: DataFrame, by: Sequence[str]) -> DataFrame:
 
 
 def high_water(df: DataFrame, by: Sequence[str] = (), column: str = "ingested_at") -> DataFrame:
-    """Largest ``column`` seen so far (per group): the incremental read starts after it."""
+    """Largest ``column`` seen so far (per group); a figure to report, not a place to read on from (see ``unseen_runs``)."""
     return df.groupBy(*by).agg(F.max(column).alias("high_water"))
 
 
-def newer_than(raw: DataFrame, mark, column: str = "ingested_at") -> DataFrame:
-    """Rows strictly after the high-water mark (everything when the mark is NULL).
+def unseen_runs(raw: DataFrame, seen: DataFrame, by: Sequence[str] = ("extract_run_id",)) -> DataFrame:
+    """Rows of runs that ``seen`` has no row of.
 
-    ``mark`` is a value or a one-row ``high_water`` DataFrame; it is read as one value on the driver
-    and applied as a literal, so the filter reaches the scan (and prunes ingest-day partitions).
+    A time maximum would drop runs with the same stamp as the newest one, and late ones; ``plans.job`` notes each landed
+    batch for the same reason. Rows without a run id count as unseen.
     """
-    if isinstance(mark, DataFrame):
-        mark = mark.select("high_water").first()[0]
-    if mark is None:
-        return raw
-    return raw.where(F.col(column) > F.lit(mark))
+    return raw.join(seen.select(*by).distinct(), list(by), "left_anti")

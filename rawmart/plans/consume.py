@@ -13,9 +13,13 @@ from rawmart.operators.quality import DEFAULT_MEASURES
 
 
 def latest_value(mart: DataFrame, by: Sequence[str] = ("country_iso3", "indicator_id")) -> DataFrame:
-    """C1 KPI: latest non-null value per group (highest year wins)."""
+    """C1 KPI: latest non-null value per group: highest year, then the first country and indicator by name.
+
+    With a coarser group than the mart's key (``by=("indicator_id",)``) the row that wins is named by all its key columns.
+    """
     known = mart.where(F.col("value_num").isNotNull())
-    return latest_per_key(known, by, ["year"]).select(*by, "year", "value_num")
+    rest = [c for c in ("country_iso3", "indicator_id") if c not in by]
+    return latest_per_key(known, by, ["year", *[F.col(c).asc() for c in rest]]).select(*by, *rest, "year", "value_num")
 
 
 def annual_series(

@@ -105,7 +105,6 @@ def indicator_typed(raw: DataFrame) -> DataFrame:
         json_scalar("payload", "$.value").alias("_value"),
         "ingested_at",
         "extract_run_id",
-        _digest().alias("_digest"),
     ).select(
         "country_iso3",
         "country_name",
@@ -116,7 +115,8 @@ def indicator_typed(raw: DataFrame) -> DataFrame:
         "_date",
         "ingested_at",
         "extract_run_id",
-        "_digest",
+        # last tie-breaker of rows of one run: records that agree in it are the same staging row
+        F.xxhash64("country_name", "indicator_name", "_date", "_value").alias("_digest"),
     )
 
 

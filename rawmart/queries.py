@@ -155,7 +155,9 @@ def json_nonscalar_null(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "safe_casts",
     """SELECT event_id, txt AS cast_text,
-              CASE WHEN m IN (0, 1, 2) THEN user_id END AS as_long,
+              CASE WHEN m IN (0, 1, 2) THEN user_id
+                   WHEN m = 4 THEN CAST(list_reduce(list_transform(string_split(CAST(user_id AS VARCHAR), ''), lambda c: CAST(c AS BIGINT)),
+                                                    lambda a, b: a * 16 + b) AS BIGINT) END AS as_long,
               CASE WHEN m IN (0, 1, 2) THEN CAST(user_id AS DOUBLE)
                    WHEN m = 3 THEN user_id + 0.5
                    WHEN m = 6 THEN CAST(user_id * 100 AS DOUBLE)
@@ -984,14 +986,14 @@ def request_params_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("incremental_merge", _STG_IND + "\nSELECT * FROM stg")
 def incremental_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Staging holds the early days; only raw rows after its high-water mark are staged and
+    """Staging holds the early days; only raw rows of runs that it has not seen are staged and
     merged with the recency guard; the result equals staging over everything."""
-    from rawmart.operators.cursors import high_water, newer_than
+    from rawmart.operators.cursors import unseen_runs
 
     raw = _raw_indicator(spark, sf_dir)
     early = F.col("ingested_at") < F.lit(_SPLIT).cast("timestamp_ntz")
     target = zones.stg_indicator_source(raw.where(early), keep_order=True)
-    fresh = newer_than(raw, high_water(target))
+    fresh = unseen_runs(raw, raw.where(early))
     merged = merge_plan(target, zones.stg_indicator_source(fresh, keep_order=True), S.INDICATOR_KEYS, recency=[zones.ORDER_COL])
     return merged.select(*S.STG_INDICATOR.fieldNames())
 

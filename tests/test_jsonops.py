@@ -50,10 +50,11 @@ def test_safe_casts(spark):
     assert got[" 2020 "] == (2020, 2020.0)
     assert got["+5"] == (5, 5.0)
     assert got["2020.5"] == (None, 2020.5)
-    assert got["0x7E8"] == (None, None)
+    assert got["0x7E8"] == (2024, None)
     assert got[""] == (None, None)
     assert got["1e3"] == (None, 1000.0)
-    for s in ["1.5d", "nan", "inf", "2020M01"]:
+    assert got["inf"] == (None, float("inf")) and got["nan"][0] is None and got["nan"][1] != got["nan"][1]
+    for s in ["1.5d", "2020M01"]:
         assert got[s] == (None, None), s
 
 
@@ -96,3 +97,11 @@ def test_parse_once_blocks_repeated_parse(spark):
     plan = df.where(json_scalar("payload", "$.a") == "1")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("parseJson") == 1
     assert df.count() == 2  # text that is not JSON stays as a NULL payload
+
+
+def test_casts_of_hex_and_special_numbers(spark):
+    texts = ["0x1F", " -0xff ", "0x", "0x10000000000000000", "0xG1", "inf", "-Infinity", "+NaN", "infin", "1.5d", "0x1p3"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = df.select(safe_long("t").alias("n"), safe_double("t").cast("string").alias("d")).collect()
+    assert [r.n for r in got] == [31, -255, None, None, None, None, None, None, None, None, None]
+    assert [r.d for r in got] == [None] * 5 + ["Infinity", "-Infinity", "NaN", None, None, None]

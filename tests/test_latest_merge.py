@@ -231,3 +231,18 @@ def test_upsert_leaves_no_scratch_also_after_a_failure(spark, scratch):
     with pytest.raises(Exception, match="no_such"):
         merge_upsert(spark, path, two, ["no_such"], [S.INDICATOR_PART])
     assert set(os.listdir(base)) == before
+
+
+def test_latest_value_by_indicator_has_one_defined_winner(spark):
+    from rawmart.plans import consume
+
+    mart = spark.createDataFrame([("B", "I", 2020, 1.0), ("A", "I", 2020, 2.0), ("C", "I", 2019, 3.0), ("A", "J", 2021, None)],
+                                 "country_iso3 string, indicator_id string, year long, value_num double")
+    assert rows(consume.latest_value(mart, by=("indicator_id",))) == [("I", "A", 2020, 2.0)]
+
+
+def test_runs_of_the_same_time_and_late_runs_are_read(spark):
+    from rawmart.operators.cursors import unseen_runs
+
+    raw = spark.createDataFrame([("a", T2), ("b", T2), ("c", T1)], "extract_run_id string, ingested_at timestamp_ntz")
+    assert rows(unseen_runs(raw, raw.where("extract_run_id = 'a'")), "extract_run_id") == [("b",), ("c",)]
