@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, hyperminhash, knn, langid, license_scan, pii, sentence_pieces, sharding, substring_dedup, suffix_index
+from . import decontam, hyperminhash, knn, langid, license_scan, oracles, pii, sentence_pieces, sharding, substring_dedup, suffix_index
 from .text import documents
 
 #: place of the vocabulary file; a parameter of the queries that need it
@@ -88,18 +88,10 @@ QUERIES = {
     "op10_sentence_pieces": op10_sentence_pieces,
 }
 
+#: the others learn a model, draw samples, cut by hashes or match with a tolerance; tests hold them against brute force
 ORACLE: dict[str, str] = {
-    "op4_top_k": """
-        WITH v AS (
-            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
-            FROM embeddings
-            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
-        ), s AS (
-            SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.e, v.e)::BIGINT AS score
-            FROM v q JOIN v ON q.vec_id <> v.vec_id AND q.vec_id % 50 = 0
-        ), r AS (
-            SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank FROM s
-        )
-        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
-    """,
+    "op1_minhash": oracles.NEAR_DUPLICATES,
+    "op4_top_k": oracles.TOP_K,
+    "op5_substring_dedup": oracles.WINDOW_DEDUP,
+    "op6_suffix_index": oracles.BYTE_DEDUP,
 }
