@@ -8,8 +8,10 @@ tests: sizes, the low bits of the banding registers, and the Jaccard estimate fr
 of compressed values, each with a margin of MARGIN standard deviations. What is left is confirmed on the full sets.
 
 No group is expanded into all its pairs. Documents with equal sets are one class. In each bucket of equal bands, every class
-is first tried against the bucket's smallest one; confirmed links give components, and only pairs of different components
-that still share a bucket are compared further, in blocks of bounded size.
+is first tried against the bucket's smallest one, and what the bucket's classes have in common beyond that is reported as
+a spanning forest: candidates, direct or by way of others, form a family. Confirmed links with the smallest classes give
+components; families that still have several of them are compared in pairs of blocks of bounded size, where only links
+that connect two components are confirmed and reported.
 """
 
 from __future__ import annotations
@@ -33,8 +35,8 @@ MANTISSA = 10
 BAND = 5
 BANDS = REGISTERS // BAND
 MARGIN = 6
-#: rows of a bucket that are compared at a time
-BLOCK = 1024
+#: rows of a bucket, and of a family, that meet as one side of a comparison
+BUCKET_BLOCK, FAMILY_BLOCK = 1024, 128
 
 _priority = np.random.default_rng(20240613).permuted(np.tile(np.arange(REGISTERS, dtype=np.int16), (REGISTERS, 1)), axis=1)
 
@@ -153,17 +155,52 @@ def _confirmed(batches: Iterator[pa.RecordBatch], schema: pa.Schema, k: int, per
             yield rows.filter(pa.array(good)).select(schema.names)
 
 
-def _cross_pairs(batches: Iterator[pa.RecordBatch], schema: pa.Schema, percent: int, most: int) -> Iterator[pa.RecordBatch]:
-    """Pairs of different components within each block; rows come sorted by block. A block has at most 2 * BLOCK rows or so."""
+def _groups(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[pa.Table]:
+    """Rows that come sorted by the keys, as tables that end where a group ends."""
     rest: pa.Table | None = None
+    for rows in batches:
+        table = pa.Table.from_batches([rows])
+        table = pa.concat_tables([rest, table]) if rest is not None else table
+        if not table.num_rows:
+            continue
+        key = np.stack([table.column(c).to_numpy() for c in keys], axis=1)
+        other = (key != key[-1]).any(axis=1)
+        last = int(np.flatnonzero(other)[-1]) + 1 if other.any() else 0
+        if last:
+            yield table.slice(0, last).combine_chunks()
+        rest = table.slice(last).combine_chunks()
+    if rest is not None and rest.num_rows:
+        yield rest
+
+
+class Union:
+    """Union-find over a few values."""
+
+    def __init__(self):
+        self.parent: dict[int, int] = {}
+
+    def find(self, x: int) -> int:
+        while (p := self.parent.setdefault(x, x)) != x:
+            self.parent[x] = self.parent[p]
+            x = p
+        return x
+
+    def join(self, a: int, b: int) -> bool:
+        """Whether a and b were apart."""
+        a, b = self.find(a), self.find(b)
+        self.parent[max(a, b)] = min(a, b)
+        return a != b
 
-    def pairs(rows: pa.Table) -> pa.RecordBatch:
-        col = lambda c: rows.column(c).to_numpy()
+
+def _forests(batches: Iterator[pa.RecordBatch], schema: pa.Schema, percent: int, most: int) -> Iterator[pa.RecordBatch]:
+    """Of each block of a bucket, a spanning forest of the candidate pairs whose families differ."""
+    for rows in _groups(batches, ("key", "i", "j")):
+        col = lambda c: rows.column(c).to_numpy()  # noqa: B023, E731
         key, i, j, own, node, label, n = (col(c) for c in ("key", "i", "j", "own", "id", "label", "n"))
         low = np.stack([col(f"l{q}") for q in range(4)], axis=1).view(_U)
-        xs, ys = [], []
+        found = []
         offset, at = 1, np.arange(len(key) - 1)
-        while len(at):
+        while len(at):  # pairs of rows that stand ``offset`` apart, of all groups at once
             to = at + offset
             same = (key[at] == key[to]) & (i[at] == i[to]) & (j[at] == j[to])
             at, to = at[same], to[same]
@@ -171,25 +208,73 @@ def _cross_pairs(batches: Iterator[pa.RecordBatch], schema: pa.Schema, percent:
             ok &= 100 * np.minimum(n[at], n[to]) >= percent * np.maximum(n[at], n[to])
             a, b = at[ok], to[ok]
             near = np.bitwise_count(low[a] ^ low[b]).sum(axis=1) <= most
-            xs.append(np.minimum(node[a[near]], node[b[near]]))
-            ys.append(np.maximum(node[a[near]], node[b[near]]))
+            a, b = a[near], b[near]
+            _, one = np.unique(np.stack([label[a], label[b]], axis=1), axis=0, return_index=True)
+            found.append(np.stack([a[one], b[one]], axis=1))
             offset += 1
             at = at[at + offset < len(key)]
-        found = np.unique(np.stack([np.concatenate(xs), np.concatenate(ys)], axis=1), axis=0) if xs else np.zeros((0, 2), np.int64)
-        return batch(schema, x=np.ascontiguousarray(found[:, 0]), y=np.ascontiguousarray(found[:, 1]))
+        union, out = Union(), []
+        for a, b in np.concatenate(found).tolist() if found else []:
+            if union.join(int(label[a]), int(label[b])):
+                out.append((node[a], node[b]))
+        x, y = (np.array([o[c] for o in out], dtype=np.int64) for c in (0, 1))
+        yield batch(schema, x=x, y=y)
 
-    for rows in batches:
-        table = pa.Table.from_batches([rows])
-        table = pa.concat_tables([rest, table]) if rest is not None else table
-        key = np.stack([table.column(c).to_numpy() for c in ("key", "i", "j")], axis=1)
-        if not len(key):
-            continue
-        last = len(key) - 1 - int(np.argmax((key[::-1] != key[-1]).any(axis=1))) if (key != key[-1]).any() else -1
-        if last >= 0:
-            yield pairs(table.slice(0, last + 1).combine_chunks())
-        rest = table.slice(last + 1).combine_chunks()
-    if rest is not None and rest.num_rows:
-        yield pairs(rest)
+
+def _family_links(batches: Iterator[pa.RecordBatch], schema: pa.Schema, k: int, percent: int) -> Iterator[pa.RecordBatch]:
+    """Of each pair of blocks of a family, links that connect its components, confirmed on the full sets, the most alike first."""
+    similarity = percent / 100
+    for whole in _groups(batches, ("family", "i", "j")):
+        cuts = np.stack([whole.column(c).to_numpy() for c in ("family", "i", "j")], axis=1)
+        heads = np.flatnonzero(np.concatenate([[True], (cuts[1:] != cuts[:-1]).any(axis=1)]))
+        xs, ys = [], []
+        for first, last in zip(heads, [*heads[1:], len(cuts)], strict=True):
+            rows = whole.slice(first, last - first)
+            node, label, n, own = (rows.column(c).to_numpy() for c in ("id", "label", "n", "own"))
+            if (label == label[0]).all():
+                continue
+            regs = np.stack([np.frombuffer(r, np.uint16) for r in rows.column("registers").to_pylist()])
+            texts = rows.column("text").combine_chunks()
+            sets: dict[int, np.ndarray] = {}
+
+            def shingles(r: int) -> np.ndarray:
+                if r not in sets:  # noqa: B023
+                    sets[r] = next(s for c in chunks(texts.slice(r, 1)) for s in shingle_sets(c, k))  # noqa: B023
+                return sets[r]  # noqa: B023
+
+            pairs = []
+            for a in range(len(node) - 1):
+                b = np.arange(a + 1, len(node))
+                ok = (label[b] != label[a]) & (100 * np.minimum(n[a], n[b]) >= percent * np.maximum(n[a], n[b]))
+                if cuts[first, 1] != cuts[first, 2]:
+                    ok &= own[b] != own[a]
+                b = b[ok]
+                if len(b):
+                    value, used = estimate(regs[a][None, :], regs[b], np.array([n[a]]), n[b])
+                    good = value >= similarity - MARGIN * np.sqrt(similarity * (1 - similarity) / np.maximum(used, 1))
+                    pairs.append(np.stack([value[good], np.full(good.sum(), a), b[good]], axis=1))
+            if not pairs:
+                continue
+            found = np.concatenate(pairs)
+            union = Union()
+            for a, b in found[np.argsort(-found[:, 0], kind="stable"), 1:].astype(int).tolist():
+                if union.find(int(label[a])) != union.find(int(label[b])):
+                    s, t = shingles(a), shingles(b)
+                    common = len(np.intersect1d(s, t, assume_unique=True))
+                    if 100 * common >= percent * (len(s) + len(t) - common):
+                        union.join(int(label[a]), int(label[b]))
+                        xs.append(node[a])
+                        ys.append(node[b])
+        yield batch(schema, x=np.array(xs, dtype=np.int64), y=np.array(ys, dtype=np.int64))
+
+
+def _blocks(rows: DataFrame, group: str, size: int, count: DataFrame) -> DataFrame:
+    """Rows once for each pair (i, j) of blocks of their group that has theirs (``own``), sorted for a scan by group and pair."""
+    rows = rows.join(count.select(group, F.ceil(F.col("m") / size).cast("int").alias("blocks")), group)
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")}).drop("other", "blocks")
+    return rows.repartition(group, "i", "j").sortWithinPartitions(group, "i", "j")
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -233,38 +318,35 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
 
     pair_ddl = "x long, y long"
     pair_schema = arrow_schema(pair_ddl)
-    wanted = buckets.select("id").distinct()
-    texts = None
-
-    def confirm(pairs: DataFrame, name: str) -> DataFrame:
-        """Of the pairs, those whose estimate is near the similarity and whose full sets reach it."""
-        nonlocal texts
-        x, y = (reps.select(F.col("id").alias(c), F.col("n").alias(f"n{c}"), F.col("registers").alias(f"r{c}")) for c in "xy")
-        likely = pairs.join(x, "x").join(y, "y")
-        likely = scratch(likely.mapInArrow(lambda b: _estimated(b, pair_schema, similarity), pair_ddl).distinct(), f"{name}-likely")
-        if texts is None:
-            texts = scratch(rows.where("text is not null").join(wanted, "id", "left_semi"), "minhash-texts")
-        tx, ty = (texts.select(F.col("id").alias(c), F.col("text").alias(f"t{c}")) for c in "xy")
-        full = likely.join(tx, "x").join(ty, "y")
-        return scratch(full.mapInArrow(lambda b: _confirmed(b, pair_schema, k, percent), pair_ddl).distinct(), f"{name}-links")
-
-    links = confirm(star, "minhash-star")
-    found = components(links)
-
-    # what different components still share
-    label = F.coalesce("label", F.col("id")).alias("label")
-    placed = buckets.select("id", "key").join(found.withColumnRenamed("node", "id"), "id", "left").select("id", "key", label)
-    placed = scratch(placed, "minhash-placed")
-    open_ = placed.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("m")).where("lo < hi")
-    blocks = F.ceil(F.col("m") / BLOCK).cast("int")
-    cross = placed.join(open_.select("key", blocks.alias("blocks")), "key").join(marks, "id")
-    cross = cross.withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    cross = cross.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    cross = cross.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")}).drop("other", "blocks")
-    cross = cross.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    more = cross.mapInArrow(lambda b: _cross_pairs(b, pair_schema, percent, most), pair_ddl).distinct()
-    more = scratch(more.join(star, ["x", "y"], "left_anti"), "minhash-cross")  # those were tried
-    extra = confirm(more, "minhash-cross")
+    def labelled(rows: DataFrame, found: DataFrame, name: str) -> DataFrame:
+        """``rows`` with the label of their id's component; an id without a link is its own."""
+        return rows.join(found.select(F.col("node").alias("id"), F.col("label").alias("_l")), "id", "left").withColumn(name, F.coalesce("_l", F.col("id"))).drop("_l")
+
+    def several(rows: DataFrame, group: str, label: str) -> DataFrame:
+        """Groups whose rows have different labels, with their number of rows."""
+        return rows.groupBy(group).agg(F.min(label).alias("lo"), F.max(label).alias("hi"), F.count(F.lit(1)).alias("m")).where("lo < hi")
+
+    # families: what candidate pairs connect
+    placed = scratch(labelled(buckets.select("id", "key"), components(star), "label"), "minhash-placed")
+    cross = _blocks(placed.join(marks, "id"), "key", BUCKET_BLOCK, several(placed, "key", "label"))
+    forest = scratch(cross.mapInArrow(lambda b: _forests(b, pair_schema, percent, most), pair_ddl).distinct(), "minhash-forest")
+    families = components(star.unionByName(forest))
+
+    # links with the buckets' smallest classes
+    texts = scratch(rows.where("text is not null").join(families.select(F.col("node").alias("id")), "id", "left_semi"), "minhash-texts")
+    x, y = (reps.select(F.col("id").alias(c), F.col("n").alias(f"n{c}"), F.col("registers").alias(f"r{c}")) for c in "xy")
+    likely = star.join(x, "x").join(y, "y")
+    likely = scratch(likely.mapInArrow(lambda b: _estimated(b, pair_schema, similarity), pair_ddl).distinct(), "minhash-likely")
+    tx, ty = (texts.select(F.col("id").alias(c), F.col("text").alias(f"t{c}")) for c in "xy")
+    full = likely.join(tx, "x").join(ty, "y")
+    links = scratch(full.mapInArrow(lambda b: _confirmed(b, pair_schema, k, percent), pair_ddl).distinct(), "minhash-links")
+
+    # families that are several components so far
+    member = labelled(families.select(F.col("node").alias("id"), F.col("label").alias("family")), components(links), "label")
+    member = scratch(member, "minhash-members")
+    sides = member.join(reps, "id").join(texts, "id")
+    compared = _blocks(sides, "family", FAMILY_BLOCK, several(member, "family", "label"))
+    extra = scratch(compared.mapInArrow(lambda b: _family_links(b, pair_schema, k, percent), pair_ddl).distinct(), "minhash-extra")
 
     # rows of one id with different sets
     member = named.join(classes, ["a", "b"]).select("id", "rep")

@@ -40,7 +40,8 @@ def test_near_duplicates_family_without_a_common_base(spark):
 
 
 def test_near_duplicates_blocks_of_hot_buckets(spark, monkeypatch):
-    monkeypatch.setattr(hyperminhash, "BLOCK", 4)
+    monkeypatch.setattr(hyperminhash, "BUCKET_BLOCK", 4)
+    monkeypatch.setattr(hyperminhash, "FAMILY_BLOCK", 3)
     base = [f"b{i}" for i in range(100)]
     # two families in the same buckets that don't link: half of the words are shared
     rows = [(i, " ".join(base[:60] + [f"f{i % 7}x{j}" for j in range(12)] + [f"z{i}"])) for i in range(40)]
