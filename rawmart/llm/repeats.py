@@ -95,6 +95,24 @@ def places(schema: pa.Schema, owner: np.ndarray, pos: np.ndarray, **fixed) -> pa
     return batch(schema, **{f.name: got[f.name] if f.name in got else pa.nulls(len(heads), f.type) for f in schema})
 
 
+#: entries whose places are gathered before they are sent on
+PLACES = 2_000_000
+
+
+def merged_places(schema: pa.Schema, found: Iterator[tuple[np.ndarray, np.ndarray]], **fixed) -> Iterator[pa.RecordBatch]:
+    """Places of many buckets together, so that a text is in few rows of a task and not in one for each bucket."""
+    kept, n = [], 0
+    for owner, pos in found:
+        if len(owner):
+            kept.append((owner, pos))
+            n += len(owner)
+        if n >= PLACES:
+            yield places(schema, *(np.concatenate(x) for x in zip(*kept, strict=True)), **fixed)
+            kept, n = [], 0
+    if kept:
+        yield places(schema, *(np.concatenate(x) for x in zip(*kept, strict=True)), **fixed)
+
+
 def gathered(rows: DataFrame) -> DataFrame:
     """All places of each text: c1, pos (array of binaries; bounded by the text's length)."""
     return rows.groupBy("c1").agg(F.collect_list("pos").alias("pos"))
@@ -121,9 +139,12 @@ def settle_windows(windows: DataFrame, schema: pa.Schema, ddl: str) -> DataFrame
     """Packed windows (bucket, h, g, ids, cs, pos) -> rows c1, pos of those whose content also occurs with a smaller id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in buckets_of(batches):
-            later = seen_before(column(rows, "h", _U), column(rows, "g", np.uint32), column(rows, "ids", np.int64))
-            yield places(schema, column(rows, "cs", np.int64)[later], column(rows, "pos", np.int32)[later])
+        def found():
+            for rows in buckets_of(batches):
+                later = seen_before(column(rows, "h", _U), column(rows, "g", np.uint32), column(rows, "ids", np.int64))
+                yield column(rows, "cs", np.int64)[later], column(rows, "pos", np.int32)[later]
+
+        yield from merged_places(schema, found())
 
     return by_bucket(windows.select("bucket", "h", "g", "ids", "cs", "pos")).mapInArrow(run, ddl)
 

@@ -16,8 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .repeats import NO_ID, buckets_of, by_bucket, column, gathered, keyed, pack_windows, packed, parts, places, settle_windows, starts_of_runs, text_classes, unpack
-from .text import arrow_schema, batch, chunks, gram_starts, scratch, window_hash, word_hashes, words
+from .repeats import NO_ID, buckets_of, by_bucket, column, gathered, keyed, merged_places, pack_windows, packed, parts, places, settle_windows, starts_of_runs, text_classes, unpack
+from .text import arrow_schema, batch, chunks, drop, gram_starts, scratch, window_hash, word_hashes, words
 
 _U = np.uint64
 #: every difference modulo 31 occurs between two of them
@@ -86,17 +86,19 @@ def _find_anchors(batches: Iterator[pa.RecordBatch], schema: pa.Schema, window:
 
 
 def _shared_anchors(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    for rows in buckets_of(batches):
-        h, owner, pos = column(rows, "h", _U), column(rows, "cs", np.int64), column(rows, "pos", np.int32)
-        order = np.argsort(h, kind="stable")
-        heads = starts_of_runs(h[order])
-        size = np.diff(np.append(heads, len(h)))
-        # one text's entry occurs once in a part, and a part's texts are not in another part unless they are copies
-        owners = owner[order]
-        differ = np.concatenate([[False], owners[1:] != owners[:-1]]) if len(owners) else np.zeros(0, bool)
-        differ[heads] = False
-        shared = np.repeat(np.add.reduceat(differ.astype(np.int64), heads) > 0, size) if len(heads) else differ
-        yield places(schema, owners[shared], pos[order][shared])
+    def found():
+        for rows in buckets_of(batches):
+            h, owner, pos = column(rows, "h", _U), column(rows, "cs", np.int64), column(rows, "pos", np.int32)
+            order = np.argsort(h, kind="stable")
+            heads = starts_of_runs(h[order])
+            size = np.diff(np.append(heads, len(h)))
+            # one text's entry occurs once in a part, and a part's texts are not in another part unless they are copies
+            owners = owner[order]
+            other = owners != np.repeat(owners[heads], size)
+            shared = np.repeat(np.logical_or.reduceat(other, heads), size) if len(heads) else other
+            yield owners[shared], pos[order][shared]
+
+    return merged_places(schema, found())
 
 
 def _extend(batches: Iterator[pa.RecordBatch], schema: pa.Schema, window: int, buckets: int) -> Iterator[pa.RecordBatch]:
@@ -182,13 +184,15 @@ def dedup_windows(docs: DataFrame, window: int = 50, id_col: str = "doc_id", tex
     hits = by_bucket(found.where(F.col("kind") == WINDOWS).select("bucket", "h", "cs", "pos")).mapInArrow(lambda b: _shared_anchors(b, hit_schema), hit_ddl)
     hits = gathered(hits.unionByName(found.where(F.col("kind") == REMOVED).select("c1", "pos")))
     chosen = scratch(classes.join(hits, "c1", "left"), "anchor-hits")
+    drop(found)
 
     ddl2 = "kind int, c1 long, c2 long, n long, sha string, text binary, bucket int, h binary, g binary, ids binary, cs binary, pos binary"
     schema2 = arrow_schema(ddl2)
     first = rows.join(chosen, ["id", "c1", "c2"])  # the smallest row of each text
-    state = scratch(first.mapInArrow(lambda b: _extend(b, schema2, window, buckets), ddl2), "windows")
+    state = scratch(first.mapInArrow(lambda b: _extend(b, schema2, window, buckets), ddl2), "windows", by=("kind",))
     removed = settle_windows(state.where(F.col("kind") == WINDOWS), hit_schema, hit_ddl)
-    removed = gathered(removed.unionByName(state.where(F.col("kind") == REMOVED).select("c1", "pos")))
+    removed = scratch(gathered(removed.unionByName(state.where(F.col("kind") == REMOVED).select("c1", "pos"))), "removed-windows")
+    drop(state, f"kind={WINDOWS}")
     out_ddl = "c1 long, c2 long, n long, removed long, sha string, kept string"
     out_schema = arrow_schema(out_ddl)
     later = state.where(F.col("kind") == LATER).select("c1", "c2", "text").join(removed, "c1", "left")
