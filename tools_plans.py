@@ -27,7 +27,8 @@ def main(sf_dir: str, out: str) -> None:
         "| query | exchanges | joins | WGL partial | codegen stages | scan columns |",
         "| --- | --- | --- | --- | --- | --- |",
     ]
-    skip = {"full_run", "stream_merge", "stream_merge_hourly", "dead_letter_sink", "raw_roundtrip", "drift_read"}
+    skip = {"full_run", "stream_merge", "stream_merge_hourly", "stream_mart", "dead_letter_sink", "raw_roundtrip", "drift_read"}
+    skip |= {"landing_dispositions", "upsert_existing", "bi_mart_read", "raw_append_runs"} | {q for q in QUERIES if q.startswith("run_") and q != "run_metrics"}
     for name, fn in QUERIES.items():
         if name in skip:
             continue
