@@ -29,7 +29,6 @@ HEADLINE = [
     "raw_roundtrip",
     "full_run",
     "upsert_existing",
-    "run_repair",
     "stream_merge_hourly",
 ]
 
