@@ -42,7 +42,7 @@ ASCII_LETTER = byte_class((0x41, 0x5A), (0x61, 0x7A))
 #: a language is a candidate for words of a script if it has this share of its words, or more, in it
 MIN_SCRIPT_SHARE = 0.01
 #: words whose scores are kept at a time
-VITERBI_WORDS = 1_000_000
+VITERBI_WORDS = 400_000
 
 _tables: list[np.ndarray] = []
 

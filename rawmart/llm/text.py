@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from rawmart.session import delete_at_exit, delete_path, scratch_path
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 19
 
 _U = np.uint64
 _B = 0x9E3779B97F4A7C55  # odd: has an inverse modulo 2**64
@@ -38,7 +38,7 @@ def pick(df: DataFrame, **names: str) -> DataFrame:
 
 
 #: rows and bytes of the Arrow batches that tasks exchange with Python, whatever the length of texts
-BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20)}
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": str(2 << 20)}
 
 
 def bound_batches(spark: SparkSession) -> None:
@@ -54,12 +54,11 @@ def scratch(df: DataFrame, name: str, by: tuple[str, ...] = ()) -> DataFrame:
     disk use doesn't add up.
     """
     spark = df.sparkSession
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
     path = delete_at_exit(spark, scratch_path(spark, f"materialized/llm-{name}/{uuid.uuid4().hex}"))
     (df.write.partitionBy(*by) if by else df.write).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.scratch_folder = path
+    spark.range(1).write.format("noop").mode("overwrite").save()  # the session holds on to the last job it ran
     gc.collect()
     spark.sparkContext._jvm.System.gc()
     return out
