@@ -53,9 +53,9 @@ def packed(schema: pa.Schema, buckets: int, h: np.ndarray, **columns: np.ndarray
 
     def binary(values: np.ndarray) -> pa.Array:
         values = np.ascontiguousarray(values[order])
-        width = values.itemsize
+        width = values.itemsize * (values.shape[1] if values.ndim > 1 else 1)
         offsets = np.concatenate([[0], ends * width]).astype(np.int32)
-        return pa.Array.from_buffers(pa.binary(), len(heads), [None, pa.py_buffer(offsets), pa.py_buffer(values)])
+        return pa.Array.from_buffers(pa.binary(), len(heads), [None, pa.py_buffer(offsets), pa.py_buffer(values.reshape(-1))])
 
     got = {"bucket": bucket[order][heads].astype(np.int32), "h": binary(h)} | {c: binary(v) for c, v in columns.items()}
     return batch(schema, **{f.name: got[f.name] if f.name in got else pa.nulls(len(heads), f.type) for f in schema})
@@ -84,14 +84,16 @@ def column(rows: list[dict], name: str, dtype) -> np.ndarray:
     return np.frombuffer(b"".join(r[name] for r in rows), dtype=dtype)
 
 
-def places(schema: pa.Schema, owner: np.ndarray, pos: np.ndarray, **fixed) -> pa.RecordBatch:
-    """A row for each owner: c1, and its places as a binary of int32."""
+def places(schema: pa.Schema, owner: np.ndarray, pos: np.ndarray, buckets: int = 0, **fixed) -> pa.RecordBatch:
+    """A row for each owner: c1, and its places as a binary of int32; with ``buckets`` also a bucket, by the owner."""
     order = np.argsort(owner, kind="stable")
     owner, pos = owner[order], np.ascontiguousarray(pos[order].astype(np.int32))
     heads = starts_of_runs(owner)
     offsets = np.concatenate([[0], np.append(heads[1:], len(owner)) * 4]).astype(np.int32) if len(owner) else np.zeros(1, np.int32)
     binary = pa.Array.from_buffers(pa.binary(), len(heads), [None, pa.py_buffer(offsets), pa.py_buffer(pos)])
     got = {"c1": owner[heads], "pos": binary} | {k: np.full(len(heads), v) for k, v in fixed.items()}
+    if buckets:
+        got["bucket"] = (owner[heads].astype(_U) % _U(buckets)).astype(np.int32)
     return batch(schema, **{f.name: got[f.name] if f.name in got else pa.nulls(len(heads), f.type) for f in schema})
 
 
@@ -135,24 +137,43 @@ def seen_before(h: np.ndarray, g: np.ndarray, ids: np.ndarray) -> np.ndarray:
     return out
 
 
-def settle_windows(windows: DataFrame, schema: pa.Schema, ddl: str) -> DataFrame:
-    """Packed windows (bucket, h, g, ids, cs, pos) -> rows c1, pos of those whose content also occurs with a smaller id."""
+def settle_windows(windows: DataFrame, schema: pa.Schema, ddl: str, kinds: tuple[int, int]) -> DataFrame:
+    """Packed windows (kinds[0]: bucket, h, g, ids, cs, pos) -> rows c1, pos of those whose content also occurs with a smaller id.
+
+    Rows of kinds[1] (c1, pos) were settled before and pass through.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        settled: list[pa.RecordBatch] = []
+
+        def open_() -> Iterator[pa.RecordBatch]:
+            for part in batches:
+                kind = part.column("kind").to_numpy()
+                settled.append(part.filter(pa.array(kind == kinds[1])))
+                yield part.filter(pa.array(kind == kinds[0]))
+
         def found():
-            for rows in buckets_of(batches):
+            for rows in buckets_of(open_()):
                 later = seen_before(column(rows, "h", _U), column(rows, "g", np.uint32), column(rows, "ids", np.int64))
                 yield column(rows, "cs", np.int64)[later], column(rows, "pos", np.int32)[later]
 
-        yield from merged_places(schema, found())
+        def passed() -> Iterator[pa.RecordBatch]:
+            for part in settled:
+                yield part.select(schema.names)
+            settled.clear()
+
+        for out in merged_places(schema, found()):
+            yield from passed()
+            yield out
+        yield from passed()
 
-    return by_bucket(windows.select("bucket", "h", "g", "ids", "cs", "pos")).mapInArrow(run, ddl)
+    return by_bucket(windows.select("kind", "bucket", "c1", "h", "g", "ids", "cs", "pos")).mapInArrow(run, ddl)
 
 
 def pack_windows(schema: pa.Schema, buckets: int, kinds: tuple[int, int], h, g, ids, cs, pos) -> Iterator[pa.RecordBatch]:
     """Windows of one part: those with a smaller id in the part are settled here (kinds[1]), those of the smallest id travel (kinds[0])."""
     later = seen_before(h, g, ids)
-    yield places(schema, cs[later], pos[later], kind=kinds[1])
+    yield places(schema, cs[later], pos[later], buckets, kind=kinds[1])
     own = ~later
     out = packed(schema, buckets, h[own], g=g[own].astype(np.uint32), ids=ids[own], cs=cs[own], pos=pos[own].astype(np.int32))
     yield out.set_column(out.schema.get_field_index("kind"), schema.field("kind"), pa.array(np.full(out.num_rows, kinds[0], np.int32)))

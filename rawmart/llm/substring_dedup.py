@@ -190,8 +190,8 @@ def dedup_windows(docs: DataFrame, window: int = 50, id_col: str = "doc_id", tex
     schema2 = arrow_schema(ddl2)
     first = rows.join(chosen, ["id", "c1", "c2"])  # the smallest row of each text
     state = scratch(first.mapInArrow(lambda b: _extend(b, schema2, window, buckets), ddl2), "windows", by=("kind",))
-    removed = settle_windows(state.where(F.col("kind") == WINDOWS), hit_schema, hit_ddl)
-    removed = scratch(gathered(removed.unionByName(state.where(F.col("kind") == REMOVED).select("c1", "pos"))), "removed-windows")
+    moved = state.where(F.col("kind").isin(WINDOWS, REMOVED))
+    removed = scratch(gathered(settle_windows(moved, hit_schema, hit_ddl, (WINDOWS, REMOVED))), "removed-windows")
     drop(state, f"kind={WINDOWS}")
     out_ddl = "c1 long, c2 long, n long, removed long, sha string, kept string"
     out_schema = arrow_schema(out_ddl)

@@ -9,7 +9,8 @@ so a suffix is merged a logarithmic number of times.
 
 Matches are then extended around the suffixes that several texts share. The bytes from ``length - PREFIX`` before to
 ``length`` after such a suffix are its surroundings. Where all of a suffix's surroundings are equal, one comparison settles all
-strings around it; only where they differ (at the edges of a match), the strings themselves are compared.
+strings around it; only where they differ (at the edges of a match), the strings themselves are compared, those that a
+ladder of short hashes to both sides doesn't rule out.
 """
 
 from __future__ import annotations
@@ -22,8 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .repeats import NO_ID, buckets_of, by_bucket, column, gathered, keyed, pack_windows, packed, parts, places, seen_before, settle_windows, starts_of_runs, text_classes, unpack
-from .text import _B, arrow_schema, batch, chunks, mix, powers, ranges, scratch, window_hash
+from .repeats import NO_ID, PLACES, buckets_of, by_bucket, column, gathered, keyed, merged_places, pack_windows, packed, parts, places, seen_before, settle_windows, starts_of_runs, text_classes, unpack
+from .text import _B, arrow_schema, batch, chunks, drop, mix, powers, ranges, scratch, window_hash
 
 _U = np.uint64
 PREFIX = 16
@@ -31,6 +32,8 @@ _SECOND = 0xC2B2AE3D27D4EB4F
 EMPTY = hashlib.sha256(b"").hexdigest()
 DONE, LATER, SHIPPED, REMOVED = 0, 1, 2, 3
 WHOLE, EDGE = 0, 1
+#: bytes between the steps of a suffix's ladder: short hashes of how its surroundings go on to the left and to the right
+STEP = 4
 
 
 def prefix_hashes(data: np.ndarray) -> np.ndarray:
@@ -145,15 +148,16 @@ def _with(rows: pa.RecordBatch, schema: pa.Schema, kind: int, **nulls) -> pa.Rec
 
 
 def _scan(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    for rows in buckets_of(batches):
-        family = LevelFamily()
-        for row in rows:
-            q = column([row], "q", np.uint32).astype(_U) | column([row], "r", np.uint8).astype(_U) << _U(32)
-            order = np.argsort(q, kind="stable")
-            one = order[starts_of_runs(q[order])]
-            owner, pos = family.add(q[one], column([row], "cs", np.int64)[one], column([row], "pos", np.int32)[one])
-            if len(owner):
-                yield places(schema, owner, pos)
+    def found():
+        for rows in buckets_of(batches):
+            family = LevelFamily()
+            for row in rows:
+                q = column([row], "q", np.uint32).astype(_U) | column([row], "r", np.uint8).astype(_U) << _U(32)
+                order = np.argsort(q, kind="stable")
+                one = order[starts_of_runs(q[order])]
+                yield family.add(q[one], column([row], "cs", np.int64)[one], column([row], "pos", np.int32)[one])
+
+    return merged_places(schema, found())
 
 
 def _surroundings(batches: Iterator[pa.RecordBatch], schema: pa.Schema, length: int, buckets: int) -> Iterator[pa.RecordBatch]:
@@ -173,7 +177,7 @@ def _surroundings(batches: Iterator[pa.RecordBatch], schema: pa.Schema, length:
                     schema, kind=np.where(mine, LATER, DONE).astype(np.int32), c1=c1[here], c2=c2[here], n=np.diff(chunk.offsets),
                     sha=pa.array([None if m else hashlib.sha256(t).hexdigest() for m, t in zip(mine, texts, strict=True)], pa.string()),
                     text=pa.array([t if m else None for m, t in zip(mine, texts, strict=True)], pa.binary()),
-                    **{c: pa.nulls(len(mine), schema.field(c).type) for c in ("bucket", "h", "x", "ids", "cs", "pos")},
+                    **{c: pa.nulls(len(mine), schema.field(c).type) for c in ("bucket", "h", "x", "ids", "cs", "pos", "ladder")},
                 )
             )
             of = np.flatnonzero(mine)
@@ -187,26 +191,74 @@ def _surroundings(batches: Iterator[pa.RecordBatch], schema: pa.Schema, length:
             shared = np.isin(tag, tag[place])
             at, row, h = at[shared], row[shared], h[shared]
             low, high = _around(at, offsets[row], offsets[row + 1], length)
-            x = window_hash(own.astype(_U) + _U(1), low, high) ^ mix((at - low).astype(_U) + _U(1))
+            value = own.astype(_U) + _U(1)
+            x = window_hash(value, low, high) ^ mix((at - low).astype(_U) + _U(1))
             who = of[row]
-            yield len(own), (h, x, ids[here][who], c1[here][who], at - offsets[row])
+            yield len(own), (h, x, ids[here][who], c1[here][who], at - offsets[row], _ladder(value, at, low, high, length))
 
     for kept in parts(batches, pieces):
         yield from done
         done.clear()
-        h, x, ids, cs, pos = (np.concatenate(y) for y in zip(*kept, strict=True))
+        h, x, ids, cs, pos, ladder = (np.concatenate(y) for y in zip(*kept, strict=True))
         later = seen_before(h, x, ids)
         yield places(schema, cs[later], pos[later], kind=REMOVED)
         own = ~later
-        yield _with(packed(schema, buckets, h[own], x=x[own], ids=ids[own], cs=cs[own], pos=pos[own].astype(np.int32)), schema, SHIPPED)
+        yield _with(packed(schema, buckets, h[own], x=x[own], ids=ids[own], cs=cs[own], pos=pos[own].astype(np.int32), ladder=ladder[own]), schema, SHIPPED)
 
 
 def _around(at: np.ndarray, begin: np.ndarray, end: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     return np.maximum(at - (length - PREFIX), begin), np.minimum(at + length, end)
 
 
-def _compare(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    """Suffixes whose surroundings a smaller id has too are settled (WHOLE); the others are EDGE if the suffix has several surroundings."""
+def _ladder(value: np.ndarray, at: np.ndarray, low: np.ndarray, high: np.ndarray, length: int) -> np.ndarray:
+    """16-bit hashes of the bytes up to each step to the left, then to the right; 0 where the surroundings end before."""
+    out = []
+    for step in range(STEP, length - PREFIX + 1, STEP):
+        good = at - step >= low
+        out.append(np.where(good, window_hash(value, np.where(good, at - step, at), at) | _U(1), _U(0)).astype(np.uint16))
+    for step in range(PREFIX + STEP, length + 1, STEP):
+        good = at + step <= high
+        out.append(np.where(good, window_hash(value, at, np.where(good, at + step, at)) | _U(1), _U(0)).astype(np.uint16))
+    return np.stack(out, axis=1)
+
+
+def _reach(h: np.ndarray, x: np.ndarray, ladder: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """How many bytes to the left, and to the right, of each suffix can at most equal those of one with other surroundings."""
+
+    def shared(values: np.ndarray) -> np.ndarray:
+        key = mix(h ^ mix(values.astype(_U) + _U(1)))
+        order = np.argsort(key, kind="stable")
+        heads = starts_of_runs(key[order])
+        size = np.diff(np.append(heads, len(key)))
+        other = x[order] != np.repeat(x[order][heads], size)
+        out = np.zeros(len(key), dtype=bool)
+        out[order] = np.repeat(np.logical_or.reduceat(other, heads), size) if len(heads) else other
+        return out & (values > 0)
+
+    lefts = list(range(STEP, length - PREFIX + 1, STEP))
+    rights = list(range(PREFIX + STEP, length + 1, STEP))
+    reach = []
+    for steps, columns, most in ((lefts, ladder[:, : len(lefts)], length - PREFIX), (rights, ladder[:, len(lefts) :], length)):
+        far = np.full(len(h), steps[0] - 1 if steps else most)
+        on = np.ones(len(h), dtype=bool)
+        for k in range(len(steps)):
+            on &= shared(columns[:, k])
+            far[on] = steps[k + 1] - 1 if k + 1 < len(steps) else most
+        reach.append(far)
+    return reach[0], reach[1]
+
+
+def _compare(batches: Iterator[pa.RecordBatch], schema: pa.Schema, length: int) -> Iterator[pa.RecordBatch]:
+    """Suffixes whose surroundings a smaller id has too are settled (WHOLE). Of the others, if the suffix has several
+    surroundings, first and last start of the strings that others can share (EDGE, two places each)."""
+    kept: dict[int, list] = {WHOLE: [], EDGE: []}
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        for what, found in kept.items():
+            yield from merged_places(schema, iter(found), what=what)
+            found.clear()
+
+    n = 0
     for rows in buckets_of(batches):
         h, x, ids = column(rows, "h", _U), column(rows, "x", _U), column(rows, "ids", np.int64)
         cs, pos = column(rows, "cs", np.int64), column(rows, "pos", np.int32)
@@ -217,22 +269,34 @@ def _compare(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[p
         other = x[order] != np.repeat(x[order][heads], size)
         several = np.zeros(len(h), dtype=bool)
         several[order] = np.repeat(np.logical_or.reduceat(other, heads), size) if len(heads) else other
-        edge = several & ~later
-        yield places(schema, cs[later], pos[later], what=WHOLE)
-        yield places(schema, cs[edge], pos[edge], what=EDGE)
+        kept[WHOLE].append((cs[later], pos[later]))
+        several &= ~later
+        ladder = column(rows, "ladder", np.uint16).reshape(len(h), -1)
+        left, right = _reach(h[several], x[several], ladder[several], length)
+        owner, at = cs[several], pos[several]
+        edge = left + right >= length
+        starts = np.stack([at - left, at - (length - right)], axis=1)[edge]
+        kept[EDGE].append((np.repeat(owner[edge], 2), np.maximum(starts, 0).ravel().astype(np.int32)))
+        n += len(h)
+        if n >= PLACES:
+            yield from flush()
+            n = 0
+    yield from flush()
 
 
 def _edges(batches: Iterator[pa.RecordBatch], schema: pa.Schema, length: int, buckets: int) -> Iterator[pa.RecordBatch]:
-    """All strings of ``length`` bytes around edge suffixes."""
+    """The strings of ``length`` bytes that edge suffixes leave to be compared."""
 
     def pieces(rows: pa.RecordBatch):
         ids, c1, found = rows.column("id").to_numpy(), rows.column("c1").to_numpy(), rows.column("pos").to_pylist()
         for chunk in chunks(rows.column("text")):
             mark = np.zeros(len(chunk.data) + 1, dtype=np.int32)
             for i, x in enumerate(found[chunk.first : chunk.last]):
-                at = chunk.offsets[i] + np.unique(unpack(x)).astype(np.int64)
-                np.add.at(mark, np.maximum(at - (length - PREFIX), chunk.offsets[i]), 1)
-                np.add.at(mark, np.minimum(at, chunk.offsets[i + 1] - length) + 1, -1)
+                span = unpack(x).reshape(-1, 2).astype(np.int64)
+                low, high = chunk.offsets[i] + span[:, 0], np.minimum(chunk.offsets[i] + span[:, 1], chunk.offsets[i + 1] - length)
+                good = low <= high
+                np.add.at(mark, low[good], 1)
+                np.add.at(mark, high[good] + 1, -1)
             begin = np.flatnonzero(np.cumsum(mark[:-1]) > 0)
             of = np.searchsorted(chunk.offsets, begin, "right") - 1
             value = chunk.data.astype(_U) + _U(1)
@@ -293,28 +357,29 @@ def dedup_bytes(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_
     hits = by_bucket(arrays.where(F.col("kind") == SHIPPED).select("bucket", "q", "r", "cs", "pos")).mapInArrow(lambda b: _scan(b, hit_schema), hit_ddl)
     hits = gathered(hits.unionByName(arrays.where(F.col("kind") == REMOVED).select("c1", "pos")))
     chosen = scratch(classes.join(hits, "c1", "left"), "suffix-hits")
+    drop(arrays)
 
-    ddl2 = "kind int, c1 long, c2 long, n long, sha string, text binary, bucket int, h binary, x binary, ids binary, cs binary, pos binary"
+    ddl2 = "kind int, c1 long, c2 long, n long, sha string, text binary, bucket int, h binary, x binary, ids binary, cs binary, pos binary, ladder binary"
     schema2 = arrow_schema(ddl2)
     first = rows.join(chosen, ["id", "c1", "c2"])  # the smallest row of each text
-    state = scratch(first.mapInArrow(lambda b: _surroundings(b, schema2, length, buckets), ddl2), "surroundings")
+    state = scratch(first.mapInArrow(lambda b: _surroundings(b, schema2, length, buckets), ddl2), "surroundings", by=("kind",))
     what_ddl = "c1 long, what int, pos binary"
     what_schema = arrow_schema(what_ddl)
-    shipped = by_bucket(state.where(F.col("kind") == SHIPPED).select("bucket", "h", "x", "ids", "cs", "pos"))
-    compared = scratch(shipped.mapInArrow(lambda b: _compare(b, what_schema), what_ddl), "compared")
+    shipped = by_bucket(state.where(F.col("kind") == SHIPPED).select("bucket", "h", "x", "ids", "cs", "pos", "ladder"))
+    compared = scratch(shipped.mapInArrow(lambda b: _compare(b, what_schema, length), what_ddl), "compared", by=("what",))
+    drop(state, f"kind={SHIPPED}")
     whole = compared.where(F.col("what") == WHOLE).select("c1", "pos").unionByName(state.where(F.col("kind") == REMOVED).select("c1", "pos"))
 
     later = state.where(F.col("kind") == LATER).select("c1", "c2", "text")
     edges = later.join(gathered(compared.where(F.col("what") == EDGE).select("c1", "pos")), "c1").join(classes, ["c1", "c2"])
     ddl3 = "kind int, c1 long, bucket int, h binary, g binary, ids binary, cs binary, pos binary"
     schema3 = arrow_schema(ddl3)
-    strings = scratch(edges.select("id", "c1", "text", "pos").mapInArrow(lambda b: _edges(b, schema3, length, buckets), ddl3), "edge-strings")
-    single = settle_windows(strings.where(F.col("kind") == SHIPPED), hit_schema, hit_ddl)
-    single = single.unionByName(strings.where(F.col("kind") == REMOVED).select("c1", "pos"))
+    strings = edges.select("id", "c1", "text", "pos").mapInArrow(lambda b: _edges(b, schema3, length, buckets), ddl3)
+    single = scratch(gathered(settle_windows(strings, hit_schema, hit_ddl, (SHIPPED, REMOVED))), "edge-removed")
 
     out_ddl = "c1 long, c2 long, n long, removed long, spans long, sha string, kept binary"
     out_schema = arrow_schema(out_ddl)
-    cut = later.join(gathered(whole).withColumnRenamed("pos", "whole"), "c1", "left").join(gathered(single).withColumnRenamed("pos", "single"), "c1", "left")
+    cut = later.join(gathered(whole).withColumnRenamed("pos", "whole"), "c1", "left").join(single.withColumnRenamed("pos", "single"), "c1", "left")
     cut = cut.select("c1", "c2", "text", "whole", "single").mapInArrow(lambda b: _cut(b, out_schema, length), out_ddl)
     zero = F.lit(0).cast("long")
     done = state.where(F.col("kind") == DONE).select("c1", "c2", "n", zero.alias("removed"), zero.alias("spans"), "sha", F.lit(None).cast("binary").alias("kept"))
