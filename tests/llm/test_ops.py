@@ -196,6 +196,20 @@ def test_short_items_and_repeated_rows(spark):
     assert got == {(1, 5): "exact"}
 
 
+def test_names_that_open_sentences_and_letter_case_hide_nothing(spark):
+    tom = "Tom has 5 red apples. Tom buys 7 more apples today. Tom eats 2 of them."
+    anna = "Anna has 8 red apples. Anna buys 3 more apples today. Anna eats 4 of them."
+    france = "What is the capital city of France?"
+    docs = [(1, "Some words first. " + anna), (2, "text before " + france), (3, "text (" + france.replace("?", ") after")), (4, "as " + ITEM.lower()), (5, ITEM.lower().replace("120", "300")), (6, anna.replace("Anna eats", "Eve eats")), (7, "Buses leave " + ITEM[15:])]
+    got = _leaks(spark, docs, [(10, tom), (11, france), (12, ITEM)])
+    assert got == {(1, 10): "changed", (2, 11): "exact", (3, 11): "exact", (4, 12): "exact", (5, 12): "changed", (7, 12): "exact"}
+
+
+def test_texts_that_share_an_id_do_not_hide_a_copy(spark):
+    other = ITEM.replace("with 5", "with 7")
+    assert _leaks(spark, [(1, ITEM), (1, other)], [(10, ITEM)]) == {(1, 10): "exact"}
+
+
 def test_leaks_of_the_table_match_whole_items(spark):
     docs = {r["doc_id"]: brute.ALNUM_WORD.findall(r["text"].lower()) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
     items = {r["item_id"]: brute.ALNUM_WORD.findall(r["text"].lower()) for r in spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet").collect()}
