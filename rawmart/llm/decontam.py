@@ -95,11 +95,12 @@ def templates(chunk, units: np.ndarray, common: np.ndarray) -> tuple[list[np.nda
 
 
 def _windows(values: list[np.ndarray], form: int, first: np.ndarray, size: int, literals: float):
-    """Usable windows of ``size`` words of a form: start, row, hash."""
+    """Usable windows of ``size`` words of a form: start, row, hash. All of PLAIN are."""
     starts, rows = gram_starts(first, size)
-    fixed = _below(values[form or NUMBERS] == values[PLAIN])
-    good = fixed[starts + size] - fixed[starts] >= np.ceil(literals * size)
-    starts, rows = starts[good], rows[good]
+    if form != PLAIN:
+        fixed = _below(values[form] == values[PLAIN])
+        good = fixed[starts + size] - fixed[starts] >= np.ceil(literals * size)
+        starts, rows = starts[good], rows[good]
     return starts, rows, window_hash(values[form], starts, starts + size)
 
 
@@ -164,10 +165,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, size: int = 8, literals: f
     """Row for each document and item whose template it holds: doc_id, item_id, n_windows (of the item, found), coverage,
     n_changed (distinct values that differ), kind (``exact`` or ``changed``), first_word (of the document, from 0).
 
-    A window is ``size`` consecutive words (the whole item, if it is shorter) of which a share ``literals`` or more is no
-    placeholder. An item is held if, in one of the FORMS, ``min_coverage`` of its usable windows are found on diagonals whose
+    A window is ``size`` consecutive words (the whole item, if it is shorter). Plain windows are all usable, those of the other
+    forms if a share ``literals`` or more of their words is no placeholder. So a copy of any item with a word is found; with
+    changed values, an item is found only by windows of that share. An item is held if, in one of the FORMS, ``min_coverage`` of its usable windows are found on diagonals whose
     values are consistent; plain windows count on diagonals where the values of NUMBERS and INNER_NAMES are.
-    Items without a usable window (no words, or too many placeholders) can't be found. Null or empty texts hold nothing.
+    Items without words can't be found. Null or empty texts hold nothing.
     Rows that share a document id count as one document, repeated items as one; null ids form a document, or item, of their
     own. Any length of text; each is read whole. An empty benchmark or corpus gives no rows.
     """

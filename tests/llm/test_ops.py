@@ -205,6 +205,12 @@ def test_names_that_open_sentences_and_letter_case_hide_nothing(spark):
     assert got == {(1, 10): "changed", (2, 11): "exact", (3, 11): "exact", (4, 12): "exact", (5, 12): "changed", (7, 12): "exact"}
 
 
+def test_copies_of_items_dense_in_placeholders_are_found(spark):
+    items = ["What is 12 plus 7 times 3?", "What is 12 + 7?", "Berechne 3 x 4 + 5 x 6 - 7 x 8 und 9 x 10", "5 7 9", "Der Hund und die Katze im Haus von Anna Schmidt aus Berlin sehen Herrn Meier"]
+    docs = [(i, f"Some words and {t.lower() if i % 2 else t} and others") for i, t in enumerate(items)] + [(90, "What is 13 plus 8 times 4?"), (91, "5 7 and 9")]
+    assert _leaks(spark, docs, list(enumerate(items))) == {(i, i): "exact" for i in range(len(items))}
+
+
 def test_texts_that_share_an_id_do_not_hide_a_copy(spark):
     other = ITEM.replace("with 5", "with 7")
     assert _leaks(spark, [(1, ITEM), (1, other)], [(10, ITEM)]) == {(1, 10): "exact"}
