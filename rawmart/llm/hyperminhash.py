@@ -106,6 +106,17 @@ def estimate(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray) -> tupl
     return np.clip((same / np.maximum(used, 1) - chance) / (1 - chance), 0, 1), used
 
 
+def most_differ(full, similarity: float):
+    """Most low bits in which banding registers of linked sets differ, MARGIN standard deviations above their mean.
+
+    ``full`` (an array or a Spark column) is the number of registers that are not empty, the smaller one of both sets. Each of
+    them also stands in the empty ones that borrowed it, so the fewer there are, the more bits differ at once: a full register
+    is seen once and (REGISTERS - full) / full times more, and its share of the variance is the mean square of that.
+    """
+    half = (1 - similarity) / 2
+    return half * REGISTERS + MARGIN * (half * (1 - half) * (REGISTERS * REGISTERS / full + REGISTERS - full)) ** 0.5
+
+
 def _sketch(batches: Iterator[pa.RecordBatch], schema: pa.Schema, k: int) -> Iterator[pa.RecordBatch]:
     for rows in batches:
         for chunk in chunks(rows.column("text")):
@@ -121,7 +132,9 @@ def _band(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.R
     for whole in batches:
         for i in range(0, whole.num_rows, 2048):
             rows = whole.slice(i, 2048)
-            regs = np.stack([borrowed(np.frombuffer(x, np.uint16)) for x in rows.column("registers").to_pylist()])
+            own = [np.frombuffer(x, np.uint16) for x in rows.column("registers").to_pylist()]
+            full = np.array([np.count_nonzero(x) for x in own], np.int32)
+            regs = np.stack([borrowed(x) for x in own])
             n = len(regs)
             bands = regs[:, : BAND * BANDS].astype(_U).reshape(n * BANDS, BAND)
             bands = np.concatenate([bands, np.tile(np.arange(BANDS, dtype=_U), n)[:, None]], axis=1).ravel()
@@ -129,7 +142,7 @@ def _band(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.R
             keys = window_hash(bands, starts, starts + BAND + 1)
             low = np.packbits((regs & 1).astype(np.uint8), axis=1).view(np.int64)
             lists = {"keys": list_array(pa.array(keys.view(np.int64)), np.full(n, BANDS)), "low": list_array(pa.array(low.ravel()), np.full(n, low.shape[1]))}
-            yield batch(schema, id=rows.column("id"), n=rows.column("n"), **{c: x.cast(schema.field(c).type) for c, x in lists.items()})
+            yield batch(schema, id=rows.column("id"), n=rows.column("n"), full=full, **{c: x.cast(schema.field(c).type) for c, x in lists.items()})
 
 
 def _estimated(batches: Iterator[pa.RecordBatch], schema: pa.Schema, similarity: float) -> Iterator[pa.RecordBatch]:
@@ -192,11 +205,11 @@ class Union:
         return a != b
 
 
-def _forests(batches: Iterator[pa.RecordBatch], schema: pa.Schema, percent: int, most: int) -> Iterator[pa.RecordBatch]:
+def _forests(batches: Iterator[pa.RecordBatch], schema: pa.Schema, percent: int) -> Iterator[pa.RecordBatch]:
     """Of each block of a bucket, a spanning forest of the candidate pairs whose families differ."""
     for rows in _groups(batches, ("key", "i", "j")):
         col = lambda c: rows.column(c).to_numpy()  # noqa: B023, E731
-        key, i, j, own, node, label, n = (col(c) for c in ("key", "i", "j", "own", "id", "label", "n"))
+        key, i, j, own, node, label, n, full = (col(c) for c in ("key", "i", "j", "own", "id", "label", "n", "full"))
         low = np.stack([col(f"l{q}") for q in range(4)], axis=1).view(_U)
         found = []
         offset, at = 1, np.arange(len(key) - 1)
@@ -207,7 +220,7 @@ def _forests(batches: Iterator[pa.RecordBatch], schema: pa.Schema, percent: int,
             ok = (label[at] != label[to]) & ((i[at] == j[at]) | (own[at] != own[to]))
             ok &= 100 * np.minimum(n[at], n[to]) >= percent * np.maximum(n[at], n[to])
             a, b = at[ok], to[ok]
-            near = np.bitwise_count(low[a] ^ low[b]).sum(axis=1) <= most
+            near = np.bitwise_count(low[a] ^ low[b]).sum(axis=1) <= most_differ(np.minimum(full[a], full[b]), percent / 100)
             a, b = a[near], b[near]
             _, one = np.unique(np.stack([label[a], label[b]], axis=1), axis=0, return_index=True)
             found.append(np.stack([a[one], b[one]], axis=1))
@@ -297,24 +310,21 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     reps = sketched.join(classes.select("a", "b", F.col("rep").alias("id")), ["a", "b", "id"]).select("id", "n", "registers")
     reps = scratch(reps.dropDuplicates(["id", "n", "registers"]), "minhash-reps")
 
-    band_ddl = "id long, n long, keys array<long>, low array<long>"
+    band_ddl = "id long, n long, full int, keys array<long>, low array<long>"
     band_schema = arrow_schema(band_ddl)
     banded = scratch(reps.mapInArrow(lambda x: _band(x, band_schema), band_ddl), "minhash-bands")
     exploded = banded.select("id", F.explode("keys").alias("key"))
     shared = exploded.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("key", "lo")
     buckets = scratch(exploded.join(shared, "key"), "minhash-buckets")
-    marks = banded.select("id", "n", *[F.get("low", F.lit(q)).alias(f"l{q}") for q in range(4)])
+    marks = banded.select("id", "n", "full", *[F.get("low", F.lit(q)).alias(f"l{q}") for q in range(4)])
 
-    mean = (1 - similarity) / 2 * REGISTERS
-    # spread of the registers that differ, and of the low bits that differ among them
-    most = int(mean + MARGIN * np.sqrt(similarity * (1 - similarity) * REGISTERS / 4 + mean / 2))
     differ = F.lit(0)
     for q in range(4):
         differ = differ + F.bit_count(F.col(f"x.l{q}").bitwiseXOR(F.col(f"y.l{q}")))
     sizes = 100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n")
     star = buckets.where("id <> lo").select(F.col("lo").alias("p"), F.col("id").alias("q")).distinct()
     star = star.join(marks.alias("x"), F.col("p") == F.col("x.id")).join(marks.alias("y"), F.col("q") == F.col("y.id"))
-    star = scratch(star.where(sizes & (differ <= most)).select(F.col("p").alias("x"), F.col("q").alias("y")), "minhash-star")
+    star = scratch(star.where(sizes & (differ <= most_differ(F.least("x.full", "y.full"), similarity))).select(F.col("p").alias("x"), F.col("q").alias("y")), "minhash-star")
 
     pair_ddl = "x long, y long"
     pair_schema = arrow_schema(pair_ddl)
@@ -329,7 +339,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     # families: what candidate pairs connect
     placed = scratch(labelled(buckets.select("id", "key"), components(star), "label"), "minhash-placed")
     cross = _blocks(placed.join(marks, "id"), "key", BUCKET_BLOCK, several(placed, "key", "label"))
-    forest = scratch(cross.mapInArrow(lambda b: _forests(b, pair_schema, percent, most), pair_ddl).distinct(), "minhash-forest")
+    forest = scratch(cross.mapInArrow(lambda b: _forests(b, pair_schema, percent), pair_ddl).distinct(), "minhash-forest")
     families = components(star.unionByName(forest))
 
     # links with the buckets' smallest classes

@@ -39,6 +39,19 @@ def test_near_duplicates_family_without_a_common_base(spark):
     assert got == brute.near_duplicates(rows, 3, 85)
 
 
+@pytest.mark.parametrize(("k", "percent", "sizes"), [(5, 80, [(4, 5), (8, 10), (5, 6)]), (3, 85, [(6, 7), (12, 14), (17, 20)])])
+def test_near_duplicates_of_short_texts(spark, k, percent, sizes):
+    # pairs at or just above the limit, each of its own words
+    rows = []
+    for pair in range(1800):
+        n, m = sizes[pair % 3]
+        words = [f"p{pair}w{i}" for i in range(m + k - 1)]
+        rows += [(2 * pair, " ".join(words[: n + k - 1])), (2 * pair + 1, " ".join(words))]
+    got = _by_id(hyperminhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), k, percent), "component_id")
+    assert [i for i, (c,) in got.items() if c != i - i % 2] == []
+    assert {i: (c,) for i, c in ((i, v[1]) for i, v in brute.near_duplicates(rows[:300], k, percent).items())} == {i: got[i] for i in range(300)}
+
+
 def test_near_duplicates_blocks_of_hot_buckets(spark, monkeypatch):
     monkeypatch.setattr(hyperminhash, "BUCKET_BLOCK", 4)
     monkeypatch.setattr(hyperminhash, "FAMILY_BLOCK", 3)
