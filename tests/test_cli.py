@@ -2,7 +2,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from base_helpers import rows
 
 P1 = '[{"page":1,"pages":2},[{"countryiso3code":"NOR","country":{"value":"Norge"},"indicator":{"id":"AG.LND"},"date":"1998","value":17}]]'
 P2 = '[{"page":2,"pages":2},[{"countryiso3code":"ECU","country":{"value":"Quito"},"indicator":{"id":"AG.LND"},"date":"1998","value":5}]]'

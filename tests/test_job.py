@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from conftest import rows
+from base_helpers import rows
 from rawmart import schemas as S
 from rawmart.plans.job import Zones, run_job
 

@@ -1,7 +1,7 @@
 from datetime import datetime
 
 
-from conftest import rows
+from base_helpers import rows
 from rawmart.functions import (
     is_array,
     is_object,

@@ -3,7 +3,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from base_helpers import rows
 from rawmart import schemas as S
 from rawmart.functions import parse_once
 from rawmart.operators.latest import latest_per_key

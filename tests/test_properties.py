@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from base_helpers import rows
 
 SF = "/root/testdata/sf0.001"
 

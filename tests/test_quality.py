@@ -2,7 +2,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from base_helpers import rows
 from rawmart.functions import parse_once
 from rawmart.operators.quality import hourly_valid, indicator_valid
 from rawmart.plans import zones
@@ -13,35 +13,35 @@ TS = datetime(2024, 1, 1)
 
 
 def _records(spark, docs):
-    df = spark.createDataFrame([(i, d, "SP.POP.TOTL", TS, "r1") for i, d in enumerate(docs)],
+    df = spark.createDataFrame([(i, d, "AG.LND.FRST", TS, "r1") for i, d in enumerate(docs)],
                                "i int, j string, indicator_id string, ingested_at timestamp_ntz, extract_run_id string")
     return parse_once(df, "j", strict=True)
 
 
-GOOD = '{"countryiso3code":"GBR","country":{"value":"UK"},"indicator":{"id":"SP.POP.TOTL","value":"Pop"},"date":"2020","value":5}'
+GOOD = '{"countryiso3code":"NOR","country":{"value":"Norway"},"indicator":{"id":"AG.LND.FRST","value":"Forest"},"date":"2020","value":5}'
 
 
 def test_indicator_validity_fixtures(spark):
     docs = [
         GOOD,
-        GOOD.replace('"GBR"', '""'),  # fx01 empty iso3
-        GOOD.replace('{"value":"UK"}', '"UK"'),  # fx02 country text
+        GOOD.replace('"NOR"', '""'),  # fx01 empty iso3
+        GOOD.replace('{"value":"Norway"}', '"Norway"'),  # fx02 country text
         GOOD.replace('"2020"', '"2020Q1"'),  # fx03 passes validity
         GOOD.replace('"date":"2020"', '"date":0'),  # falsy number
-        GOOD.replace('"SP.POP.TOTL","value"', '"","value"'),  # empty indicator id
+        GOOD.replace('"AG.LND.FRST","value"', '"","value"'),  # empty indicator id
     ]
     df = _records(spark, docs).withColumn("ok", indicator_valid("payload"))
     assert [r.ok for r in df.orderBy("i").collect()] == [True, False, False, True, False, False]
 
 
 def test_split_is_a_partition_of_input(spark):
-    docs = [GOOD, GOOD.replace('"GBR"', '""'), GOOD, "[1,2]"]
+    docs = [GOOD, GOOD.replace('"NOR"', '""'), GOOD, "[1,2]"]
     recs = _records(spark, docs)
     raw, dead = zones.indicator_batch(recs)
     assert raw.count() + dead.count() == recs.count()
     d = dead.first()
     assert d.source_name == "world_bank" and d.reason == "invalid_indicator_record"
-    assert d.context == {"indicator_id": "SP.POP.TOTL"}
+    assert d.context == {"indicator_id": "AG.LND.FRST"}
 
 
 def _hourly(spark, docs, variant="archive"):
@@ -50,7 +50,7 @@ def _hourly(spark, docs, variant="archive"):
     return parse_once(df, "j", strict=True)
 
 
-H_OK = '{"hourly":{"time":["2025-01-01T00:00","2025-01-01T01:00"],"temperature_2m":[1,2],"precipitation":[0,0],"wind_speed_10m":[3,4]}}'
+H_OK = '{"hourly":{"time":["2023-07-14T05:00","2023-07-14T06:00"],"temperature_2m":[1,2],"precipitation":[0,0],"wind_speed_10m":[3,4]}}'
 
 
 def test_hourly_validity_fixtures(spark):

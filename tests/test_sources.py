@@ -2,7 +2,7 @@ from datetime import date, datetime
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from base_helpers import rows
 from rawmart.operators.cursors import last_time_cursor, max_year_cursor
 from rawmart.functions import parse_once
 from rawmart.sources.bodies import page_cut, page_errors, unwrap_pages, unwrap_with_errors
