@@ -1,7 +1,7 @@
 import numpy as np
 import llm_brute as brute
 import pytest
-from conftest import EDGE
+from llm_rows import EDGE
 
 from rawmart.llm import hyperminhash, substring_dedup, suffix_index
 from rawmart.llm.components import components

@@ -1,7 +1,7 @@
 import llm_brute as brute
 import numpy as np
 import pytest
-from conftest import EDGE, SF
+from llm_rows import EDGE, SF
 from pyspark.sql import functions as F
 
 from rawmart.llm import decontam, knn, langid, license_scan, pii, queries, sentence_pieces, sharding

@@ -1,6 +1,6 @@
 import corpus_pipeline
 import llm_brute as brute
-from conftest import SF
+from llm_rows import SF
 from pyspark.sql import functions as F
 
 from rawmart.llm import queries
