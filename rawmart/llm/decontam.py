@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .text import ALNUM, LOWER, arrow_schema, batch, byte_class, chunks, gram_starts, list_array, pick, ranges, scratch, window_hash, words
+from .text import ALNUM, arrow_schema, batch, byte_class, chunks, gram_starts, list_array, LOWER, pick, ranges, run_hash, scratch, tidy, window_hash, words
 
 _U = np.uint64
 BITMAP_BITS = 22
@@ -61,7 +61,7 @@ def _lowered(data: np.ndarray) -> np.ndarray:
 
 
 def _word_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    return window_hash(_lowered(data).astype(_U) + _U(1), starts, ends)
+    return run_hash(_lowered(data), starts, ends)
 
 
 def _hashes_of(listed) -> np.ndarray:
@@ -137,6 +137,7 @@ def _of_items(batches: Iterator[pa.RecordBatch], schema: pa.Schema, size: int, l
                     )
 
 
+@tidy
 def _of_documents(batches: Iterator[pa.RecordBatch], schema: pa.Schema, sizes: list[int], literals: float, bitmap: np.ndarray) -> Iterator[pa.RecordBatch]:
     units, common, mask = _hashes_of(UNITS), _hashes_of(COMMON), _U((1 << BITMAP_BITS) - 1)
     for rows in batches:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .text import arrow_schema, batch, chunks, gram_starts, list_array, pick, scratch, window_hash, word_hashes, words
+from .text import arrow_schema, batch, chunks, gram_starts, list_array, pick, scratch, tidy, window_hash, word_hashes, words
 
 _U = np.uint64
 REGISTER_BITS = 8
@@ -117,6 +117,7 @@ def most_differ(full, similarity: float):
     return half * REGISTERS + MARGIN * (half * (1 - half) * (REGISTERS * REGISTERS / full + REGISTERS - full)) ** 0.5
 
 
+@tidy
 def _sketch(batches: Iterator[pa.RecordBatch], schema: pa.Schema, k: int) -> Iterator[pa.RecordBatch]:
     for rows in batches:
         for chunk in chunks(rows.column("text")):
@@ -128,6 +129,7 @@ def _sketch(batches: Iterator[pa.RecordBatch], schema: pa.Schema, k: int) -> Ite
             )
 
 
+@tidy
 def _band(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for i in range(0, whole.num_rows, 2048):
@@ -154,6 +156,7 @@ def _estimated(batches: Iterator[pa.RecordBatch], schema: pa.Schema, similarity:
             yield rows.filter(pa.array(good)).select(schema.names)
 
 
+@tidy
 def _confirmed(batches: Iterator[pa.RecordBatch], schema: pa.Schema, k: int, percent: int) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for i in range(0, whole.num_rows, 256):
@@ -234,6 +237,7 @@ def _forests(batches: Iterator[pa.RecordBatch], schema: pa.Schema, percent: int)
         yield batch(schema, x=x, y=y)
 
 
+@tidy
 def _family_links(batches: Iterator[pa.RecordBatch], schema: pa.Schema, k: int, percent: int) -> Iterator[pa.RecordBatch]:
     """Of each pair of blocks of a family, links that connect its components, confirmed on the full sets, the most alike first."""
     similarity = percent / 100

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .text import LOWER, arrow_schema, batch, bound_batches, byte_class, chunks, list_array, pick, words
+from .text import arrow_schema, batch, bound_batches, byte_class, chunks, list_array, LOWER, pick, tidy, words
 
 SLOT_BITS = 15
 SLOTS = 1 << SLOT_BITS
@@ -47,21 +47,21 @@ VITERBI_WORDS = 400_000
 _tables: list[np.ndarray] = []
 
 
-def _code_points() -> tuple[np.ndarray, np.ndarray]:
-    """By code point: whether it is a letter or a mark, and its script's number."""
+def _code_points() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """By code point: whether it is a letter, whether it is a letter or a mark, and its script's number."""
     if not _tables:
-        letter = np.fromiter((unicodedata.category(chr(c))[0] in "LM" for c in range(0x30000)), dtype=bool, count=0x30000)
-        script = np.zeros(0x30000, dtype=np.uint8)
+        kind = np.array([unicodedata.category(chr(c))[0] for c in range(0x110000)])
+        script = np.zeros(0x110000, dtype=np.uint8)
         for number, spans in enumerate(SCRIPTS.values(), 1):
             for a, b in spans:
                 script[a : b + 1] = number
-        _tables[:] = [letter, script]
-    return _tables[0], _tables[1]
+        _tables[:] = [kind == "L", (kind == "L") | (kind == "M"), script]
+    return _tables[0], _tables[1], _tables[2]
 
 
 @dataclass
 class LetterWords:
-    """Words (runs of letters) of a chunk: slots of all their bytes, where each word's bytes start, first word of each row, script, bytes."""
+    """Words (runs of letters and marks, in rows with a letter) of a chunk: slots of all their bytes, where each word's bytes start, first word of each row, script, bytes."""
 
     slots: np.ndarray
     heads: np.ndarray
@@ -73,21 +73,24 @@ class LetterWords:
 def letter_words(chunk) -> LetterWords:
     data = LOWER[chunk.data]
     inside = ASCII_LETTER[chunk.data]
+    letters = inside.copy()
     script_at = np.ones(len(data), dtype=np.uint8)  # latin is number 1
     wide = np.flatnonzero(data >= 0x80)
     if len(wide):
-        letter, script = _code_points()
+        letter, part, script = _code_points()
         lead = data[wide]
         start = lead >= 0xC0
         at = wide[start]
         b = [data[np.minimum(at + k, len(data) - 1)].astype(np.int32) & 0x3F for k in range(4)]
         head = data[at].astype(np.int32)
         cp = np.where(head < 0xE0, (head & 0x1F) << 6 | b[1], np.where(head < 0xF0, (head & 0x0F) << 12 | b[1] << 6 | b[2], (head & 0x07) << 18 | b[1] << 12 | b[2] << 6 | b[3]))
-        cp = np.where(cp < 0x30000, cp, 0)
         char = np.maximum(np.cumsum(start) - 1, 0)  # of each wide byte
         if len(at):
-            inside[wide] = letter[cp][char]
+            letters[wide] = letter[cp][char]
+            inside[wide] = part[cp][char]
             script_at[wide] = script[cp][char]
+    seen = np.concatenate([[0], np.cumsum(letters)])[chunk.offsets]
+    inside &= np.repeat(np.diff(seen) > 0, np.diff(chunk.offsets))
     table = inside.view(np.uint8)
     marked = type(chunk)(chunk.first, chunk.last, table, chunk.offsets)
     found = words(marked, np.array([False, True] + [False] * 254))
@@ -104,6 +107,7 @@ def letter_words(chunk) -> LetterWords:
     return LetterWords(slots, np.cumsum(size) - size, found.first, script_at[found.starts], size)
 
 
+@tidy
 def _count(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     sums: dict[str, np.ndarray] = {}
     for rows in batches:
@@ -257,7 +261,7 @@ def identify(docs: DataFrame, model: LanguageModel, penalty: float = 12.0, id_co
         for own, lang, score, spans in _label(batches, schema.field("spans").type, model, penalty, 1):
             yield batch(schema, id=own.column(0), lang=lang, score=score, spans=spans)
 
-    found = rows.mapInArrow(run, ddl)
+    found = rows.mapInArrow(tidy(run), ddl)
     return found.select(F.col("id").alias("doc_id"), F.col("lang").alias("lang_pred"), "score", "spans")
 
 
@@ -274,4 +278,4 @@ def tag(docs: DataFrame, model: LanguageModel, penalty: float = 12.0, text_col:
         for own, lang, score, _ in _label(batches, span_type, model, penalty, at):
             yield pa.RecordBatch.from_arrays([*own.columns, lang, pa.array(score)], schema=schema)
 
-    return flat.mapInArrow(run, ddl).toDF(*names, "lang_pred", "score")
+    return flat.mapInArrow(tidy(run), ddl).toDF(*names, "lang_pred", "score")

@@ -70,8 +70,7 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_sentence_pieces(spark: SparkSession, sf_dir: str, model_path: str = PIECE_MODEL) -> DataFrame:
-    encoded = sentence_pieces.encode(documents(spark, sf_dir), model_path)
-    decoded = sentence_pieces.decode(encoded, model_path)
+    decoded = sentence_pieces.round_trip(documents(spark, sf_dir), model_path)
     return decoded.select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"), F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"))
 
 

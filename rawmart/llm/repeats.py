@@ -32,21 +32,30 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.select(F.coalesce("id", F.lit(NO_ID).cast("long")).alias("id"), F.xxhash64("text").alias("c1"), F.xxhash64(F.lit("second"), "text").alias("c2"), "text")
 
 
-def text_classes(rows: DataFrame, name: str) -> tuple[DataFrame, DataFrame, int]:
-    """Keys of all rows (id, c1, c2), the smallest id of each text (c1, c2, id), and the number of buckets for this input."""
+def text_classes(rows: DataFrame, name: str) -> tuple[DataFrame, DataFrame, DataFrame, int]:
+    """``rows``, keys of all rows (id, c1, c2), the smallest id of each text (c1, c2, id), and the number of buckets for this input.
+
+    After it, c1 alone tells texts apart, so it can stand for its text in packed rows: the few texts that share c1 but not c2
+    (about n * n / 2**65 pairs of n texts) get another c1, from both hashes.
+    """
     keys = scratch(rows.select("id", "c1", "c2", F.octet_length("text").cast("long").alias("bytes")), f"{name}-keys")
     total = keys.agg(F.sum("bytes")).first()[0] or 0
     classes = scratch(keys.groupBy("c1", "c2").agg(F.min("id").alias("id")), f"{name}-classes")
-    return keys, classes, int(total // BUCKET_BYTES) + 1
+    while True:
+        twins = classes.groupBy("c1").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("c1")
+        if twins.isEmpty():
+            return rows, keys, classes, int(total // BUCKET_BYTES) + 1
+        names = F.broadcast(scratch(classes.join(twins, "c1").select("c1", "c2", F.xxhash64(F.lit("twin"), "c1", "c2").alias("name")), f"{name}-twins"))
+        rows, keys, classes = (x.join(names, ["c1", "c2"], "left").withColumn("c1", F.coalesce("name", "c1")).drop("name") for x in (rows, keys, classes))
 
 
 def starts_of_runs(sorted_values: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate([[True], sorted_values[1:] != sorted_values[:-1]])) if len(sorted_values) else np.zeros(0, np.int64)
 
 
-def packed(schema: pa.Schema, buckets: int, h: np.ndarray, **columns: np.ndarray) -> pa.RecordBatch:
-    """A row for each bucket: its entries' hashes and other columns as binaries, in the order given."""
-    bucket = (h % _U(buckets)).astype(np.int64)
+def packed(schema: pa.Schema, buckets: int, h: np.ndarray, deal: np.ndarray | None = None, **columns: np.ndarray) -> pa.RecordBatch:
+    """A row for each bucket: its entries' hashes and other columns as binaries, in the order given. Buckets are dealt by h, or by ``deal``."""
+    bucket = ((h if deal is None else deal) % _U(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
     heads = starts_of_runs(bucket[order])
     ends = np.append(heads[1:], len(order))
@@ -170,12 +179,15 @@ def settle_windows(windows: DataFrame, schema: pa.Schema, ddl: str, kinds: tuple
     return by_bucket(windows.select("kind", "bucket", "c1", "h", "g", "ids", "cs", "pos")).mapInArrow(run, ddl)
 
 
-def pack_windows(schema: pa.Schema, buckets: int, kinds: tuple[int, int], h, g, ids, cs, pos) -> Iterator[pa.RecordBatch]:
-    """Windows of one part: those with a smaller id in the part are settled here (kinds[1]), those of the smallest id travel (kinds[0])."""
+def pack_windows(schema: pa.Schema, buckets: int, kinds: tuple[int, int], h, g, ids, cs, pos, deal=None) -> Iterator[pa.RecordBatch]:
+    """Windows of one part: those with a smaller id in the part are settled here (kinds[1]), those of the smallest id travel (kinds[0]).
+
+    ``deal`` follows from a window's content; windows of equal ``deal`` go to one bucket.
+    """
     later = seen_before(h, g, ids)
     yield places(schema, cs[later], pos[later], buckets, kind=kinds[1])
     own = ~later
-    out = packed(schema, buckets, h[own], g=g[own].astype(np.uint32), ids=ids[own], cs=cs[own], pos=pos[own].astype(np.int32))
+    out = packed(schema, buckets, h[own], None if deal is None else deal[own], g=g[own].astype(np.uint32), ids=ids[own], cs=cs[own], pos=pos[own].astype(np.int32))
     yield out.set_column(out.schema.get_field_index("kind"), schema.field("kind"), pa.array(np.full(out.num_rows, kinds[0], np.int32)))
 
 

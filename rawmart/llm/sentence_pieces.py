@@ -21,14 +21,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .text import Words, arrow_schema, batch, bound_batches, chunks, list_array, mix, pick, ranges, utf8, window_hash
+from .text import Words, arrow_schema, batch, bound_batches, chunks, list_array, mix, pick, ranges, run_hash, tidy, utf8
 
 _U = np.uint64
 _BYTE = np.uint8
 #: what stands for a space in pieces
 SPACE = "▁".encode()
 #: text bytes whose lattices are held at a time
-LATTICE_BYTES = 1 << 19
+LATTICE_BYTES = 1 << 18
 
 
 class Pieces:
@@ -110,6 +110,24 @@ def units(chunk) -> Words:
     return Words(starts, np.append(starts[1:], n), first, np.repeat(np.arange(len(first) - 1), np.diff(first)))
 
 
+def distinct(data: np.ndarray, own: Words) -> tuple[np.ndarray, np.ndarray]:
+    """A unit of each content, and which of these each unit equals: found by hash, confirmed byte by byte."""
+    size = own.ends - own.starts
+    _, shown, which = np.unique(run_hash(data, own.starts, own.ends), return_index=True, return_inverse=True)
+    other = size != size[shown[which]]
+    other[~other] = _differ(data, own.starts[~other], own.starts[shown[which[~other]]], size[~other])
+    alone = np.flatnonzero(other)  # their hash equals another unit's: each stands for itself
+    which[alone] = len(shown) + np.arange(len(alone))
+    return np.append(shown, alone), which
+
+
+def _differ(data: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether data[a:a + size] and data[b:b + size] differ (sizes above 0)."""
+    if not len(size):
+        return np.zeros(0, dtype=bool)
+    return np.logical_or.reduceat(data[ranges(a, size)] != data[ranges(b, size)], np.cumsum(size) - size)
+
+
 def _edges(p: Pieces, data: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Edges (from, to, id) in the lattices of units whose bytes stand in ``data`` one after another; places are byte places, an end is the place behind."""
     n = len(data)
@@ -210,20 +228,17 @@ class Lattice:
         return out, counts
 
 
+@tidy
 def _encode(batches: Iterator[pa.RecordBatch], schema: pa.Schema, model: bytes, theta: float, seed: int) -> Iterator[pa.RecordBatch]:
     p = _pieces(model, theta)
     for rows in batches:
         keys, key_offsets = utf8(rows.column("key"))
-        hashes = window_hash(keys.astype(_U) + _U(1), key_offsets[:-1] - key_offsets[0], key_offsets[1:] - key_offsets[0]) if len(key_offsets) > 1 else np.zeros(0, _U)
+        hashes = run_hash(keys, key_offsets[:-1], key_offsets[1:])
         missing = np.asarray(rows.column("text").is_null())
         for chunk in chunks(rows.column("text"), LATTICE_BYTES):
             own = units(chunk)
             size = own.ends - own.starts
-            # two hashes tell units apart
-            value = chunk.data.astype(_U) + _U(1)
-            name = window_hash(value, own.starts, own.ends)
-            name = name ^ (window_hash(value, own.starts, own.ends, 0xC2B2AE3D27D4EB4F) * _U(0x9E3779B97F4A7C15))
-            _, shown, which = np.unique(name, return_index=True, return_inverse=True)
+            shown, which = distinct(chunk.data, own)
             lattice = Lattice(p, chunk.data[ranges(own.starts[shown], size[shown])], size[shown])
             row_seed = mix(hashes[chunk.first : chunk.last] + _U(seed))
             place = (own.starts - chunk.offsets[own.row]).astype(_U)
@@ -236,6 +251,7 @@ def _encode(batches: Iterator[pa.RecordBatch], schema: pa.Schema, model: bytes,
             yield batch(schema, row=rows.column("row").slice(chunk.first, m), text=rows.column("text").slice(chunk.first, m), ids=made.cast(schema.field("ids").type))
 
 
+@tidy
 def _decode(batches: Iterator[pa.RecordBatch], schema: pa.Schema, model: bytes) -> Iterator[pa.RecordBatch]:
     p = _pieces(model, None)
     for rows in batches:
@@ -262,15 +278,29 @@ def encode(docs: DataFrame, model_path: str, theta: float = 1.0, seed: int = 0,
     """
     with open(model_path, "rb") as f:
         model = f.read()
-    rows = pick(docs, id=id_col, text=text_col)
-    kind = rows.schema["id"].dataType.simpleString()
+    keyed, kind = _keyed(docs, id_col, text_col)
     ddl = f"row {kind}, text string, ids array<int>"
     schema = arrow_schema(ddl)
-    keyed = rows.select(F.col("id").alias("row"), F.coalesce(F.col("id").cast("string"), F.lit("\u0000")).alias("key"), "text")
     out = keyed.mapInArrow(lambda b: _encode(b, schema, model, theta, seed), ddl)
     return out.withColumnRenamed("row", "doc_id")
 
 
+def round_trip(docs: DataFrame, model_path: str, theta: float = 1.0, seed: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``decode(encode(docs))`` in one pass, so that each task has one Python worker: doc_id, text, ids, decoded; rows as theirs."""
+    with open(model_path, "rb") as f:
+        model = f.read()
+    keyed, kind = _keyed(docs, id_col, text_col)
+    ddl = f"row {kind}, text string, ids array<int>"
+    middle, schema = arrow_schema(ddl), arrow_schema(f"{ddl}, decoded string")
+    out = keyed.mapInArrow(lambda b: _decode(_encode(b, middle, model, theta, seed), schema, model), f"{ddl}, decoded string")
+    return out.withColumnRenamed("row", "doc_id")
+
+
+def _keyed(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, str]:
+    rows = pick(docs, id=id_col, text=text_col)
+    return rows.select(F.col("id").alias("row"), F.coalesce(F.col("id").cast("string"), F.lit("\u0000")).alias("key"), "text"), rows.schema["id"].dataType.simpleString()
+
+
 def decode(encoded: DataFrame, model_path: str, ids_col: str = "ids") -> DataFrame:
     """The rows of ``encoded`` with a column ``decoded``: the text of the ids. Null ids give null, no ids the empty text."""
     with open(model_path, "rb") as f:

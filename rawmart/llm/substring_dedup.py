@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .repeats import NO_ID, buckets_of, by_bucket, column, gathered, keyed, merged_places, pack_windows, packed, parts, places, settle_windows, starts_of_runs, text_classes, unpack
-from .text import arrow_schema, batch, chunks, drop, gram_starts, scratch, window_hash, word_hashes, words
+from .text import arrow_schema, batch, chunks, drop, gram_starts, mix, scratch, tidy, window_hash, word_hashes, words
 
 _U = np.uint64
 #: every difference modulo 31 occurs between two of them
@@ -56,6 +56,7 @@ def joined_words(chunk, w, kept: np.ndarray) -> list[bytes]:
     return [out[a:b] for a, b in zip(below[:-1], below[1:], strict=True)]
 
 
+@tidy
 def _find_anchors(batches: Iterator[pa.RecordBatch], schema: pa.Schema, window: int, buckets: int) -> Iterator[pa.RecordBatch]:
     """Packed anchors: of each hash one entry for each text, or one in all if texts of this part share it (those are settled here)."""
 
@@ -101,6 +102,7 @@ def _shared_anchors(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Ite
     return merged_places(schema, found())
 
 
+@tidy
 def _extend(batches: Iterator[pa.RecordBatch], schema: pa.Schema, window: int, buckets: int) -> Iterator[pa.RecordBatch]:
     """Texts without a shared anchor are done; of the others, the windows around shared anchors travel and the text is kept."""
     done: list[pa.RecordBatch] = []
@@ -127,8 +129,8 @@ def _extend(batches: Iterator[pa.RecordBatch], schema: pa.Schema, window: int, b
             # every anchor with the content of a shared one, also where a text repeats it
             row = w.row[starts]
             named = np.concatenate([w.first[i] + x for i, x in enumerate(hit)]) if mine.any() else np.zeros(0, np.int64)
-            pairs = {(a, b) for a, b in zip(w.row[named].tolist(), h[np.searchsorted(starts, named)].tolist(), strict=True)}
-            shared = np.fromiter(((r, x) in pairs for r, x in zip(row.tolist(), h.tolist(), strict=True)), dtype=bool, count=len(h)) if pairs else np.zeros(len(h), bool)
+            tag = mix(h ^ mix(row.astype(_U) + _U(1)))
+            shared = np.isin(tag, tag[np.searchsorted(starts, named)])  # a chance equality only costs a comparison
             at, row = starts[shared], row[shared]
             low, high = np.maximum(at - PERIOD + 1, w.first[row]), np.minimum(at, w.first[row + 1] - window)
             mark = np.zeros(len(value) + 1, dtype=np.int32)
@@ -174,7 +176,7 @@ def dedup_windows(docs: DataFrame, window: int = 50, id_col: str = "doc_id", tex
     if window < PERIOD:
         raise ValueError(f"window must be at least {PERIOD}")
     rows = keyed(docs, id_col, text_col)
-    keys, classes, buckets = text_classes(rows, "windows")
+    rows, keys, classes, buckets = text_classes(rows, "windows")
 
     ddl = "kind int, c1 long, bucket int, h binary, cs binary, pos binary"
     schema = arrow_schema(ddl)

@@ -24,26 +24,51 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .repeats import NO_ID, PLACES, buckets_of, by_bucket, column, gathered, keyed, merged_places, pack_windows, packed, parts, places, seen_before, settle_windows, starts_of_runs, text_classes, unpack
-from .text import _B, arrow_schema, batch, chunks, drop, mix, powers, ranges, scratch, window_hash
+from .text import _B, arrow_schema, batch, chunks, drop, mix, ranges, scratch, tidy, window_hash
 
 _U = np.uint64
 PREFIX = 16
+#: strings up to so many bytes are hashed by sums modulo 2**64
+SHORT = 128
 _SECOND = 0xC2B2AE3D27D4EB4F
 EMPTY = hashlib.sha256(b"").hexdigest()
 DONE, LATER, SHIPPED, REMOVED = 0, 1, 2, 3
 WHOLE, EDGE = 0, 1
+#: buckets over which the strings around one suffix are spread, so that a suffix of very many texts is no hot bucket
+SPLIT = 4
 #: bytes between the steps of a suffix's ladder: short hashes of how its surroundings go on to the left and to the right
 STEP = 4
 
 
+def near_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int = _B) -> np.ndarray:
+    """Hash of data[s:e] for each pair; up to SHORT bytes by sums modulo 2**64, which are fast and don't fail for strings so short."""
+    if len(starts) and int((ends - starts).max()) > SHORT:
+        return window_hash(data, starts, ends, base)
+    n = len(data)
+    prefix = np.zeros(n + 1, dtype=_U)
+    np.cumsum((data.astype(_U) + _U(1)) * _powers(base, n), out=prefix[1:])
+    return mix((prefix[ends] - prefix[starts]) * _powers(pow(base, -1, 1 << 64), n + 1)[starts] + (ends - starts).astype(_U))
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, dtype=_U)
+    out[:1] = 1
+    return np.cumprod(out, dtype=_U)
+
+
 def prefix_hashes(data: np.ndarray) -> np.ndarray:
     """Hash of the PREFIX bytes from each place."""
-    n = len(data)
-    if n < PREFIX:
-        return np.zeros(0, _U)
-    sums = np.zeros(n + 1, dtype=_U)
-    np.cumsum((data.astype(_U) + _U(1)) * powers(_B, n)[:n], out=sums[1:])
-    return mix((sums[PREFIX:] - sums[:-PREFIX]) * powers(pow(_B, -1, 1 << 64), n)[: n - PREFIX + 1])
+    starts = np.arange(max(len(data) - PREFIX + 1, 0))
+    return near_hash(data, starts, starts + PREFIX)
+
+
+def least_ahead(h: np.ndarray, span: int) -> np.ndarray:
+    """Smallest of the ``span`` hashes from each place."""
+    least, reach = h, 1
+    while reach * 2 <= span:
+        least = np.minimum(least[: len(least) - reach], least[reach:])
+        reach *= 2
+    return np.minimum(least[: len(h) - span + 1], least[span - reach : len(h) - reach + 1]) if reach < span else least
 
 
 def sampled(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -54,12 +79,7 @@ def sampled(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndar
     rows = np.flatnonzero(counts)
     if not len(rows):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, _U)
-    least, reach = h, 1  # smallest of ``reach`` hashes from each place
-    while reach * 2 <= span:
-        least = np.minimum(least[: len(least) - reach], least[reach:])
-        reach *= 2
-    if reach < span:
-        least = np.minimum(least[: len(h) - span + 1], least[span - reach : len(h) - reach + 1])
+    least = least_ahead(h, span)
     p = ranges(offsets[:-1][rows], counts[rows])
     now = least[p]
     # the sampled place moves where a row begins, the smallest hash changes, or the place itself falls behind
@@ -110,6 +130,7 @@ def _fingerprints(h: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     return rest.astype(np.uint32), (rest >> _U(32)).astype(np.uint8)
 
 
+@tidy
 def _arrays(batches: Iterator[pa.RecordBatch], schema: pa.Schema, length: int, buckets: int) -> Iterator[pa.RecordBatch]:
     """Suffix arrays of batches of texts, by bucket: of each hash one entry, or one report for each text if several of the batch have it."""
 
@@ -160,6 +181,7 @@ def _scan(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.R
     return merged_places(schema, found())
 
 
+@tidy
 def _surroundings(batches: Iterator[pa.RecordBatch], schema: pa.Schema, length: int, buckets: int) -> Iterator[pa.RecordBatch]:
     """Texts without a shared suffix are done; of the others, shared suffixes travel with a hash of their surroundings and the text is kept."""
     done: list[pa.RecordBatch] = []
@@ -191,10 +213,9 @@ def _surroundings(batches: Iterator[pa.RecordBatch], schema: pa.Schema, length:
             shared = np.isin(tag, tag[place])
             at, row, h = at[shared], row[shared], h[shared]
             low, high = _around(at, offsets[row], offsets[row + 1], length)
-            value = own.astype(_U) + _U(1)
-            x = window_hash(value, low, high) ^ mix((at - low).astype(_U) + _U(1))
+            x = near_hash(own, low, high) ^ mix((at - low).astype(_U) + _U(1))
             who = of[row]
-            yield len(own), (h, x, ids[here][who], c1[here][who], at - offsets[row], _ladder(value, at, low, high, length))
+            yield len(own), (h, x, ids[here][who], c1[here][who], at - offsets[row], _ladder(own, at, low, high, length))
 
     for kept in parts(batches, pieces):
         yield from done
@@ -210,15 +231,15 @@ def _around(at: np.ndarray, begin: np.ndarray, end: np.ndarray, length: int) ->
     return np.maximum(at - (length - PREFIX), begin), np.minimum(at + length, end)
 
 
-def _ladder(value: np.ndarray, at: np.ndarray, low: np.ndarray, high: np.ndarray, length: int) -> np.ndarray:
+def _ladder(data: np.ndarray, at: np.ndarray, low: np.ndarray, high: np.ndarray, length: int) -> np.ndarray:
     """16-bit hashes of the bytes up to each step to the left, then to the right; 0 where the surroundings end before."""
     out = []
     for step in range(STEP, length - PREFIX + 1, STEP):
         good = at - step >= low
-        out.append(np.where(good, window_hash(value, np.where(good, at - step, at), at) | _U(1), _U(0)).astype(np.uint16))
+        out.append(np.where(good, near_hash(data, np.where(good, at - step, at), at) | _U(1), _U(0)).astype(np.uint16))
     for step in range(PREFIX + STEP, length + 1, STEP):
         good = at + step <= high
-        out.append(np.where(good, window_hash(value, at, np.where(good, at + step, at)) | _U(1), _U(0)).astype(np.uint16))
+        out.append(np.where(good, near_hash(data, at, np.where(good, at + step, at)) | _U(1), _U(0)).astype(np.uint16))
     return np.stack(out, axis=1)
 
 
@@ -284,6 +305,7 @@ def _compare(batches: Iterator[pa.RecordBatch], schema: pa.Schema, length: int)
     yield from flush()
 
 
+@tidy
 def _edges(batches: Iterator[pa.RecordBatch], schema: pa.Schema, length: int, buckets: int) -> Iterator[pa.RecordBatch]:
     """The strings of ``length`` bytes that edge suffixes leave to be compared."""
 
@@ -299,9 +321,11 @@ def _edges(batches: Iterator[pa.RecordBatch], schema: pa.Schema, length: int, bu
                 np.add.at(mark, high[good] + 1, -1)
             begin = np.flatnonzero(np.cumsum(mark[:-1]) > 0)
             of = np.searchsorted(chunk.offsets, begin, "right") - 1
-            value = chunk.data.astype(_U) + _U(1)
             here = slice(chunk.first, chunk.last)
-            yield len(chunk.data), (window_hash(value, begin, begin + length), window_hash(value, begin, begin + length, _SECOND).astype(np.uint32), ids[here][of], c1[here][of], begin - chunk.offsets[of])
+            # equal strings share their sampled suffix: dealt by its hash, a text's strings around one suffix stay together
+            deal = least_ahead(prefix_hashes(chunk.data), length - PREFIX + 1)[begin] if len(begin) else np.zeros(0, _U)
+            one, two = near_hash(chunk.data, begin, begin + length), near_hash(chunk.data, begin, begin + length, _SECOND)
+            yield len(chunk.data), (one, two.astype(np.uint32), ids[here][of], c1[here][of], begin - chunk.offsets[of], deal + one % _U(SPLIT))
 
     for kept in parts(batches, pieces):
         yield from pack_windows(schema, buckets, (SHIPPED, REMOVED), *(np.concatenate(x) for x in zip(*kept, strict=True)))
@@ -347,7 +371,7 @@ def dedup_bytes(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_
     if length < PREFIX:
         raise ValueError(f"length must be at least {PREFIX}")
     rows = keyed(docs, id_col, text_col)
-    keys, classes, buckets = text_classes(rows, "suffixes")
+    rows, keys, classes, buckets = text_classes(rows, "suffixes")
 
     ddl = "kind int, c1 long, bucket int, h binary, q binary, r binary, cs binary, pos binary"
     schema = arrow_schema(ddl)

@@ -6,9 +6,11 @@ Slices hold about ``CHUNK_BYTES`` of text, or one text if that is longer, which
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import gc
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -55,7 +57,7 @@ def scratch(df: DataFrame, name: str, by: tuple[str, ...] = ()) -> DataFrame:
     """
     spark = df.sparkSession
     path = delete_at_exit(spark, scratch_path(spark, f"materialized/llm-{name}/{uuid.uuid4().hex}"))
-    (df.write.partitionBy(*by) if by else df.write).parquet(path)
+    (df.write.partitionBy(*by) if by else df.write).option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.scratch_folder = path
     spark.range(1).write.format("noop").mode("overwrite").save()  # the session holds on to the last job it ran
@@ -69,6 +71,21 @@ def drop(table: DataFrame, part: str = "") -> None:
     delete_path(table.sparkSession, f"{table.scratch_folder}/{part}".rstrip("/"))
 
 
+def tidy(make: Callable[..., Iterator]) -> Callable[..., Iterator]:
+    """For generators that run in Python workers: at their end, memory that Arrow and the C library hold on to goes back to the
+    machine. Workers live on idle from stage to stage, and would keep the most that any stage took."""
+
+    @functools.wraps(make)
+    def run(*args, **named):
+        yield from make(*args, **named)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+        if trim is not None:
+            trim(0)
+
+    return run
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
@@ -82,28 +99,61 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
+_P = _U((1 << 61) - 1)  # prime: no strings collide whatever the base, as they do modulo a power of two
+_LOW29, _LOW30, _LOW31, _LOW32 = (_U((1 << k) - 1) for k in (29, 30, 31, 32))
+#: powers kept per process and base; longer runs compute theirs anew
+POWERS = 1 << 17
+
 _powers: dict[int, np.ndarray] = {}
 
 
+def _fold(x: np.ndarray) -> np.ndarray:
+    """Any 64-bit values modulo 2**61 - 1."""
+    x = (x & _P) + (x >> _U(61))
+    return np.where(x >= _P, x - _P, x)
+
+
+def times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Products modulo 2**61 - 1 of values below it, from halves of 30 and 31 bits."""
+    al, ah, bl, bh = a & _LOW31, a >> _U(31), b & _LOW31, b >> _U(31)
+    mid = al * bh + ah * bl
+    return _fold(((ah * bh) << _U(1)) + (mid >> _U(30)) + ((mid & _LOW30) << _U(31)) + al * bl)
+
+
 def powers(base: int, n: int) -> np.ndarray:
-    """base**0 .. base**n modulo 2**64; kept per process."""
+    """base**0 .. base**n modulo 2**61 - 1; up to POWERS of them are kept."""
     have = _powers.get(base)
-    if have is None or len(have) <= n:
-        size = max(n + 1, 1 << 16)
-        have = np.full(size, base, dtype=_U)
-        have[0] = 1
-        have = np.cumprod(have, dtype=_U)
-        _powers[base] = have
+    if have is None:
+        have = np.ones(1, dtype=_U)
+    while len(have) <= n:
+        have = np.concatenate([have, times(have, _U(pow(base, len(have), int(_P))))])
+        if len(have) <= POWERS:
+            _powers[base] = have
     return have[: n + 1]
 
 
 def window_hash(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int = _B) -> np.ndarray:
-    """Hash of values[s:e] for each pair, independent of its place: prefix sums of values * base**i, modulo 2**64."""
+    """Hash of values[s:e] for each pair, independent of its place: polynomials modulo 2**61 - 1 by prefix sums."""
     n = len(values)
-    inverse = pow(base, -1, 1 << 64)
-    prefix = np.zeros(n + 1, dtype=_U)
-    np.cumsum(values.astype(_U, copy=False) * powers(base, n)[:n], out=prefix[1:])
-    return mix((prefix[ends] - prefix[starts]) * powers(inverse, n)[starts] + (ends - starts).astype(_U))
+    base %= int(_P)
+    terms = times(_fold(mix(values.astype(_U, copy=False) + _U(1))), powers(base, n)[:n])
+    low, high = np.zeros(n + 1, dtype=_U), np.zeros(n + 1, dtype=_U)  # two sums, so that none overflows
+    np.cumsum(terms & _LOW32, out=low[1:])
+    np.cumsum(terms >> _U(32), out=high[1:])
+    top = _fold(high[ends] - high[starts])
+    total = _fold(((top & _LOW29) << _U(32)) + (top >> _U(29)) + _fold(low[ends] - low[starts]))
+    return mix(times(total, powers(pow(base, -1, int(_P)), n)[starts]) ^ mix((ends - starts).astype(_U)))
+
+
+def run_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
+    """Hash of each run of bytes data[s:e] (words; runs don't overlap): a sum of random values by byte and place in the run."""
+    size = ends - starts
+    at = ranges(starts, size)
+    place = (at - np.repeat(starts, size)).astype(_U)
+    sums = np.zeros(len(at) + 1, dtype=_U)
+    np.cumsum(mix((place << _U(8) | data[at].astype(_U)) + _U((seed * _C + _B) % (1 << 64))), out=sums[1:])
+    last = np.cumsum(size)
+    return mix((sums[last] - sums[last - size]) ^ mix(size.astype(_U) + _U(1)))
 
 
 @dataclass
@@ -175,9 +225,8 @@ def words(chunk: Chunk, table: np.ndarray = NOT_SPACE) -> Words:
     return Words(starts, ends, first, row)
 
 
-def word_hashes(chunk: Chunk, found: Words, lower: bool = False, base: int = _B) -> np.ndarray:
-    data = LOWER[chunk.data] if lower else chunk.data
-    return window_hash(data.astype(_U) + _U(1), found.starts, found.ends, base)
+def word_hashes(chunk: Chunk, found: Words, lower: bool = False) -> np.ndarray:
+    return run_hash(LOWER[chunk.data] if lower else chunk.data, found.starts, found.ends)
 
 
 def gram_starts(first: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:

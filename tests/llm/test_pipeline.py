@@ -45,21 +45,39 @@ def test_run_chains_the_stages(spark):
 
 
 def test_edge_rows_pass_all_stages(spark, edge):
-    docs = edge.toDF(*edge.columns[:5], "x1", "x2", "x3").select(edge.columns[:5])
-    docs = docs.unionByName(docs.where("doc_id in (2, 6, 12)"))
+    """The extra columns with clashing names stay; a copy of a benchmark item with a null id goes."""
+    again = edge.toDF(*[f"c{i}" for i in range(len(edge.columns))]).where("c0 in (2, 6, 12)")
+    docs = edge.union(again.toDF(*edge.columns))
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").first()["text"]
+    docs = docs.union(spark.createDataFrame([(None, item, "en", "s", 1, "x", "y", 7)], docs.schema))
+    columns = docs.columns
     for name, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SF)
-        ids = [r["doc_id"] for r in docs.collect()]
+        if name != "sentence_pieces":
+            assert docs.columns == columns
+        got = [(r[0], r[1]) for r in docs.toDF(*[f"c{i}" for i in range(len(docs.columns))]).collect()]
+        ids = [i for i, _ in got]
         if name == "minhash":  # one row of each group, repeated rows included
             own = [i for i in ids if i is not None]
             assert len(own) == len(set(own)) and 7 not in own and 6 in own
+            assert (None, item) in got
+        if name == "decontamination":
+            assert (None, item) not in got and None in ids
     assert 13 in ids and 1 not in ids
 
 
+def test_repeated_ids_keep_the_first_text(spark):
+    rows = [(1, "b " * 20), (1, "a c d e f"), (2, "quite another text of some words")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    for parts in (1, 3):
+        out = corpus_pipeline.drop_near_duplicates(spark, docs.repartition(parts), SF)
+        assert sorted((r["doc_id"], r["text"]) for r in out.collect()) == [(1, "a c d e f"), (2, "quite another text of some words")]
+
+
 def test_empty_table(spark, empty):
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, SF).count() == 0
 
 
 def test_query_names():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
