@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, hyperminhash, knn, langid, license_scan, oracles, pii, sentence_pieces, sharding, substring_dedup, suffix_index
+from . import decontam, hyperminhash, knn, langid, license_scan, mixing, oracles, pii, resampling, runs, sentence_pieces, sharding, substring_dedup, suffix_index
 from .text import documents
 
 #: place of the vocabulary file; a parameter of the queries that need it
@@ -74,6 +74,51 @@ def op10_sentence_pieces(spark: SparkSession, sf_dir: str, model_path: str = PIE
     return decoded.select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"), F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"))
 
 
+def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_sources(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = resampling.resample(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), percent=10)
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """``docs`` with the contract's periods: where crc32(doc_id) is divisible by 10, the words from a place on repeat with a period."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g, n = F.floor(F.col("h") / 10), F.size("words")
+    start = (g % n).cast("int")
+    rest = n - F.col("a")
+    rows = docs.select("doc_id", "text", h.alias("h")).withColumn("words", F.when(F.col("h") % 10 == 0, F.regexp_extract_all("text", F.lit(f"({mixing.WORD})"), 1)))
+    rows = rows.withColumn("a", F.when(n > 0, start)).withColumn("p", (1 + F.floor(rest / (3 + g % 8))).cast("int"))
+    period = F.slice("words", F.col("a") + 1, F.col("p"))
+    passes, over = F.floor(rest / F.col("p")).cast("int"), (rest % F.col("p")).cast("int")
+    planted = F.concat(F.slice("words", F.lit(1), F.col("a")), F.flatten(F.array_repeat(period, passes)), F.slice("words", F.col("a") + 1, over))
+    return rows.select("doc_id", F.when(F.col("a").isNotNull(), F.array_join(planted, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.collapse_runs(with_planted_periods(documents(spark, sf_dir)), min_length=24, min_exponent=3)
+
+    def first(x: Column, y: Column) -> Column:
+        more = y["length"] * x["period"] - x["length"] * y["period"]
+        return F.when(more != 0, F.signum(more)).when(x["start"] != y["start"], F.signum(x["start"] - y["start"])).otherwise(F.signum(x["period"] - y["period"])).cast("int")
+
+    top = F.get(F.array_sort("runs", first), F.lit(0))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")), F.lit("\n"))), "")
+    rows = found.select("doc_id", "runs", "collapsed", top.alias("top"))
+    return rows.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("top.start").alias("start"),
+        F.col("top.length").alias("length"),
+        F.col("top.period").alias("period"),
+        F.floor(1000 * F.col("top.length") / F.col("top.period")).alias("exponent_milli"),
+        F.sha2(listed.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op1_minhash": op1_minhash,
     "op2_language_id": op2_language_id,
@@ -85,6 +130,9 @@ QUERIES = {
     "op8_histogram_sort": op8_histogram_sort,
     "op9_pii": op9_pii,
     "op10_sentence_pieces": op10_sentence_pieces,
+    "op11_mixing": op11_mixing,
+    "op12_resampling": op12_resampling,
+    "op13_runs": op13_runs,
 }
 
 #: the others learn a model, draw samples, cut by hashes or match with a tolerance; tests hold them against brute force
@@ -93,4 +141,7 @@ ORACLE: dict[str, str] = {
     "op4_top_k": oracles.TOP_K,
     "op5_substring_dedup": oracles.WINDOW_DEDUP,
     "op6_suffix_index": oracles.BYTE_DEDUP,
+    "op11_mixing": oracles.MIXING,
+    "op12_resampling": oracles.RESAMPLING,
+    "op13_runs": oracles.RUNS,
 }

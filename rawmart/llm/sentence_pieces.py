@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .text import Words, arrow_schema, batch, bound_batches, chunks, list_array, mix, pick, ranges, run_hash, tidy, utf8
+from .text import Words, arrow_schema, batch, bound_batches, chunks, distinct, list_array, mix, pick, ranges, run_hash, tidy, utf8
 
 _U = np.uint64
 _BYTE = np.uint8
@@ -110,24 +110,6 @@ def units(chunk) -> Words:
     return Words(starts, np.append(starts[1:], n), first, np.repeat(np.arange(len(first) - 1), np.diff(first)))
 
 
-def distinct(data: np.ndarray, own: Words) -> tuple[np.ndarray, np.ndarray]:
-    """A unit of each content, and which of these each unit equals: found by hash, confirmed byte by byte."""
-    size = own.ends - own.starts
-    _, shown, which = np.unique(run_hash(data, own.starts, own.ends), return_index=True, return_inverse=True)
-    other = size != size[shown[which]]
-    other[~other] = _differ(data, own.starts[~other], own.starts[shown[which[~other]]], size[~other])
-    alone = np.flatnonzero(other)  # their hash equals another unit's: each stands for itself
-    which[alone] = len(shown) + np.arange(len(alone))
-    return np.append(shown, alone), which
-
-
-def _differ(data: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """Whether data[a:a + size] and data[b:b + size] differ (sizes above 0)."""
-    if not len(size):
-        return np.zeros(0, dtype=bool)
-    return np.logical_or.reduceat(data[ranges(a, size)] != data[ranges(b, size)], np.cumsum(size) - size)
-
-
 def _edges(p: Pieces, data: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Edges (from, to, id) in the lattices of units whose bytes stand in ``data`` one after another; places are byte places, an end is the place behind."""
     n = len(data)
@@ -238,7 +220,7 @@ def _encode(batches: Iterator[pa.RecordBatch], schema: pa.Schema, model: bytes,
         for chunk in chunks(rows.column("text"), LATTICE_BYTES):
             own = units(chunk)
             size = own.ends - own.starts
-            shown, which = distinct(chunk.data, own)
+            shown, which = distinct(chunk.data, own.starts, own.ends)
             lattice = Lattice(p, chunk.data[ranges(own.starts[shown], size[shown])], size[shown])
             row_seed = mix(hashes[chunk.first : chunk.last] + _U(seed))
             place = (own.starts - chunk.offsets[own.row]).astype(_U)

@@ -244,6 +244,24 @@ def ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.repeat(starts - before, counts) + np.arange(total)
 
 
+def distinct(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of runs of bytes data[s:e] (none empty): one of each content, and which of these each run equals; found by hash, confirmed byte by byte."""
+    size = ends - starts
+    _, shown, which = np.unique(run_hash(data, starts, ends), return_index=True, return_inverse=True)
+    other = size != size[shown[which]]
+    other[~other] = _differ(data, starts[~other], starts[shown[which[~other]]], size[~other])
+    alone = np.flatnonzero(other)  # their hash equals another run's: each stands for itself
+    which[alone] = len(shown) + np.arange(len(alone))
+    return np.append(shown, alone), which
+
+
+def _differ(data: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether data[a:a + size] and data[b:b + size] differ (sizes above 0)."""
+    if not len(size):
+        return np.zeros(0, dtype=bool)
+    return np.logical_or.reduceat(data[ranges(a, size)] != data[ranges(b, size)], np.cumsum(size) - size)
+
+
 def list_array(values: pa.Array, counts: np.ndarray) -> pa.Array:
     offsets = np.zeros(len(counts) + 1, dtype=np.int32)
     np.cumsum(counts, out=offsets[1:])

@@ -104,10 +104,10 @@ def test_pieces_are_lossless(spark):
 
 
 def test_units_of_equal_hash_are_told_apart_by_their_bytes(monkeypatch):
-    monkeypatch.setattr(sentence_pieces, "run_hash", lambda data, starts, ends: np.zeros(len(starts), np.uint64))
+    monkeypatch.setattr(text, "run_hash", lambda data, starts, ends: np.zeros(len(starts), np.uint64))
     chunk = next(text.chunks(pa.array(["ab cd ab", " ef ab cd"]), 1 << 20))
     own = sentence_pieces.units(chunk)
-    shown, which = sentence_pieces.distinct(chunk.data, own)
+    shown, which = text.distinct(chunk.data, own.starts, own.ends)
     raw = chunk.data.tobytes()
     unit = lambda i: raw[own.starts[i] : own.ends[i]]
     assert [unit(shown[w]) for w in which] == [unit(i) for i in range(len(own.starts))]
