@@ -33,6 +33,8 @@ def crc32s(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray
     """CRC-32 of each data[s:e], by matrices of equal lengths."""
     size = ends - starts
     out = np.zeros(len(size), dtype=np.uint32)
+    if not len(size):
+        return out
     order = np.argsort(size, kind="stable")
     lengths, heads = np.unique(size[order], return_index=True)
     for length, first, last in zip(lengths.tolist(), heads, [*heads[1:], len(order)], strict=True):
