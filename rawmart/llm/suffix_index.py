@@ -27,7 +27,8 @@ from .repeats import NO_ID, PLACES, buckets_of, by_bucket, column, gathered, key
 from .text import _B, arrow_schema, batch, chunks, drop, mix, ranges, scratch, tidy, window_hash
 
 _U = np.uint64
-PREFIX = 16
+#: long enough that few suffixes agree by chance: the shorter it is, the more texts of a large corpus share any prefix
+PREFIX = 24
 #: strings up to so many bytes are hashed by sums modulo 2**64
 SHORT = 128
 _SECOND = 0xC2B2AE3D27D4EB4F
@@ -40,14 +41,20 @@ SPLIT = 4
 STEP = 4
 
 
-def near_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int = _B) -> np.ndarray:
-    """Hash of data[s:e] for each pair; up to SHORT bytes by sums modulo 2**64, which are fast and don't fail for strings so short."""
-    if len(starts) and int((ends - starts).max()) > SHORT:
-        return window_hash(data, starts, ends, base)
-    n = len(data)
-    prefix = np.zeros(n + 1, dtype=_U)
-    np.cumsum((data.astype(_U) + _U(1)) * _powers(base, n), out=prefix[1:])
-    return mix((prefix[ends] - prefix[starts]) * _powers(pow(base, -1, 1 << 64), n + 1)[starts] + (ends - starts).astype(_U))
+class NearHash:
+    """Hashes of data[s:e]; up to SHORT bytes by sums modulo 2**64, which are fast and don't fail for strings so short."""
+
+    def __init__(self, data: np.ndarray, base: int = _B):
+        self.data, self.base = data, base
+        self.sums = np.zeros(len(data) + 1, dtype=_U)
+        np.cumsum((data.astype(_U) + _U(1)) * _powers(base, len(data)), out=self.sums[1:])
+        self.back = _powers(pow(base, -1, 1 << 64), len(data) + 1)
+
+    def __call__(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        size = ends - starts
+        if len(size) and int(size.max()) > SHORT:
+            return window_hash(self.data, starts, ends, self.base)
+        return mix((self.sums[ends] - self.sums[starts]) * self.back[starts] + size.astype(_U))
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -58,8 +65,9 @@ def _powers(base: int, n: int) -> np.ndarray:
 
 def prefix_hashes(data: np.ndarray) -> np.ndarray:
     """Hash of the PREFIX bytes from each place."""
-    starts = np.arange(max(len(data) - PREFIX + 1, 0))
-    return near_hash(data, starts, starts + PREFIX)
+    n = max(len(data) - PREFIX + 1, 0)
+    near = NearHash(data)
+    return mix((near.sums[PREFIX:] - near.sums[:n]) * near.back[:n] + _U(PREFIX)) if n else np.zeros(0, _U)
 
 
 def least_ahead(h: np.ndarray, span: int) -> np.ndarray:
@@ -169,16 +177,18 @@ def _with(rows: pa.RecordBatch, schema: pa.Schema, kind: int, **nulls) -> pa.Rec
 
 
 def _scan(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    def found():
-        for rows in buckets_of(batches):
-            family = LevelFamily()
-            for row in rows:
-                q = column([row], "q", np.uint32).astype(_U) | column([row], "r", np.uint8).astype(_U) << _U(32)
-                order = np.argsort(q, kind="stable")
-                one = order[starts_of_runs(q[order])]
-                yield family.add(q[one], column([row], "cs", np.int64)[one], column([row], "pos", np.int32)[one])
-
-    return merged_places(schema, found())
+    """Shared entries by text, bucket by bucket: rows number with the entries, not with the tasks that a text's entries lie in."""
+    for rows in buckets_of(batches):
+        family = LevelFamily()
+        owners, found = [], []
+        for row in rows:
+            q = column([row], "q", np.uint32).astype(_U) | column([row], "r", np.uint8).astype(_U) << _U(32)
+            order = np.argsort(q, kind="stable")
+            one = order[starts_of_runs(q[order])]
+            owner, pos = family.add(q[one], column([row], "cs", np.int64)[one], column([row], "pos", np.int32)[one])
+            owners.append(owner)
+            found.append(pos)
+        yield places(schema, np.concatenate(owners), np.concatenate(found))
 
 
 @tidy
@@ -213,9 +223,10 @@ def _surroundings(batches: Iterator[pa.RecordBatch], schema: pa.Schema, length:
             shared = np.isin(tag, tag[place])
             at, row, h = at[shared], row[shared], h[shared]
             low, high = _around(at, offsets[row], offsets[row + 1], length)
-            x = near_hash(own, low, high) ^ mix((at - low).astype(_U) + _U(1))
+            near = NearHash(own)
+            x = near(low, high) ^ mix((at - low).astype(_U) + _U(1))
             who = of[row]
-            yield len(own), (h, x, ids[here][who], c1[here][who], at - offsets[row], _ladder(own, at, low, high, length))
+            yield len(own), (h, x, ids[here][who], c1[here][who], at - offsets[row], _ladder(near, at, low, high, length))
 
     for kept in parts(batches, pieces):
         yield from done
@@ -231,15 +242,15 @@ def _around(at: np.ndarray, begin: np.ndarray, end: np.ndarray, length: int) ->
     return np.maximum(at - (length - PREFIX), begin), np.minimum(at + length, end)
 
 
-def _ladder(data: np.ndarray, at: np.ndarray, low: np.ndarray, high: np.ndarray, length: int) -> np.ndarray:
+def _ladder(near: NearHash, at: np.ndarray, low: np.ndarray, high: np.ndarray, length: int) -> np.ndarray:
     """16-bit hashes of the bytes up to each step to the left, then to the right; 0 where the surroundings end before."""
     out = []
     for step in range(STEP, length - PREFIX + 1, STEP):
         good = at - step >= low
-        out.append(np.where(good, near_hash(data, np.where(good, at - step, at), at) | _U(1), _U(0)).astype(np.uint16))
+        out.append(np.where(good, near(np.where(good, at - step, at), at) | _U(1), _U(0)).astype(np.uint16))
     for step in range(PREFIX + STEP, length + 1, STEP):
         good = at + step <= high
-        out.append(np.where(good, near_hash(data, at, np.where(good, at + step, at)) | _U(1), _U(0)).astype(np.uint16))
+        out.append(np.where(good, near(at, np.where(good, at + step, at)) | _U(1), _U(0)).astype(np.uint16))
     return np.stack(out, axis=1)
 
 
@@ -324,7 +335,7 @@ def _edges(batches: Iterator[pa.RecordBatch], schema: pa.Schema, length: int, bu
             here = slice(chunk.first, chunk.last)
             # equal strings share their sampled suffix: dealt by its hash, a text's strings around one suffix stay together
             deal = least_ahead(prefix_hashes(chunk.data), length - PREFIX + 1)[begin] if len(begin) else np.zeros(0, _U)
-            one, two = near_hash(chunk.data, begin, begin + length), near_hash(chunk.data, begin, begin + length, _SECOND)
+            one, two = NearHash(chunk.data)(begin, begin + length), NearHash(chunk.data, _SECOND)(begin, begin + length)
             yield len(chunk.data), (one, two.astype(np.uint32), ids[here][of], c1[here][of], begin - chunk.offsets[of], deal + one % _U(SPLIT))
 
     for kept in parts(batches, pieces):

@@ -29,7 +29,7 @@ def test_hashes_differ(n):
     starts = np.array([0, n])
     x, y = text.window_hash(chunk.data, starts, starts + n)
     assert x != y
-    u, v = suffix_index.near_hash(chunk.data, starts, starts + n)
+    u, v = suffix_index.NearHash(chunk.data)(starts, starts + n)
     assert u != v
 
 
