@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
 from contextlib import contextmanager
 from contextvars import ContextVar
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 # Settings every job needs; they change results or safety, not just speed.
@@ -102,6 +104,51 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs.delete(jpath, True)
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file's text."""
+    fs, jpath = _hadoop(spark, path)
+    stream = fs.open(jpath)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def modified_ms(spark: SparkSession, path: str) -> int:
+    fs, jpath = _hadoop(spark, path)
+    return fs.getFileStatus(jpath).getModificationTime()
+
+
+def create_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Make a small file with this text, at once and whole. False, and nothing is changed, if the file is there already.
+
+    The text is written beside it first. On a local disk a hard link then gives it its name, elsewhere a rename that does not
+    overwrite; both fail if another process came first.
+    """
+    jvm = spark.sparkContext._jvm
+    fs, target = _hadoop(spark, path)
+    _, draft = _hadoop(spark, f"{path}.{uuid.uuid4().hex}.tmp")
+    stream = fs.create(draft, False)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    try:
+        if fs.getUri().getScheme() == "file":
+            local = lambda p: jvm.java.io.File(p.toUri().getPath()).toPath()
+            jvm.java.nio.file.Files.createLink(local(target), local(draft))
+        else:
+            kind = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+            how = spark.sparkContext._gateway.new_array(kind, 1)
+            how[0] = kind.NONE
+            jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), spark.sparkContext._jsc.hadoopConfiguration()).rename(draft, target, how)
+        return True
+    except Py4JJavaError as e:
+        if "FileAlreadyExistsException" not in e.java_exception.getClass().getName():
+            raise
+        return False
+    finally:
+        fs.delete(draft, False)
+
+
 def delete_at_exit(spark: SparkSession, path: str) -> str:
     """Scratch whose reader is not known (a query's lazy result) goes when the application ends."""
     fs, jpath = _hadoop(spark, path)
