@@ -222,6 +222,16 @@ class Transaction:
         finally:
             delete_path(self.spark, path)
 
+    def gained(self, table: str) -> DataFrame | None:
+        """The rows this transaction has written to a table; None if there are none."""
+        own = [Table(t.part, t.schema, t.entries) for n, t, _ in self.added if n == table and t.entries]
+        if not own:
+            return None
+        schema = own[0].schema
+        for t in own[1:]:
+            schema = evolved(schema, t.schema)
+        return self.store.read(table, state=State(tables={table: Table(own[0].part, schema, [e for t in own for e in t.entries])}))
+
     def mark(self, stream: str, batch: int) -> bool:
         """Note that ``batch`` of a stream is in this commit. False: an earlier commit has it, so there is nothing to do."""
         if self.state.streams.get(stream, -1) >= batch:

@@ -130,12 +130,12 @@ def stg_indicator_source(raw: DataFrame, keep_order: bool = False) -> DataFrame:
     With ``keep_order`` the row keeps ``_order`` = (ingested_at, extract_run_id, digest): merging
     batches with ``recency=[ORDER_COL]`` then gives exactly the all-at-once result, whatever the split.
     """
-    typed = indicator_typed(raw).where(
-        F.col("country_iso3").isNotNull()
-        & F.col("indicator_id").isNotNull()
-        & F.col("_date").isNotNull()
-        & F.col("year").isNotNull()
-    )
+    return indicator_latest(indicator_typed(raw), keep_order)
+
+
+def indicator_latest(typed: DataFrame, keep_order: bool = False) -> DataFrame:
+    """``stg_indicator_source`` of rows that are typed already."""
+    typed = typed.where(_indicator_reason().isNull())
     order = ["ingested_at", "extract_run_id", "_digest"]
     latest = latest_per_key(typed, S.INDICATOR_KEYS, order)
     extra = [F.struct(*order).alias(ORDER_COL)] if keep_order else []
@@ -144,14 +144,21 @@ def stg_indicator_source(raw: DataFrame, keep_order: bool = False) -> DataFrame:
 
 def stg_indicator_rejects(raw: DataFrame) -> DataFrame:
     """Rows that passed validity but cannot reach staging (e.g. ``date = "2020Q1"``): made visible."""
-    typed = indicator_typed(raw)
-    reason = (
+    return indicator_refused(indicator_typed(raw))
+
+
+def _indicator_reason() -> Column:
+    return (
         F.when(F.col("country_iso3").isNull(), F.lit("null_country_iso3"))
         .when(F.col("indicator_id").isNull(), F.lit("null_indicator_id"))
         .when(F.col("_date").isNull(), F.lit("null_date"))
         .when(F.col("year").isNull(), F.lit("non_integer_year"))
     )
-    return typed.withColumn("reason", reason).where(F.col("reason").isNotNull()).select(
+
+
+def indicator_refused(typed: DataFrame) -> DataFrame:
+    """``stg_indicator_rejects`` of rows that are typed already."""
+    return typed.withColumn("reason", _indicator_reason()).where(F.col("reason").isNotNull()).select(
         "reason", "country_iso3", "indicator_id", F.col("_date").alias("date_text"), "ingested_at", "extract_run_id"
     )
 
@@ -194,7 +201,12 @@ def stg_hourly_source(
     With ``keep_order`` the row keeps that whole order key as ``_order``, so an archive row staged
     in one micro-batch still beats a forecast row of the same run arriving in a later one.
     """
-    rows = hourly_rows(raw, tz, measures, strict).where(F.col("timestamp").isNotNull())
+    return hourly_latest(hourly_rows(raw, tz, measures, strict), measures, keep_order)
+
+
+def hourly_latest(rows: DataFrame, measures: Sequence[str] = DEFAULT_MEASURES, keep_order: bool = False) -> DataFrame:
+    """``stg_hourly_source`` of rows that are aligned and typed already."""
+    rows = rows.where(F.col("timestamp").isNotNull())
     rows = rows.withColumn("_archive", F.col("source_variant") == "archive")
     order = ["ingested_at", "extract_run_id", "_archive", "_digest", "pos"]
     latest = latest_per_key(rows, S.HOURLY_KEYS, order, drop_null_keys=True)
@@ -204,7 +216,11 @@ def stg_hourly_source(
 
 def stg_hourly_rejects(raw: DataFrame, tz: str, measures: Sequence[str] = DEFAULT_MEASURES) -> DataFrame:
     """Time elements that are present but not ``yyyy-MM-ddTHH:mm`` local time, or have a NULL location."""
-    rows = hourly_rows(raw, tz, measures)
+    return hourly_refused(hourly_rows(raw, tz, measures))
+
+
+def hourly_refused(rows: DataFrame) -> DataFrame:
+    """``stg_hourly_rejects`` of rows that are aligned and typed already."""
     reason = F.when(F.col("location_id").isNull(), F.lit("null_location_id")).when(
         F.col("timestamp").isNull(), F.lit("bad_time")
     )

@@ -1087,4 +1087,4 @@ def stream_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 FLAGSHIP = "mart_hourly"
 
-from rawmart import run_queries  # noqa: E402, F401  registers the queries over whole runs
+from rawmart import run_queries, version_queries  # noqa: E402, F401  register the queries over whole runs and versioned tables

@@ -54,6 +54,14 @@ def _page_error() -> Column:
     return F.when(F.col("body").isNotNull() & F.col("_v").isNull(), "page_not_json").when(bad_value, "bad_pages_value")
 
 
+def page_stops(bodies: DataFrame, keys: Sequence[str] = PAGE_KEYS) -> DataFrame:
+    """``*keys, page_no, stop`` of captured pages: 0 for a page without object records, 1 for one that reaches ``pages``, else 2."""
+    parsed = _parsed(bodies.select(*keys, "page_no", "body"))
+    n_objects = F.when(_records().isNull(), F.lit(0)).otherwise(F.size(F.filter(_records(), lambda r: is_object(r))))
+    stop = F.when(n_objects == 0, 0).when(F.coalesce(F.col("page_no") >= _pages_value(), F.lit(False)), 1).otherwise(2)
+    return parsed.select(*keys, "page_no", stop.alias("stop"))
+
+
 def page_cut(bodies: DataFrame, keys: Sequence[str] = PAGE_KEYS) -> DataFrame:
     """Last page to keep per ``keys`` under the extractor's stop rule.
 
