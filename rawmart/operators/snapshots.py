@@ -23,7 +23,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DoubleType, FloatType, IntegralType, StructType
 
 from rawmart.operators.merge import merge_plan
 from rawmart.session import create_once, delete_path, list_names, modified_ms, path_exists, read_text, scratch_path, scratch_scope
@@ -37,7 +37,8 @@ class Conflict(Exception):
 
 @dataclass
 class Entry:
-    """A folder of a table: the rows of one partition that one transaction wrote, with least and greatest values as text."""
+    """A folder of a table: the rows of one partition that one transaction wrote, with least and greatest values of some columns:
+    numbers as numbers, all else as text, whose order is that of the values for text, dates and timestamps."""
 
     commit: str
     folder: str
@@ -161,7 +162,10 @@ class Store:
 def _may_hold(entry: Entry, between: dict[str, tuple]) -> bool:
     for column, (least, greatest) in between.items():
         low, high = entry.stats.get(column, [None, None])
-        if low is not None and ((greatest is not None and low > str(greatest)) or (least is not None and high < str(least))):
+        alike = (lambda v: v) if isinstance(low, int | float) else str
+        if low is not None and ((greatest is not None and low > alike(greatest)) or (least is not None and high < alike(least))):
+            return False
+        if low is None and column in entry.stats:  # all null
             return False
     return True
 
@@ -282,7 +286,7 @@ class Transaction:
 
     def _entries(self, path: str, commit: str, schema: StructType, stats: Sequence[str]) -> list[Entry]:
         """Rows, least and greatest values of the folders just written: a scan of the statistics' columns alone."""
-        text = lambda c: F.col(c).cast("string")
+        text = lambda c: F.col(c) if isinstance(schema[c].dataType, IntegralType | FloatType | DoubleType) else F.col(c).cast("string")
         of = [x for c in stats for x in (F.min(text(c)).alias(f"lo_{c}"), F.max(text(c)).alias(f"hi_{c}"))]
         rows = self.spark.read.schema(schema).parquet(path)
         folder = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/[^/]+$", 1)

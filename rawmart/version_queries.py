@@ -254,3 +254,25 @@ def run_metric_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = _store(spark, "run_metric_table")
     I.run_once(spark, store, None, D.hourly_bodies(D.table(spark, sf_dir, "events")), _locations(spark, sf_dir), None, None, tz=D.HOURLY_TZ)
     return store.read(I.METRICS).groupBy("source", "entity", "outcome").agg(F.sum("records").alias("records"))
+
+
+@register(
+    "clustered_read",
+    f"""{_HSTG}
+SELECT location_id, timestamp, temperature_2m, true AS few_folders FROM hstg WHERE temperature_2m BETWEEN 40 AND 60 AND location_id BETWEEN 'L000010' AND 'L000015'""",
+)
+def clustered_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hourly mart clustered by location and temperature over all files; a filter on both reads a part of the folders."""
+    from rawmart.operators.clustering import CELL, with_cells
+
+    store = _store(spark, "clustered_read")
+    raw = I.build_batches(None, D.hourly_bodies(D.table(spark, sf_dir, "events")), _locations(spark, sf_dir), None, None)[X.RAW_HOURLY_TABLE].raw
+    mart = zones.mart_hourly_source(zones.stg_hourly_source(raw, D.HOURLY_TZ))
+    keys = ["location_id", "temperature_2m"]
+    cells = with_cells(mart, keys)
+    transact(store, lambda txn: txn.append("mart/clustered", cells, CELL, keys, stats=keys))
+    found = store.read("mart/clustered", between={"location_id": ("L000010", "L000015"), "temperature_2m": (40, 60)})
+    all_of = len(store.state().tables["mart/clustered"].entries)
+    read = len({f.rsplit("/", 1)[0] for f in found.inputFiles()})
+    found = found.where("temperature_2m BETWEEN 40 AND 60 AND location_id BETWEEN 'L000010' AND 'L000015'")
+    return found.select("location_id", "timestamp", "temperature_2m", F.lit(2 * read <= all_of).alias("few_folders"))
