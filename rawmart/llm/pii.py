@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from .text import pick
 
-# The kinds of the contract, in the order in which spans of one start are listed, then the method's own kind.
+# The kinds of the contract, in the order in which spans of one start are listed, then the method's own kinds.
 # The patterns propose the same matches as the contract's, written with possessive repeats, so that a long run of digits or
 # name characters is read once: no backtracking, no recursion of the matcher. ``\G`` lets a match begin where the last ended.
 PATTERNS = {
@@ -19,18 +19,29 @@ PATTERNS = {
     "card": r"[0-9]++(?:[\x20-][0-9]++)*+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[\x20]?[A-Z0-9]{4}){2,7}(?:[\x20]?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+    "ipv6": r"(?<![0-9A-Za-z:.])[0-9A-Fa-f]{0,4}(?::[0-9A-Fa-f]{0,4}){2,7}+(?![0-9A-Za-z:])",
+    "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
+    "key": r"(?<![A-Za-z0-9_-])(?:A(?:KIA|SIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36}|github_pat_[A-Za-z0-9_]{22,}+|glpat-[A-Za-z0-9_-]{20}|xox[abprs]-[A-Za-z0-9-]{10,}+|sk-[A-Za-z0-9_-]{20,}+"
+    r"|[rs]k_(?:live|test)_[A-Za-z0-9]{16,}+|AIza[A-Za-z0-9_-]{35}|eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]*+)(?![A-Za-z0-9_])",
+    "private_key": r"-----BEGIN (?:[A-Z0-9]{1,12} ){0,3}PRIVATE KEY-----(?:[^-]*+-----END (?:[A-Z0-9]{1,12} ){0,3}PRIVATE KEY-----)?",
+    "secret": r"(?i)(?<![A-Za-z0-9])(?:password|passwd|pwd|secret|api[_-]?key|access[_-]?key|secret[_-]?key|auth[_-]?token|access[_-]?token|token)[\"']?[\x20\t]{0,3}[:=][\x20\t]{0,3}[\"']?[A-Za-z0-9!#$%&*+./@^_~-]{8,}+",
 }
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = tuple(PATTERNS)
 # A text without this sign has no match of the kind; spares the pattern's run.
-NEEDS = {"email": "@", "phone": "+"}
-BASE_SCORE = {"email": 0.8, "ip": 0.6, "card": 0.7, "phone": 0.6, "iban": 0.8}
+NEEDS = {"email": "@", "phone": "+", "ipv6": ":", "ssn": "-", "private_key": "-----BEGIN "}
+BASE_SCORE = {"email": 0.8, "ip": 0.6, "card": 0.7, "phone": 0.6, "iban": 0.8, "ipv6": 0.7, "ssn": 0.6, "key": 0.9, "private_key": 1.0, "secret": 0.7}
 CONTEXT = {
     "email": ["mail", "contact", "write", "@"],
     "ip": ["ip", "address", "server", "host"],
     "card": ["card", "visa", "mastercard", "credit", "payment"],
     "phone": ["phone", "tel", "call", "mobile", "fax"],
     "iban": ["iban", "account", "bank", "transfer"],
+    "ipv6": ["ip", "address", "server", "host"],
+    "ssn": ["ssn", "social", "security", "tax"],
+    "key": ["key", "token", "secret", "auth", "aws"],
+    "private_key": ["key", "certificate", "ssh"],
+    "secret": ["login", "user", "account", "config", "env"],
 }
 #: words that speak against personal data
 AGAINST = ["version", "order", "serial", "isbn", "part no"]
@@ -72,6 +83,18 @@ def _confirmed(kind: str, m: Column) -> Column:
         return F.when(F.length(_digits(m)).between(12, 19), luhn(_digits(m))).otherwise(False)
     if kind == "phone":
         return F.length(_digits(m)).between(9, 15)
+    if kind == "ipv6":  # eight groups, or fewer around one "::"; so no time of day
+        groups = F.size(F.filter(F.split(m, ":"), lambda g: g != ""))
+        short = (F.size(F.split(m, "::")) == 2) & ~F.contains(m, F.lit(":::")) & groups.between(2, 7) & m.rlike("[0-9]")
+        single = ~m.rlike("^:[^:]|[^:]:$")
+        return single & (short | (~F.contains(m, F.lit("::")) & (groups == 8)))
+    if kind == "ssn":  # areas, groups and serials that were never given out
+        return ~m.rlike("^(?:000|666|9)|-00-|-0000$")
+    if kind in ("key", "private_key"):
+        return F.lit(True)
+    if kind == "secret":  # a value of letters and digits or signs, not a word of prose
+        value = F.regexp_extract(m, r"[:=][\x20\t]{0,3}[\"']?(.*)$", 1)
+        return value.rlike("[A-Za-z]") & value.rlike("[0-9!#$%&*+@^~]")
     return F.when(F.length(F.replace(m, F.lit(" "), F.lit(""))).between(15, 34), mod97(m)).otherwise(False)
 
 
@@ -117,8 +140,9 @@ def _with_found(rows: DataFrame) -> DataFrame:
 def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False) -> DataFrame:
     """Row for each row of ``docs``: doc_id, spans (array of kind, start, stop, value, score; by start, then kind).
 
-    Kinds: email, ip, card (12 to 19 digits, Luhn), phone (9 to 15 digits), and the method's own iban (mod 97). The score
-    never drops a confirmed span. A null or empty text has no spans. Repeated rows give repeated rows; ids may be null.
+    Kinds: email, ip, card (12 to 19 digits, Luhn), phone (9 to 15 digits), and the method's own: iban (mod 97), ipv6 (number of
+    groups), ssn (ranges given out), key (formats of access keys and tokens), private_key, and secret (what is assigned to a
+    password, key or token, if it is no plain word). The score never drops a confirmed span. A null or empty text has no spans. Repeated rows give repeated rows; ids may be null.
     Each text is read whole, a few times over, whatever its length. ``with_text`` keeps the text as column ``text``.
     """
     text = F.coalesce(F.col("text"), F.lit(""))

@@ -66,7 +66,7 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = pii.find_pii(documents(spark, sf_dir))
     base = F.filter("spans", lambda s: s["kind"].isin(*pii.BASE_KINDS))
     count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
-    return spans.select("doc_id", *[count(k) for k in pii.BASE_KINDS], F.sha2(pii.joined(base), 256).alias("base_sha256"), pii.joined(F.col("spans")).alias("spans"))
+    return spans.select("doc_id", *[count(k) for k in pii.BASE_KINDS], F.sha2(pii.joined(base), 256).alias("base_sha256"), pii.joined(F.col("spans")).alias("spans"), F.transform("spans", lambda s: s["score"]).alias("scores"))
 
 
 def op10_sentence_pieces(spark: SparkSession, sf_dir: str, model_path: str = PIECE_MODEL) -> DataFrame:
