@@ -39,6 +39,7 @@ def parse_args(argv=None):
     p.add_argument("--exclude-steps", default="", help="comma-separated transform steps to leave out")
     p.add_argument("--strict", action="store_true", help="fail on broken pages and bad local times instead of rejecting them")
     p.add_argument("--namespace-prefix", help="prefix of the catalog namespaces raw, staging, mart (default: from --zones)")
+    p.add_argument("--versioned", action="store_true", help="take the run as one commit of a store of versioned tables below --zones")
     p.add_argument("--ui", action="store_true", help="keep the Spark web UI on (off by default)")
     return p.parse_args(argv)
 
@@ -74,6 +75,17 @@ def main(argv=None, spark: SparkSession | None = None):
     locations = parse_locations(spark.range(1).selectExpr(f"{_sql_text(args.locations)} AS spec"))
     variants = [v for v, off in (("archive", args.disable_archive), ("forecast", args.disable_forecast)) if not off]
     listed = lambda text: [x.strip() for x in text.split(",") if x.strip()] or None
+    if args.versioned:
+        from rawmart.operators.snapshots import Store
+        from rawmart.plans.ingest import run_once
+
+        store = Store(spark, args.zones)
+        landed = run_once(
+            spark, store, indicator, hourly, locations, run_id, ingested_at, tz=args.tz, enabled_variants=variants,
+            measures=listed(args.measures) or list(MEASURES), indicator_ids=listed(args.indicators), strict=args.strict,
+        )
+        print(f"run {run_id}: landed={landed} version={store.state().version}")
+        return store
     result = run_job(
         spark, Zones(args.zones, args.namespace_prefix), indicator, hourly, locations, run_id, ingested_at, tz=args.tz,
         incremental=not args.full_rescan, enabled_variants=variants, measures=listed(args.measures) or list(MEASURES),
@@ -90,6 +102,8 @@ def validate(args) -> None:
     """Fail before any Spark work on configuration errors."""
     from zoneinfo import ZoneInfo
 
+    if args.versioned and (args.steps or args.exclude_steps or args.full_rescan):
+        raise ValueError("--versioned takes a whole run: no --steps, --exclude-steps or --full-rescan")
     if not (args.indicator_bodies or args.hourly_bodies):
         raise ValueError("give --indicator-bodies and/or --hourly-bodies")
     if args.hourly_bodies:

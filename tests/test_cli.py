@@ -97,3 +97,20 @@ def test_cli_rejects_bad_settings():
         with pytest.raises(ValueError):
             validate(parse_args(argv))
     validate(parse_args(["--zones", "z", "--indicator-bodies", "i"]))
+
+
+def test_cli_versioned_run(spark, tmp_path):
+    import pytest
+
+    from rawmart.__main__ import main
+
+    cap, zones = str(tmp_path / "captured"), str(tmp_path / "zones")
+    _write(cap, "ind/indicator_id=AG.LND/page_no=1/response.json", P1)
+    _write(cap, "ind/indicator_id=AG.LND/page_no=2/response.json", P2)
+    args = ["--zones", zones, "--indicator-bodies", f"{cap}/ind", "--bodies-format", "files", "--versioned", "--ingested-at", "2031-07-02T00:00:00"]
+    for run in ("r1", "r2"):
+        store = main([*args, "--run-id", run], spark=spark)
+    assert store.versions() == [1, 2]
+    assert rows(store.read("mart/country_indicator_year"), "country_iso3", "value_num") == [("ECU", 5.0), ("NOR", 17.0)]
+    with pytest.raises(ValueError, match="whole run"):
+        main([*args, "--steps", "mart_hourly"], spark=spark)
