@@ -2,8 +2,9 @@
 
 Every rolling word pair of a text is looked up among the word pairs of the templates. A hit at word ``at`` of the text and
 word ``place`` of a template votes for the diagonal ``at - place``. Votes are summed by diagonal, neighbouring diagonals of
-a template (a word too many or too few shifts the diagonal by one) are merged, and a merged span is verified: it must hold
-``min_share`` of the template's pairs, and the words of the pairs themselves must be equal, not only their hashes.
+a template (a word too many or too few shifts the diagonal by one) are merged, and a merged span is verified: the words of its
+pairs themselves must be equal, not only their hashes, and it must hold ``min_share`` of the template's pairs, or all but
+``max_missed`` of them and the template's telling words. A word that is changed, missing or too many costs two pairs at most.
 """
 
 from __future__ import annotations
@@ -28,19 +29,31 @@ TEMPLATES = {
     "redistribution and use in source and binary forms with or without modification are permitted": "bsd",
     "subject to the terms of the mozilla public license": "mpl",
 }
+#: words, or pairs of words, by which a label is told from its likes; templates that hold them are not found without them
+TELLING = {
+    "mit": ["mit"],
+    "apache-2.0": ["apache"],
+    "gpl-3.0": ["gnu general", "version 3"],
+    "gpl-2.0": ["gnu general", "version 2"],
+    "cc-by-nc-4.0": ["nc"],
+    "cc-by-sa-4.0": ["sa"],
+    "mpl": ["mozilla"],
+}
 #: pairs made of these words alone are too common to vote
 COMMON = {"a", "and", "any", "are", "by", "in", "is", "of", "or", "the", "this", "to", "under", "with"}
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 NO_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
-def _pairs(templates: dict[str, str], base: dict[str, str]) -> list[tuple]:
-    """(template number, label, whether base, its number of voting pairs, place, its bit, first word, second word); phrases of 2 to 63 words."""
+def _pairs(templates: dict[str, str], base: dict[str, str], telling: dict[str, list[str]]) -> list[tuple]:
+    """(template number, label, whether base, its number of voting pairs, its words, masks of the places of its telling words,
+    place, its bit, first word, second word); phrases of 2 to 63 words."""
     out = []
     for number, (phrase, label) in enumerate([*base.items(), *templates.items()]):
         words = phrase.split()
         pairs = [(i, a, b) for i, (a, b) in enumerate(zip(words, words[1:], strict=False)) if not {a, b} <= COMMON]
-        out += [(number, label, phrase in base, len(pairs), i, 1 << i, a, b) for i, a, b in pairs]
+        masks = [sum(1 << i for i, a, b in pairs if told in (a, b, f"{a} {b}")) for told in telling.get(label, [])]
+        out += [(number, label, phrase in base, len(pairs), len(words), [m for m in masks if m], i, 1 << i, a, b) for i, a, b in pairs]
     return out
 
 
@@ -49,17 +62,18 @@ def lowered(text):
     return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
-def scan_licenses(docs: DataFrame, base: dict[str, str] = BASE, templates: dict[str, str] = TEMPLATES, min_share: float = 0.9, max_shift: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def scan_licenses(docs: DataFrame, base: dict[str, str] = BASE, templates: dict[str, str] = TEMPLATES, min_share: float = 0.9, max_missed: int = 2, max_shift: int = 2, telling: dict[str, list[str]] = TELLING, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Row for each row of ``docs``: doc_id, n_words, spans (array of first, last, label, base, share; by first, then label).
 
-    ``base`` phrases have to stand word for word; each place is a span of share 1. Other templates are found with a share of
-    their pairs of at least ``min_share``, over diagonals at most ``max_shift`` apart. Phrases have 2 to 63 words. A null
+    ``base`` phrases have to stand word for word; each place is a span of share 1. Other templates are found, over diagonals at
+    most ``max_shift`` apart, with a share of their pairs of at least ``min_share``; or, in a span no longer than the template and
+    two shifts, with ``max_missed`` pairs missing, a third of its pairs at most, and all of its ``telling`` words. Phrases have 2 to 63 words. A null
     or empty text has no words and no spans. Repeated rows are kept and scanned each on its own; ids may be null. Very long
     texts are scanned whole; their hits spread over tasks before they are summed.
     """
-    table = _pairs(templates, base)
+    table = _pairs(templates, base, telling)
     spark = docs.sparkSession
-    lookup = spark.createDataFrame(table, "template int, label string, base boolean, size int, place int, bit long, w1 string, w2 string").withColumn("gram", F.xxhash64("w1", "w2"))
+    lookup = spark.createDataFrame(table, "template int, label string, base boolean, size int, length int, telling array<long>, place int, bit long, w1 string, w2 string").withColumn("gram", F.xxhash64("w1", "w2"))
     hashes = [r["gram"] for r in lookup.select("gram").distinct().collect()]  # as many as the templates have pairs
     rows = pick(docs, id=id_col, text=text_col).select(F.col("id").alias("doc_id"), F.monotonically_increasing_id().alias("row"), lowered(F.coalesce(F.col("text"), F.lit(""))).alias("text"))
     rows = rows.withColumn("words", F.split("text", NO_WORD)).withColumn("words", F.filter("words", lambda w: w != ""))
@@ -69,7 +83,7 @@ def scan_licenses(docs: DataFrame, base: dict[str, str] = BASE, templates: dict[
     rows = scratch(rows, "license-hits")
     hits = rows.select("row", F.explode("hits").alias("hit")).select("row", "hit.*").withColumn("gram", F.xxhash64("w1", "w2"))
     hits = hits.join(F.broadcast(lookup), ["gram", "w1", "w2"])  # the templates' pairs: as many as their words
-    votes = hits.groupBy("row", "template", "label", "base", "size", (F.col("at") - F.col("place")).alias("diagonal")).agg(
+    votes = hits.groupBy("row", "template", "label", "base", "size", "length", "telling", (F.col("at") - F.col("place")).alias("diagonal")).agg(
         F.min("at").alias("first"), (F.max("at") + 1).alias("last"), F.count(F.lit(1)).alias("votes"), F.bit_or("bit").alias("places")
     )
     exact = votes.where(F.col("base") & (F.col("votes") == F.col("size"))).select("row", "first", "last", "label", "base", F.lit(1.0).alias("share"))
@@ -77,8 +91,11 @@ def scan_licenses(docs: DataFrame, base: dict[str, str] = BASE, templates: dict[
     by_row = Window.partitionBy("row", "template").orderBy("diagonal")
     fresh = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(by_row) > max_shift, F.lit(True))
     merged = votes.where(~F.col("base")).withColumn("span", F.sum(fresh.cast("int")).over(by_row))
-    merged = merged.groupBy("row", "template", "label", "base", "size", "span").agg(F.min("first").alias("first"), F.max("last").alias("last"), F.bit_count(F.bit_or("places")).alias("got"))
-    near = merged.withColumn("share", F.round(F.col("got") / F.col("size"), 4)).where(F.col("share") >= min_share).select("row", "first", "last", "label", "base", "share")
+    merged = merged.groupBy("row", "template", "label", "base", "size", "length", "telling", "span").agg(F.min("first").alias("first"), F.max("last").alias("last"), F.bit_or("places").alias("places"))
+    got = F.bit_count("places")
+    missed = (F.col("size") - got <= F.least(F.lit(max_missed), F.floor(F.col("size") / 3))) & (F.col("last") - F.col("first") < F.col("length") + 2 * max_shift)
+    told = F.forall("telling", lambda m: F.col("places").bitwiseAND(m) != 0)
+    near = merged.withColumn("share", F.round(got / F.col("size"), 4)).where((F.col("share") >= min_share) | (missed & told)).select("row", "first", "last", "label", "base", "share")
     spans = exact.unionByName(near).groupBy("row").agg(F.array_sort(F.collect_list(F.struct("first", "last", "label", "base", "share"))).alias("spans"))
     out = rows.select("doc_id", "row", "n_words").join(spans, "row", "left")
     return out.select("doc_id", "n_words", F.coalesce("spans", F.array().cast(spans.schema["spans"].dataType)).alias("spans"))
