@@ -3,12 +3,14 @@
 Pivots split the rows into Voronoi cells. A cell's summary (its radius and longest vector) bounds the score of any of its rows
 with a query: by Cauchy-Schwarz, ``q.x <= q.p + |q| * |x - p|`` and ``q.x <= |q| * |x|``. The pivots are rows themselves, so the
 k-th best score of a query with them is a floor under its k-th best score. A query is only sent to cells whose bound reaches
-its floor; of the two sides the queries are the smaller one, so they are what is replicated. Cells are cut into blocks of
-bounded size, and each block is solved locally.
+its floor; of the two sides the queries are the smaller one, so they are what is replicated. A cell's rows are cut into blocks,
+and the queries sent to it into parts, of bounded size; a row goes once to each part of its own cell, and not at all where no
+query asks for the cell. Each block and part is solved locally.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,10 +19,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .text import arrow_schema, batch, pick, scratch
+from .text import arrow_schema, batch, list_array, pick, scratch
 
-#: rows of a cell, and queries, that meet in one task at a time
+#: rows of a cell, and queries sent to it, that meet in one task at a time
 BLOCK_ROWS, BLOCK_QUERIES = 4096, 4096
+#: pivots are the square root of the number of rows, within these bounds
+LEAST_PIVOTS, MOST_PIVOTS = 128, 2048
 
 
 def _quantised(batches: Iterator[pa.RecordBatch], schema: pa.Schema, scale: int) -> Iterator[pa.RecordBatch]:
@@ -63,11 +67,11 @@ def _assign(batches: Iterator[pa.RecordBatch], schema: pa.Schema, pivots: np.nda
             distance = (x**2).sum(axis=1)[:, None] - 2 * x @ p.T + (p**2).sum(axis=1)[None, :]
             cell = distance.argmin(axis=1)
             radius = np.sqrt(((x - p[cell]) ** 2).sum(axis=1))
-            yield batch(schema, vec_id=rows.column("vec_id"), v=rows.column("v"), cell=cell.astype(np.int32), radius=radius, norm=np.sqrt((x**2).sum(axis=1)))
+            yield batch(schema, row=rows.column("row"), vec_id=rows.column("vec_id"), v=rows.column("v"), cell=cell.astype(np.int32), radius=radius, norm=np.sqrt((x**2).sum(axis=1)))
 
 
 def _route(batches: Iterator[pa.RecordBatch], schema: pa.Schema, pivots: np.ndarray, pivot_ids: np.ndarray, cells: np.ndarray, radius: np.ndarray, norm: np.ndarray, k: int) -> Iterator[pa.RecordBatch]:
-    """A row for each query and cell that may hold one of its k best; ``floor``: a score that its k-th best reaches."""
+    """Each query with the cells that may hold one of its k best; ``floor``: a score that its k-th best reaches."""
     for whole in batches:
         for i in range(0, whole.num_rows, 1024):
             rows = whole.slice(i, 1024)
@@ -78,8 +82,9 @@ def _route(batches: Iterator[pa.RecordBatch], schema: pa.Schema, pivots: np.ndar
             length = np.sqrt((q.astype(np.float64) ** 2).sum(axis=1))[:, None]
             bound = np.minimum(score[:, cells] + length * radius[None, :], length * norm[None, :])
             bound += 1e-9 * (np.abs(score[:, cells]) + length * (radius + norm)[None, :]) + 1  # rounding
-            who, where = np.nonzero(bound >= floor[:, None])
-            yield batch(schema, query_id=rows.column("vec_id").take(pa.array(who)), q=rows.column("v").take(pa.array(who)), floor=floor[who], cell=cells[where].astype(np.int32))
+            hit = bound >= floor[:, None]
+            where = pa.array(cells[np.nonzero(hit)[1]].astype(np.int32))
+            yield batch(schema, row=rows.column("row"), query_id=rows.column("vec_id"), q=rows.column("v"), floor=floor, cells=list_array(where, hit.sum(axis=1)).cast(schema.field("cells").type))
 
 
 def _local(data: pa.Table, queries: pa.Table, schema: pa.Schema, dim: int, k: int) -> pa.Table:
@@ -100,42 +105,55 @@ def _local(data: pa.Table, queries: pa.Table, schema: pa.Schema, dim: int, k: in
     return pa.Table.from_arrays([pa.array(c) for c in columns], schema=schema)
 
 
-def top_k(vectors: DataFrame, queries_where, k: int = 5, scale: int = 256, pivots: int = 128, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+def _shares(n_rows: dict[int, int], n_queries: dict[int, int]) -> list[tuple[int, int, int]]:
+    """(cell, its blocks of rows, its parts of queries) of the cells that a query asks for."""
+    return [(cell, n_rows[cell] // BLOCK_ROWS + 1, n // BLOCK_QUERIES + 1) for cell, n in sorted(n_queries.items())]
+
+
+def _dealt(placed: DataFrame, routes: DataFrame, shares: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows and queries by (cell, block, part): a row in one block and all parts of its cell, a query in one part and all blocks."""
+    data = placed.join(F.broadcast(shares), "cell")  # at most a row for each pivot
+    data = data.select("cell", F.pmod(F.xxhash64("row"), "blocks").alias("block"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), "vec_id", "v")
+    sent = routes.withColumn("cell", F.explode("cells")).join(F.broadcast(shares), "cell")
+    sent = sent.select("cell", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), F.pmod(F.xxhash64("row"), "parts").alias("part"), "query_id", "q", "floor")
+    return data, sent
+
+
+def top_k(vectors: DataFrame, queries_where, k: int = 5, scale: int = 256, pivots: int | None = None, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """For each row that ``queries_where`` (a function of the id column) holds for: its ``k`` best other rows by score.
 
     Columns: query_id, rank (from 1), vec_id, score; ties go to the smaller vec_id; all rows if there are fewer than k. A
-    vector that is null, or has a null or non-finite component, takes no part, nor does a row with a null id. Of rows with the
-    same id one counts (the first by its bytes). Vectors of different length are filled up with zeros. Components are scaled, floored
-    and have to stay in the range of 64-bit integers. No rows: no result. ``pivots`` rows (the smallest by a hash of the
-    id) are gathered on the driver; their number bounds what is broadcast, and doesn't bound the search.
+    vector that is null, or has a null or non-finite component, takes no part, nor does a row with a null id. Rows that share an
+    id are all candidates of other ids' queries; those of a query's id are its own, and queries with one id are ranked together. Vectors of
+    different length are filled up with zeros. Components are scaled, floored and have to stay in the range of 64-bit integers.
+    No rows: no result. ``pivots`` rows (the smallest by a hash of the id; by default between LEAST_PIVOTS and MOST_PIVOTS) are
+    gathered on the driver; their number bounds what is broadcast, and doesn't bound the search.
     """
     rows = pick(vectors, vec_id=id_col, vector=vector_col).select(F.col("vec_id").cast("long").alias("vec_id"), "vector").where("vec_id is not null and vector is not null")
     ddl = "vec_id long, v binary"
     schema = arrow_schema(ddl)
-    flat = rows.mapInArrow(lambda b: _quantised(b, schema, scale), ddl).groupBy("vec_id").agg(F.min("v").alias("v"))
+    flat = rows.mapInArrow(lambda b: _quantised(b, schema, scale), ddl).withColumn("row", F.monotonically_increasing_id())
     flat = scratch(flat, "knn-vectors")
     spark = vectors.sparkSession
-    result = "query_id long, rank int, vec_id long, score long"
-    chosen = flat.orderBy(F.xxhash64("vec_id"), "vec_id").limit(pivots).collect()
+    n, dim = flat.agg(F.count(F.lit(1)), F.coalesce(F.max(F.octet_length("v")), F.lit(0)) / 8).first()
+    pivots = pivots or min(max(math.isqrt(n), LEAST_PIVOTS), MOST_PIVOTS)
+    chosen = flat.orderBy(F.xxhash64("vec_id"), "vec_id", "row").limit(pivots).collect()
     if not chosen:
-        return spark.createDataFrame([], result)
-    dim = (flat.agg(F.max(F.octet_length("v"))).first()[0] or 0) // 8
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    dim = int(dim)
     pivot_ids, pivot = np.array([r["vec_id"] for r in chosen]), _matrix([bytes(r["v"]) for r in chosen], dim)
-    cell_ddl = "vec_id long, v binary, cell int, radius double, norm double"
+    cell_ddl = "row long, vec_id long, v binary, cell int, radius double, norm double"
     cell_schema = arrow_schema(cell_ddl)
     placed = scratch(flat.mapInArrow(lambda b: _assign(b, cell_schema, pivot), cell_ddl), "knn-cells")
     summary = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("radius").alias("radius"), F.max("norm").alias("norm")).orderBy("cell").collect()  # a row for each pivot at most
     cells, radius, norm = (np.array([r[c] for r in summary]) for c in ("cell", "radius", "norm"))
-    asked = placed.where(queries_where(F.col("vec_id"))).select("vec_id", "v")
-    route_ddl = "query_id long, q binary, floor long, cell int"
+    asked = placed.where(queries_where(F.col("vec_id"))).select("row", "vec_id", "v")
+    route_ddl = "row long, query_id long, q binary, floor long, cells array<int>"
     route_schema = arrow_schema(route_ddl)
-    sent = asked.mapInArrow(lambda b: _route(b, route_schema, pivot, pivot_ids, cells, radius, norm, k), route_ddl)
-    query_blocks = asked.count() // BLOCK_QUERIES + 1
-    blocks = spark.createDataFrame([(r["cell"], r["n"] // BLOCK_ROWS + 1) for r in summary], "cell int, blocks long")
-    data = placed.join(F.broadcast(blocks), "cell")  # a row for each pivot
-    data = data.select("cell", F.pmod(F.xxhash64("vec_id"), "blocks").alias("block"), "vec_id", "v").withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
-    sent = sent.join(F.broadcast(blocks), "cell").withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    sent = sent.select("cell", "block", "query_id", "q", "floor", F.pmod(F.xxhash64("query_id"), F.lit(query_blocks)).cast("int").alias("part"))
+    routes = scratch(asked.mapInArrow(lambda b: _route(b, route_schema, pivot, pivot_ids, cells, radius, norm, k), route_ddl), "knn-routes")
+    n_queries = {r["cell"]: r["n"] for r in routes.select(F.explode("cells").alias("cell")).groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row for each pivot at most
+    shares = spark.createDataFrame(_shares({r["cell"]: r["n"] for r in summary}, n_queries), "cell int, blocks long, parts long")
+    data, sent = _dealt(placed, routes, shares)
     key = ["cell", "block", "part"]
     out_ddl = "query_id long, vec_id long, score long"
     out_schema = arrow_schema(out_ddl)
