@@ -1,6 +1,7 @@
 import llm_brute as brute
 import numpy as np
 import pytest
+import xxhash
 from llm_rows import EDGE, SF
 from pyspark.sql import functions as F
 
@@ -79,6 +80,33 @@ def test_a_template_with_a_word_too_many_is_found(spark):
     assert [[s["label"] for s in r["spans"]] for r in got.orderBy("doc_id").collect()] == [["mit"], []]
 
 
+@pytest.mark.parametrize(
+    ("text", "labels"),
+    [
+        ("Licensed under the Apache License, Version 2.0", ["apache-2.0"]),
+        ("Licensed under the Apache License, Version 3.0", ["apache-2.0"]),
+        ("licensed under the new apache license version 2 0", ["apache-2.0"]),
+        ("licensed under apache license version 2 0", ["apache-2.0"]),
+        ("released under mit license", ["mit"]),
+        ("released under the new MIT license", ["mit"]),
+        ("distributed under the mit license", ["mit"]),
+        ("released under the old license", []),
+        ("licensed under the gnu general public license, version 3", ["gpl", "gpl-3.0"]),
+        ("licensed under the gnu general public license, version 4", ["gpl"]),
+        ("licensed under the gnu lesser general public license, version 3", ["gpl"]),
+        ("licensed under gnu general public license version 2", ["gpl", "gpl-2.0"]),
+        ("licensed under cc by 4.0", ["cc-by"]),
+        ("licensed under cc by-nc 3.0", ["cc-by", "cc-by-nc-4.0"]),
+        ("subject to the terms of the eclipse public license", []),
+        ("subject to terms of the mozilla public license", ["mpl"]),
+        ("subject to the terms of it and to the license of a public park", []),
+    ],
+)
+def test_one_word_changed_missing_or_too_many_at_the_defaults(spark, text, labels):
+    docs = spark.createDataFrame([(1, f"some words before {text} and some after")], "doc_id long, text string")
+    assert sorted({s["label"] for s in license_scan.scan_licenses(docs).first()["spans"]}) == labels
+
+
 def test_pii_matches_brute_force(spark, edge):
     for docs in (spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), edge):
         texts = {r["doc_id"]: r["text"] for r in pick(docs, doc_id="doc_id", text="text").collect()}
@@ -160,6 +188,45 @@ def test_sharding_of_no_rows_and_repeated_rows(spark, empty):
     assert len({(r["shard"], r["slot"]) for r in got.collect()}) == 30
 
 
+def _sorted_like_shards(rows):
+    """Rows (id, text) as (key, place, id, size), by the order that shards are cut from."""
+    out = []
+    for i, t in rows:
+        body = (t or "").encode()
+        out.append((xxhash.xxh64(body, seed=42).intdigest() >> 1, 0 if i is None else (i + (1 << 63)) >> 1, -(1 << 63) if i is None else i, len(body) + 1))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("task_rows", [1 << 16, 40])
+@pytest.mark.parametrize("shards", [1, 3, 8])
+def test_shards_match_brute_force(spark, small_rows, monkeypatch, shards, task_rows):
+    monkeypatch.setattr(sharding, "TASK_ROWS", task_rows)
+    rows = small_rows + [(100_000 + i, "same text") for i in range(400)] + [(200_000 + i, None) for i in range(150)] + [(None, "no id"), (7_000_000, "x" * 30_000)]
+    got = sharding.histogram_shards(spark.createDataFrame(rows, "doc_id long, text string"), shards, tolerance=0.01).collect()
+    got = sorted((r["shard"], r["slot"], r["doc_id"], r["size"]) for r in got)
+    want = _sorted_like_shards(rows)
+    assert [(-(1 << 63) if i is None else i, size) for _, _, i, size in got] == [(i, size) for _, _, i, size in want]
+    total, below, slot, boundary, last = sum(r[3] for r in want), 0, 0, 0, 0
+    for shard, at, _, size in got:
+        while boundary < shard:  # the row that begins a shard: its boundary is near the target, or inside the row that holds it
+            boundary, slot = boundary + 1, 0
+            assert abs(below - total * boundary / shards) <= max(0.01 * total / shards, size, last) + 1
+        assert at == slot
+        below, slot, last = below + size, slot + 1, size
+    assert boundary == shards - 1
+
+
+def test_a_third_of_rows_without_text_spreads_over_tasks(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "TASK_ROWS", 50)
+    dealt = {}
+    written = sharding.scratch
+    monkeypatch.setattr(sharding, "scratch", lambda df, name: dealt.setdefault(name, written(df, name)))
+    docs = spark.createDataFrame([(i, None if i % 3 == 0 else f"text {i} " * 40) for i in range(3000)], "doc_id long, text string")
+    assert sharding.histogram_shards(docs, 4).count() == 3000
+    counts = [r["count"] for r in dealt["shard-rows"].groupBy("task").count().collect()]
+    assert max(counts) <= 100 and sum(counts) == 3000
+
+
 # ---------------------------------------------------------------- top-k
 def _brute_top_k(rows, every, k, scale=256):
     import math
@@ -194,6 +261,31 @@ def test_top_k_edge_rows(spark, monkeypatch):
     assert sorted(map(tuple, knn.top_k(three, lambda i: i == 0, 5).collect())) == [(0, 1, 1, 131072), (0, 2, 2, 0)]
 
 
+def test_repeated_ids_are_candidates(spark):
+    rows = [(i, [float(i % 7), 1.0]) for i in range(20)] + [(13, [9.0, 9.0]), (13, [9.0, 9.0]), (14, [5.0, -1.0]), (10, [0.0, 3.0])]
+    got = knn.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), lambda i: i % 10 == 0, 5)
+    want = []
+    for q in (0, 10):
+        scores = sorted((-int(256 * 256 * (a[0] * b[0] + a[1] * b[1])), i) for j, a in rows if j == q for i, b in rows if i != q)[:5]
+        want += [(q, rank, i, -s) for rank, (s, i) in enumerate(scores, 1)]
+    assert sorted(map(tuple, got.collect())) == want
+
+
+def test_rows_go_only_to_the_parts_that_ask_for_their_cell(spark, monkeypatch):
+    monkeypatch.setattr(knn, "BLOCK_QUERIES", 10)
+    assert knn._shares({0: 100, 1: 9000, 2: 5}, {1: 25, 2: 3}) == [(1, 3, 3), (2, 1, 1)]
+    # two clusters; all queries, of many parts, are in the first one and have their best there
+    rows = [(i, [100.0 + i % 5, 1.0]) for i in range(400)] + [(1000 + i, [-100.0, float(i % 3)]) for i in range(400)]
+    shipped = []
+    dealt = knn._dealt
+    monkeypatch.setattr(knn, "_dealt", lambda *a: shipped.append(dealt(*a)) or shipped[-1])
+    e = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = knn.top_k(e, lambda i: (i < 400) & (i % 2 == 0), 5, pivots=60)
+    data, sent = shipped[0]
+    assert data.where("vec_id >= 1000").count() == 0 and sent.select("part").distinct().count() > 1
+    assert got.count() == 1000 and got.where("vec_id >= 1000").count() == 0
+
+
 # ---------------------------------------------------------------- decontamination
 ITEM = "A train leaves Berlin with 5 wagons and travels 120 km before it picks up 5 more wagons near the old harbour station"
 
