@@ -10,6 +10,9 @@ that opens a sentence, what stands before a copy, and letter case can't hide it.
 
 Before the join, documents' windows pass a bitmap of the items' window hashes. The bitmap has ``1 << BITMAP_BITS`` bits however
 large the benchmark is; a larger benchmark only lets more windows through to the join, and never loses one.
+
+Boilerplate that many documents and many items have is not joined window by window: an item can only be held by a document
+that has one of the item's rarest windows (``_probes``), so those alone choose the pairs whose windows then meet.
 """
 
 from __future__ import annotations
@@ -18,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .text import ALNUM, arrow_schema, batch, byte_class, chunks, gram_starts, list_array, LOWER, pick, ranges, run_hash, scratch, tidy, window_hash, words
@@ -162,6 +165,36 @@ def _of_documents(batches: Iterator[pa.RecordBatch], schema: pa.Schema, sizes: l
                     )
 
 
+def _probes(known: DataFrame, found: DataFrame, min_coverage: float) -> DataFrame:
+    """Windows of which a document needs one at least to hold the item: size, h, item_id, item_key.
+
+    Of an item's W windows in a form, a document needs ``ceil(min_coverage * W)``; so of any W + 1 less that number, it has one.
+    Taken are those that the fewest windows of all documents equal. A window that no document has is rarest, and drops out.
+    """
+    times = found.groupBy("size", "h").agg(F.count(F.lit(1)).alias("times"))
+    counted = known.select("item_id", "item_key", "form", "size", "h", "place", "windows").join(times, ["size", "h"], "left").fillna(0, "times")
+    # coverage is rounded to four places before it is compared, so a little less may do
+    needed = F.greatest(F.ceil(F.col("windows") * (min_coverage - 0.0001)), F.lit(1))
+    rarest = Window.partitionBy("item_id", "item_key", "form").orderBy("times", "h", "place")
+    picked = counted.withColumn("nth", F.row_number().over(rarest)).where((F.col("nth") <= F.col("windows") - needed + 1) & (F.col("times") > 0))
+    return picked.select("size", "h", "item_id", "item_key").distinct()
+
+
+def _hits(found: DataFrame, known: DataFrame, min_coverage: float) -> DataFrame:
+    """Equal windows of documents and items, for the pairs that a probe has chosen.
+
+    Both joins that follow go by keys with the window's hash or the item in them, and a pair meets at most the item's windows,
+    so neither a long document nor a common window is one task's work.
+    """
+    probes = _probes(known, found, min_coverage)
+    pairs = found.select("doc_id", "doc_key", "size", "h").join(probes, ["size", "h"]).select("doc_id", "doc_key", "item_id", "item_key").distinct()
+    pairs = pairs.toDF("_doc_id", "_doc_key", "_item_id", "_item_key")
+    wanted = pairs.join(known, F.col("_item_id").eqNullSafe(F.col("item_id")) & (F.col("_item_key") == F.col("item_key"))).drop("_item_id", "_item_key")
+    wanted = wanted.withColumnsRenamed({"size": "_size", "h": "_h"})
+    same = F.col("_doc_id").eqNullSafe(F.col("doc_id")) & (F.col("_doc_key") == F.col("doc_key")) & (F.col("_size") == F.col("size")) & (F.col("_h") == F.col("h"))
+    return found.join(wanted, same).drop("_doc_id", "_doc_key", "_size", "_h")
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, size: int = 8, literals: float = 0.6, min_coverage: float = 0.5, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """Row for each document and item whose template it holds: doc_id, item_id, n_windows (of the item, found), coverage,
     n_changed (distinct values that differ), kind (``exact`` or ``changed``), first_word (of the document, from 0).
@@ -185,9 +218,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, size: int = 8, literals: f
     rows = pick(docs, id=id_col, text=text_col).where("text is not null").withColumn("key", F.xxhash64("text"))
     doc_ddl = f"doc_id {rows.schema['id'].dataType.simpleString()}, doc_key long, size int, h long, at long, doc_slots array<long>"
     doc_schema = arrow_schema(doc_ddl)
-    found = rows.mapInArrow(lambda b: _of_documents(b, doc_schema, sizes, literals, bitmap), doc_ddl)
-    hits = found.join(known, ["size", "h"])
-    hits = hits.withColumn("diagonal", F.col("at") - F.col("place")).withColumn("pairs", F.arrays_zip(F.col("item_slots").alias("item"), F.col("doc_slots").alias("doc")))
+    found = scratch(rows.mapInArrow(lambda b: _of_documents(b, doc_schema, sizes, literals, bitmap), doc_ddl), "document-windows")
+    hits = _hits(found, known, min_coverage).withColumn("diagonal", F.col("at") - F.col("place")).withColumn("pairs", F.arrays_zip(F.col("item_slots").alias("item"), F.col("doc_slots").alias("doc")))
     # a diagonal lines each word of the item up with one word, so what is gathered is bounded by the item's length
     gathered = []
     for f in FORMS:

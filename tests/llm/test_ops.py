@@ -2,7 +2,7 @@ import llm_brute as brute
 import numpy as np
 import pytest
 import xxhash
-from llm_rows import EDGE, SF
+from llm_rows import EDGE, SF, prose
 from pyspark.sql import functions as F
 
 from rawmart.llm import decontam, knn, langid, license_scan, pii, queries, sentence_pieces, sharding
@@ -329,6 +329,28 @@ def test_texts_that_share_an_id_do_not_hide_a_copy(spark):
     assert _leaks(spark, [(1, ITEM), (1, other)], [(10, ITEM)]) == {(1, 10): "exact"}
 
 
+def test_boilerplate_of_many_items_and_documents_chooses_no_pairs(spark, monkeypatch):
+    shared = "read the passage below and answer the question that follows in one short sentence please"  # 9 of each item's 37 windows
+    items = [(i, f"{shared} {prose(30, 100 + i)}") for i in range(30)]
+    docs = [(i, f"{shared} {prose(40, 300 + i)}") for i in range(40)] + [(100 + i, f"intro {text} outro") for i, text in items[:3]]
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    assert _leaks(spark, docs, items) == {(100 + i, i): "exact" for i in range(3)}
+    seen, hits = {}, decontam._hits
+    monkeypatch.setattr(decontam, "_hits", lambda found, known, c: seen.setdefault("hits", hits(found, known, c)))
+    decontam.find_leaks(d, b).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in seen["hits"].select("doc_id", "item_id").distinct().collect()} == {(100 + i, i) for i in range(3)}
+
+
+@pytest.mark.parametrize("coverage", [0.2, 0.5, 0.9, 1.0])
+def test_probes_lose_no_pair(spark, monkeypatch, coverage):
+    items = [(i, prose(9 + i % 5, i % 7)) for i in range(14)] + [(None, prose(20, 3)), (99, "Tom has 5 apples and Tom eats 2 of them in 3 days")]
+    docs = [(i, f"{prose(12 + i, i % 7)[9 * (i % 3):]} and {prose(20, 3)[: 9 * i]}") for i in range(20)] + [(None, prose(30, 3)), (50, "Ann has 7 apples and Ann eats 4 of them in 9 days")]
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = sorted(map(str, decontam.find_leaks(d, b, min_coverage=coverage).collect()))
+    monkeypatch.setattr(decontam, "_hits", lambda found, known, c: found.join(known, ["size", "h"]))
+    assert got == sorted(map(str, decontam.find_leaks(d, b, min_coverage=coverage).collect())) and got
+
+
 def test_leaks_of_the_table_match_whole_items(spark):
     docs = {r["doc_id"]: brute.ALNUM_WORD.findall(r["text"].lower()) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
     items = {r["item_id"]: brute.ALNUM_WORD.findall(r["text"].lower()) for r in spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet").collect()}
