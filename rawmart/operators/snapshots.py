@@ -12,13 +12,17 @@ runs it again on the newer version. So overlapping runs end as if they had run o
 A commit file has a line's worth of text for each folder in use, that is for each partition and each append since the last
 ``compact``; it is read and written by the driver. Its making relies on a file system whose rename or link fails when the target
 exists (HDFS, local disks); object stores need a connector that has such a rename.
+
+A table may be bucketed by its upsert keys (J6, J7). The rows of a key then lie in the same bucket of every version, so an upsert
+shuffles its source only: the touched partitions of the target are read bucket by bucket, joined, and written as the same buckets.
 """
 
 from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +33,7 @@ from rawmart.operators.merge import merge_plan
 from rawmart.session import create_once, delete_path, list_names, modified_ms, path_exists, read_text, scratch_path, scratch_scope
 
 COMMIT_COL = "_commit"
+NULL_PART = "=__HIVE_DEFAULT_PARTITION__"
 
 
 class Conflict(Exception):
@@ -50,11 +55,20 @@ class Entry:
         return self.commit, self.folder
 
 
+@dataclass
+class Buckets:
+    """Rows lie in ``n`` buckets by the hash of ``keys``; a task reads one bucket of all partitions that are read at once."""
+
+    n: int
+    keys: list[str]
+
+
 @dataclass
 class Table:
     part: str
     schema: StructType
     entries: list[Entry] = field(default_factory=list)
+    buckets: Buckets | None = None
 
     def folders(self, names: set[str] | None = None) -> dict[str, set[tuple[str, str]]]:
         out: dict[str, set[tuple[str, str]]] = {}
@@ -71,13 +85,14 @@ class State:
     streams: dict[str, int] = field(default_factory=dict)
 
     def to_json(self) -> str:
-        tables = {n: {"part": t.part, "schema": t.schema.jsonValue(), "entries": [[e.commit, e.folder, e.rows, e.stats] for e in t.entries]} for n, t in self.tables.items()}
+        tables = {n: {"part": t.part, "schema": t.schema.jsonValue(), "entries": [[e.commit, e.folder, e.rows, e.stats] for e in t.entries], "buckets": t.buckets and [t.buckets.n, t.buckets.keys]} for n, t in self.tables.items()}
         return json.dumps({"version": self.version, "tables": tables, "streams": self.streams})
 
     @staticmethod
     def of(text: str) -> State:
         raw = json.loads(text)
-        tables = {n: Table(t["part"], StructType.fromJson(t["schema"]), [Entry(*e) for e in t["entries"]]) for n, t in raw["tables"].items()}
+        buckets = {n: Buckets(*t["buckets"]) if t.get("buckets") else None for n, t in raw["tables"].items()}
+        tables = {n: Table(t["part"], StructType.fromJson(t["schema"]), [Entry(*e) for e in t["entries"]], buckets[n]) for n, t in raw["tables"].items()}
         return State(raw["version"], tables, raw["streams"])
 
 
@@ -114,6 +129,31 @@ class Store:
         paths = [f"{self.data(table)}/{COMMIT_COL}={e.commit}/{e.folder}" for e in own]
         return self.spark.read.schema(schema).option("basePath", self.data(table)).parquet(*paths).select(*t.schema.fieldNames())
 
+    @contextmanager
+    def read_buckets(self, table: str, state: State, folders: set[str]) -> Iterator[DataFrame | None]:
+        """Partitions ``folders`` of a bucketed table as a scan that Spark knows to be partitioned by the keys; None if it can't be.
+
+        Only the catalog can tell a scan its buckets, so an external table that names the folders stands there meanwhile.
+        Rows without a partition value, and partitions in several folders, have no such form.
+        """
+        t = state.tables[table]
+        own = [e for e in t.entries if e.folder in folders]
+        plain = t.buckets is None or not own or len({e.folder for e in own}) < len(own) or any(e.folder.endswith(NULL_PART) for e in own)
+        if plain:
+            yield None
+            return
+        name, home = f"bucketed_{uuid.uuid4().hex}", scratch_path(self.spark, f"materialized/bucketed-{uuid.uuid4().hex}")
+        try:
+            empty = self.spark.createDataFrame([], t.schema).write.format("parquet").partitionBy(t.part)
+            empty.bucketBy(t.buckets.n, *t.buckets.keys).option("path", home).saveAsTable(name)
+            quoted = lambda text: "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+            at = [f"PARTITION (`{t.part}` = {quoted(_unquoted(e.folder.split('=', 1)[1]))}) LOCATION {quoted(f'{self.data(table)}/{COMMIT_COL}={e.commit}/{e.folder}')}" for e in own]
+            self.spark.sql(f"ALTER TABLE {name} ADD {' '.join(at)}")
+            yield self.spark.table(name).select(*t.schema.fieldNames())
+        finally:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")  # an external table's files stay
+            delete_path(self.spark, home)
+
     def begin(self) -> Transaction:
         return Transaction(self)
 
@@ -193,7 +233,9 @@ class Transaction:
         return self.store.read(table, state=self.state, folders=folders)
 
     def append(self, table: str, rows: DataFrame, part: str, cluster: Sequence[str] = (), stats: Sequence[str] = ()) -> list[Entry]:
-        """Add rows; appends of several transactions never conflict."""
+        """Add rows; appends of several transactions never conflict. A bucketed table takes no appends, as its partitions are one folder each."""
+        if (t := self.state.tables.get(table)) is not None and t.buckets is not None:
+            raise ValueError(f"{table} is bucketed; upsert or replace")
         return self._write(table, rows, part, cluster, stats, replace=False).entries
 
     def replace(self, table: str, rows: DataFrame, part: str, cluster: Sequence[str] = (), stats: Sequence[str] = (), reads: set[str] = frozenset()) -> list[Entry]:
@@ -202,12 +244,19 @@ class Transaction:
             self.reads.setdefault(table, set()).update(reads)
         return self._write(table, rows, part, cluster, stats, replace=True).entries
 
-    def upsert(self, table: str, source: DataFrame, keys: Sequence[str], part: str, cluster: Sequence[str] = (), recency: Sequence[str] | None = None, stats: Sequence[str] = ()) -> set[str]:
+    def upsert(self, table: str, source: DataFrame, keys: Sequence[str], part: str, cluster: Sequence[str] = (), recency: Sequence[str] | None = None, stats: Sequence[str] = (), buckets: int | None = None) -> set[str]:
         """Upsert key-unique ``source`` by ``keys``, of which ``part`` is a function. Returns the partitions (``part=value``) it has rows in.
 
         The source is written once, by partition, which names the touched partitions without collecting a value. With ``recency`` a
-        matched row is replaced only by one that is not older; both sides then meet in a single join.
+        matched row is replaced only by one that is not older; both sides then meet in a single join. ``buckets`` lays a new table
+        out in that many buckets by ``keys`` (``part`` not among them); later upserts keep them and shuffle the source alone.
         """
+        known = self.state.tables.get(table)
+        layout = known.buckets if known is not None else Buckets(buckets, list(keys)) if buckets else None
+        if buckets and layout != Buckets(buckets, list(keys)):
+            raise ValueError(f"{table} has the layout {layout}, not {buckets} buckets by {list(keys)}")
+        if layout is not None and part in layout.keys:
+            raise ValueError(f"{part} can't be a bucket key and the partition")
         path = scratch_path(self.spark, f"materialized/upsert-{self.id}-{self._next()}")
         try:
             source.hint("rebalance", part).write.mode("errorifexists").partitionBy(part).parquet(path)
@@ -217,18 +266,20 @@ class Transaction:
             src = self.spark.read.schema(source.schema).parquet(path).select(*source.columns)
             target = self.read(table, touched)
             if target is None:
-                merged = src
-            else:
-                target = _with_columns_of(target, src)
+                self._write(table, src, part, cluster, stats, replace=True, buckets=layout)
+                return touched
+            with self.store.read_buckets(table, self.state, touched) as bucketed:
+                target = _with_columns_of(target if bucketed is None else bucketed, src)
+                src = src if bucketed is None else src.repartition(layout.n, *layout.keys)
                 merged = merge_plan(target, src, keys) if recency is None else merge_newest(target, _with_columns_of(src, target), keys, recency)
-            self._write(table, merged, part, cluster, stats, replace=True)
+                self._write(table, merged, part, cluster, stats, replace=True, buckets=layout, laid_out=bucketed is not None)
             return touched
         finally:
             delete_path(self.spark, path)
 
     def gained(self, table: str) -> DataFrame | None:
         """The rows this transaction has written to a table; None if there are none."""
-        own = [Table(t.part, t.schema, t.entries) for n, t, _ in self.added if n == table and t.entries]
+        own = [t for n, t, _ in self.added if n == table and t.entries]
         if not own:
             return None
         schema = own[0].schema
@@ -254,10 +305,12 @@ class Transaction:
             for table, gain, replaced in self.added:
                 t = now.tables.get(table)
                 if t is None:
-                    now.tables[table] = Table(gain.part, gain.schema, list(gain.entries))
+                    now.tables[table] = Table(gain.part, gain.schema, list(gain.entries), gain.buckets)
                     continue
                 if t.part != gain.part:
                     raise ValueError(f"{table} is partitioned by {t.part}, not {gain.part}")
+                if t.buckets != gain.buckets:
+                    raise ValueError(f"{table} has the layout {t.buckets}, not {gain.buckets}")
                 t.schema = evolved(t.schema, gain.schema)
                 t.entries = [e for e in t.entries if e.folder not in replaced] + gain.entries
             now.streams.update(self.marks)
@@ -271,16 +324,28 @@ class Transaction:
         self._n += 1
         return self._n
 
-    def _write(self, table: str, rows: DataFrame, part: str, cluster: Sequence[str], stats: Sequence[str], replace: bool) -> Table:
+    def _write(self, table: str, rows: DataFrame, part: str, cluster: Sequence[str], stats: Sequence[str], replace: bool, buckets: Buckets | None = None, laid_out: bool = False) -> Table:
+        """``laid_out``: the rows of a bucket come from few tasks already, so they are written as they are."""
+        if buckets is None and (t := self.state.tables.get(table)) is not None:
+            buckets = t.buckets
         commit = f"{self.id}-{self._next()}"
         path = f"{self.store.data(table)}/{COMMIT_COL}={commit}"
-        out = rows.hint("rebalance", part)
-        out = out.sortWithinPartitions(part, *cluster) if cluster else out
-        out.write.mode("errorifexists").partitionBy(part).parquet(path)
+        if buckets is None:
+            out = rows.hint("rebalance", part)
+            out = out.sortWithinPartitions(part, *cluster) if cluster else out
+            out.write.mode("errorifexists").partitionBy(part).parquet(path)
+        else:
+            out = rows if laid_out else rows.repartition(buckets.n, *buckets.keys)
+            name = f"bucketed_{uuid.uuid4().hex}"
+            writer = out.write.format("parquet").partitionBy(part).bucketBy(buckets.n, *buckets.keys).option("path", path)
+            try:
+                (writer.sortBy(*cluster) if cluster else writer).saveAsTable(name)
+            finally:
+                self.spark.sql(f"DROP TABLE IF EXISTS {name}")  # an external table's files stay
         columns = [f for f in rows.schema.fields if f.name != part] + [f for f in rows.schema.fields if f.name == part]
         schema = StructType([type(f)(f.name, f.dataType, True) for f in columns])
         names = [n for n in list_names(self.spark, path) if "=" in n]
-        gain = Table(part, schema, self._entries(path, commit, schema, stats) if names else [])
+        gain = Table(part, schema, self._entries(path, commit, schema, stats) if names else [], buckets)
         self.added.append((table, gain, set(names) if replace else set()))
         return gain
 
@@ -315,7 +380,7 @@ def _unquoted(name: str) -> str:
 def _with_columns_of(rows: DataFrame, other: DataFrame) -> DataFrame:
     """``rows`` with a null column for each that only ``other`` has."""
     new = [f for f in other.schema.fields if f.name not in rows.columns]
-    return rows.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in new])
+    return rows if not new else rows.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in new])
 
 
 def evolved(old: StructType, new: StructType) -> StructType:

@@ -44,6 +44,19 @@ def upsert_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read("staging/t").select(*S.STG_INDICATOR.fieldNames())
 
 
+@register("upsert_bucketed", _STG_IND + "\nSELECT * FROM stg")
+def upsert_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``upsert_snapshot``, into a table bucketed by its keys, so that every upsert shuffles its source only."""
+    store = _store(spark, "upsert_bucketed")
+    raw = _raw_indicator(spark, sf_dir)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for part in (2, 0, 1, 1):
+        source = zones.stg_indicator_source(raw.where(F.dayofmonth("ingested_at") % 3 == part), keep_order=True)
+        rows = zones.with_partition(source, "indicator")
+        transact(store, lambda txn: txn.upsert("staging/t", rows, S.INDICATOR_KEYS, S.INDICATOR_PART, ["country_iso3"], recency=(zones.ORDER_COL,), buckets=buckets))  # noqa: B023
+    return store.read("staging/t").select(*S.STG_INDICATOR.fieldNames())
+
+
 @register("versioned_run", f"{_BOTH}")
 def versioned_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O1: two runs, the older days after the newer ones, each as one commit; both marts of the newest version."""

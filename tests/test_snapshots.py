@@ -197,3 +197,49 @@ def test_freshness_reads_no_data(spark, scratch):
     shutil.rmtree(store.data("raw/t"))
     got = snapshots.freshness(store, {"t": "raw/t", "none": "raw/none"}, "2031-01-02 05:00:00", 3).collect()
     assert [(r["source"], r["age_hours"], r["is_stale"]) for r in got] == [("t", 2.0, False), ("none", None, True)]
+
+
+# ---------------------------------------------------------------- buckets
+def put_bucketed(store, data, buckets=4, recency=("at",)):
+    src = frame(store.spark, data)
+    return transact(store, lambda txn: txn.upsert(T, src, ["k", "v"], "p", ["k"], recency, stats=["k"], buckets=buckets))
+
+
+@pytest.mark.parametrize("recency", [("at",), None])
+def test_bucketed_upserts_equal_plain_ones(spark, scratch, recency):
+    batches = [[(f"k{i % 23}", i % 3, i % 23, i) for i in range(b, b + 40) if i % 23 >= b % 7] for b in (0, 20, 7)]
+    batches = [list({(k, v): (k, v % 3, v, at) for k, _, v, at in batch}.values()) for batch in batches] + [[(None, 1, 4, 1), ("it's a\\b", 2, 2, 5), ("x", None, 3, 1)]] * 2
+    plain, other = Store(spark, f"{scratch}/plain"), Store(spark, f"{scratch}/bucketed")
+    for batch in batches:
+        transact(plain, lambda txn: txn.upsert(T, frame(spark, batch), ["k", "v"], "p", ["k"], recency))  # noqa: B023
+        put_bucketed(other, batch, recency=recency)
+        assert now(other) == now(plain)
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("bucketed_")]
+
+
+def test_a_bucketed_upsert_shuffles_the_source_only(spark, scratch):
+    store = Store(spark, scratch)
+    put_bucketed(store, [(f"k{i}", i % 2, i, 1) for i in range(500)], buckets=6)
+    txn = store.begin()
+    source = frame(spark, [(f"k{i}", i % 2, i, 2) for i in range(0, 500, 3)]).repartition(6, "k", "v")
+    with store.read_buckets(T, txn.state, {"p=0", "p=1"}) as target:
+        merged = snapshots.merge_newest(target, source, ["k", "v"], ["at"])
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+        assert "SelectedBucketsCount: 6 out of 6" in plan and plan.count("Exchange") == 1 and "REPARTITION_BY_NUM" in plan
+        assert merged.count() == 500 and merged.where("at = 2").count() == 167
+    names = [n for _, _, files in os.walk(f"{scratch}/data/{T}") for n in files if n.endswith(".parquet")]
+    assert len(names) <= 2 * 6  # at most one file for each bucket and partition
+
+
+def test_a_layout_is_kept(spark, scratch):
+    store = Store(spark, scratch)
+    put_bucketed(store, [("a", 1, 1, 1)])
+    with pytest.raises(ValueError, match="layout"):
+        put_bucketed(store, [("a", 1, 1, 2)], buckets=5)
+    with pytest.raises(ValueError, match="bucketed"):
+        transact(store, lambda txn: txn.append(T, frame(spark, [("b", 1, 2, 1)]), "p"))
+    with pytest.raises(ValueError, match="partition"):
+        transact(store, lambda txn: txn.upsert("staging/u", frame(spark, [("b", 1, 2, 1)]), ["k", "p"], "p", buckets=2))
+    transact(store, lambda txn: txn.upsert(T, frame(spark, [("a", 1, 1, 3)]), ["k", "v"], "p", recency=["at"]))  # the layout need not be named again
+    transact(store, lambda txn: txn.replace(T, frame(spark, [("z", 2, 9, 1)]), "p"))
+    assert now(store) == [("a", 1, 1, 3), ("z", 2, 9, 1)] and store.state().tables[T].buckets == snapshots.Buckets(4, ["k", "v"])
