@@ -106,7 +106,7 @@ def run_once(
     tz: str = "UTC",
     enabled_variants: Sequence[str] = X.VARIANTS,
     measures: Sequence[str] = DEFAULT_MEASURES,
-    indicator_ids: Sequence[str] | None = None,
+    indicator_ids: Sequence[str] | DataFrame | None = None,
     strict: bool = False,
 ) -> list[str]:
     """O1: one run as one commit; arguments as those of ``plans.job.run_job``. Returns the raw tables that gained rows.

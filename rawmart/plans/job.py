@@ -111,19 +111,20 @@ def build_batches(
     ingested_at: str | None,
     enabled_variants: Sequence[str] = X.VARIANTS,
     measures: Sequence[str] = DEFAULT_MEASURES,
-    indicator_ids: Sequence[str] | None = None,
+    indicator_ids: Sequence[str] | DataFrame | None = None,
     strict: bool = False,
 ) -> dict[str, Batch]:
     """O2/O3: both sources are built before anything is landed (a failing source aborts the run).
 
-    ``indicator_ids`` limits the indicators, ``enabled_variants`` and ``measures`` the hourly side. With ``strict`` a
+    ``indicator_ids`` limits the indicators: a short list, or a DataFrame with a column ``indicator_id`` of any length. ``enabled_variants`` and ``measures`` the hourly side. With ``strict`` a
     broken page fails the run; otherwise it is a dead letter.
     """
     out = {}
     if indicator_bodies is not None:
         bodies = _stamp(indicator_bodies, run_id, ingested_at)
         if indicator_ids is not None:
-            bodies = bodies.where(F.col("indicator_id").isin(list(indicator_ids)))
+            chosen = isinstance(indicator_ids, DataFrame)
+            bodies = bodies.join(indicator_ids.select("indicator_id"), "indicator_id", "left_semi") if chosen else bodies.where(F.col("indicator_id").isin(list(indicator_ids)))
         # each body is parsed once: the unwrap writes records and errors, and all that follows reads them
         records, errors = unwrap_with_errors(bodies, carry=("ingested_at",))
         if strict and (first := errors.first()) is not None:
@@ -309,7 +310,7 @@ def run_job(
     incremental: bool = True,
     enabled_variants: Sequence[str] = X.VARIANTS,
     measures: Sequence[str] = DEFAULT_MEASURES,
-    indicator_ids: Sequence[str] | None = None,
+    indicator_ids: Sequence[str] | DataFrame | None = None,
     strict: bool = False,
     steps: Iterable[str] | None = None,
     exclude: Iterable[str] = (),

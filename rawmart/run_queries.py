@@ -187,9 +187,9 @@ UNION ALL SELECT 'mart/weather_hourly', count(*) FROM hstg""",
 def run_named_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Chosen indicators, and all steps but one: its mart stays empty."""
     z = Zones(_scratch(spark, "run_named_steps"))
-    groups = D.table(spark, sf_dir, "events").agg(F.max(D.location_number())).first()[0]
-    ids = [f"{kind}_{g}" for kind in ("click", "view") for g in range(groups + 1)]
-    _run(spark, sf_dir, z, _events(spark, sf_dir), indicator_ids=ids, exclude=["mart_indicator"])
+    events = _events(spark, sf_dir)
+    ids = events.where("event_type IN ('click', 'view')").select(F.concat_ws("_", "event_type", D.location_number().cast("string")).alias("indicator_id")).distinct()
+    _run(spark, sf_dir, z, events, indicator_ids=ids, exclude=["mart_indicator"])
     names = [f"staging/{X.STG_INDICATOR_TABLE}", f"staging/{X.STG_HOURLY_TABLE}", f"mart/{X.MART_INDICATOR_TABLE}", f"mart/{X.MART_HOURLY_TABLE}"]
     out = None
     for folder in names:

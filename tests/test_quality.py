@@ -1,3 +1,4 @@
+import json
 from datetime import datetime
 
 from pyspark.sql import functions as F
@@ -13,35 +14,42 @@ TS = datetime(2024, 1, 1)
 
 
 def _records(spark, docs):
-    df = spark.createDataFrame([(i, d, "AG.LND.FRST", TS, "r1") for i, d in enumerate(docs)],
+    df = spark.createDataFrame([(i, d, "SP.FERRY.TRIPS", TS, "r1") for i, d in enumerate(docs)],
                                "i int, j string, indicator_id string, ingested_at timestamp_ntz, extract_run_id string")
     return parse_once(df, "j", strict=True)
 
 
-GOOD = '{"countryiso3code":"NOR","country":{"value":"Norway"},"indicator":{"id":"AG.LND.FRST","value":"Forest"},"date":"2020","value":5}'
+def _record(**changed):
+    """A record that is valid, with some of its fields changed; a field set to ``...`` is left out."""
+    fields = {"indicator": {"id": "SP.FERRY.TRIPS", "value": "Ferry trips"}, "country": {"value": "Tonga"}, "countryiso3code": "TON", "date": "1987", "value": 41.25}
+    return json.dumps({k: v for k, v in {**fields, **changed}.items() if v is not ...})
+
+
+INDICATOR_CASES = [
+    ("as it is", {}, True),
+    ("empty code", {"countryiso3code": ""}, False),
+    ("no code", {"countryiso3code": ...}, False),
+    ("country as text", {"country": "Tonga"}, False),
+    ("year with a quarter: a matter of staging", {"date": "1987Q3"}, True),
+    ("date zero", {"date": 0}, False),
+    ("empty indicator id", {"indicator": {"id": "", "value": "Ferry trips"}}, False),
+]
 
 
 def test_indicator_validity_fixtures(spark):
-    docs = [
-        GOOD,
-        GOOD.replace('"NOR"', '""'),  # fx01 empty iso3
-        GOOD.replace('{"value":"Norway"}', '"Norway"'),  # fx02 country text
-        GOOD.replace('"2020"', '"2020Q1"'),  # fx03 passes validity
-        GOOD.replace('"date":"2020"', '"date":0'),  # falsy number
-        GOOD.replace('"AG.LND.FRST","value"', '"","value"'),  # empty indicator id
-    ]
-    df = _records(spark, docs).withColumn("ok", indicator_valid("payload"))
-    assert [r.ok for r in df.orderBy("i").collect()] == [True, False, False, True, False, False]
+    df = _records(spark, [_record(**changed) for _, changed, _ in INDICATOR_CASES]).withColumn("ok", indicator_valid("payload"))
+    got = {INDICATOR_CASES[r.i][0]: r.ok for r in df.collect()}
+    assert got == {name: ok for name, _, ok in INDICATOR_CASES}
 
 
 def test_split_is_a_partition_of_input(spark):
-    docs = [GOOD, GOOD.replace('"NOR"', '""'), GOOD, "[1,2]"]
+    docs = [_record(), _record(countryiso3code=""), _record(value=None), "[1,2]"]
     recs = _records(spark, docs)
     raw, dead = zones.indicator_batch(recs)
     assert raw.count() + dead.count() == recs.count()
     d = dead.first()
     assert d.source_name == "world_bank" and d.reason == "invalid_indicator_record"
-    assert d.context == {"indicator_id": "AG.LND.FRST"}
+    assert d.context == {"indicator_id": "SP.FERRY.TRIPS"}
 
 
 def _hourly(spark, docs, variant="archive"):
@@ -50,26 +58,31 @@ def _hourly(spark, docs, variant="archive"):
     return parse_once(df, "j", strict=True)
 
 
-H_OK = '{"hourly":{"time":["2023-07-14T05:00","2023-07-14T06:00"],"temperature_2m":[1,2],"precipitation":[0,0],"wind_speed_10m":[3,4]}}'
+def _hours(**changed):
+    """A payload of three hours, with some of its arrays changed; an array set to ``...`` is left out."""
+    arrays = {"time": [f"2019-11-30T{h}:00" for h in (21, 22, 23)], "temperature_2m": [-3.5, -4, -4.25], "precipitation": [0, 0.5, None], "wind_speed_10m": [7, 11.5, 9]}
+    return json.dumps({"hourly": {k: v for k, v in {**arrays, **changed}.items() if v is not ...}})
+
+
+HOURLY_CASES = [
+    ("as it is", _hours(), True),
+    ("a measure shorter than the times", _hours(precipitation=[0, 0.5]), False),
+    ("a measure missing", _hours(wind_speed_10m=...), False),
+    ("no times", _hours(time=[], temperature_2m=[], precipitation=[], wind_speed_10m=[]), False),
+    ("times as text", _hours(time="2019-11-30T21:00"), False),
+    ("no hourly part", '{"daily":{}}', False),
+    ("two measures missing", _hours(temperature_2m=..., wind_speed_10m=...), False),
+]
 
 
 def test_hourly_validity_fixtures(spark):
-    docs = [
-        H_OK,
-        H_OK.replace("[0,0]", "[0]"),  # fx10 short measure
-        H_OK.replace(',"wind_speed_10m":[3,4]', ""),  # fx11 missing measure
-        '{"hourly":{"time":[],"temperature_2m":[],"precipitation":[],"wind_speed_10m":[]}}',  # fx12 empty
-        '{"hourly":{"time":"x","temperature_2m":[1],"precipitation":[1],"wind_speed_10m":[1]}}',  # fx12 not array
-        '{"daily":{}}',  # fx12 hourly missing
-        '{"hourly":{"time":["2031-07-04T06:00"],"precipitation":[0.75]}}',  # two measures missing
-    ]
-    df = _hourly(spark, docs).withColumn("ok", hourly_valid("payload"))
-    assert [r.ok for r in df.orderBy("i").collect()] == [True, False, False, False, False, False, False]
+    df = _hourly(spark, [doc for _, doc, _ in HOURLY_CASES]).withColumn("ok", hourly_valid("payload"))
+    assert {HOURLY_CASES[r.i][0]: r.ok for r in df.collect()} == {name: ok for name, _, ok in HOURLY_CASES}
 
 
 def test_hourly_dead_letter_reason_and_coordinates(spark):
     locs = spark.createDataFrame([("oslo", 59.9139, 10.7522)], "location_id string, latitude double, longitude double")
-    payloads = _hourly(spark, [H_OK, '{"daily":{}}'], "forecast")
+    payloads = _hourly(spark, [_hours(), '{"daily":{}}'], "forecast")
     raw, dead = zones.hourly_batch(payloads, locs)
     r = raw.first()
     assert (r.latitude, r.longitude, r.source_variant) == (59.9139, 10.7522, "forecast")
