@@ -351,11 +351,7 @@ class Transaction:
 
     def _entries(self, path: str, commit: str, schema: StructType, stats: Sequence[str]) -> list[Entry]:
         """Rows, least and greatest values of the folders just written: a scan of the statistics' columns alone."""
-        text = lambda c: F.col(c) if isinstance(schema[c].dataType, IntegralType | FloatType | DoubleType) else F.col(c).cast("string")
-        of = [x for c in stats for x in (F.min(text(c)).alias(f"lo_{c}"), F.max(text(c)).alias(f"hi_{c}"))]
-        rows = self.spark.read.schema(schema).parquet(path)
-        folder = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/[^/]+$", 1)
-        found = rows.select("*", folder.alias("_folder")).groupBy("_folder").agg(F.count(F.lit(1)).alias("n"), *of).collect()  # a row for each partition
+        found = folder_stats(self.spark.read.schema(schema).parquet(path), stats).collect()  # a row for each partition
         return [Entry(commit, _unquoted(r["_folder"]), r["n"], {c: [r[f"lo_{c}"], r[f"hi_{c}"]] for c in stats}) for r in found]
 
     def _check(self, now: State) -> None:
@@ -370,6 +366,19 @@ class Transaction:
                 raise Conflict(f"stream {stream}")
 
 
+def folder_stats(rows: DataFrame, stats: Sequence[str]) -> DataFrame:
+    """Per folder of a scan: ``_folder``, rows ``n``, ``lo_<c>`` and ``hi_<c>`` of each of ``stats``.
+
+    Rows are grouped by their file's path as it is; only a file's row is taken to its folder, since a pattern on the path of every
+    row costs more than the scan.
+    """
+    text = lambda c: F.col(c) if isinstance(rows.schema[c].dataType, IntegralType | FloatType | DoubleType) else F.col(c).cast("string")
+    of = [x for c in stats for x in (F.min(text(c)).alias(f"lo_{c}"), F.max(text(c)).alias(f"hi_{c}"))]
+    both = [x for c in stats for x in (F.min(f"lo_{c}").alias(f"lo_{c}"), F.max(f"hi_{c}").alias(f"hi_{c}"))]
+    files = rows.select("*", F.col("_metadata.file_path").alias("_file")).groupBy("_file").agg(F.count(F.lit(1)).alias("n"), *of)
+    return files.groupBy(F.element_at(F.split("_file", "/"), -2).alias("_folder")).agg(F.sum("n").alias("n"), *both)
+
+
 def _unquoted(name: str) -> str:
     """A folder's name as the file system lists it, from the URI text of ``_metadata.file_path``."""
     from urllib.parse import unquote

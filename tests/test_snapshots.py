@@ -243,3 +243,12 @@ def test_a_layout_is_kept(spark, scratch):
     transact(store, lambda txn: txn.upsert(T, frame(spark, [("a", 1, 1, 3)]), ["k", "v"], "p", recency=["at"]))  # the layout need not be named again
     transact(store, lambda txn: txn.replace(T, frame(spark, [("z", 2, 9, 1)]), "p"))
     assert now(store) == [("a", 1, 1, 3), ("z", 2, 9, 1)] and store.state().tables[T].buckets == snapshots.Buckets(4, ["k", "v"])
+
+
+def test_statistics_read_the_path_once_a_file(spark, scratch):
+    frame(spark, [("a", 1, 10, 1), ("b", 1, 20, 3), ("c", 2, None, 2), (None, None, 5, None)]).repartition(3).write.partitionBy("p").parquet(f"{scratch}/t")
+    found = snapshots.folder_stats(spark.read.schema("k string, v long, at int, p int").parquet(f"{scratch}/t"), ["k", "v"])
+    assert rows(found) == [("p=1", 2, "a", "b", 10, 20), ("p=2", 1, "c", "c", None, None), ("p=__HIVE_DEFAULT_PARTITION__", 1, None, None, 5, 5)]
+    plan = found._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    rowwise = plan[next(i for i, line in enumerate(plan) if "file_path" in line and "Aggregate" not in line) :]
+    assert "split(" in "".join(plan) and not any("split(" in line or "regexp" in line for line in rowwise)
