@@ -92,8 +92,7 @@ def main(argv=None, spark: SparkSession | None = None):
         indicator_ids=listed(args.indicators), strict=args.strict, steps=listed(args.steps), exclude=listed(args.exclude_steps) or (),
     )
     print(f"run {run_id}: landed={result.landed} steps={result.steps}")
-    for (source, entity, outcome), n in sorted(result.metrics.items()):
-        cursor = result.cursors.get((source, entity)) if outcome == "valid" else None
+    for source, entity, outcome, n, cursor in result.report():
         print(f"  {source} {entity} {outcome}: {n}" + (f" up to {cursor}" if cursor else ""))
     return result
 

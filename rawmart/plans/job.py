@@ -12,11 +12,12 @@ from __future__ import annotations
 
 import uuid
 import zlib
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import date
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rawmart import fixed as X
@@ -26,7 +27,7 @@ from rawmart.operators.cursors import last_time_cursor, max_year_cursor
 from rawmart.operators.merge import merge_upsert, overwrite_partitions, partition_filter
 from rawmart.operators.quality import DEFAULT_MEASURES
 from rawmart.plans import zones
-from rawmart.session import SHREDDED_VARIANT_WRITE, path_exists, scratch_scope, session_conf
+from rawmart.session import RUN_FOLDERS_WRITE, SHREDDED_VARIANT_WRITE, materialize, path_exists, scratch_scope, session_conf
 from rawmart.sources.bodies import unwrap_with_errors
 from rawmart.sources.landing import land_jsonl, landing_name, write_dead_letters
 
@@ -61,6 +62,10 @@ class Zones:
     def state(self) -> str:
         return self.path("state")
 
+    @property
+    def figures(self) -> str:
+        return self.path("figures")
+
     @property
     def namespace(self) -> str:
         return f"z{zlib.crc32(self.base.rstrip('/').encode()):08x}_" if self.prefix is None else self.prefix
@@ -77,14 +82,56 @@ class Zones:
     mart_hourly = property(lambda self: self.path(f"mart/{X.MART_HOURLY_TABLE}"))
 
 
+class Figures(Mapping):
+    """A run's figures by entity, as written tables: the last column by the others. They number with the entities of the captured
+    requests, so they reach the driver only where they are looked at one by one."""
+
+    def __init__(self) -> None:
+        self.tables: list[DataFrame] = []
+
+    def _rows(self) -> Iterator[tuple]:
+        for table in self.tables:
+            yield from (tuple(r) for r in table.toLocalIterator())
+
+    def __getitem__(self, key: tuple):
+        for table in self.tables:
+            *keys, value = table.columns
+            same = [F.col(c).eqNullSafe(F.lit(k)) for c, k in zip(keys, key, strict=True)]
+            for row in table.where(reduce(Column.__and__, same)).select(value).take(1):
+                return row[0]
+        raise KeyError(key)
+
+    def __iter__(self) -> Iterator[tuple]:
+        return (r[:-1] for r in self._rows())
+
+    def __len__(self) -> int:
+        return sum(table.count() for table in self.tables)
+
+    def items(self) -> list[tuple[tuple, object]]:
+        return [(r[:-1], r[-1]) for r in self._rows()]
+
+
 @dataclass
 class RunResult:
     landed: list[str] = field(default_factory=list)
     steps: list[str] = field(default_factory=list)
     # (source table, entity, outcome) -> rows; one entry per requested indicator / location and variant
-    metrics: dict[tuple[str, str, str], int] = field(default_factory=dict)
+    metrics: Figures = field(default_factory=Figures)
     # (source table, entity) -> cursor text of this run's valid rows
-    cursors: dict[tuple[str, str], str] = field(default_factory=dict)
+    cursors: Figures = field(default_factory=Figures)
+
+    def report(self) -> Iterator[tuple]:
+        """(source table, entity, outcome, rows, cursor), sorted; the cursor of valid rows, else None. Read part by part."""
+        if not self.metrics.tables:
+            return iter(())
+        counts = reduce(DataFrame.unionByName, self.metrics.tables)
+        if not self.cursors.tables:
+            out = counts.withColumn("cursor", F.lit(None).cast("string"))
+        else:
+            own = reduce(DataFrame.unionByName, self.cursors.tables).withColumn("outcome", F.lit("valid"))
+            out = counts.join(own, ["prefix", "entity", "outcome"], "left")
+        columns = ["prefix", "entity", "outcome"]
+        return (tuple(r) for r in out.orderBy(*columns).select(*columns, "records", "cursor").toLocalIterator())
 
 
 @dataclass
@@ -129,7 +176,7 @@ def build_batches(
         records, errors = unwrap_with_errors(bodies, carry=("ingested_at",))
         if strict and (first := errors.first()) is not None:
             raise ValueError(f"page {first['page_no']} of {first['indicator_id']}: {first['reason']}")
-        raw, dead = zones.indicator_batch(records)
+        raw, dead = zones.indicator_batch(records, materialize=True)
         out[X.RAW_INDICATOR_TABLE] = Batch(raw, dead.unionByName(zones.page_dead_letters(errors)))
     if hourly_bodies is not None:
         stamped = _stamp(hourly_bodies, run_id, ingested_at)
@@ -138,11 +185,8 @@ def build_batches(
     return out
 
 
-def batch_metrics(prefix: str, raw: DataFrame, dead: DataFrame) -> dict[tuple[str, str, str], int]:
-    """Valid and dead-lettered rows per requested indicator or per location and variant.
-
-    One small aggregate; the result has one row per entity of the captured requests.
-    """
+def batch_metrics(prefix: str, raw: DataFrame, dead: DataFrame) -> DataFrame:
+    """Valid and dead-lettered rows per requested indicator or per location and variant (G3): prefix, entity, outcome, records."""
     if prefix == X.RAW_INDICATOR_TABLE:
         valid_entity, dead_entity = F.col("indicator_id"), F.col("context")["indicator_id"]
     else:
@@ -151,18 +195,25 @@ def batch_metrics(prefix: str, raw: DataFrame, dead: DataFrame) -> dict[tuple[st
     both = raw.select(valid_entity.alias("entity"), F.lit("valid").alias("outcome")).unionByName(
         dead.select(dead_entity.alias("entity"), F.lit("dead_letter").alias("outcome"))
     )
-    counts = both.groupBy("entity", "outcome").count().collect()
-    return {(prefix, r["entity"], r["outcome"]): r["count"] for r in counts}
+    counts = both.groupBy("entity", "outcome").agg(F.count(F.lit(1)).alias("records"))
+    return counts.select(F.lit(prefix).alias("prefix"), "entity", "outcome", "records")
 
 
-def batch_cursors(prefix: str, raw: DataFrame) -> dict[tuple[str, str], str]:
-    """Greatest year text per indicator, or last time text of the newest payload per location and variant."""
+def batch_cursors(prefix: str, raw: DataFrame) -> DataFrame:
+    """Greatest year text per indicator, or last time text of the newest payload per location and variant: prefix, entity, cursor."""
     if prefix == X.RAW_INDICATOR_TABLE:
         found = max_year_cursor(raw).select(F.col("indicator_id").alias("entity"), F.col("max_cursor_value").alias("cursor"))
     else:
         newest = F.max(F.struct("ingested_at", last_time_cursor().alias("cursor")))
         found = raw.groupBy(F.concat_ws("/", "location_id", "source_variant").alias("entity")).agg(newest.alias("n")).select("entity", "n.cursor")
-    return {(prefix, r["entity"]): r["cursor"] for r in found.collect()}
+    return found.select(F.lit(prefix).alias("prefix"), "entity", "cursor")
+
+
+def _keep(spark: SparkSession, z: Zones, figures: DataFrame) -> DataFrame:
+    """Figures of a run, written to a folder of their own."""
+    path = f"{z.figures}/{uuid.uuid4().hex}"
+    figures.write.mode("errorifexists").parquet(path)
+    return spark.read.schema(figures.schema).parquet(path)
 
 
 # ---------------------------------------------------------------- state of landed batches
@@ -239,28 +290,32 @@ def step_functions(
     def reject(found: DataFrame, source: str) -> None:
         if rejects:
             out = found.withColumn("source_name", F.lit(source)).hint("rebalance", "source_name", "extract_run_id")
-            out.write.mode("append").partitionBy("source_name", "extract_run_id").json(z.rejects)
+            with session_conf(spark, RUN_FOLDERS_WRITE):
+                out.write.mode("append").partitionBy("source_name", "extract_run_id").json(z.rejects)
 
     def register(folder: str, part: str, kind: str) -> None:
         zones.register_partitions(spark, z.table(folder), part, [t[0] for t in touched[kind] or []])
 
+    # rows are parsed and typed once: staging and rejects come from one written table
     def stg_indicator():
-        rows = raw(X.RAW_INDICATOR_TABLE, z.raw_indicator, S.RAW_INDICATOR)
-        reject(zones.stg_indicator_rejects(rows), X.INDICATOR_SOURCE)
-        src = zones.with_partition(zones.stg_indicator_source(rows, keep_order=True), "indicator")
-        touched["indicator"] = merge_upsert(
-            spark, z.stg_indicator, src, S.INDICATOR_KEYS, [S.INDICATOR_PART], ["country_iso3", "indicator_id"], recency=(zones.ORDER_COL,)
-        )
+        with scratch_scope(spark):
+            typed = materialize(zones.indicator_typed(raw(X.RAW_INDICATOR_TABLE, z.raw_indicator, S.RAW_INDICATOR)), "typed")
+            reject(zones.indicator_refused(typed), X.INDICATOR_SOURCE)
+            src = zones.with_partition(zones.indicator_latest(typed, keep_order=True), "indicator")
+            touched["indicator"] = merge_upsert(
+                spark, z.stg_indicator, src, S.INDICATOR_KEYS, [S.INDICATOR_PART], ["country_iso3", "indicator_id"], recency=(zones.ORDER_COL,)
+            )
         register(f"staging/{X.STG_INDICATOR_TABLE}", S.INDICATOR_PART, "indicator")
 
     def stg_hourly():
-        rows = raw(X.RAW_HOURLY_TABLE, z.raw_hourly, S.RAW_HOURLY)
-        if not strict:
-            reject(zones.stg_hourly_rejects(rows, tz, measures), X.HOURLY_SOURCE)
-        src = zones.with_partition(zones.stg_hourly_source(rows, tz, measures, strict=strict, keep_order=True), "hourly")
-        touched["hourly"] = merge_upsert(
-            spark, z.stg_hourly, src, S.HOURLY_KEYS, [S.HOURLY_PART], ["location_id"], recency=(zones.ORDER_COL,)
-        )
+        with scratch_scope(spark):
+            typed = materialize(zones.hourly_rows(raw(X.RAW_HOURLY_TABLE, z.raw_hourly, S.RAW_HOURLY), tz, measures, strict), "typed")
+            if not strict:
+                reject(zones.hourly_refused(typed), X.HOURLY_SOURCE)
+            src = zones.with_partition(zones.hourly_latest(typed, measures, keep_order=True), "hourly")
+            touched["hourly"] = merge_upsert(
+                spark, z.stg_hourly, src, S.HOURLY_KEYS, [S.HOURLY_PART], ["location_id"], recency=(zones.ORDER_COL,)
+            )
         register(f"staging/{X.STG_HOURLY_TABLE}", S.HOURLY_PART, "hourly")
 
     def mart(kind: str, stg_path: str, path: str, part: str, cluster: list[str], folder: str, source) -> None:
@@ -326,13 +381,13 @@ def run_job(
     with scratch_scope(spark):
         batches = build_batches(indicator_bodies, hourly_bodies, locations, run_id, ingested_at, enabled_variants, measures, indicator_ids, strict)
         for prefix, batch in batches.items():
-            counts = batch_metrics(prefix, batch.raw, batch.dead)
-            result.metrics.update(counts)
-            outcomes = {outcome for _, _, outcome in counts}
+            counts = _keep(spark, z, batch_metrics(prefix, batch.raw, batch.dead))
+            result.metrics.tables.append(counts)
+            outcomes = {r["outcome"] for r in counts.select("outcome").distinct().collect()}
             label_run, label_at = (run_id, ingested_at) if run_id is not None else ("captured", uuid.uuid4().hex)
             if land_batch(spark, z, prefix, batch, label_run, str(label_at), "valid" in outcomes, "dead_letter" in outcomes):
                 result.landed.append(prefix)
-                result.cursors.update(batch_cursors(prefix, batch.raw))
+                result.cursors.tables.append(_keep(spark, z, batch_cursors(prefix, batch.raw)))
     if not result.landed:
         return result
     pending = unfinished(spark, z)

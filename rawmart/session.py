@@ -114,6 +114,12 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+def bytes_below(spark: SparkSession, path: str) -> int:
+    """Bytes of a file or of all files in a folder."""
+    fs, jpath = _hadoop(spark, path)
+    return fs.getContentSummary(jpath).getLength()
+
+
 def modified_ms(spark: SparkSession, path: str) -> int:
     fs, jpath = _hadoop(spark, path)
     return fs.getFileStatus(jpath).getModificationTime()
@@ -227,6 +233,9 @@ class session_conf:
         return False
 
 
+# Sinks with a folder for each run: opening a run's file costs far more than its few rows, so their tasks get small shares.
+RUN_FOLDERS_WRITE = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "2m"}
+
 # Raw-zone Parquet writes shred the VARIANT payload into typed sub-columns inferred from the data:
 # smaller files and faster path extraction for every later staging scan (Spark 4.1 Parquet variant shredding).
 SHREDDED_VARIANT_WRITE = {

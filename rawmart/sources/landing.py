@@ -8,6 +8,7 @@ from pyspark.sql.types import StructType
 
 from rawmart.fixed import LANDING_NAME, LANDING_TIME_REPLACE
 from rawmart.schemas import DEAD_LETTER
+from rawmart.session import RUN_FOLDERS_WRITE, session_conf
 
 
 def landing_name(prefix: str, extract_run_id: str, labelled_at_iso: str) -> str:
@@ -31,7 +32,8 @@ def land_jsonl(
     writer = out.write.mode(mode).option("ignoreNullFields", "false").option("compression", "none")
     if by_run:
         writer = writer.partitionBy("extract_run_id")
-    writer.json(path)
+    with session_conf(df.sparkSession, RUN_FOLDERS_WRITE if by_run else {}):
+        writer.json(path)
 
 
 def read_landed(spark: SparkSession, path: str, schema: StructType, corrupt_column: str | None = "_corrupt") -> DataFrame:
@@ -49,15 +51,16 @@ def read_landed(spark: SparkSession, path: str, schema: StructType, corrupt_colu
 
 def write_dead_letters(dead: DataFrame, path: str) -> None:
     """Dead-letter sink: newline JSON, one folder per source and run; rebalanced, so files number with the bytes."""
-    (
+    writer = (
         dead.select(*DEAD_LETTER.fieldNames())
         .hint("rebalance", "source_name", "extract_run_id")
         .write.mode("append")
         .option("ignoreNullFields", "false")
         .option("compression", "none")
         .partitionBy("source_name", "extract_run_id")
-        .json(path)
     )
+    with session_conf(dead.sparkSession, RUN_FOLDERS_WRITE):
+        writer.json(path)
 
 
 def read_dead_letters(spark: SparkSession, path: str) -> DataFrame:

@@ -181,3 +181,39 @@ def test_files_number_with_bytes_not_with_tasks(spark, scratch):
     for folder, depth in (("landing", "*"), ("dead", "*/*")):
         days = len(glob.glob(f"{scratch}/{folder}/{depth}"))
         assert len(glob.glob(f"{scratch}/{folder}/{depth}/*.json")) <= days + 4
+
+
+def test_figures_of_a_run_stay_tables_until_they_are_looked_at(spark, scratch):
+    from pyspark.sql import DataFrame
+
+    bodies = spark.createDataFrame([(f"id{i}", 1, P1) for i in range(20)], "indicator_id string, page_no int, body string")
+    res = run_job(spark, Zones(scratch), bodies, _hour(spark, H), _locs(spark), "run1", "2031-07-02T00:00:00", steps=[])
+    assert all(isinstance(t, DataFrame) for t in res.metrics.tables + res.cursors.tables)
+    assert len(res.metrics) == 21 and res.metrics[("world_bank_indicator", "id7", "valid")] == 1 and ("x", "y", "z") not in res.metrics
+    assert res.cursors == {**{("world_bank_indicator", f"id{i}"): "1998" for i in range(20)}, ("open_meteo_response", "oslo/archive"): "2031-07-04T06:00"}
+    assert list(res.report())[:2] == [("open_meteo_response", "oslo/archive", "valid", 1, "2031-07-04T06:00"), ("world_bank_indicator", "id0", "valid", 1, "1998")]
+
+
+def test_sinks_with_many_run_folders_are_written_by_many_tasks(spark, scratch):
+    import glob
+    import hashlib
+
+    from rawmart.sources.landing import land_jsonl
+
+    rows_ = spark.range(0, 60000, 1, 8).select(F.concat(F.lit("r"), F.col("id") % 40).alias("extract_run_id"), F.sha2(F.col("id").cast("string"), 512).alias("a"))
+    land_jsonl(rows_, f"{scratch}/l")
+    tasks = {p.rsplit("part-", 1)[1][:5] for p in glob.glob(f"{scratch}/l/*/*.json")}
+    assert len(tasks) > 1
+    assert spark.read.schema("extract_run_id string, a string").json(f"{scratch}/l").where("extract_run_id = 'r7'").count() == 1500
+    assert spark.read.schema("a string").json(f"{scratch}/l").where(F.col("a") == hashlib.sha512(b"31").hexdigest()).count() == 1
+
+
+def test_a_run_parses_each_raw_row_once(spark, scratch, monkeypatch):
+    from rawmart.plans import zones
+
+    seen = []
+    for name in ("indicator_typed", "hourly_rows"):
+        own = getattr(zones, name)
+        monkeypatch.setattr(zones, name, lambda *a, own=own, name=name, **k: (seen.append(name), own(*a, **k))[1])
+    run_job(spark, Zones(scratch), _ind(spark, P1), _hour(spark, H), _locs(spark), "run1", "2031-07-02T00:00:00")
+    assert sorted(seen) == ["hourly_rows", "indicator_typed"]
