@@ -15,6 +15,7 @@ from rawmart.plans import ingest as I
 from rawmart.plans import zones
 from rawmart.queries import _AS_OF, _HOURLY, _HSTG, _IND_TYPED, _STG_IND, ORACLE, _locations, _raw_indicator, _scratch, register
 from rawmart.run_queries import _BOTH, _both_marts, _events
+from rawmart.session import materialize
 from rawmart.sources import driver_tables as D
 
 
@@ -115,10 +116,11 @@ def cursor_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return one.unionByName(days.select(F.lit(X.HOURLY_SOURCE).alias("source"), F.col("location_id").alias("entity"), F.concat_ws(":", "start_date", "end_date").alias("asks")))
 
 
-def _bodies_stream(spark: SparkSession, base: str, bodies: DataFrame, files: int) -> DataFrame:
-    """Captured bodies as ``files`` landed files and as a stream over them, two files a micro-batch."""
-    bodies.repartition(files).write.parquet(f"{base}/bodies")
-    return spark.readStream.schema(bodies.schema).option("maxFilesPerTrigger", "2").parquet(f"{base}/bodies")
+def _bodies_stream(spark: SparkSession, base: str, bodies: DataFrame, batches: int) -> DataFrame:
+    """Captured bodies as landed files and as a stream over them: ``batches`` micro-batches, each with a file for every core."""
+    files = max(2, spark.sparkContext.defaultParallelism)
+    bodies.repartition(files * batches).write.parquet(f"{base}/bodies")
+    return spark.readStream.schema(bodies.schema).option("maxFilesPerTrigger", str(files)).parquet(f"{base}/bodies")
 
 
 def _stream(spark: SparkSession, sf_dir: str, name: str, die: bool) -> Store:
@@ -129,8 +131,8 @@ def _stream(spark: SparkSession, sf_dir: str, name: str, die: bool) -> Store:
     from rawmart.streaming import exact
 
     store = _store(spark, name)
-    bodies = _bodies_stream(spark, store.base, D.hourly_bodies(D.table(spark, sf_dir, "events")), 6)
-    known = _locations(spark, sf_dir).where(F.substring("location_id", 2, 6).cast("int") % 3 != 0)
+    bodies = _bodies_stream(spark, store.base, D.hourly_bodies(D.table(spark, sf_dir, "events")), 3)
+    known = materialize(_locations(spark, sf_dir).where(F.substring("location_id", 2, 6).cast("int") % 3 != 0), "locations")  # read by every batch
     left = [2 if die else 0]
 
     def committed(number: int) -> None:
@@ -191,7 +193,7 @@ def stream_page_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rawmart.streaming import exact
 
     store = _store(spark, "stream_page_cut")
-    bodies = _bodies_stream(spark, store.base, D.indicator_bodies(D.table(spark, sf_dir, "orders")), 6)
+    bodies = _bodies_stream(spark, store.base, D.indicator_bodies(D.table(spark, sf_dir, "orders")), 3)
     exact.stream_pages(spark, bodies, f"{store.base}/checkpoint", store, "pages")
     return store.read("capture/kept_page").groupBy("extract_run_id", "indicator_id").agg(F.max("page_no").alias("last_page"))
 
