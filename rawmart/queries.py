@@ -28,6 +28,7 @@ from rawmart.functions import (
 from rawmart.operators.cursors import last_time_cursor, max_year_cursor
 from rawmart.operators.merge import merge_plan
 from rawmart.plans import consume, zones
+from rawmart.session import materialize
 from rawmart.sources import driver_tables as D
 from rawmart.sources.bodies import page_cut, unwrap_pages
 from rawmart.sources.config_text import id_list, parse_locations, request_window
@@ -676,7 +677,8 @@ def merge_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("merge_guarded", _STG_IND + "\nSELECT * FROM stg")
 def merge_guarded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """With the recency guard an older source never overwrites; the result equals staging of all rows."""
-    target, source = _ind_sides(spark, sf_dir, keep_order=True)
+    # the merge reads each side more than once; staging is a written table
+    target, source = (materialize(side, "merge_side") for side in _ind_sides(spark, sf_dir, keep_order=True))
     merged = merge_plan(target, source, S.INDICATOR_KEYS, recency=[zones.ORDER_COL])
     return merged.select(*S.STG_INDICATOR.fieldNames())
 
@@ -990,11 +992,12 @@ def incremental_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     merged with the recency guard; the result equals staging over everything."""
     from rawmart.operators.cursors import unseen_runs
 
-    raw = _raw_indicator(spark, sf_dir)
+    raw = materialize(_raw_indicator(spark, sf_dir), "raw")  # raw and staging are written tables, each read more than once
     early = F.col("ingested_at") < F.lit(_SPLIT).cast("timestamp_ntz")
-    target = zones.stg_indicator_source(raw.where(early), keep_order=True)
+    target = materialize(zones.stg_indicator_source(raw.where(early), keep_order=True), "staging")
     fresh = unseen_runs(raw, raw.where(early))
-    merged = merge_plan(target, zones.stg_indicator_source(fresh, keep_order=True), S.INDICATOR_KEYS, recency=[zones.ORDER_COL])
+    source = materialize(zones.stg_indicator_source(fresh, keep_order=True), "staged")
+    merged = merge_plan(target, source, S.INDICATOR_KEYS, recency=[zones.ORDER_COL])
     return merged.select(*S.STG_INDICATOR.fieldNames())
 
 

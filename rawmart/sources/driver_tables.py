@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rawmart.functions import parse_once
+from rawmart.session import bytes_below
 
 # Fixed values of the derivation (the oracle SQL repeats them).
 PAGE_SIZE = 100  # orders per captured page: page_no = (o_orderkey mod 5000) div 100 + 1
@@ -27,18 +28,20 @@ EMPTY_PAGE = ("3-MEDIUM", 40)  # all records non-objects -> stop before this pag
 BAD_ENVELOPE_PAGE = ("2-HIGH", 30)  # body is an object, not [metadata, records]
 NO_PAGES_INDICATOR = "4-NOT SPECIFIED"  # metadata without "pages" -> stop after page 1
 TEXT_PAGES = ("5-LOW", "25")  # "pages" given as text
+TASK_BYTES = 8 << 20  # a driver table's stored bytes for one task: its rows become JSON text of many times that size
 RUN_ID = "run_0001"  # of the queries that land one run
 RUN_TS = "2024-02-01 00:00:00"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table. When the scan yields fewer splits than the cluster has cores (one small file
-    with one row group), spread it round-robin so the per-row JSON work uses every core; a large
-    input already has enough splits and is left alone (no extra shuffle at scale)."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        df = df.repartition(cores)
+    with one row group), or than the table has ``TASK_BYTES``, spread it round-robin: the per-row JSON work then uses
+    every core, and a task's share of it doesn't grow with the table. The shuffle moves the stored columns only."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    df = spark.read.parquet(path)
+    tasks = max(spark.sparkContext.defaultParallelism, -(-bytes_below(spark, path) // TASK_BYTES))
+    if df.rdd.getNumPartitions() < tasks:
+        df = df.repartition(tasks)
     return df
 
 

@@ -100,3 +100,23 @@ def test_bad_pages_value_is_visible_and_ends_nothing(spark):
     assert rows(errors, "page_no", "reason", "body") == rows(page_errors(b), "page_no", "reason", "body")
     assert rows(errors, "page_no", "reason") == [(1, "bad_pages_value"), (3, "page_not_json")]
     assert rows(errors.where("page_no = 3"), "body") == [("<html>busy</html>",)]
+
+
+def test_a_task_of_a_driver_table_holds_bounded_bytes(spark, tmp_path, monkeypatch):
+    from rawmart.sources import driver_tables as D
+
+    spark.range(5000).coalesce(1).write.parquet(f"{tmp_path}/t.parquet")
+    assert D.table(spark, str(tmp_path), "t").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(D, "TASK_BYTES", 1000)
+    df = D.table(spark, str(tmp_path), "t")
+    assert df.rdd.getNumPartitions() >= 20 and sorted(r[0] for r in df.collect()) == list(range(5000))
+
+
+def test_a_stream_has_a_file_for_every_core_in_each_batch(spark, tmp_path):
+    import glob
+
+    from rawmart.version_queries import _bodies_stream
+
+    bodies = spark.range(1000).selectExpr("CAST(id AS STRING) AS body")
+    _bodies_stream(spark, str(tmp_path), bodies, 3)
+    assert len(glob.glob(f"{tmp_path}/bodies/*.parquet")) == 3 * spark.sparkContext.defaultParallelism
