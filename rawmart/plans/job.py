@@ -27,7 +27,7 @@ from rawmart.operators.cursors import last_time_cursor, max_year_cursor
 from rawmart.operators.merge import merge_upsert, overwrite_partitions, partition_filter
 from rawmart.operators.quality import DEFAULT_MEASURES
 from rawmart.plans import zones
-from rawmart.session import RUN_FOLDERS_WRITE, SHREDDED_VARIANT_WRITE, materialize, path_exists, scratch_scope, session_conf
+from rawmart.session import SHREDDED_VARIANT_WRITE, by_folder, folder_count, materialize, path_exists, run_folders_write, scratch_scope, session_conf
 from rawmart.sources.bodies import unwrap_with_errors
 from rawmart.sources.landing import land_jsonl, landing_name, write_dead_letters
 
@@ -237,7 +237,7 @@ def unfinished(spark: SparkSession, z: Zones) -> list:
 def land_batch(spark: SparkSession, z: Zones, prefix: str, batch: Batch, run_id: str, label_iso: str, has_raw: bool, has_dead: bool) -> bool:
     """Dead letters first (even with no valid rows), then raw JSONL + raw table when not empty."""
     if has_dead:
-        write_dead_letters(batch.dead, z.dead_letters)
+        write_dead_letters(batch.dead, z.dead_letters, runs=folder_count(batch.dead, "source_name", "extract_run_id"))
     if not has_raw:
         return False
     name = landing_name(prefix, run_id, label_iso)
@@ -246,11 +246,11 @@ def land_batch(spark: SparkSession, z: Zones, prefix: str, batch: Batch, run_id:
     days = sorted(r[S.RAW_PART] for r in span if r[S.RAW_PART] is not None)
     _note(spark, z, (uuid.uuid4().hex, prefix, name, days, "landed"))
     one_run = len({r["a"] for r in span} | {r["b"] for r in span}) == 1
-    land_jsonl(batch.raw, f"{z.landing}/{prefix}", source_file=name, one_run=one_run)
+    land_jsonl(batch.raw, f"{z.landing}/{prefix}", source_file=name, one_run=one_run, runs=1 if one_run else folder_count(batch.raw, "extract_run_id"))
     # raw zone: append, partitioned by ingest day, clustered by (entity, run); one day's rows stay where they are
     entity = "indicator_id" if prefix == X.RAW_INDICATOR_TABLE else "location_id"
     path = z.raw_indicator if prefix == X.RAW_INDICATOR_TABLE else z.raw_hourly
-    rows = landed if len(span) == 1 else landed.hint("rebalance", S.RAW_PART)
+    rows = landed if len(span) == 1 else by_folder(landed, [S.RAW_PART], len(span))
     with session_conf(spark, SHREDDED_VARIANT_WRITE):
         rows.sortWithinPartitions(S.RAW_PART, entity, "extract_run_id").write.mode("append").partitionBy(S.RAW_PART).parquet(path)
     zones.register_partitions(spark, z.table(f"raw/{prefix}"), S.RAW_PART, days)
@@ -289,8 +289,9 @@ def step_functions(
 
     def reject(found: DataFrame, source: str) -> None:
         if rejects:
-            out = found.withColumn("source_name", F.lit(source)).hint("rebalance", "source_name", "extract_run_id")
-            with session_conf(spark, RUN_FOLDERS_WRITE):
+            runs = folder_count(found, "extract_run_id")
+            out = by_folder(found.withColumn("source_name", F.lit(source)), ["source_name", "extract_run_id"], runs)
+            with session_conf(spark, run_folders_write(spark, runs)):
                 out.write.mode("append").partitionBy("source_name", "extract_run_id").json(z.rejects)
 
     def register(folder: str, part: str, kind: str) -> None:

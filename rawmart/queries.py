@@ -1037,7 +1037,8 @@ def array_null_time(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count(F.lit(1)).alias("n_rows"), F.max("pos").alias("last_pos")
     )
     keys = ["location_id", "source_variant", "extract_run_id"]
-    return sizes.join(per_body, keys, "left").select(
+    # both sides have a row for each body; the size Spark guesses for an aggregate over exploded JSON is far too small to broadcast by
+    return sizes.join(per_body.hint("merge"), keys, "left").select(
         *keys, "n_times", F.coalesce("n_rows", F.lit(0)).alias("n_rows"), "last_pos"
     )
 

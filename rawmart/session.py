@@ -212,6 +212,23 @@ def partition_values(df, partition_by) -> list[tuple]:
     return sorted(found, key=lambda t: tuple((v is None, v) for v in t))
 
 
+def folder_count(df, *cols) -> int:
+    """About how many folders a write partitioned by ``cols`` makes (one pass over these columns, one row to the driver)."""
+    from pyspark.sql import functions as F
+
+    return df.agg(F.approx_count_distinct(F.struct(*cols), 0.02)).first()[0]
+
+
+def by_folder(df, cols, folders: int = 0):
+    """``df`` rebalanced for a write partitioned by ``cols`` into about ``folders`` folders.
+
+    A shuffle part above the advisory size is split, and each piece can hold all of the part's folders. With a part for each
+    folder the files number with the folders plus the bytes, not with their product; small parts are joined.
+    """
+    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), folders)
+    return df.hint("rebalance", parts, *cols)
+
+
 class session_conf:
     """Set session settings for the duration of a ``with`` block, restoring the previous values."""
 
@@ -235,6 +252,13 @@ class session_conf:
 
 # Sinks with a folder for each run: opening a run's file costs far more than its few rows, so their tasks get small shares.
 RUN_FOLDERS_WRITE = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "2m"}
+# With more folders than shuffle partitions a share of 2 MB can hold dozens of files, one after another.
+MANY_FOLDERS_WRITE = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "256k"}
+
+
+def run_folders_write(spark, folders: int) -> dict:
+    """Settings of a write with about so many run folders."""
+    return MANY_FOLDERS_WRITE if folders > int(spark.conf.get("spark.sql.shuffle.partitions")) else RUN_FOLDERS_WRITE
 
 # Raw-zone Parquet writes shred the VARIANT payload into typed sub-columns inferred from the data:
 # smaller files and faster path extraction for every later staging scan (Spark 4.1 Parquet variant shredding).

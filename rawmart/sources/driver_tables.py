@@ -29,18 +29,24 @@ BAD_ENVELOPE_PAGE = ("2-HIGH", 30)  # body is an object, not [metadata, records]
 NO_PAGES_INDICATOR = "4-NOT SPECIFIED"  # metadata without "pages" -> stop after page 1
 TEXT_PAGES = ("5-LOW", "25")  # "pages" given as text
 TASK_BYTES = 8 << 20  # a driver table's stored bytes for one task: its rows become JSON text of many times that size
+SHUFFLE_BYTES = 2 << 20  # and for one task after a shuffle, which sorts and joins those rows
 RUN_ID = "run_0001"  # of the queries that land one run
 RUN_TS = "2024-02-01 00:00:00"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table. When the scan yields fewer splits than the cluster has cores (one small file
-    with one row group), or than the table has ``TASK_BYTES``, spread it round-robin: the per-row JSON work then uses
-    every core, and a task's share of it doesn't grow with the table. The shuffle moves the stored columns only."""
+    """A driver table. Unless it has a file for each task, it is spread round-robin over the cluster's cores, or over one task for
+    each ``TASK_BYTES`` if that is more: the per-row JSON work then uses every core, and a task's share of it doesn't grow with the
+    table. (Splits can't tell: a file with one row group is one task's work, however many splits it is cut into.) The shuffle
+    moves the stored columns only. The session's shuffle partitions are raised to one for each ``SHUFFLE_BYTES``, so the
+    memory of a task that sorts or joins the derived rows doesn't grow either."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     df = spark.read.parquet(path)
-    tasks = max(spark.sparkContext.defaultParallelism, -(-bytes_below(spark, path) // TASK_BYTES))
-    if df.rdd.getNumPartitions() < tasks:
+    stored = bytes_below(spark, path)
+    if -(-stored // SHUFFLE_BYTES) > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        spark.conf.set("spark.sql.shuffle.partitions", str(-(-stored // SHUFFLE_BYTES)))
+    tasks = max(spark.sparkContext.defaultParallelism, -(-stored // TASK_BYTES))
+    if len(df.inputFiles()) < tasks:
         df = df.repartition(tasks)
     return df
 

@@ -8,7 +8,7 @@ from pyspark.sql.types import StructType
 
 from rawmart.fixed import LANDING_NAME, LANDING_TIME_REPLACE
 from rawmart.schemas import DEAD_LETTER
-from rawmart.session import RUN_FOLDERS_WRITE, session_conf
+from rawmart.session import by_folder, run_folders_write, session_conf
 
 
 def landing_name(prefix: str, extract_run_id: str, labelled_at_iso: str) -> str:
@@ -17,22 +17,23 @@ def landing_name(prefix: str, extract_run_id: str, labelled_at_iso: str) -> str:
 
 
 def land_jsonl(
-    df: DataFrame, path: str, source_file: str | None = None, mode: str = "append", by_run: bool = True, one_run: bool = False
+    df: DataFrame, path: str, source_file: str | None = None, mode: str = "append", by_run: bool = True, one_run: bool = False, runs: int = 0
 ) -> None:
     """Write rows as newline JSON under ``path/extract_run_id=<run>/`` (one folder per run, or flat).
 
     NULL fields are written (``ignoreNullFields=false``); the VARIANT payload is written as nested JSON.
     ``mode`` is the write disposition: append (default), overwrite or errorifexists. The rows of many runs
-    are first rebalanced by run, so the files number with the bytes and not with tasks times runs; ``one_run``
+    are first rebalanced by run, so the files number with the bytes and not with tasks times runs (``runs`` says
+    about how many there are, where they can be more than the shuffle partitions); ``one_run``
     says that there is only one, which is written where its rows are, without a shuffle.
     """
     out = df if source_file is None else df.withColumn("source_file", F.lit(source_file))
     if by_run and not one_run:
-        out = out.hint("rebalance", "extract_run_id")
+        out = by_folder(out, ["extract_run_id"], runs)
     writer = out.write.mode(mode).option("ignoreNullFields", "false").option("compression", "none")
     if by_run:
         writer = writer.partitionBy("extract_run_id")
-    with session_conf(df.sparkSession, RUN_FOLDERS_WRITE if by_run else {}):
+    with session_conf(df.sparkSession, run_folders_write(df.sparkSession, runs) if by_run else {}):
         writer.json(path)
 
 
@@ -49,17 +50,17 @@ def read_landed(spark: SparkSession, path: str, schema: StructType, corrupt_colu
     return reader.schema(read_schema).json(path)
 
 
-def write_dead_letters(dead: DataFrame, path: str) -> None:
-    """Dead-letter sink: newline JSON, one folder per source and run; rebalanced, so files number with the bytes."""
+def write_dead_letters(dead: DataFrame, path: str, runs: int = 0) -> None:
+    """Dead-letter sink: newline JSON, one folder per source and run (of which there are about ``runs``); rebalanced, so files
+    number with the bytes."""
     writer = (
-        dead.select(*DEAD_LETTER.fieldNames())
-        .hint("rebalance", "source_name", "extract_run_id")
+        by_folder(dead.select(*DEAD_LETTER.fieldNames()), ["source_name", "extract_run_id"], runs)
         .write.mode("append")
         .option("ignoreNullFields", "false")
         .option("compression", "none")
         .partitionBy("source_name", "extract_run_id")
     )
-    with session_conf(dead.sparkSession, RUN_FOLDERS_WRITE):
+    with session_conf(dead.sparkSession, run_folders_write(dead.sparkSession, runs)):
         writer.json(path)
 
 
