@@ -26,3 +26,13 @@ def components(edges: DataFrame) -> DataFrame:
         labels = step.select("node", "label")
         if step.where("moved").isEmpty():
             return labels
+
+
+def thinned(edges: DataFrame) -> DataFrame:
+    """Edges (columns x, y) with the same nodes and components, but one for each y, to its smallest x, and one from there to each other
+    x of that y. Where few x have many y in common, that is about an edge a node. All x of one y come into one row: they must be few.
+    """
+    near = edges.groupBy("y").agg(F.array_sort(F.collect_set("x")).alias("xs"))
+    least = F.element_at("xs", 1)
+    pairs = F.transform("xs", lambda x: F.struct(least.alias("x"), F.when(x == least, F.col("y")).otherwise(x).alias("y")))
+    return near.select(F.explode(pairs).alias("e")).select("e.x", "e.y").distinct()

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .components import components
+from .components import components, thinned
 from .text import arrow_schema, batch, chunks, gram_starts, list_array, pick, scratch, tidy, window_hash, word_hashes, words
 
 _U = np.uint64
@@ -340,11 +340,12 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
         """Groups whose rows have different labels, with their number of rows."""
         return rows.groupBy(group).agg(F.min(label).alias("lo"), F.max(label).alias("hi"), F.count(F.lit(1)).alias("m")).where("lo < hi")
 
-    # families: what candidate pairs connect
-    placed = scratch(labelled(buckets.select("id", "key"), components(star), "label"), "minhash-placed")
+    # families: what candidate pairs connect; a class is in BANDS buckets, so it has no more smallest ones
+    spokes = scratch(thinned(star), "minhash-spokes")
+    placed = scratch(labelled(buckets.select("id", "key"), components(spokes), "label"), "minhash-placed")
     cross = _blocks(placed.join(marks, "id"), "key", BUCKET_BLOCK, several(placed, "key", "label"))
     forest = scratch(cross.mapInArrow(lambda b: _forests(b, pair_schema, percent), pair_ddl).distinct(), "minhash-forest")
-    families = components(star.unionByName(forest))
+    families = components(spokes.unionByName(forest))
 
     # links with the buckets' smallest classes
     texts = scratch(rows.where("text is not null").join(families.select(F.col("node").alias("id")), "id", "left_semi"), "minhash-texts")
@@ -353,7 +354,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     likely = scratch(likely.mapInArrow(lambda b: _estimated(b, pair_schema, similarity), pair_ddl).distinct(), "minhash-likely")
     tx, ty = (texts.select(F.col("id").alias(c), F.col("text").alias(f"t{c}")) for c in "xy")
     full = likely.join(tx, "x").join(ty, "y")
-    links = scratch(full.mapInArrow(lambda b: _confirmed(b, pair_schema, k, percent), pair_ddl).distinct(), "minhash-links")
+    links = scratch(thinned(full.mapInArrow(lambda b: _confirmed(b, pair_schema, k, percent), pair_ddl)), "minhash-links")
 
     # families that are several components so far
     member = labelled(families.select(F.col("node").alias("id"), F.col("label").alias("family")), components(links), "label")

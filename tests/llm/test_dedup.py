@@ -156,3 +156,18 @@ def test_small_parts_and_buckets_give_the_same_result(spark, small, small_rows,
 
     monkeypatch.setattr(repeats, "BUCKET_BYTES", 5000)
     assert _by_id(suffix_index.dedup_bytes(small), "n_bytes", "n_removed", "n_spans", "kept_sha256") == brute.byte_dedup(small_rows)
+
+
+def test_thinned_edges_have_the_same_components(spark):
+    # 40 hubs that 500 nodes have in common: an edge a node, not one for each hub
+    import random
+
+    from rawmart.llm.components import components, thinned
+
+    draw = random.Random(5)
+    pairs = [(hub, node) for node in range(100, 600) for hub in range(40)] + [(700 + draw.randrange(30), 800 + draw.randrange(60)) for _ in range(50)]
+    edges = spark.createDataFrame(pairs, "x long, y long")
+    few = thinned(edges)
+    assert few.count() <= 500 + 40 + 100
+    both = [sorted((r["node"], r["label"]) for r in components(e).collect()) for e in (edges, few)]
+    assert both[0] == both[1]
