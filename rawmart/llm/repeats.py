@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .text import batch, pick, scratch
+from .text import arrow_schema, batch, pick, scratch, tidy
 
 _U = np.uint64
 #: text bytes for each bucket
@@ -93,44 +93,68 @@ def column(rows: list[dict], name: str, dtype) -> np.ndarray:
     return np.frombuffer(b"".join(r[name] for r in rows), dtype=dtype)
 
 
-def places(schema: pa.Schema, owner: np.ndarray, pos: np.ndarray, buckets: int = 0, **fixed) -> pa.RecordBatch:
-    """A row for each owner: c1, and its places as a binary of int32; with ``buckets`` also a bucket, by the owner."""
+def filled(rows: pa.RecordBatch, schema: pa.Schema, **values: int | None) -> pa.RecordBatch:
+    """``rows`` with one value in all of a column."""
+    for c, value in values.items():
+        rows = rows.set_column(schema.get_field_index(c), schema.field(c), pa.array([value] * rows.num_rows, schema.field(c).type))
+    return rows
+
+
+#: columns of packed places
+PLACES_DDL = "bucket int, cs binary, pos binary"
+
+
+def places(schema: pa.Schema, buckets: int, owner: np.ndarray, pos: np.ndarray, **fixed: int | None) -> pa.RecordBatch:
+    """Packed places: a row for each bucket of owners (texts), with its entries' owners (cs) and places (pos, int32).
+
+    A row for each owner would make texts times buckets rows of the places that are found bucket by bucket, since a text's
+    places lie in many of them.
+    """
     order = np.argsort(owner, kind="stable")
-    owner, pos = owner[order], np.ascontiguousarray(pos[order].astype(np.int32))
-    heads = starts_of_runs(owner)
-    offsets = np.concatenate([[0], np.append(heads[1:], len(owner)) * 4]).astype(np.int32) if len(owner) else np.zeros(1, np.int32)
-    binary = pa.Array.from_buffers(pa.binary(), len(heads), [None, pa.py_buffer(offsets), pa.py_buffer(pos)])
-    got = {"c1": owner[heads], "pos": binary} | {k: np.full(len(heads), v) for k, v in fixed.items()}
-    if buckets:
-        got["bucket"] = (owner[heads].astype(_U) % _U(buckets)).astype(np.int32)
-    return batch(schema, **{f.name: got[f.name] if f.name in got else pa.nulls(len(heads), f.type) for f in schema})
+    owner, pos = owner[order], pos[order].astype(np.int32)
+    if "h" in schema.names:
+        fixed["h"] = None
+    return filled(packed(schema, buckets, owner.astype(_U), cs=owner, pos=pos), schema, **fixed)
 
 
 #: entries whose places are gathered before they are sent on
 PLACES = 2_000_000
 
 
-def merged_places(schema: pa.Schema, found: Iterator[tuple[np.ndarray, np.ndarray]], **fixed) -> Iterator[pa.RecordBatch]:
-    """Places of many buckets together, so that a text is in few rows of a task and not in one for each bucket."""
+def merged_places(schema: pa.Schema, buckets: int, found: Iterator[tuple[np.ndarray, np.ndarray]], **fixed) -> Iterator[pa.RecordBatch]:
+    """Packed places of many buckets together: rows number with the tasks (and each PLACES entries), not with the buckets scanned."""
     kept, n = [], 0
     for owner, pos in found:
         if len(owner):
             kept.append((owner, pos))
             n += len(owner)
         if n >= PLACES:
-            yield places(schema, *(np.concatenate(x) for x in zip(*kept, strict=True)), **fixed)
+            yield places(schema, buckets, *(np.concatenate(x) for x in zip(*kept, strict=True)), **fixed)
             kept, n = [], 0
     if kept:
-        yield places(schema, *(np.concatenate(x) for x in zip(*kept, strict=True)), **fixed)
+        yield places(schema, buckets, *(np.concatenate(x) for x in zip(*kept, strict=True)), **fixed)
+
+
+@tidy
+def _by_text(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    for rows in buckets_of(batches):
+        owner, pos = column(rows, "cs", np.int64), column(rows, "pos", np.int32)
+        order = np.argsort(owner, kind="stable")
+        owner, pos = owner[order], pos[order]
+        heads = starts_of_runs(owner)
+        offsets = np.concatenate([[0], np.append(heads[1:], len(owner)) * 4]).astype(np.int32)
+        yield batch(schema, c1=owner[heads], pos=pa.Array.from_buffers(pa.binary(), len(heads), [None, pa.py_buffer(offsets), pa.py_buffer(pos)]))
 
 
 def gathered(rows: DataFrame) -> DataFrame:
-    """All places of each text: c1, pos (array of binaries; bounded by the text's length)."""
-    return rows.groupBy("c1").agg(F.collect_list("pos").alias("pos"))
+    """All places of each text of packed places: c1, pos (binary of int32, those of one row in their order; bounded by the text's length)."""
+    ddl = "c1 long, pos binary"
+    schema = arrow_schema(ddl)
+    return by_bucket(rows.select("bucket", "cs", "pos")).mapInArrow(lambda b: _by_text(b, schema), ddl)
 
 
-def unpack(value: list[bytes] | None) -> np.ndarray:
-    return np.frombuffer(b"".join(value or []), dtype=np.int32)
+def unpack(value: bytes | None) -> np.ndarray:
+    return np.frombuffer(value or b"", dtype=np.int32)
 
 
 def seen_before(h: np.ndarray, g: np.ndarray, ids: np.ndarray) -> np.ndarray:
@@ -146,11 +170,12 @@ def seen_before(h: np.ndarray, g: np.ndarray, ids: np.ndarray) -> np.ndarray:
     return out
 
 
-def settle_windows(windows: DataFrame, schema: pa.Schema, ddl: str, kinds: tuple[int, int]) -> DataFrame:
-    """Packed windows (kinds[0]: bucket, h, g, ids, cs, pos) -> rows c1, pos of those whose content also occurs with a smaller id.
+def settle_windows(windows: DataFrame, buckets: int, kinds: tuple[int, int]) -> DataFrame:
+    """Packed windows (kinds[0]: bucket, h, g, ids, cs, pos) -> packed places of those whose content also occurs with a smaller id.
 
-    Rows of kinds[1] (c1, pos) were settled before and pass through.
+    Rows of kinds[1] (packed places) were settled before and pass through.
     """
+    schema = arrow_schema(PLACES_DDL)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         settled: list[pa.RecordBatch] = []
@@ -171,12 +196,12 @@ def settle_windows(windows: DataFrame, schema: pa.Schema, ddl: str, kinds: tuple
                 yield part.select(schema.names)
             settled.clear()
 
-        for out in merged_places(schema, found()):
+        for out in merged_places(schema, buckets, found()):
             yield from passed()
             yield out
         yield from passed()
 
-    return by_bucket(windows.select("kind", "bucket", "c1", "h", "g", "ids", "cs", "pos")).mapInArrow(run, ddl)
+    return by_bucket(windows.select("kind", "bucket", "h", "g", "ids", "cs", "pos")).mapInArrow(run, PLACES_DDL)
 
 
 def pack_windows(schema: pa.Schema, buckets: int, kinds: tuple[int, int], h, g, ids, cs, pos, deal=None) -> Iterator[pa.RecordBatch]:
@@ -185,10 +210,10 @@ def pack_windows(schema: pa.Schema, buckets: int, kinds: tuple[int, int], h, g,
     ``deal`` follows from a window's content; windows of equal ``deal`` go to one bucket.
     """
     later = seen_before(h, g, ids)
-    yield places(schema, cs[later], pos[later], buckets, kind=kinds[1])
+    yield places(schema, buckets, cs[later], pos[later], kind=kinds[1])
     own = ~later
     out = packed(schema, buckets, h[own], None if deal is None else deal[own], g=g[own].astype(np.uint32), ids=ids[own], cs=cs[own], pos=pos[own].astype(np.int32))
-    yield out.set_column(out.schema.get_field_index("kind"), schema.field("kind"), pa.array(np.full(out.num_rows, kinds[0], np.int32)))
+    yield filled(out, schema, kind=kinds[0])
 
 
 def parts(batches: Iterator[pa.RecordBatch], pieces: Callable[[pa.RecordBatch], Iterator[tuple[int, tuple]]]) -> Iterator[list[tuple]]:

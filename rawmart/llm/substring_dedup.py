@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .repeats import NO_ID, buckets_of, by_bucket, column, gathered, keyed, merged_places, pack_windows, packed, parts, places, settle_windows, starts_of_runs, text_classes, unpack
+from .repeats import NO_ID, PLACES_DDL, buckets_of, by_bucket, column, filled, gathered, keyed, merged_places, pack_windows, packed, parts, places, settle_windows, starts_of_runs, text_classes, unpack
 from .text import arrow_schema, batch, chunks, drop, gram_starts, mix, scratch, tidy, window_hash, word_hashes, words
 
 _U = np.uint64
@@ -78,15 +78,15 @@ def _find_anchors(batches: Iterator[pa.RecordBatch], schema: pa.Schema, window:
         heads = starts_of_runs(h)
         size = np.diff(np.append(heads, len(h)))
         shared = np.repeat(size > 1, size)
-        yield places(schema, owner[shared], pos[shared], kind=REMOVED)
+        yield places(schema, buckets, owner[shared], pos[shared], kind=REMOVED)
         travel = np.zeros(len(h), dtype=bool)
         travel[heads] = True
         by_text = np.lexsort((pos[travel], owner[travel]))
         out = packed(schema, buckets, h[travel][by_text], cs=owner[travel][by_text], pos=pos[travel][by_text].astype(np.int32))
-        yield out.set_column(out.schema.get_field_index("kind"), schema.field("kind"), pa.array(np.full(out.num_rows, WINDOWS, np.int32)))
+        yield filled(out, schema, kind=WINDOWS)
 
 
-def _shared_anchors(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+def _shared_anchors(batches: Iterator[pa.RecordBatch], schema: pa.Schema, buckets: int) -> Iterator[pa.RecordBatch]:
     def found():
         for rows in buckets_of(batches):
             h, owner, pos = column(rows, "h", _U), column(rows, "cs", np.int64), column(rows, "pos", np.int32)
@@ -99,7 +99,7 @@ def _shared_anchors(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Ite
             shared = np.repeat(np.logical_or.reduceat(other, heads), size) if len(heads) else other
             yield owners[shared], pos[order][shared]
 
-    return merged_places(schema, found())
+    return merged_places(schema, buckets, found())
 
 
 @tidy
@@ -178,13 +178,12 @@ def dedup_windows(docs: DataFrame, window: int = 50, id_col: str = "doc_id", tex
     rows = keyed(docs, id_col, text_col)
     rows, keys, classes, buckets = text_classes(rows, "windows")
 
-    ddl = "kind int, c1 long, bucket int, h binary, cs binary, pos binary"
+    ddl = "kind int, bucket int, h binary, cs binary, pos binary"
     schema = arrow_schema(ddl)
     found = scratch(rows.select("c1", "text").mapInArrow(lambda b: _find_anchors(b, schema, window, buckets), ddl), "anchors")
-    hit_ddl = "c1 long, pos binary"
-    hit_schema = arrow_schema(hit_ddl)
-    hits = by_bucket(found.where(F.col("kind") == WINDOWS).select("bucket", "h", "cs", "pos")).mapInArrow(lambda b: _shared_anchors(b, hit_schema), hit_ddl)
-    hits = gathered(hits.unionByName(found.where(F.col("kind") == REMOVED).select("c1", "pos")))
+    hit_schema = arrow_schema(PLACES_DDL)
+    hits = by_bucket(found.where(F.col("kind") == WINDOWS).select("bucket", "h", "cs", "pos")).mapInArrow(lambda b: _shared_anchors(b, hit_schema, buckets), PLACES_DDL)
+    hits = gathered(hits.unionByName(found.where(F.col("kind") == REMOVED).select("bucket", "cs", "pos")))
     chosen = scratch(classes.join(hits, "c1", "left"), "anchor-hits")
     drop(found)
 
@@ -193,7 +192,7 @@ def dedup_windows(docs: DataFrame, window: int = 50, id_col: str = "doc_id", tex
     first = rows.join(chosen, ["id", "c1", "c2"])  # the smallest row of each text
     state = scratch(first.mapInArrow(lambda b: _extend(b, schema2, window, buckets), ddl2), "windows", by=("kind",))
     moved = state.where(F.col("kind").isin(WINDOWS, REMOVED))
-    removed = scratch(gathered(settle_windows(moved, hit_schema, hit_ddl, (WINDOWS, REMOVED))), "removed-windows")
+    removed = scratch(gathered(settle_windows(moved, buckets, (WINDOWS, REMOVED))), "removed-windows")
     drop(state, f"kind={WINDOWS}")
     out_ddl = "c1 long, c2 long, n long, removed long, sha string, kept string"
     out_schema = arrow_schema(out_ddl)

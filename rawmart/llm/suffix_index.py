@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .repeats import NO_ID, PLACES, buckets_of, by_bucket, column, gathered, keyed, merged_places, pack_windows, packed, parts, places, seen_before, settle_windows, starts_of_runs, text_classes, unpack
+from .repeats import NO_ID, PLACES, PLACES_DDL, buckets_of, by_bucket, column, filled, gathered, keyed, merged_places, pack_windows, packed, parts, places, seen_before, settle_windows, starts_of_runs, text_classes, unpack
 from .text import _B, arrow_schema, batch, chunks, drop, mix, ranges, scratch, tidy, window_hash
 
 _U = np.uint64
@@ -161,34 +161,27 @@ def _arrays(batches: Iterator[pa.RecordBatch], schema: pa.Schema, length: int, b
         told, place, value = told[order], place[order], value[order]
         one = np.ones(len(told), dtype=bool)
         one[1:] = (told[1:] != told[:-1]) | (value[1:] != value[:-1])
-        yield places(schema, told[one], place[one], kind=REMOVED)
+        yield places(schema, buckets, told[one], place[one], kind=REMOVED)
         by_text = np.lexsort((pos[heads], owner[heads]))
         h, owner, pos = h[heads][by_text], owner[heads][by_text], pos[heads][by_text]
         low, high = _fingerprints(h, buckets)
         bucket_of = packed(schema, buckets, h, q=low, r=high, cs=owner, pos=pos.astype(np.int32))
-        yield _with(bucket_of, schema, kind=SHIPPED, h=None)
+        yield filled(bucket_of, schema, kind=SHIPPED, h=None)
 
 
-def _with(rows: pa.RecordBatch, schema: pa.Schema, kind: int, **nulls) -> pa.RecordBatch:
-    rows = rows.set_column(schema.get_field_index("kind"), schema.field("kind"), pa.array(np.full(rows.num_rows, kind, np.int32)))
-    for c in nulls:
-        rows = rows.set_column(schema.get_field_index(c), schema.field(c), pa.nulls(rows.num_rows, schema.field(c).type))
-    return rows
+def _scan(batches: Iterator[pa.RecordBatch], schema: pa.Schema, buckets: int) -> Iterator[pa.RecordBatch]:
+    """Packed places of shared entries; each bucket has an index family of its own."""
 
+    def found():
+        for rows in buckets_of(batches):
+            family = LevelFamily()
+            for row in rows:
+                q = column([row], "q", np.uint32).astype(_U) | column([row], "r", np.uint8).astype(_U) << _U(32)
+                order = np.argsort(q, kind="stable")
+                one = order[starts_of_runs(q[order])]
+                yield family.add(q[one], column([row], "cs", np.int64)[one], column([row], "pos", np.int32)[one])
 
-def _scan(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    """Shared entries by text, bucket by bucket: rows number with the entries, not with the tasks that a text's entries lie in."""
-    for rows in buckets_of(batches):
-        family = LevelFamily()
-        owners, found = [], []
-        for row in rows:
-            q = column([row], "q", np.uint32).astype(_U) | column([row], "r", np.uint8).astype(_U) << _U(32)
-            order = np.argsort(q, kind="stable")
-            one = order[starts_of_runs(q[order])]
-            owner, pos = family.add(q[one], column([row], "cs", np.int64)[one], column([row], "pos", np.int32)[one])
-            owners.append(owner)
-            found.append(pos)
-        yield places(schema, np.concatenate(owners), np.concatenate(found))
+    return merged_places(schema, buckets, found())
 
 
 @tidy
@@ -233,9 +226,9 @@ def _surroundings(batches: Iterator[pa.RecordBatch], schema: pa.Schema, length:
         done.clear()
         h, x, ids, cs, pos, ladder = (np.concatenate(y) for y in zip(*kept, strict=True))
         later = seen_before(h, x, ids)
-        yield places(schema, cs[later], pos[later], kind=REMOVED)
+        yield places(schema, buckets, cs[later], pos[later], kind=REMOVED)
         own = ~later
-        yield _with(packed(schema, buckets, h[own], x=x[own], ids=ids[own], cs=cs[own], pos=pos[own].astype(np.int32), ladder=ladder[own]), schema, SHIPPED)
+        yield filled(packed(schema, buckets, h[own], x=x[own], ids=ids[own], cs=cs[own], pos=pos[own].astype(np.int32), ladder=ladder[own]), schema, kind=SHIPPED)
 
 
 def _around(at: np.ndarray, begin: np.ndarray, end: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -280,14 +273,14 @@ def _reach(h: np.ndarray, x: np.ndarray, ladder: np.ndarray, length: int) -> tup
     return reach[0], reach[1]
 
 
-def _compare(batches: Iterator[pa.RecordBatch], schema: pa.Schema, length: int) -> Iterator[pa.RecordBatch]:
+def _compare(batches: Iterator[pa.RecordBatch], schema: pa.Schema, length: int, buckets: int) -> Iterator[pa.RecordBatch]:
     """Suffixes whose surroundings a smaller id has too are settled (WHOLE). Of the others, if the suffix has several
     surroundings, first and last start of the strings that others can share (EDGE, two places each)."""
     kept: dict[int, list] = {WHOLE: [], EDGE: []}
 
     def flush() -> Iterator[pa.RecordBatch]:
         for what, found in kept.items():
-            yield from merged_places(schema, iter(found), what=what)
+            yield from merged_places(schema, buckets, iter(found), what=what)
             found.clear()
 
     n = 0
@@ -384,13 +377,12 @@ def dedup_bytes(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_
     rows = keyed(docs, id_col, text_col)
     rows, keys, classes, buckets = text_classes(rows, "suffixes")
 
-    ddl = "kind int, c1 long, bucket int, h binary, q binary, r binary, cs binary, pos binary"
+    ddl = "kind int, bucket int, h binary, q binary, r binary, cs binary, pos binary"
     schema = arrow_schema(ddl)
     arrays = scratch(rows.select("c1", "text").mapInArrow(lambda b: _arrays(b, schema, length, buckets), ddl), "suffix-arrays")
-    hit_ddl = "c1 long, pos binary"
-    hit_schema = arrow_schema(hit_ddl)
-    hits = by_bucket(arrays.where(F.col("kind") == SHIPPED).select("bucket", "q", "r", "cs", "pos")).mapInArrow(lambda b: _scan(b, hit_schema), hit_ddl)
-    hits = gathered(hits.unionByName(arrays.where(F.col("kind") == REMOVED).select("c1", "pos")))
+    hit_schema = arrow_schema(PLACES_DDL)
+    hits = by_bucket(arrays.where(F.col("kind") == SHIPPED).select("bucket", "q", "r", "cs", "pos")).mapInArrow(lambda b: _scan(b, hit_schema, buckets), PLACES_DDL)
+    hits = gathered(hits.unionByName(arrays.where(F.col("kind") == REMOVED).select("bucket", "cs", "pos")))
     chosen = scratch(classes.join(hits, "c1", "left"), "suffix-hits")
     drop(arrays)
 
@@ -398,19 +390,19 @@ def dedup_bytes(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_
     schema2 = arrow_schema(ddl2)
     first = rows.join(chosen, ["id", "c1", "c2"])  # the smallest row of each text
     state = scratch(first.mapInArrow(lambda b: _surroundings(b, schema2, length, buckets), ddl2), "surroundings", by=("kind",))
-    what_ddl = "c1 long, what int, pos binary"
+    what_ddl = f"what int, {PLACES_DDL}"
     what_schema = arrow_schema(what_ddl)
     shipped = by_bucket(state.where(F.col("kind") == SHIPPED).select("bucket", "h", "x", "ids", "cs", "pos", "ladder"))
-    compared = scratch(shipped.mapInArrow(lambda b: _compare(b, what_schema, length), what_ddl), "compared", by=("what",))
+    compared = scratch(shipped.mapInArrow(lambda b: _compare(b, what_schema, length, buckets), what_ddl), "compared", by=("what",))
     drop(state, f"kind={SHIPPED}")
-    whole = compared.where(F.col("what") == WHOLE).select("c1", "pos").unionByName(state.where(F.col("kind") == REMOVED).select("c1", "pos"))
+    whole = compared.where(F.col("what") == WHOLE).select("bucket", "cs", "pos").unionByName(state.where(F.col("kind") == REMOVED).select("bucket", "cs", "pos"))
 
     later = state.where(F.col("kind") == LATER).select("c1", "c2", "text")
-    edges = later.join(gathered(compared.where(F.col("what") == EDGE).select("c1", "pos")), "c1").join(classes, ["c1", "c2"])
-    ddl3 = "kind int, c1 long, bucket int, h binary, g binary, ids binary, cs binary, pos binary"
+    edges = later.join(gathered(compared.where(F.col("what") == EDGE)), "c1").join(classes, ["c1", "c2"])
+    ddl3 = "kind int, bucket int, h binary, g binary, ids binary, cs binary, pos binary"
     schema3 = arrow_schema(ddl3)
     strings = edges.select("id", "c1", "text", "pos").mapInArrow(lambda b: _edges(b, schema3, length, buckets), ddl3)
-    single = scratch(gathered(settle_windows(strings, hit_schema, hit_ddl, (SHIPPED, REMOVED))), "edge-removed")
+    single = scratch(gathered(settle_windows(strings, buckets, (SHIPPED, REMOVED))), "edge-removed")
 
     out_ddl = "c1 long, c2 long, n long, removed long, spans long, sha string, kept binary"
     out_schema = arrow_schema(out_ddl)

@@ -171,3 +171,28 @@ def test_thinned_edges_have_the_same_components(spark):
     assert few.count() <= 500 + 40 + 100
     both = [sorted((r["node"], r["label"]) for r in components(e).collect()) for e in (edges, few)]
     assert both[0] == both[1]
+
+
+def test_places_found_by_bucket_are_few_rows(spark, monkeypatch):
+    # each text shares a passage with one other: its places lie in all 20 buckets, but a row is no text in one bucket
+    import random
+
+    from rawmart.llm import repeats
+
+    draw = random.Random(7)
+    word = lambda: "".join(draw.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7))
+    passages = [" ".join(word() for _ in range(240)) for _ in range(150)]
+    rows = [(i, f"{word()} {passages[i % 150]} {word()}") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(30)
+    monkeypatch.setattr(repeats, "BUCKET_BYTES", 30_000)
+    for module, run, want in ((suffix_index, suffix_index.dedup_bytes, brute.byte_dedup), (substring_dedup, substring_dedup.dedup_windows, brute.window_dedup)):
+        counts = []
+
+        def counted(found, gather=module.gathered, counts=counts):
+            counts.append(found.count())
+            return gather(found)
+
+        monkeypatch.setattr(module, "gathered", counted)
+        got = _by_id(run(docs), *(("n_bytes", "n_removed", "n_spans", "kept_sha256") if module is suffix_index else ("n_words", "n_removed", "kept_sha256")))
+        assert got == want(rows) and sum(v[1] for v in got.values()) > 150 * 200
+        assert max(counts) <= 1500
