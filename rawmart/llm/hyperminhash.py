@@ -24,8 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .components import components, thinned
-from .text import arrow_schema, batch, chunks, gram_starts, list_array, pick, scratch, tidy, window_hash, word_hashes, words
+from .components import components, joined, thinned
+from .text import arrow_schema, batch, chunks, few_tasks, gram_starts, list_array, pick, scratch, tidy, window_hash, word_hashes, words
 
 _U = np.uint64
 REGISTER_BITS = 8
@@ -37,6 +37,8 @@ BANDS = REGISTERS // BAND
 MARGIN = 6
 #: rows of a bucket, and of a family, that meet as one side of a comparison
 BUCKET_BLOCK, FAMILY_BLOCK = 1024, 128
+#: pairs of a family whose registers are compared at once
+PAIRS = 4096
 
 _priority = np.random.default_rng(20240613).permuted(np.tile(np.arange(REGISTERS, dtype=np.int16), (REGISTERS, 1)), axis=1)
 
@@ -209,10 +211,11 @@ class Union:
 
 
 def _forests(batches: Iterator[pa.RecordBatch], schema: pa.Schema, percent: int) -> Iterator[pa.RecordBatch]:
-    """Of each block of a bucket, a spanning forest of the candidate pairs whose families differ."""
+    """Of the blocks of buckets, the families (labels) that candidate pairs connect, as links of each with the smallest: a forest
+    without long paths, which would take ``components`` more rounds."""
     for rows in _groups(batches, ("key", "i", "j")):
         col = lambda c: rows.column(c).to_numpy()  # noqa: B023, E731
-        key, i, j, own, node, label, n, full = (col(c) for c in ("key", "i", "j", "own", "id", "label", "n", "full"))
+        key, i, j, own, label, n, full = (col(c) for c in ("key", "i", "j", "own", "label", "n", "full"))
         low = np.stack([col(f"l{q}") for q in range(4)], axis=1).view(_U)
         found = []
         offset, at = 1, np.arange(len(key) - 1)
@@ -226,20 +229,19 @@ def _forests(batches: Iterator[pa.RecordBatch], schema: pa.Schema, percent: int)
             near = np.bitwise_count(low[a] ^ low[b]).sum(axis=1) <= most_differ(np.minimum(full[a], full[b]), percent / 100)
             a, b = a[near], b[near]
             _, one = np.unique(np.stack([label[a], label[b]], axis=1), axis=0, return_index=True)
-            found.append(np.stack([a[one], b[one]], axis=1))
+            found.append(np.stack([label[a[one]], label[b[one]]], axis=1))
             offset += 1
             at = at[at + offset < len(key)]
-        union, out = Union(), []
+        union = Union()
         for a, b in np.concatenate(found).tolist() if found else []:
-            if union.join(int(label[a]), int(label[b])):
-                out.append((node[a], node[b]))
-        x, y = (np.array([o[c] for o in out], dtype=np.int64) for c in (0, 1))
-        yield batch(schema, x=x, y=y)
+            union.join(a, b)
+        y = np.array([v for v in union.parent if union.find(v) != v], dtype=np.int64)
+        yield batch(schema, x=np.array([union.find(v) for v in y.tolist()], dtype=np.int64), y=y)
 
 
 @tidy
 def _family_links(batches: Iterator[pa.RecordBatch], schema: pa.Schema, k: int, percent: int) -> Iterator[pa.RecordBatch]:
-    """Of each pair of blocks of a family, links that connect its components, confirmed on the full sets, the most alike first."""
+    """Of each pair of blocks of a family, links between its components (labels), confirmed on the full sets, the most alike first."""
     similarity = percent / 100
     for whole in _groups(batches, ("family", "i", "j")):
         cuts = np.stack([whole.column(c).to_numpy() for c in ("family", "i", "j")], axis=1)
@@ -247,41 +249,36 @@ def _family_links(batches: Iterator[pa.RecordBatch], schema: pa.Schema, k: int,
         xs, ys = [], []
         for first, last in zip(heads, [*heads[1:], len(cuts)], strict=True):
             rows = whole.slice(first, last - first)
-            node, label, n, own = (rows.column(c).to_numpy() for c in ("id", "label", "n", "own"))
+            label, n, own = (rows.column(c).to_numpy() for c in ("label", "n", "own"))
             if (label == label[0]).all():
                 continue
             regs = np.stack([np.frombuffer(r, np.uint16) for r in rows.column("registers").to_pylist()])
             texts = rows.column("text").combine_chunks()
-            sets: dict[int, np.ndarray] = {}
-
-            def shingles(r: int) -> np.ndarray:
-                if r not in sets:  # noqa: B023
-                    sets[r] = next(s for c in chunks(texts.slice(r, 1)) for s in shingle_sets(c, k))  # noqa: B023
-                return sets[r]  # noqa: B023
-
+            a, b = np.triu_indices(len(label), 1)
+            ok = (label[b] != label[a]) & (100 * np.minimum(n[a], n[b]) >= percent * np.maximum(n[a], n[b]))
+            if cuts[first, 1] != cuts[first, 2]:
+                ok &= own[b] != own[a]
+            a, b = a[ok], b[ok]
             pairs = []
-            for a in range(len(node) - 1):
-                b = np.arange(a + 1, len(node))
-                ok = (label[b] != label[a]) & (100 * np.minimum(n[a], n[b]) >= percent * np.maximum(n[a], n[b]))
-                if cuts[first, 1] != cuts[first, 2]:
-                    ok &= own[b] != own[a]
-                b = b[ok]
-                if len(b):
-                    value, used = estimate(regs[a][None, :], regs[b], np.array([n[a]]), n[b])
-                    good = value >= similarity - MARGIN * np.sqrt(similarity * (1 - similarity) / np.maximum(used, 1))
-                    pairs.append(np.stack([value[good], np.full(good.sum(), a), b[good]], axis=1))
+            for s in range(0, len(a), PAIRS):
+                x, y = a[s : s + PAIRS], b[s : s + PAIRS]
+                value, used = estimate(regs[x], regs[y], n[x], n[y])
+                good = value >= similarity - MARGIN * np.sqrt(similarity * (1 - similarity) / np.maximum(used, 1))
+                pairs.append(np.stack([value[good], x[good], y[good]], axis=1))
             if not pairs:
                 continue
             found = np.concatenate(pairs)
+            met = np.unique(found[:, 1:].astype(int))
+            sets = dict(zip(met.tolist(), (s for c in chunks(texts.take(pa.array(met))) for s in shingle_sets(c, k)), strict=True))
             union = Union()
             for a, b in found[np.argsort(-found[:, 0], kind="stable"), 1:].astype(int).tolist():
                 if union.find(int(label[a])) != union.find(int(label[b])):
-                    s, t = shingles(a), shingles(b)
+                    s, t = sets[a], sets[b]
                     common = len(np.intersect1d(s, t, assume_unique=True))
                     if 100 * common >= percent * (len(s) + len(t) - common):
                         union.join(int(label[a]), int(label[b]))
-                        xs.append(node[a])
-                        ys.append(node[b])
+                        xs.append(label[a])
+                        ys.append(label[b])
         yield batch(schema, x=np.array(xs, dtype=np.int64), y=np.array(ys, dtype=np.int64))
 
 
@@ -310,9 +307,10 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     sketched = scratch(rows.mapInArrow(lambda x: _sketch(x, schema, k), ddl), "minhash-sketches")
     named = sketched.where("id is not null and n > 0")
     classes = named.groupBy("a", "b").agg(F.min("id").alias("rep"))
-    classes = scratch(classes, "minhash-classes")
+    few = few_tasks(sketched)  # for tables of about a row a document, or fewer; only their last shuffle is read by so few tasks
+    classes = scratch(classes.coalesce(few), "minhash-classes")
     reps = sketched.join(classes.select("a", "b", F.col("rep").alias("id")), ["a", "b", "id"]).select("id", "n", "registers")
-    reps = scratch(reps.dropDuplicates(["id", "n", "registers"]), "minhash-reps")
+    reps = scratch(reps.dropDuplicates(["id", "n", "registers"]).coalesce(few), "minhash-reps")
 
     band_ddl = "id long, n long, full int, keys array<long>, low array<long>"
     band_schema = arrow_schema(band_ddl)
@@ -341,34 +339,36 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
         return rows.groupBy(group).agg(F.min(label).alias("lo"), F.max(label).alias("hi"), F.count(F.lit(1)).alias("m")).where("lo < hi")
 
     # families: what candidate pairs connect; a class is in BANDS buckets, so it has no more smallest ones
-    spokes = scratch(thinned(star), "minhash-spokes")
-    placed = scratch(labelled(buckets.select("id", "key"), components(spokes), "label"), "minhash-placed")
+    spokes = scratch(thinned(star).coalesce(few), "minhash-spokes")
+    starred = components(spokes)
+    placed = scratch(labelled(buckets.select("id", "key"), starred, "label"), "minhash-placed")
     cross = _blocks(placed.join(marks, "id"), "key", BUCKET_BLOCK, several(placed, "key", "label"))
-    forest = scratch(cross.mapInArrow(lambda b: _forests(b, pair_schema, percent), pair_ddl).distinct(), "minhash-forest")
-    families = components(spokes.unionByName(forest))
+    forest = scratch(cross.mapInArrow(lambda b: _forests(b, pair_schema, percent), pair_ddl).distinct().coalesce(few), "minhash-forest")
+    families = scratch(joined(starred, components(forest)).coalesce(few), "minhash-families")
 
     # links with the buckets' smallest classes
     texts = scratch(rows.where("text is not null").join(families.select(F.col("node").alias("id")), "id", "left_semi"), "minhash-texts")
     x, y = (reps.select(F.col("id").alias(c), F.col("n").alias(f"n{c}"), F.col("registers").alias(f"r{c}")) for c in "xy")
     likely = star.join(x, "x").join(y, "y")
-    likely = scratch(likely.mapInArrow(lambda b: _estimated(b, pair_schema, similarity), pair_ddl).distinct(), "minhash-likely")
+    likely = scratch(likely.mapInArrow(lambda b: _estimated(b, pair_schema, similarity), pair_ddl).distinct().coalesce(few), "minhash-likely")
     tx, ty = (texts.select(F.col("id").alias(c), F.col("text").alias(f"t{c}")) for c in "xy")
     full = likely.join(tx, "x").join(ty, "y")
-    links = scratch(thinned(full.mapInArrow(lambda b: _confirmed(b, pair_schema, k, percent), pair_ddl)), "minhash-links")
+    links = scratch(thinned(full.mapInArrow(lambda b: _confirmed(b, pair_schema, k, percent), pair_ddl)).coalesce(few), "minhash-links")
+
+    # rows of one id with different sets
+    member = named.join(classes, ["a", "b"]).select("id", "rep")
+    split = member.groupBy("id").agg(F.min("rep").alias("x"), F.max("rep").alias("hi")).where("x < hi").select("id", "x")
+    same = member.join(split, "id").select("x", F.col("rep").alias("y")).coalesce(few)
+    linked = components(links.unionByName(same))
 
     # families that are several components so far
-    member = labelled(families.select(F.col("node").alias("id"), F.col("label").alias("family")), components(links), "label")
+    member = labelled(families.select(F.col("node").alias("id"), F.col("label").alias("family")), linked, "label")
     member = scratch(member, "minhash-members")
     sides = member.join(reps, "id").join(texts, "id")
     compared = _blocks(sides, "family", FAMILY_BLOCK, several(member, "family", "label"))
-    extra = scratch(compared.mapInArrow(lambda b: _family_links(b, pair_schema, k, percent), pair_ddl).distinct(), "minhash-extra")
-
-    # rows of one id with different sets
-    member = named.join(classes, ["a", "b"]).select("id", "rep")
-    split = member.groupBy("id").agg(F.min("rep").alias("x"), F.max("rep").alias("hi")).where("x < hi").select("id", "x")
-    same = member.join(split, "id").select("x", F.col("rep").alias("y"))
-    found = components(links.unionByName(extra).unionByName(same))
+    extra = scratch(compared.mapInArrow(lambda b: _family_links(b, pair_schema, k, percent), pair_ddl).distinct().coalesce(few), "minhash-extra")
 
+    found = joined(linked, components(extra))
     label = classes.join(found, classes.rep == found.node, "left").select("a", "b", F.coalesce("label", "rep").alias("label"))
     slim = sketched.select("id", "n", "a", "b")
     linked = slim.where("id is not null and n > 0").join(label, ["a", "b"]).select("id", "n", "label")

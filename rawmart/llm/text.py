@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rawmart.session import delete_at_exit, delete_path, scratch_path
+from rawmart.session import bytes_below, delete_at_exit, delete_path, scratch_path
 
 CHUNK_BYTES = 1 << 19
 
@@ -71,6 +71,17 @@ def drop(table: DataFrame, part: str = "") -> None:
     delete_path(table.sparkSession, f"{table.scratch_folder}/{part}".rstrip("/"))
 
 
+#: bytes of a scratch table for each task that writes a table of about its rows or fewer, beyond one task for each core
+TASK_BYTES = 4 << 20
+
+
+def few_tasks(table: DataFrame) -> int:
+    """Tasks that suffice to write tables not larger than this scratch table. Where a query has far more shuffle partitions, a file
+    (and a task of each later read) for every partition costs more than the few rows in it."""
+    spark = table.sparkSession
+    return spark.sparkContext.defaultParallelism + bytes_below(spark, table.scratch_folder) // TASK_BYTES
+
+
 def tidy(make: Callable[..., Iterator]) -> Callable[..., Iterator]:
     """For generators that run in Python workers: at their end, memory that Arrow and the C library hold on to goes back to the
     machine. Workers live on idle from stage to stage, and would keep the most that any stage took."""

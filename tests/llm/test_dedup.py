@@ -196,3 +196,51 @@ def test_places_found_by_bucket_are_few_rows(spark, monkeypatch):
         got = _by_id(run(docs), *(("n_bytes", "n_removed", "n_spans", "kept_sha256") if module is suffix_index else ("n_words", "n_removed", "kept_sha256")))
         assert got == want(rows) and sum(v[1] for v in got.values()) > 150 * 200
         assert max(counts) <= 1500
+
+
+def test_forest_of_a_bucket_has_no_long_paths():
+    import pyarrow as pa
+
+    n = 200
+    same = {c: pa.array([1] * n, pa.int64()) for c in ("key", "i", "j", "own", "l0", "l1", "l2", "l3")}
+    ids = pa.array(range(10, 10 + n), pa.int64())
+    rows = pa.RecordBatch.from_pydict({**same, "id": ids, "label": ids, "n": pa.array([100] * n, pa.int64()), "full": pa.array([80] * n, pa.int32())})
+    out = list(hyperminhash._forests(iter([rows]), pa.schema([("x", pa.int64()), ("y", pa.int64())]), 85))
+    pairs = [(x, y) for b in out for x, y in zip(b.column("x").to_pylist(), b.column("y").to_pylist(), strict=True)]
+    assert sorted(pairs) == [(10, y) for y in range(11, 10 + n)]
+
+
+def test_labels_are_written_by_few_tasks(spark, monkeypatch):
+    from rawmart.llm import components as module
+    from rawmart.session import session_conf
+
+    files = {}
+
+    def counted(df, name, scratch=module.scratch):
+        out = scratch(df, name)
+        files[name] = max(files.get(name, 0), len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(module, "scratch", counted)
+    edges = [(i, i + 1) for i in range(400) if i % 40] + [(7, 7)]
+    with session_conf(spark, {"spark.sql.shuffle.partitions": "90", "spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        got = {r["node"]: r["label"] for r in components(spark.createDataFrame(edges, "x long, y long")).collect()}
+    assert got == {i: (i - 1) // 40 * 40 + 1 for i in range(1, 401)}
+    assert files["labels"] <= spark.sparkContext.defaultParallelism + 1
+
+
+def test_joined_components(spark):
+    from rawmart.llm.components import joined
+
+    frame = lambda rows: spark.createDataFrame(rows, "node long, label long")
+    found = frame([(1, 1), (2, 1), (5, 5), (6, 5), (8, 8), (9, 8)])
+    tops = frame([(1, 1), (5, 1), (3, 3), (4, 3)])  # 3 and 4 had no edge
+    got = sorted((r["node"], r["label"]) for r in joined(found, tops).collect())
+    assert got == [(1, 1), (2, 1), (3, 3), (4, 3), (5, 1), (6, 1), (8, 8), (9, 8)]
+
+
+def test_rows_of_one_id_join_what_their_texts_link(spark):
+    words = lambda name, odd=None: " ".join(odd if odd and i == 0 else f"{name}{i}" for i in range(60))
+    rows = [(4, words("a")), (4, words("b")), (7, words("a", "x")), (2, words("b", "y")), (9, words("c")), (None, words("a")), (4, None)]
+    got = sorted((r["doc_id"], r["component_id"]) for r in hyperminhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85).collect() if r["doc_id"] is not None and r["n_shingles"])
+    assert got == [(2, 2), (4, 2), (4, 2), (7, 2), (9, 9)]
